@@ -1,0 +1,51 @@
+"""What may come to the driver or be broadcast, and where lineage is cut."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SMALL_LIST = 1_000
+
+
+class TooLarge(ValueError):
+    """A list meant to be small holds more rows than allowed."""
+
+
+def small_rows(df: DataFrame, limit: int = SMALL_LIST):
+    """Rows of a parameter table, or None when there are more than `limit`."""
+    rows = df.limit(limit + 1).collect()
+    return None if len(rows) > limit else rows
+
+
+def small_values(df: DataFrame, column: str, limit: int = SMALL_LIST) -> list:
+    """Distinct non-NULL values of a column whose domain is small; raises beyond `limit`."""
+    rows = small_rows(df.select(column).where(F.col(column).isNotNull()).distinct(), limit)
+    if rows is None:
+        raise TooLarge(f"{column} has more than {limit} distinct values")
+    return sorted(r[0] for r in rows)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder named by spark.checkpoint.dir."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="revloom-checkpoint-")
+    sc.setCheckpointDir(shared)
+
+
+def literal_array(values: list, data_type) -> Column:
+    return F.array(*[F.lit(v).cast(data_type) for v in values])
