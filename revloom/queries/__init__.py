@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational")
+MODULES = ("scalars", "relational", "changes", "documents")
 
 
 def load_all():

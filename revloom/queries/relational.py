@@ -63,13 +63,13 @@ def full_outer_totals(t: Tables):
 
 
 @query("currency_normalise", """
-WITH rates AS (SELECT n_nationkey AS iso, CASE WHEN n_nationkey = 3 THEN 0.0 ELSE 0.5 + n_nationkey / 8.0 END AS rate FROM nation WHERE n_nationkey <> 7)
+WITH rates AS (SELECT n_nationkey AS iso, CASE WHEN n_nationkey = 3 THEN 0.0 ELSE 0.5 + n_nationkey / 8.0 END AS rate FROM nation WHERE n_name <> 'NATION_7')
 SELECT o_orderkey, round(CASE WHEN rate = 0 THEN NULL ELSE o_totalprice / rate END, 4) AS usd,
        CASE WHEN rate = 0 THEN NULL ELSE round(o_totalprice / rate) END AS whole
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN rates ON iso = c_nationkey""")
 def currency_normalise(t: Tables):
     rate = F.when(F.col("n_nationkey") == 3, 0.0).otherwise(0.5 + F.col("n_nationkey") / 8.0)
-    rates = t.nation.where("n_nationkey <> 7").select(F.col("n_nationkey").alias("iso"), rate.alias("rate"))
+    rates = t.nation.where("n_name <> 'NATION_7'").select(F.col("n_nationkey").alias("iso"), rate.alias("rate"))
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     o = joins.left_lookup(o, rates, [("c_nationkey", "iso")], {"rate": "rate"})
     usd = per_rate("o_totalprice", "rate")

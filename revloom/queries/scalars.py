@@ -86,26 +86,31 @@ def truncate_text(t: Tables):
     )
 
 
-@query("uuid_and_ids", r"""
-WITH x AS (SELECT doc_id, md5(text) AS h, source || CASE WHEN lang = 'en' THEN '' ELSE '-x' END AS s, lang FROM documents),
-u AS (SELECT doc_id, lang, CASE WHEN lang = 'de' THEN 'none ' || h ELSE s || '-' || substring(h, 1, 8) || '-' || substring(h, 9, 4) || '-'
+@query("uuid_in_text", r"""
+WITH x AS (SELECT doc_id, md5(text) AS h, source, lang FROM documents),
+u AS (SELECT doc_id, CASE WHEN lang = 'de' THEN 'none ' || h ELSE source || '-' || substring(h, 1, 8) || '-' || substring(h, 9, 4) || '-'
       || substring(h, 13, 4) || '-' || substring(h, 17, 4) || '-' || substring(h, 21, 12) || ' tail' END AS t FROM x)
-SELECT doc_id, nullif(regexp_extract(t, '([A-Fa-f0-9]{8}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{12})', 1), '') AS uuid,
-       length(substring(t, 1, 12 + CAST(doc_id % 9 AS INTEGER))) = 18 AS is_id,
-       lang IS NOT NULL AND NOT contains(substring(t, 1, 9), ' ') AND NOT contains(substring(t, 1, 9), '''')
-       AND NOT contains(substring(t, 1, 9), '/r2w/') AS is_clean
-FROM u""")
-def uuid_and_ids(t: Tables):
+SELECT doc_id, nullif(regexp_extract(t, '([A-Fa-f0-9]{8}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{4}-[A-Fa-f0-9]{12})', 1), '') AS uuid FROM u""")
+def uuid_in_text(t: Tables):
     h = F.md5(F.col("text").cast("binary"))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    site = F.concat("source", F.when(F.col("lang") == "en", "").otherwise("-x"))
-    made = F.when(F.col("lang") == "de", F.concat(F.lit("none "), h)).otherwise(F.concat_ws("-", site, F.concat(F.concat_ws("-", *parts), F.lit(" tail"))))
-    d = t.documents.select("doc_id", made.alias("t"))
-    head = F.substr(F.col("t"), F.lit(1), (12 + F.col("doc_id") % 9).cast("int"))
-    return d.select(
-        "doc_id", text.uuid_in("t").alias("uuid"), text.is_record_id(head).alias("is_id"),
-        text.is_clean_id(F.substring("t", 1, 9)).alias("is_clean"),
-    )
+    with_id = F.concat_ws("-", "source", F.concat(F.concat_ws("-", *parts), F.lit(" tail")))
+    made = F.when(F.col("lang") == "de", F.concat(F.lit("none "), h)).otherwise(with_id)
+    return t.documents.select("doc_id", text.uuid_in(made).alias("uuid"))
+
+
+@query("id_hygiene", """
+WITH x AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'o''neil' WHEN 'MACHINERY' THEN 'a b' WHEN 'FURNITURE' THEN 'x/r2w/y'
+  WHEN 'HOUSEHOLD' THEN NULL ELSE c_name END AS id FROM customer)
+SELECT c_custkey, id IS NOT NULL AND NOT contains(id, '''') AND NOT contains(id, ' ') AND NOT contains(id, '/r2w/') AS clean,
+       length(id) = 18 AS record_id FROM x""")
+def id_hygiene(t: Tables):
+    made = {"BUILDING": "o'neil", "MACHINERY": "a b", "FURNITURE": "x/r2w/y", "HOUSEHOLD": None}
+    portal = F.col("c_name")
+    for segment, value in made.items():
+        portal = F.when(F.col("c_mktsegment") == segment, F.lit(value)).otherwise(portal)
+    c = t.customer.withColumn("id", portal)
+    return c.select("c_custkey", text.is_clean_id("id").alias("clean"), text.is_record_id("id").alias("record_id"))
 
 
 @query("tags", """
