@@ -168,7 +168,7 @@ def containing(
         cuts.append(F.regexp_extract_all(F.col(text), F.lit(look), F.lit(1)))
     if not cuts:
         return texts.select(F.lit(None).cast("string").alias("token"), F.col(key)).limit(0)
-    pieces = texts.select(key, F.explode(F.array_distinct(F.concat(*cuts))).alias("token"))
+    pieces = texts.select(key, F.explode(F.concat(*cuts)).alias("token"))
     return pieces.join(wanted, "token", "inner").select("token", key).distinct()
 
 

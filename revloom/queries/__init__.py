@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational", "changes", "documents")
+MODULES = ("scalars", "relational", "changes", "documents", "usage")
 
 
 def load_all():
