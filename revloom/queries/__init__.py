@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational", "changes", "documents", "usage")
+MODULES = ("scalars", "relational", "changes", "documents", "usage", "revenue")
 
 
 def load_all():
