@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from revloom.functions.text import as_col
 from revloom.operators.sizing import SMALL_LIST, TooLarge, literal_array, small_rows
 from revloom.operators.windows import first_per_key
 
-SPLITS = 200
+SPLITS = 1_000
 
 
 def pairs(left: str, right: str, on: list[tuple[str, str]] | list[str]) -> Column:
@@ -24,10 +25,9 @@ def pairs(left: str, right: str, on: list[tuple[str, str]] | list[str]) -> Colum
 
 def left_lookup(df: DataFrame, other: DataFrame, on: list[tuple[str, str]], take: dict[str, str]) -> DataFrame:
     """Left equi join taking {new name: column of `other`}. NULL keys match nothing, copies fan out."""
-    l, r = df.alias("l"), other.alias("r")
+    l, r = df.drop(*[n for n in take if n not in dict(on)]).alias("l"), other.alias("r")
     cond = reduce(lambda a, b: a & b, [F.col(f"l.`{a}`") == F.col(f"r.`{b}`") for a, b in on])
-    kept = [F.col(f"l.`{c}`") for c in df.columns if c not in take]
-    return l.join(r, cond, "left").select(*kept, *[F.col(f"r.`{c}`").alias(n) for n, c in take.items()])
+    return l.join(r, cond, "left").select("l.*", *[F.col(f"r.`{c}`").alias(n) for n, c in take.items()])
 
 
 def absent_from(df: DataFrame, other: DataFrame, on: list[tuple[str, str]] | list[str]) -> DataFrame:
@@ -85,15 +85,29 @@ def floor_tier(df: DataFrame, tiers: DataFrame, value: str, threshold: str, limi
     A short tier table becomes a literal in the plan: no join at all. A longer one goes through `floor_split`.
     A NULL value gets the lowest threshold too.
     """
-    kind = tiers.schema[threshold].dataType
     known = tiers.select(threshold).where(F.col(threshold).isNotNull()).distinct()
     rows = small_rows(known, limit)
     if rows is None:
         return floor_split(df, known, value, threshold)
-    steps = literal_array(sorted(r[0] for r in rows), kind)
-    reached = F.filter(steps, lambda s: s <= F.col(value))
-    floor = F.try_element_at(reached, F.lit(-1))
-    return df.withColumn(threshold, F.coalesce(floor, F.try_element_at(steps, F.lit(1))))
+    steps = sorted(r[0] for r in rows)
+    kind = tiers.schema[threshold].dataType
+    if not steps:
+        return df.withColumn(threshold, F.lit(None).cast(kind))
+    listed = literal_array(steps, kind)
+    # range 0 is below the first step, the range past the last one holds NULL and NaN
+    ranged = _in_ranges(df, value, [float(s) for s in steps])
+    floor = F.when(F.col("_range") > 0, F.try_element_at(listed, F.col("_range")))
+    return ranged.withColumn(threshold, F.coalesce(floor, F.try_element_at(listed, F.lit(1)))).drop("_range")
+
+
+def _in_ranges(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
+    """`_range`: how many of the sorted cut points are <= the value, one more than there are for NULL and NaN."""
+    if not cuts:
+        return df.withColumn("_range", F.lit(0))
+    edges = [float("-inf"), *cuts, float("inf")]
+    cutter = Bucketizer(splits=edges, inputCol="_v", outputCol="_range", handleInvalid="keep")
+    out = cutter.transform(df.withColumn("_v", F.col(value).cast("double"))).drop("_v")
+    return out.withColumn("_range", F.col("_range").cast("int"))
 
 
 def floor_split(df: DataFrame, known: DataFrame, value: str, threshold: str, splits: int = SPLITS) -> DataFrame:
@@ -105,9 +119,8 @@ def floor_split(df: DataFrame, known: DataFrame, value: str, threshold: str, spl
     wanted = df.select(F.col(value).cast("double").alias("v"), F.lit(None).cast("double").alias("t")).distinct()
     steps = known.select(F.col(threshold).cast("double").alias("v"), F.col(threshold).cast("double").alias("t"))
     both = wanted.where("v IS NOT NULL").unionByName(steps)
-    cuts = sorted(set(both.approxQuantile("v", [i / splits for i in range(1, splits)], 0.001)))
-    bucket = F.size(F.filter(literal_array(cuts, "double"), lambda c: c <= F.col("v")))
-    both = both.withColumn("b", bucket)
+    cuts = sorted(set(both.approxQuantile("v", [i / splits for i in range(1, splits)], 0.2 / splits)))
+    both = _in_ranges(both, "v", cuts).withColumnRenamed("_range", "b")
 
     up_to = Window.partitionBy("b").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = both.withColumn("f", F.max("t").over(up_to))
@@ -116,10 +129,10 @@ def floor_split(df: DataFrame, known: DataFrame, value: str, threshold: str, spl
     carried = tops.select("b", F.max("top").over(below).alias("carry"))  # one row per range, at most `splits`
     found = local.where("t IS NULL").join(F.broadcast(carried), "b").select("v", F.coalesce("f", "carry").alias("f"))
 
-    lowest = steps.agg(F.min("t")).first()[0]
+    lowest = F.lit(known.agg(F.min(threshold)).first()[0])
     l, r = df.alias("l"), found.alias("r")
     kind = known.schema[threshold].dataType
-    out = F.coalesce(F.col("r.f"), F.lit(lowest)).cast(kind).alias(threshold)
+    out = F.coalesce(F.col("r.f"), lowest).cast(kind).alias(threshold)
     return l.join(r, F.col(f"l.`{value}`").cast("double") == F.col("r.v"), "left").select("l.*", out)
 
 

@@ -17,12 +17,27 @@ def json_schema(df: DataFrame, column: str) -> T.StructType:
     return T.StructType.fromDDL(found.replace("OBJECT<", "STRUCT<")[len("STRUCT<"):-1].replace("VOID", "STRING"))
 
 
-def parse_json(df: DataFrame, column: str, schema: T.StructType, alias: str = "doc") -> tuple[DataFrame, DataFrame]:
-    """(parsed, quarantined): rows with the document as a struct, and the rows that are no such JSON object."""
+def parse_json(df: DataFrame, column: str, schema: T.StructType, alias: str = "doc") -> DataFrame:
+    """The document as a struct next to its text. Take the result through `readable` or `unreadable`.
+
+    Persist it when several tables are made from it: it is the one place where the text is parsed.
+    """
     with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    parsed = df.withColumn(alias, F.from_json(F.col(column), with_bad, {"columnNameOfCorruptRecord": BAD}))
-    broken = F.col(column).isNull() | F.col(alias)[BAD].isNotNull()
-    return parsed.where(~broken).withColumn(alias, F.col(alias).dropFields(BAD)), parsed.where(broken).drop(alias)
+    return df.withColumn(alias, F.from_json(F.col(column), with_bad, {"columnNameOfCorruptRecord": BAD}))
+
+
+def readable(parsed: DataFrame, column: str, alias: str = "doc") -> DataFrame:
+    """Rows whose text was such a document."""
+    return parsed.where(~_broken(column, alias)).withColumn(alias, F.col(alias).dropFields(BAD))
+
+
+def unreadable(parsed: DataFrame, column: str, alias: str = "doc") -> DataFrame:
+    """Rows whose text was none, for quarantine."""
+    return parsed.where(_broken(column, alias)).drop(alias)
+
+
+def _broken(column: str, alias: str) -> Column:
+    return F.col(column).isNull() | F.col(alias)[BAD].isNotNull()
 
 
 def json_fields(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
@@ -33,8 +48,12 @@ def json_fields(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame
 
 
 def child_rows(df: DataFrame, keys: list[Column | str], path: str, alias: str = "item") -> DataFrame:
-    """One row per element of a nested list with its parent's keys. Missing or empty lists give no rows."""
-    return df.select(*keys, F.explode(F.col(path)).alias(alias))
+    """One row per element of a nested list with its parent's keys. Missing or empty lists give no rows.
+
+    The outer form keeps Spark from testing the list's size below the parse, which would parse every text again.
+    """
+    rows = df.select(*keys, F.posexplode_outer(F.col(path)).alias("_pos", alias))
+    return rows.where("_pos IS NOT NULL").drop("_pos")
 
 
 def child_table(df: DataFrame, keys: list[Column | str], path: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from revloom.functions.dates import from_millis, from_seconds, millis_or_epoch, parse_or_epoch
 from revloom.operators.changes import new_only
-from revloom.operators.reshape import child_table, json_schema, lists_to_text, parse_json
+from revloom.operators.reshape import child_table, json_schema, lists_to_text, parse_json, readable, unreadable
 from revloom.operators.schema import clean_names, flatten
 
 KEY = "product_statistics_id"
@@ -61,21 +61,26 @@ def _converted(table: DataFrame | None, fixes: dict[str, Column]) -> DataFrame |
     return table.withColumns({n: e for n, e in fixes.items() if n in table.columns})
 
 
-def new_documents(source: DataFrame, loaded: DataFrame, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
-    """(parsed documents not loaded yet, unreadable ones). Persist the first: every child table reads it again.
+def new_documents(source: DataFrame, loaded: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Documents not loaded yet, parsed. Persist it: all tables of a family and the quarantine are made from it.
 
     source: id, creationDate, data (JSON text). Without a schema the union of all documents' fields is used.
     """
     fresh = new_only(source, loaded, [("id", KEY if KEY in loaded.columns else "id")])
-    docs, bad = parse_json(fresh, "data", schema or json_schema(fresh, "data"))
-    return docs.withColumnRenamed("id", KEY), bad
+    return parse_json(fresh, "data", schema or json_schema(fresh, "data")).withColumnRenamed("id", KEY)
 
 
-def servers(docs: DataFrame) -> dict[str, DataFrame]:
+def quarantine(parsed: DataFrame) -> DataFrame:
+    """Documents that are no readable JSON object."""
+    return unreadable(parsed, "data")
+
+
+def servers(parsed: DataFrame) -> dict[str, DataFrame]:
     """First family (creation in epoch millis): data, server, server domain and gateway rows per document.
 
     `documents` lists the ids and is to be written last: an interrupted load then simply runs again.
     """
+    docs = readable(parsed, "data")
     master = _own_fields(docs, "doc", "serverData", "gatewayData")
     master = _converted(master, {"creationDate": from_millis("creationDate")})
     server_type = _struct_at(docs.schema["doc"].dataType, "serverData")
@@ -95,8 +100,9 @@ def servers(docs: DataFrame) -> dict[str, DataFrame]:
     return {n: t for n, t in tables.items() if t is not None}
 
 
-def nodes(docs: DataFrame) -> dict[str, DataFrame]:
+def nodes(parsed: DataFrame) -> dict[str, DataFrame]:
     """Second family (times in epoch seconds): nine tables. `product_statistics` holds the ids: write it last."""
+    docs = readable(parsed, "data")
     master = _own_fields(docs, "doc", "auth", "config", "events", "interfaces", "status", "sync")
     tables = {
         "sync": _child(docs, "doc.sync"),

@@ -123,8 +123,8 @@ def snapshot_watermark(t: Tables):
 @query("json_flatten", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_flatten(t: Tables):
-    parsed, _ = reshape.parse_json(t.events, "props", T.StructType.fromDDL("k BIGINT"))
-    return schema.flatten(parsed.select("event_id", "doc")).withColumnRenamed("doc.k", "k")
+    parsed = reshape.parse_json(t.events, "props", T.StructType.fromDDL("k BIGINT"))
+    return schema.flatten(reshape.readable(parsed, "props").select("event_id", "doc")).withColumnRenamed("doc.k", "k")
 
 
 @query("json_quarantine", """
@@ -132,7 +132,8 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN substring(props, 1, 4) ELSE
 def json_quarantine(t: Tables):
     cut = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
     e = t.events.select("event_id", cut.alias("props"))
-    good, bad = reshape.parse_json(e, "props", T.StructType.fromDDL("k BIGINT"))
+    parsed = reshape.parse_json(e, "props", T.StructType.fromDDL("k BIGINT"))
+    good, bad = reshape.readable(parsed, "props"), reshape.unreadable(parsed, "props")
     return schema.union_fill(good.select("event_id", "props", F.lit(False).alias("bad")), bad.select("event_id", "props", F.lit(True).alias("bad")))
 
 

@@ -1,6 +1,6 @@
 """Jobs over nested documents: contracts, telemetry, forecast exports, installer events.
 
-The documents are made by Spark from the flat tables, one per row, and pass through JSON text.
+The documents are made by Spark from the flat tables, one per row; those that arrive as text are JSON text.
 """
 
 from __future__ import annotations
@@ -17,23 +17,12 @@ from revloom.operators.schema import flatten, union_fill
 from revloom.plans import contracts, forecast_export, install_match, telemetry
 from revloom.queries.registry import Tables, query
 
-DATE = "STRUCT<year: INT, month: INT, dayOfMonth: INT>"
-CONTRACT = f"""id BIGINT, opportunityId STRING, customerId BIGINT, productId STRING, usagePeriod STRING, status STRING,
-customer STRUCT<portalId: STRING, name: STRING, accountId: BIGINT>, opportunity STRUCT<id: STRING, stage: STRING>, provisionDate {DATE},
-locationCounts ARRAY<STRUCT<deploymentType: STRING>>, contractItems ARRAY<STRUCT<sku: STRING>>,
-contractPeriods ARRAY<STRUCT<id: STRING, startDate: {DATE}, endDate: {DATE}, jobTiers: ARRAY<STRUCT<start: BIGINT, price: DOUBLE>>>>"""
-
 
 @cache
 def ddl(text: str) -> T.StructType:
     return T.StructType.fromDDL(text)
 
 
-def through_json(df: DataFrame, schema: str, columns: list[str]) -> DataFrame:
-    """The columns as one JSON text per row, read back with `schema`."""
-    return df.select(F.from_json(F.to_json(F.struct(*columns)), ddl(schema)).alias("doc")).select("doc.*")
-
-
 def parts(d: Column) -> Column:
     return F.struct(F.year(d).alias("year"), F.month(d).alias("month"), F.day(d).alias("dayOfMonth"))
 
@@ -56,7 +45,7 @@ def contract_documents(t: Tables) -> DataFrame:
     one, two = F.array(period(0)), F.array(period(0), period(1))
     places = F.when(F.col("o_orderpriority") == "5-LOW", None).when(F.col("o_orderpriority") == "2-HIGH", F.array().cast("array<struct<deploymentType:string>>"))
     places = places.otherwise(F.array(F.struct(F.col("o_orderstatus").alias("deploymentType")), F.struct(F.lit("Z").alias("deploymentType"))))
-    docs = o.select(
+    return o.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("opp"), key).alias("opportunityId"), F.col("o_custkey").alias("customerId"),
         F.col("o_orderpriority").alias("productId"), F.lit("MONTHLY").alias("usagePeriod"), F.col("o_orderstatus").alias("status"),
         F.struct(F.concat(F.lit("p"), F.col("o_custkey")).alias("portalId"), F.lit("n").alias("name"), F.col("o_custkey").alias("accountId")).alias("customer"),
@@ -64,7 +53,6 @@ def contract_documents(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") != "P", parts(day)).alias("provisionDate"), places.alias("locationCounts"),
         F.array(F.struct(F.lit("s").alias("sku"))).alias("contractItems"), F.when(F.col("o_orderstatus") == "F", one).otherwise(two).alias("contractPeriods"),
     )
-    return through_json(docs, CONTRACT, docs.columns)
 
 
 PERIODS = """
@@ -119,9 +107,7 @@ def usage_documents(t: Tables) -> DataFrame:
         )
 
     lists = F.when(F.col("o_orderpriority") == "5-LOW", None).when(F.col("o_orderpriority") == "2-HIGH", F.slice(F.array(used(0)), 1, 0))
-    docs = t.orders.select(F.col("o_orderkey").alias("contract_id"), lists.otherwise(F.array(used(0), used(1))).alias("usagePeriods"))
-    item = f"STRUCT<startDate: {DATE}, endDate: {DATE}, usage: BIGINT, overage: BIGINT, newCredit: BIGINT, startCredit: BIGINT>"
-    return through_json(docs, f"contract_id BIGINT, usagePeriods ARRAY<{item}>", docs.columns)
+    return t.orders.select(F.col("o_orderkey").alias("contract_id"), lists.otherwise(F.array(used(0), used(1))).alias("usagePeriods"))
 
 
 @query("usage_periods", """
@@ -136,15 +122,13 @@ def usage_periods(t: Tables):
 
 
 def product_documents(t: Tables) -> DataFrame:
-    docs = t.part.select(
+    return t.part.select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("display.name"), F.array(F.col("p_type")).alias("contractItemTypes"),
         F.array(
             F.struct(F.col("p_brand").alias("id"), F.col("p_size").alias("size"), F.array(F.lit(1)).alias("items")),
             F.struct(F.col("p_type").alias("id"), F.lit(None).cast("int").alias("size"), F.array(F.lit(2)).alias("items")),
         ).alias("packages"),
     )
-    kinds = "id BIGINT, `display.name` STRING, contractItemTypes ARRAY<STRING>, packages ARRAY<STRUCT<id: STRING, size: INT, items: ARRAY<INT>>>"
-    return through_json(docs, kinds, [f"`{c}`" for c in docs.columns])
 
 
 @query("products", "SELECT p_partkey AS id, p_name AS display_name FROM part")
@@ -189,8 +173,8 @@ gatewayData ARRAY<STRUCT<load: DOUBLE, host: STRUCT<name: STRING>>>"""
 
 
 def server_tables(t: Tables) -> dict[str, DataFrame]:
-    docs, bad = telemetry.new_documents(*server_source(t), ddl(SERVER_DOC))
-    return {**telemetry.servers(docs), "unreadable": bad}
+    parsed = telemetry.new_documents(*server_source(t), ddl(SERVER_DOC))
+    return {**telemetry.servers(parsed), "unreadable": telemetry.quarantine(parsed)}
 
 
 @query("telemetry_data", f"""
@@ -226,7 +210,7 @@ def telemetry_documents(t: Tables):
 
 @query("telemetry_unreadable", "SELECT event_id AS id FROM events WHERE event_type = 'view' AND value < 20")
 def telemetry_unreadable(t: Tables):
-    return server_tables(t)["unreadable"].select("id")
+    return server_tables(t)["unreadable"].select(F.col(telemetry.KEY).alias("id"))
 
 
 # Second family: a document per order, its schema found from the documents. Low-priority ones are loaded already.
@@ -250,8 +234,7 @@ def node_tables(t: Tables) -> dict[str, DataFrame]:
     ))
     source = t.orders.select(F.col("o_orderkey").alias("id"), sec.alias("creationDate"), doc.alias("data"))
     loaded = t.orders.where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias(telemetry.KEY))
-    docs, _ = telemetry.new_documents(source, loaded)
-    return telemetry.nodes(docs)
+    return telemetry.nodes(telemetry.new_documents(source, loaded))
 
 
 @query("node_product_statistics", f"""

@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 class Tables:
@@ -21,12 +22,12 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        fields = self.spark.read.parquet(path).schema
-        if not any(isinstance(f.dataType, T.TimestampNTZType) for f in fields):
-            return self.spark.read.parquet(path)
-        # through the read schema, not a cast, so that time filters still reach the scan
-        instants = [T.StructField(f.name, T.TimestampType()) if isinstance(f.dataType, T.TimestampNTZType) else f for f in fields]
-        return self.spark.read.schema(T.StructType(instants)).parquet(path)
+        if path not in _SCHEMAS:
+            # through the read schema, not a cast, so that time filters still reach the scan
+            fields = self.spark.read.parquet(path).schema
+            instants = [T.StructField(f.name, T.TimestampType()) if isinstance(f.dataType, T.TimestampNTZType) else f for f in fields]
+            _SCHEMAS[path] = T.StructType(instants)
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def query(name: str, sql: str | None = None):

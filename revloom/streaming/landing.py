@@ -36,15 +36,15 @@ def load_documents(
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         once = first_per_key(batch, ["id"], [F.col("creationDate").asc_nulls_last(), F.col("data").asc_nulls_last()])
-        docs, bad = telemetry.new_documents(once, _loaded_ids(spark, f"{target}/{id_table}", key), schema)
-        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = telemetry.new_documents(once, _loaded_ids(spark, f"{target}/{id_table}", key), schema)
+        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tables = {**split(docs), "unreadable": bad}
+            tables = {**split(parsed), "unreadable": telemetry.quarantine(parsed)}
             for name in sorted(tables, key=lambda n: n == id_table):
                 stamped = tables[name].withColumn("load_id", F.lit(f"{load_name}-{batch_id}"))
                 overwrite(stamped, f"{target}/{name}", partition_by=["load_id"])
         finally:
-            docs.unpersist()
+            parsed.unpersist()
 
     stream = spark.readStream.schema(SOURCE).json(landing)
     query = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
