@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions.text import NOTES_LIMIT, trim_notes
-from revloom.operators.joins import absent_from, pairs, present_in
+from revloom.operators.joins import absent_from, left_lookup, pairs, present_in
 from revloom.operators.schema import union_fill
 from revloom.operators.windows import first_per_key
 
 
-def new_only(source: DataFrame, target: DataFrame, on: list) -> DataFrame:
-    """Rows whose key is not loaded yet."""
-    return absent_from(source, target, on)
+def new_only(source: DataFrame, target: DataFrame, on: list, *, unique: bool = False) -> DataFrame:
+    """Rows whose key is not loaded yet. `unique`: the target holds every key once."""
+    return absent_from(source, target, on, unique=unique)
 
 
 def after_watermark(df: DataFrame, time: str, mark) -> DataFrame:
@@ -63,7 +63,7 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None)
 def apply_change_set(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target after the change set. Rows the change set does not name stay."""
     live = changes.where("action <> 'delete'").drop("action")
-    return union_fill(absent_from(target, changes, [key]), live.select(*target.columns))
+    return union_fill(absent_from(target, changes, [key], unique=True), live.select(*target.columns))
 
 
 def changed_only(before: DataFrame, after: DataFrame, key: str, values: list[str]) -> DataFrame:
@@ -81,18 +81,18 @@ def null_out_stale(target: DataFrame, upload: DataFrame, key: str, marker: str,
 
 def zero_out_stale(target: DataFrame, upload: DataFrame, key: str, value: str) -> DataFrame:
     """Target keys that are in the upload or hold a positive value, with the upload's sum (0 without one)."""
-    sums = upload.groupBy(key).agg(F.sum(value).alias("_sum"))
-    l, r = target.groupBy(key).agg(F.max(value).alias("_old")).alias("l"), sums.alias("r")
-    joined = l.join(r, F.col(f"l.`{key}`") == F.col(f"r.`{key}`"), "left")
-    used = F.col(f"r.`{key}`").isNotNull() | (F.col("l._old") > 0)
-    return joined.where(used).select(f"l.`{key}`", F.coalesce(F.col("r._sum"), F.lit(0.0)).alias(value))
+    stacked = target.select(key, F.col(value).alias("_old"), F.lit(1).alias("_here")).unionByName(
+        upload.select(key, F.col(value).alias("_new"), F.lit(1).alias("_sent")), allowMissingColumns=True
+    )
+    both = stacked.groupBy(key).agg(F.max("_old").alias("_old"), F.sum("_new").alias("_new"), F.max("_here").alias("_here"), F.max("_sent").alias("_sent"))
+    used = F.col("_here").isNotNull() & (F.col("_sent").isNotNull() | (F.col("_old") > 0)) & F.col(key).isNotNull()
+    return both.where(used).select(key, F.coalesce("_new", F.lit(0.0)).alias(value))
 
 
 def failed_rows(results: DataFrame, sources: DataFrame, on: tuple[str, str], error: str, keys: list[str]) -> DataFrame:
     """Rejected rows of an upload with the distinct source keys they came from."""
-    unique = sources.select(on[1], *keys).distinct().alias("r")
-    l = results.where(F.col(error).isNotNull()).alias("l")
-    return l.join(unique, F.col(f"l.`{on[0]}`") == F.col(f"r.`{on[1]}`"), "left").select("l.*", *[F.col(f"r.`{k}`") for k in keys])
+    unique = sources.select(on[1], *keys).distinct()
+    return left_lookup(results.where(F.col(error).isNotNull()), unique, [on], {k: k for k in keys})
 
 
 def audit_trail(

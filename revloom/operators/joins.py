@@ -18,38 +18,56 @@ SPLITS = 1_000
 
 
 def pairs(left: str, right: str, on: list[tuple[str, str]] | list[str]) -> Column:
-    """Null-safe join condition between two aliased frames."""
-    named = [(k, k) if isinstance(k, str) else k for k in on]
-    return same([F.col(f"{left}.`{a}`") for a, _ in named], [F.col(f"{right}.`{b}`") for _, b in named])
+    """Null-safe join condition between two aliased frames.
+
+    All joins here are hashed on its null-safe form, also where NULL keys cannot match: a side that comes out of an
+    aggregation is then exchanged once more, and both sides stay plain exchanges that the adaptive skew join can
+    split when one key holds a large part of the rows.
+    """
+    return same([F.col(f"{left}.`{a}`") for a, _ in _named(on)], [F.col(f"{right}.`{b}`") for _, b in _named(on)])
+
+
+def _named(on: list) -> list[tuple[str, str]]:
+    return [(k, k) if isinstance(k, str) else k for k in on]
+
+
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with all keys, the only ones an equality can match."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys]))
 
 
 def left_lookup(df: DataFrame, other: DataFrame, on: list[tuple[str, str]], take: dict[str, str]) -> DataFrame:
     """Left equi join taking {new name: column of `other`}. NULL keys match nothing, copies fan out."""
-    l, r = df.drop(*[n for n in take if n not in dict(on)]).alias("l"), other.alias("r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"l.`{a}`") == F.col(f"r.`{b}`") for a, b in on])
-    return l.join(r, cond, "left").select("l.*", *[F.col(f"r.`{c}`").alias(n) for n, c in take.items()])
+    l = df.drop(*[n for n in take if n not in dict(on)]).alias("l")
+    r = _keyed(other, [b for _, b in on]).alias("r")
+    return l.join(r, pairs("l", "r", on), "left").select("l.*", *[F.col(f"r.`{c}`").alias(n) for n, c in take.items()])
+
+
+def _key_rows(other: DataFrame, on: list, unique: bool) -> DataFrame:
+    """The key columns of `other`, each key once: copies go before the shuffle, unless there are none."""
+    keys = other.select(*[F.col(f"`{b}`") for b in dict.fromkeys(b for _, b in _named(on))])
+    return keys if unique else keys.distinct()
 
 
-def absent_from(df: DataFrame, other: DataFrame, on: list[tuple[str, str]] | list[str]) -> DataFrame:
-    """Rows whose key is not in `other`; a NULL key counts as a value of its own."""
-    return df.alias("l").join(other.alias("r"), pairs("l", "r", on), "left_anti")
+def absent_from(df: DataFrame, other: DataFrame, on: list[tuple[str, str]] | list[str], *, unique: bool = False) -> DataFrame:
+    """Rows whose key is not in `other`; a NULL key counts as a value of its own. `unique`: other has no copies."""
+    return df.alias("l").join(_key_rows(other, on, unique).alias("r"), pairs("l", "r", on), "left_anti")
 
 
-def present_in(df: DataFrame, other: DataFrame, on: list[tuple[str, str]] | list[str]) -> DataFrame:
-    """Rows whose key is in `other`, each once; a NULL key counts as a value of its own."""
-    return df.alias("l").join(other.alias("r"), pairs("l", "r", on), "left_semi")
+def present_in(df: DataFrame, other: DataFrame, on: list[tuple[str, str]] | list[str], *, unique: bool = False) -> DataFrame:
+    """Rows whose key is in `other`, each once; a NULL key counts as a value of its own. `unique` as above."""
+    return df.alias("l").join(_key_rows(other, on, unique).alias("r"), pairs("l", "r", on), "left_semi")
 
 
 def with_presence(df: DataFrame, other: DataFrame, on: tuple[str, str], alias: str) -> DataFrame:
     """True / False column: is the key in `other`? (IN as a value, not as a filter.)"""
-    l, r = df.alias("l"), other.select(F.col(on[1]).alias("_key")).distinct().alias("r")
-    joined = l.join(r, F.col(f"l.`{on[0]}`") == F.col("r._key"), "left")
-    return joined.select("l.*", F.col("r._key").isNotNull().alias(alias))
+    keys = _keyed(other, [on[1]]).select(F.col(on[1]).alias("_key"), F.lit(True).alias("_in")).distinct()
+    return left_lookup(df, keys, [(on[0], "_key")], {alias: "_in"}).withColumn(alias, F.coalesce(alias, F.lit(False)))
 
 
 def lookup_or_default(df: DataFrame, table: DataFrame, key: str, value: str, default) -> DataFrame:
     """One attribute per key, `default` for keys without one. A key with several values gets the smallest."""
-    one = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    one = _keyed(table, [key]).groupBy(key).agg(F.min(value).alias(value))
     found = left_lookup(df, one, [(key, key)], {value: value})
     return found.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
@@ -63,11 +81,10 @@ def update_from(
     Of several matches the first in `order` is used. `only` limits which target rows may change.
     """
     keys = list(dict.fromkeys(b for _, b in on))
-    found = [F.col(k).isNotNull() for k in keys]
-    one = first_per_key(source.where(reduce(lambda a, b: a & b, found)), keys, order)
+    one = first_per_key(_keyed(source, keys), keys, order)
     one = one.select(*keys, F.struct(*[F.col(s).alias(t) for t, s in take.items()]).alias("_new"))
     l, r = target.alias("l"), one.alias("r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"l.`{a}`") == F.col(f"r.`{b}`") for a, b in on])
+    cond = pairs("l", "r", on)
     if only is not None:
         l = target.withColumn("_may", only).alias("l")
         cond = cond & F.col("l._may")
@@ -130,10 +147,9 @@ def floor_split(df: DataFrame, known: DataFrame, value: str, threshold: str, spl
     found = local.where("t IS NULL").join(F.broadcast(carried), "b").select("v", F.coalesce("f", "carry").alias("f"))
 
     lowest = F.lit(known.agg(F.min(threshold)).first()[0])
-    l, r = df.alias("l"), found.alias("r")
     kind = known.schema[threshold].dataType
-    out = F.coalesce(F.col("r.f"), lowest).cast(kind).alias(threshold)
-    return l.join(r, F.col(f"l.`{value}`").cast("double") == F.col("r.v"), "left").select("l.*", out)
+    out = left_lookup(df.withColumn("_v", F.col(value).cast("double")), found, [("_v", "v")], {threshold: "f"}).drop("_v")
+    return out.withColumn(threshold, F.coalesce(threshold, lowest).cast(kind))
 
 
 def next_within(
@@ -156,10 +172,9 @@ def next_within(
     hit = F.last(F.when(F.col("e").isNotNull(), F.struct("d", "e")), ignorenulls=True).over(later)
     found = both.withColumn("hit", hit).where("asked")
     found = found.where(F.col("hit.d") < F.add_months("d", months)).select("k", "d", "hit.e")
-    l, r = df.alias("l"), found.alias("r")
-    on = (F.col(f"l.`{key}`") == F.col("r.k")) & (F.col(f"l.`{date}`").cast("date") == F.col("r.d"))
     kind = events.schema[event_id].dataType
-    return l.join(r, on, "left").select("l.*", F.col("r.e").cast(kind).alias(alias))
+    out = left_lookup(df.withColumn("_d", day), found, [(key, "k"), ("_d", "d")], {alias: "e"}).drop("_d")
+    return out.withColumn(alias, F.col(alias).cast(kind))
 
 
 def containing(
@@ -227,7 +242,7 @@ def id_account_map(
         any_of(src == "c").alias("in_c"), any_of((src == "c") & empty).alias("open_c"),
         any_of(src == "u").alias("in_u"),
     )
-    f = rows.join(flags, "id")
+    f = left_lookup(rows, flags, [("id", "id")], {c: c for c in flags.columns if c != "id"})
     from_c = F.col("in_c") & (~F.col("in_a") | F.col("open_a"))  # contracts decide where activity leaves it open
     from_u = ~F.col("in_c") | (from_c & F.col("open_c"))
     falls_through = (

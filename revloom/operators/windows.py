@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revloom.functions.keys import same
 from revloom.functions.numbers import percent, ratio_change, sum_where
@@ -40,12 +41,12 @@ def lag_difference(
 ) -> DataFrame:
     """Each value minus the one before it in its series, as {new column: value column}.
 
-    A series is cut into buckets that follow its order (calendar months of the first order column unless
-    `bucket` says otherwise). Rows are compared inside their bucket; the first row of a bucket takes the last
+    A series is cut into buckets that follow its order: hours when the first order column is a time, days when a day
+    has several rows (more than one order column), else months; or `bucket`. Rows are compared inside their bucket; the first row of a bucket takes the last
     values of the nearest earlier one from a table with one row per series and bucket.
     """
     columns = list(dict.fromkeys(values.values()))
-    cut = F.trunc(F.col(order[0]).cast("date"), "month") if bucket is None else bucket
+    cut = _bucket(df, order) if bucket is None else bucket
     rows = df.withColumn("_bucket", cut)
     inside = Window.partitionBy(*series, "_bucket").orderBy(*order)
     rows = rows.withColumns({f"_lag_{c}": F.lag(c).over(inside) for c in columns})
@@ -67,6 +68,12 @@ def lag_difference(
     return joined.select(*kept, *[e.alias(n) for n, e in out.items()])
 
 
+def _bucket(df: DataFrame, order: list[str]) -> Column:
+    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("hour", F.col(order[0]))
+    return F.col(order[0]) if len(order) > 1 else F.trunc(order[0], "month")
+
+
 def usage_change(
     df: DataFrame, account: str, date: str, value: str, *, recent: int = 31, earlier: int = 61, buffer: int = 1
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from revloom.functions.dates import month_start
 from revloom.operators.joins import absent_from, dimension_product
 from revloom.operators.reshape import unpivot_map, unpivot_prefix
 from revloom.operators.schema import union_fill
+from revloom.operators.sizing import small_rows
 
 
 def by_month(activity: DataFrame) -> DataFrame:
@@ -30,7 +31,13 @@ def requests(customers: DataFrame, activity_types: DataFrame, years: DataFrame)
     """Every (customer, activity, year) of a portal type that was asked for."""
     asked = customers.select("customerid", "type").distinct()
     asked = dimension_product(asked, {"year": years})
-    return asked.join(activity_types.select(F.col("name").alias("activity"), "type").distinct(), "type")
+    names = activity_types.select("type", "name").distinct()
+    listed = small_rows(names)
+    if listed is None:
+        return asked.join(names.withColumnRenamed("name", "activity"), "type")
+    # few types with short lists: expanded in place, as a join would put a type's customers into one task
+    per_type = [F.when(F.col("type") == r["type"], F.lit(r["name"])) for r in listed]
+    return asked.withColumn("activity", F.explode(F.array_compact(F.array(*per_type))))
 
 
 def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.operators.aggregates import joined_text
-from revloom.operators.joins import containing
+from revloom.operators.joins import containing, left_lookup, present_in
 
 
 def installs(payload: DataFrame) -> DataFrame:
@@ -21,8 +21,8 @@ def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     found = installs(sources["payload"])
     pairs = containing(found, "install", "install", leads, "token")
     texts = joined_text(pairs, ["token"], "install", "installs", unique=True)
-    named = leads.join(texts.select("token", "part", "installs"), "token")
-    matched = leads.join(pairs.select("token").distinct(), "token", "left_semi")
+    matched = present_in(leads, pairs, ["token"])
+    named = left_lookup(matched, texts, [("token", "token")], {"part": "part", "installs": "installs"})
     update = matched.select("id").distinct()
     return {
         "matches": named,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revloom.functions.text import add_tag, remove_tag, remove_tag_exact
 from revloom.operators.aggregates import joined_text
 from revloom.operators.changes import changed_only
+from revloom.operators.joins import left_lookup
 
 
 def matches(accounts: DataFrame, others: DataFrame, tag: str, active: str = "Active Account") -> tuple[DataFrame, DataFrame]:
@@ -22,15 +23,14 @@ def matches(accounts: DataFrame, others: DataFrame, tag: str, active: str = "Act
     scopes = F.array_compact(F.array(F.lit("all"), F.when(F.col("status") == active, F.lit("active"))))
     pool = others.where(F.col("domain").isNotNull()).select("domain", "id", F.explode(scopes).alias("scope"))
     per_domain = pool.groupBy("scope", "domain").agg(F.count("id").alias("n_ids"), F.count(F.lit(1)).alias("n_rows"))
-    a, d = scoped.alias("a"), per_domain.alias("d")
-    on = (F.col("a.scope") == F.col("d.scope")) & (F.col("a.domain") == F.col("d.domain"))
-    candidates = a.join(d, on, "left").where((F.col("a.scope") == "all") | F.col("d.n_rows").isNotNull())
-    candidates = candidates.select(
-        "a.*", F.coalesce("d.n_rows", F.lit(1)).alias("match_count"), (F.coalesce("d.n_ids", F.lit(0)) > 0).alias("matched")
-    )
+    on = [("scope", "scope"), ("domain", "domain")]
+    counted = left_lookup(scoped, per_domain, on, {"n_rows": "n_rows", "n_ids": "n_ids"})
+    candidates = counted.where((F.col("scope") == "all") | F.col("n_rows").isNotNull()).withColumns({
+        "match_count": F.coalesce("n_rows", F.lit(1)), "matched": F.coalesce("n_ids", F.lit(0)) > 0,
+    }).drop("n_rows", "n_ids")
     texts = joined_text(pool, ["scope", "domain"], "id", "matched_ids")
-    named = candidates.select("id", "scope", "domain").join(texts, ["scope", "domain"]).select("id", "part", "matched_ids")
-    return candidates.drop("scope"), named
+    named = left_lookup(candidates.where("matched").select("id", "scope", "domain"), texts, on, {"part": "part", "matched_ids": "matched_ids"})
+    return candidates.drop("scope"), named.drop("scope", "domain")
 
 
 def retag(candidates: DataFrame, tag: str, exact: bool = False) -> DataFrame:

@@ -66,7 +66,7 @@ def new_documents(source: DataFrame, loaded: DataFrame, schema: T.StructType | N
 
     source: id, creationDate, data (JSON text). Without a schema the union of all documents' fields is used.
     """
-    fresh = new_only(source, loaded, [("id", KEY if KEY in loaded.columns else "id")])
+    fresh = new_only(source, loaded, [("id", KEY if KEY in loaded.columns else "id")], unique=True)
     return parse_json(fresh, "data", schema or json_schema(fresh, "data")).withColumnRenamed("id", KEY)
 
 

@@ -9,6 +9,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # no call site per expression: building a wide plan from Python is several times faster
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
