@@ -73,15 +73,17 @@ def lookup_or_default(df: DataFrame, table: DataFrame, key: str, value: str, def
 
 
 def update_from(
-    target: DataFrame, source: DataFrame, on: list[tuple[str, str]], take: dict[str, str], order: list[Column],
+    target: DataFrame, source: DataFrame, on: list[tuple[str, str]], take: dict[str, str], order: list[Column] | None = None,
     only: Column | None = None,
 ) -> DataFrame:
     """UPDATE ... FROM: columns {target: source column} set from the matching row, kept where none matches.
 
-    Of several matches the first in `order` is used. `only` limits which target rows may change.
+    Of several matches the first in `order` is used; leave it out when the source has every key once (its primary
+    key), which saves a shuffle. `only` limits which target rows may change.
     """
     keys = list(dict.fromkeys(b for _, b in on))
-    one = first_per_key(_keyed(source, keys), keys, order)
+    one = _keyed(source, keys)
+    one = first_per_key(one, keys, order) if order else one
     one = one.select(*keys, F.struct(*[F.col(s).alias(t) for t, s in take.items()]).alias("_new"))
     l, r = target.alias("l"), one.alias("r")
     cond = pairs("l", "r", on)

@@ -52,7 +52,7 @@ def link_services(deals: DataFrame, every: DataFrame, manual: dict[str, str]) ->
     deals = override_columns(deals, "name", choice)
 
     dated = every.withColumn("close_day", F.to_date("close_date"))
-    deals = update_from(deals, dated, [("related_id", "id")], {**RELATED, "related_close_date": "close_day"}, order)
+    deals = update_from(deals, dated, [("related_id", "id")], {**RELATED, "related_close_date": "close_day"})
     wrong = F.col("related_type") != SERVICES
     wrong_type = deals.withColumn("_wrong", F.coalesce(wrong, F.lit(False)))
     for c in ("related_id", "related_amount", "related_name", "related_stage", "related_type"):
@@ -61,7 +61,7 @@ def link_services(deals: DataFrame, every: DataFrame, manual: dict[str, str]) ->
 
     deals = next_within(deals, services, "account_id", "close_date", "close_date", "id", LINK_MONTHS, "_next")
     deals = deals.withColumn("related_id", F.coalesce("related_id", "_next")).drop("_next")
-    return update_from(deals, every, [("related_id", "id")], RELATED, order)
+    return update_from(deals, every, [("related_id", "id")], RELATED)
 
 
 def override_columns(df: DataFrame, key: str, choice: dict[str, dict[str, Column]]) -> DataFrame:
@@ -91,8 +91,8 @@ def with_project_and_task(deals: DataFrame, sources: dict[str, DataFrame]) -> Da
         "task_id": "id", "task_status": "status", "task_subject": "subject", "task_owner_id": "owner_id", "task_product": "product",
     }, [F.col("id")])
     users = sources["users"]
-    out = update_from(out, users, [("project_owner_id", "id")], {"project_owner": "name"}, [F.col("name")])
-    return update_from(out, users, [("task_owner_id", "id")], {"task_owner": "name"}, [F.col("name")])
+    out = update_from(out, users, [("project_owner_id", "id")], {"project_owner": "name"})
+    return update_from(out, users, [("task_owner_id", "id")], {"task_owner": "name"})
 
 
 def report(deals: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
@@ -113,8 +113,8 @@ def report(deals: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     out = left_lookup(out, sources["users"], [("task_owner_id", "id")], {"task_owner": "name"})
     out = left_lookup(out, sources["users"], [("project_owner_id", "id")], {"project_owner": "name"})
     out = typed_nulls(out, {"engagement_manager_name": "string", "in_production": "string"})
-    out = update_from(out, sources["contacts"], [("engagement_manager", "id")], {"engagement_manager_name": "name"}, [F.col("name")])
-    return update_from(out, sources["accounts"], [("account_id", "id")], {"in_production": "in_production"}, [F.col("in_production")])
+    out = update_from(out, sources["contacts"], [("engagement_manager", "id")], {"engagement_manager_name": "name"})
+    return update_from(out, sources["accounts"], [("account_id", "id")], {"in_production": "in_production"})
 
 
 def run(

@@ -10,7 +10,7 @@ from revloom.functions.numbers import row_argmax, row_max, row_sum
 from revloom.functions.text import hyperlink, record_link
 from revloom.operators.changes import zero_out_stale
 from revloom.operators.joins import floor_tier, left_lookup, with_presence
-from revloom.operators.schema import assign_where, prettify
+from revloom.operators.schema import assign_where, prettify, union_fill
 
 # Fixed values.
 EDITIONS = ["Standard", "Professional", "Enterprise"]
@@ -57,11 +57,10 @@ def seed(sources: dict[str, DataFrame], as_of, instance_product: str, portal_pro
     arr = arr.where(F.col("product").isin(instance_product, portal_product) & (F.col("arr") > 0))
     inst = instance_jobs(sources["captures"], sources["schedulers"], sources["instance_customers"])
     port = portal_jobs(sources["usage"], sources["portal_customers"], as_of)
-    inst = inst.withColumn("product", F.lit(instance_product))
-    port = port.withColumn("product", F.lit(portal_product))
+    # each product has jobs of one kind only, so one lookup serves both
+    jobs = union_fill(inst.withColumn("product", F.lit(instance_product)), port.withColumn("product", F.lit(portal_product)))
     on = [("account_id", "account_id"), ("product", "product")]
-    out = left_lookup(arr, inst, on, {"schedulers": "schedulers", "instance_jobs": "instance_jobs"})
-    out = left_lookup(out, port, on, {"portal_jobs": "portal_jobs"})
+    out = left_lookup(arr, jobs, on, {c: c for c in ("schedulers", "instance_jobs", "portal_jobs")})
     out = left_lookup(out, sources["accounts"], [("account_id", "id")], {"name": "name"})
     flips = sources["deals"].where(F.col("category").isin(FLIP_CATEGORIES) & (F.col("stage") == "Closed Won"))
     out = with_presence(out, flips, ("account_id", "account_id"), "flipped")

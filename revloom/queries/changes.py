@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from revloom.functions.dates import month_start, to_millis
 from revloom.operators import changes, reshape, schema
+from revloom.operators.sizing import small_values
 from revloom.queries.registry import Tables, query
 from revloom.sources import catalog
 
@@ -105,11 +106,11 @@ def audit_changeset(t: Tables):
 
 
 @query("audit_upsert", f"""
-WITH a AS ({AFTER}) SELECT 'run-1' AS run_id, count(*) AS sent, 49999 AS notes_length FROM a""")
+WITH a AS ({AFTER}) SELECT 'run-1' AS run_id, 'sent' AS part, count(*) AS n FROM a UNION ALL SELECT 'run-1', 'notes', 49999""")
 def audit_upsert(t: Tables):
     trail = _audit(t, insert=True)
-    notes = trail["notes"].select("run_id", F.length("notes").alias("notes_length"))
-    return trail["upload"].groupBy("run_id").agg(F.count(F.lit(1)).alias("sent")).join(notes, "run_id")
+    notes = trail["notes"].select("run_id", F.lit("notes").alias("part"), F.length("notes").cast("bigint").alias("n"))
+    return trail["upload"].groupBy("run_id", F.lit("sent").alias("part")).agg(F.count(F.lit(1)).alias("n")).unionByName(notes)
 
 
 @query("snapshot_watermark", """
@@ -202,7 +203,6 @@ WITH cols(name, type) AS (VALUES ('c_custkey','bigint'),('c_name','string'),('c_
 SELECT name, replace(name, '_', ' ') AS label, type, true AS nullable, '{"segments":["AUTOMOBILE","BUILDING","FURNITURE","HOUSEHOLD","MACHINERY"]}' AS "_picklistValues"
 FROM cols WHERE (SELECT count(*) FROM customer) > 0""")
 def field_catalog(t: Tables):
-    values = t.customer.agg(F.array_sort(F.collect_set("c_mktsegment")).alias("segments"))
-    described = catalog.describe(t.customer).join(F.broadcast(values), F.lit(True), "left")  # one row
-    described = described.withColumn("picklistValues", F.struct("segments")).drop("segments")
+    values = F.array(*[F.lit(v) for v in small_values(t.customer, "c_mktsegment")])
+    described = catalog.describe(t.customer).withColumn("picklistValues", F.struct(values.alias("segments")))
     return catalog.field_catalog(described, ["_picklistValues"])

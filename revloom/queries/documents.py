@@ -158,7 +158,7 @@ def server_source(t: Tables) -> tuple[DataFrame, DataFrame]:
     domains = F.array(F.struct(F.concat(F.lit("d"), F.col("user_id")).alias("domain"), F.floor("value").alias("users")), F.struct(F.lit("all").alias("domain"), F.lit(1).alias("users")))
     server = F.struct(F.col("user_id").alias("port"), F.col("event_type").alias("role"), F.array(F.lit(1), F.lit(2)).alias("ids"), domains.alias("domainData"))
     doc = F.to_json(F.struct(
-        F.concat(F.lit("site-"), F.col("user_id")).alias("customerId"), F.lit("MFT").alias("productType"), F.col("event_type").alias("version"),
+        F.concat(F.lit("site-"), F.col("user_id")).alias("customerId"), F.lit("SERVER").alias("productType"), F.col("event_type").alias("version"),
         to_millis("ts").cast("string").alias("creationDate"), F.array(server).alias("serverData"),
         F.when(F.col("event_type") == "click", F.array(F.struct(F.col("value").alias("load"), F.struct(F.lit("h").alias("name")).alias("host")))).alias("gatewayData"),
     ))
@@ -178,7 +178,7 @@ def server_tables(t: Tables) -> dict[str, DataFrame]:
 
 
 @query("telemetry_data", f"""
-SELECT event_id AS product_statistics_id, 'site-' || user_id AS "customerId", 'MFT' AS "productType", event_type AS version, epoch_us(ts) // 1000 AS created_ms
+SELECT event_id AS product_statistics_id, 'site-' || user_id AS "customerId", 'SERVER' AS "productType", event_type AS version, epoch_us(ts) // 1000 AS created_ms
 FROM events WHERE {LIVE}""")
 def telemetry_data(t: Tables):
     return server_tables(t)["data"].withColumn("created_ms", to_millis("creationDate")).drop("creationDate")

@@ -238,16 +238,13 @@ def usage_period_changes(t: Tables):
     return sync(t)["period_changes"].select("record_key", "action", "usage", "allotted_usage", "deal_id", "customer_id", "product")
 
 
-@query("usage_rejected_accounts", USAGE + """
-SELECT DISTINCT u.account_id AS id, 'gone' AS error, replace(portal_id, 'NA - ', '') AS portal_id, product FROM u
-WHERE account_id LIKE 'N%' OR account_id IN (SELECT 'A' || c_custkey FROM customer WHERE c_acctbal < 0)""")
+@query("usage_rejected_accounts", USAGE + """,
+r AS (SELECT 'N' || n_nationkey AS id FROM nation UNION ALL SELECT 'A' || c_custkey FROM customer WHERE c_acctbal < 0)
+SELECT DISTINCT r.id, 'gone' AS error, replace(portal_id, 'NA - ', '') AS portal_id, product FROM r LEFT JOIN u ON u.account_id = r.id""")
 def usage_rejected_accounts(t: Tables):
-    usage = sync(t)["daily_usage"]
+    nations = t.nation.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("id"))
     low = t.customer.where("c_acctbal < 0").select(F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("id"))
-    refused = union_fill(usage.select(F.col("account_id").alias("id")).distinct().where("id LIKE 'N%'"), low.where("id IS NOT NULL"))
-    seen = usage.select(F.col("account_id").alias("id")).distinct()
-    results = seen.join(refused.distinct().withColumn("error", F.lit("gone")), "id", "left")
-    return usage_sync.rejected_accounts(results, usage)
+    return usage_sync.rejected_accounts(union_fill(nations, low).withColumn("error", F.lit("gone")), sync(t)["daily_usage"])
 
 
 def call_sources(t: Tables) -> dict[str, DataFrame]:
@@ -259,7 +256,7 @@ def call_sources(t: Tables) -> dict[str, DataFrame]:
     return {
         "statistics": e.select(F.col("event_id").alias("id"), F.col("ts").alias("creationDate")),
         "details": e.select(
-            F.col("event_id").alias("product_statistics_id"), site.alias("customerId"), F.when(F.col("event_type") == "error", "OTHER").otherwise("MFT_SERVER").alias("productType"),
+            F.col("event_id").alias("product_statistics_id"), site.alias("customerId"), F.when(F.col("event_type") == "error", "OTHER").otherwise("SERVER").alias("productType"),
             F.when(F.col("event_type") == "view", "9.1 Beta").otherwise(F.concat(F.lit("9."), F.length("event_type").cast("string"))).alias("version"),
         ),
         "assets": t.customer.where("c_custkey % 2 = 0").select(F.concat(F.lit("acct-"), F.col("c_custkey").cast("string")).alias("account_id"), uuid("c_custkey").alias("serial")),
@@ -276,10 +273,10 @@ SELECT account_id AS id, epoch_us(ts) AS called_us, version AS latest_version FR
 
 @query("call_home_latest", CALLS)
 def call_home_latest(t: Tables):
-    out = call_home.run(call_sources(t), "2025-01-10", "MFT_SERVER")["account_update"]
+    out = call_home.run(call_sources(t), "2025-01-10", "SERVER")["account_update"]
     return out.select("id", F.unix_micros("last_call_home").alias("called_us"), "latest_version")
 
 
 @query("call_home_unknown", f"SELECT id FROM ({CALLS}) WHERE id LIKE '%7'")
 def call_home_unknown(t: Tables):
-    return call_home.run(call_sources(t), "2025-01-10", "MFT_SERVER")["unknown_accounts"].select(F.col("account_id").alias("id"))
+    return call_home.run(call_sources(t), "2025-01-10", "SERVER")["unknown_accounts"].select(F.col("account_id").alias("id"))
