@@ -110,26 +110,42 @@ def rejected_accounts(results: DataFrame, usage: DataFrame) -> DataFrame:
     return named.orderBy(F.col("product").asc_nulls_last(), "id", "portal_id")
 
 
-def run(
-    sources: dict[str, DataFrame], as_of, *, portal_product: str, instance_product: str, bad_ids=(), bad_accounts=()
-) -> dict[str, DataFrame]:
-    """Sources: activity_customers / customers / reported (id, account), usage_periods, contracts, products, usage,
-    snapshots, captures, schedulers, instance_customers, crm_usage(record_key, ...), crm_daily(id, record_key),
-    accounts(id, usage_change, usage_last_30, last_usage_date)."""
+def id_map(sources: dict[str, DataFrame], bad_ids=(), bad_accounts=()) -> DataFrame:
+    """Portal id to account, from the portal's own list, the contract customers and what was reported before."""
     mapped = id_account_map(
         sources["activity_customers"], sources["customers"], sources["reported"], bad_ids=list(bad_ids), bad_accounts=list(bad_accounts)
     )
-    id_map = mapped.select(F.col("id").alias("portal_id"), F.col("account").alias("account_id"))
-    periods = usage_periods(sources["usage_periods"], sources["contracts"], sources["products"])
-    usage = union_fill(
-        portal_usage(sources["usage"], id_map, sources["contracts"], as_of, portal_product),
+    return mapped.select(F.col("id").alias("portal_id"), F.col("account").alias("account_id"))
+
+
+def daily_usage(sources: dict[str, DataFrame], mapped: DataFrame, as_of, portal_product: str, instance_product: str) -> DataFrame:
+    """Daily usage of both products."""
+    return union_fill(
+        portal_usage(sources["usage"], mapped, sources["contracts"], as_of, portal_product),
         instance_usage(
             sources["snapshots"], sources["captures"], sources["schedulers"], sources["instance_customers"], as_of, instance_product
         ),
     )
+
+
+def period_changes(sources: dict[str, DataFrame]) -> DataFrame:
+    """Change set of the CRM's usage periods."""
+    periods = usage_periods(sources["usage_periods"], sources["contracts"], sources["products"])
+    return change_set(sources["crm_usage"], keep_one(periods, ["record_key"]), "record_key")
+
+
+def run(
+    sources: dict[str, DataFrame], as_of, *, portal_product: str, instance_product: str, bad_ids=(), bad_accounts=()
+) -> dict[str, DataFrame]:
+    """Sources: activity_customers / customers / reported (id, account), usage_periods, contracts, products, usage,
+    snapshots, captures, schedulers, instance_customers, crm_usage(record_key, ...), crm_daily(id, record_key),
+    accounts(id, usage_change, usage_last_30, last_usage_date). Three outputs are made from `daily_usage`: write it
+    and read it back for them, or persist it."""
+    mapped = id_map(sources, bad_ids, bad_accounts)
+    usage = daily_usage(sources, mapped, as_of, portal_product, instance_product)
     return {
-        "id_map": id_map,
-        "period_changes": change_set(sources["crm_usage"], keep_one(periods, ["record_key"]), "record_key"),
+        "id_map": mapped,
+        "period_changes": period_changes(sources),
         "daily_usage": usage,
         "account_update": account_update(usage, sources["accounts"]),
         **daily_changes(usage, sources["crm_daily"]),

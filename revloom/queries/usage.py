@@ -171,11 +171,8 @@ def sync_sources(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-def sync(t: Tables) -> dict[str, DataFrame]:
-    s = sync_sources(t)
-    crm = usage_sync.usage_periods(s["usage_periods"], s["contracts"], s["products"])
-    s["crm_usage"] = crm.where("product IS NOT NULL").withColumn("usage", F.when(F.col("allotted_usage") == 11, 0).otherwise(F.col("usage")))
-    return usage_sync.run(s, AS_OF, portal_product="P", instance_product="I")
+def synced_usage(s: dict[str, DataFrame]) -> DataFrame:
+    return usage_sync.daily_usage(s, usage_sync.id_map(s), AS_OF, "P", "I")
 
 
 MAP = """m AS (SELECT c_custkey::VARCHAR AS portal_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'B' ELSE 'A' END || c_custkey AS account_id FROM customer),
@@ -196,20 +193,22 @@ k AS (SELECT *, portal_id || environment || date || coalesce(CAST(CAST(job_execu
 
 @query("usage_daily", USAGE + " SELECT * FROM u")
 def usage_daily(t: Tables):
-    return sync(t)["daily_usage"]
+    return synced_usage(sync_sources(t))
 
 
 @query("usage_daily_insert", USAGE + """
 SELECT DISTINCT record_key, portal_id, environment, date, product FROM k WHERE record_key NOT IN (SELECT o_custkey::VARCHAR || o_orderpriority || CAST(o_orderdate AS DATE) || o_orderkey || 'P' FROM orders WHERE o_orderstatus <> 'O')""")
 def usage_daily_insert(t: Tables):
-    return sync(t)["daily_insert"].select("record_key", "portal_id", "environment", "date", "product")
+    s = sync_sources(t)
+    return usage_sync.daily_changes(synced_usage(s), s["crm_daily"])["daily_insert"].select("record_key", "portal_id", "environment", "date", "product")
 
 
 @query("usage_daily_delete", USAGE + """
 SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR || o_orderpriority || CAST(o_orderdate AS DATE) || o_orderkey || 'P' AS record_key FROM orders WHERE o_orderstatus <> 'O'
 AND o_custkey::VARCHAR || o_orderpriority || CAST(o_orderdate AS DATE) || o_orderkey || 'P' NOT IN (SELECT record_key FROM k)""")
 def usage_daily_delete(t: Tables):
-    return sync(t)["daily_delete"]
+    s = sync_sources(t)
+    return usage_sync.daily_changes(synced_usage(s), s["crm_daily"])["daily_delete"]
 
 
 @query("usage_account_update", USAGE + """,
@@ -219,14 +218,15 @@ s AS (SELECT account_id, last, coalesce(sum(job_executions) FILTER (date >= last
 SELECT account_id AS id, CASE WHEN a = 0 AND b = 0 THEN 0 WHEN b = 0 THEN 100 ELSE round_even(round(100 * (a - b) / b, 9), 0) END::DOUBLE AS usage_change, a AS usage_last_30, last AS last_usage_date FROM s
 UNION ALL SELECT 'A' || c_custkey, NULL, NULL, DATE '1990-01-01' FROM customer WHERE c_nationkey <> 3 AND 'A' || c_custkey NOT IN (SELECT account_id FROM s)""")
 def usage_account_update(t: Tables):
-    return sync(t)["account_update"]
+    s = sync_sources(t)
+    return usage_sync.account_update(synced_usage(s), s["accounts"])
 
 
 @query("usage_id_map", """
 SELECT c_custkey::VARCHAR AS portal_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'B' ELSE 'A' END || c_custkey AS account_id FROM customer
 UNION SELECT c_custkey::VARCHAR, 'A' || c_custkey FROM customer WHERE c_acctbal < 0 AND c_mktsegment <> 'BUILDING'""")
 def usage_id_map(t: Tables):
-    return sync(t)["id_map"]
+    return usage_sync.id_map(sync_sources(t))
 
 
 @query("usage_period_changes", """
@@ -235,7 +235,10 @@ WITH p AS (SELECT l_orderkey || '-' || l_linenumber AS record_key, l_orderkey, l
 SELECT record_key, CASE WHEN pr = '5-LOW' THEN 'insert' WHEN allotted = 11 AND usage <> 0 THEN 'update' ELSE 'noop' END AS action, usage, allotted AS allotted_usage,
        'opp' || l_orderkey AS deal_id, o_custkey AS customer_id, CASE WHEN pr <> '5-LOW' THEN lower(pr) END AS product FROM p""")
 def usage_period_changes(t: Tables):
-    return sync(t)["period_changes"].select("record_key", "action", "usage", "allotted_usage", "deal_id", "customer_id", "product")
+    s = sync_sources(t)
+    crm = usage_sync.usage_periods(s["usage_periods"], s["contracts"], s["products"])
+    s["crm_usage"] = crm.where("product IS NOT NULL").withColumn("usage", F.when(F.col("allotted_usage") == 11, 0).otherwise(F.col("usage")))
+    return usage_sync.period_changes(s).select("record_key", "action", "usage", "allotted_usage", "deal_id", "customer_id", "product")
 
 
 @query("usage_rejected_accounts", USAGE + """,
@@ -244,7 +247,7 @@ SELECT DISTINCT r.id, 'gone' AS error, replace(portal_id, 'NA - ', '') AS portal
 def usage_rejected_accounts(t: Tables):
     nations = t.nation.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("id"))
     low = t.customer.where("c_acctbal < 0").select(F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("id"))
-    return usage_sync.rejected_accounts(union_fill(nations, low).withColumn("error", F.lit("gone")), sync(t)["daily_usage"])
+    return usage_sync.rejected_accounts(union_fill(nations, low).withColumn("error", F.lit("gone")), synced_usage(sync_sources(t)))
 
 
 def call_sources(t: Tables) -> dict[str, DataFrame]:

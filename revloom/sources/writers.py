@@ -58,3 +58,8 @@ def write_all(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite"
     names = [n for n in tables if n != last] + ([last] if last else [])
     for name in names:
         tables[name].write.mode(mode).parquet(f"{folder}/{name}")
+
+
+def write_sql_table(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
+    """Load into an external SQL table over JDBC; an overwrite empties the table and keeps its definition."""
+    df.write.format("jdbc").mode(mode).options(url=url, dbtable=table, truncate=True, **options).save()

@@ -100,9 +100,11 @@ def test_field_catalog(spark):
     assert catalog.describe(described).columns == ["name", "label", "type", "nullable"]
 
 
-def test_jdbc_reader_needs_a_driver(spark):
+def test_jdbc_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         readers.read_sql_table(spark, "jdbc:nosuch://h/db", "t", split=("id", 0, 10, 4))
+    with pytest.raises(Exception, match="(?i)driver"):
+        writers.write_sql_table(spark.range(1), "jdbc:nosuch://h/db", "t")
 
 
 def test_write_all_and_tables(spark, tmp_path, rows):
