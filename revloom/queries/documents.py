@@ -64,8 +64,8 @@ WITH p AS (SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d, n,
 SELECT o_orderkey AS id, 'opp' || o_orderkey AS "opportunityId", o_custkey AS "customerId", o_orderpriority AS "productId", 'MONTHLY' AS "usagePeriod", o_orderstatus AS status,
        'p' || o_custkey AS "customer_portalId", 'n' AS customer_name, o_custkey AS "customer_accountId",
        CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS provision_date,
-       CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS "provisionDate_year", CASE WHEN o_orderstatus <> 'P' THEN month(o_orderdate) END AS "provisionDate_month",
-       CASE WHEN o_orderstatus <> 'P' THEN day(o_orderdate) END AS "provisionDate_dayOfMonth",
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS "provisionDate_year", CASE WHEN o_orderstatus <> 'P' THEN CAST(month(o_orderdate) AS INTEGER) END AS "provisionDate_month",
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(day(o_orderdate) AS INTEGER) END AS "provisionDate_dayOfMonth",
        CASE WHEN o_orderpriority IN ('5-LOW', '2-HIGH') THEN 'Unknown' ELSE o_orderstatus END AS "DeploymentType",
        CAST(o_orderdate AS DATE) AS human_start,
        CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 YEAR * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS DATE) AS human_end
@@ -75,8 +75,8 @@ def contracts_(t: Tables):
 
 
 @query("contract_periods", PERIODS + """
-SELECT o_orderkey || '-' || n AS id, 'opp' || o_orderkey AS "opportunityId", 'MONTHLY' AS usage_period, year(s) AS "startDate_year", month(s) AS "startDate_month",
-       day(s) AS "startDate_dayOfMonth", year(e) AS "endDate_year", month(e) AS "endDate_month", day(e) AS "endDate_dayOfMonth", s AS human_start, e AS human_end,
+SELECT o_orderkey || '-' || n AS id, 'opp' || o_orderkey AS "opportunityId", 'MONTHLY' AS usage_period, CAST(year(s) AS INTEGER) AS "startDate_year", CAST(month(s) AS INTEGER) AS "startDate_month",
+       CAST(day(s) AS INTEGER) AS "startDate_dayOfMonth", CAST(year(e) AS INTEGER) AS "endDate_year", CAST(month(e) AS INTEGER) AS "endDate_month", CAST(day(e) AS INTEGER) AS "endDate_dayOfMonth", s AS human_start, e AS human_end,
        s <= DATE '1998-06-01' AND e > DATE '1998-06-01' AS active_today FROM p""")
 def contract_periods(t: Tables):
     return contracts.period_table(contract_documents(t), "1998-06-01")
@@ -115,7 +115,7 @@ WITH p AS (SELECT o_orderkey, o_custkey, n, CAST(CAST(o_orderdate AS DATE) + INT
            CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 YEAR * (n + 1) AS DATE) AS e FROM orders, (VALUES (0), (1)) v(n) WHERE o_orderpriority NOT IN ('5-LOW', '2-HIGH'))
 SELECT o_orderkey || '-' || o_custkey || '-' || s || '-' || e AS id, o_orderkey AS contract_id, 'opp' || o_orderkey AS "opportunityId", o_custkey AS "customerId",
        'p' || o_custkey AS portal_id, s AS human_start, e AS human_end, o_orderkey % 100 + n AS usage, 2 * n AS overage, 5 AS "newCredit", n AS "startCredit",
-       year(s) AS "startDate_year", month(s) AS "startDate_month", day(s) AS "startDate_dayOfMonth", year(e) AS "endDate_year", month(e) AS "endDate_month", day(e) AS "endDate_dayOfMonth"
+       CAST(year(s) AS INTEGER) AS "startDate_year", CAST(month(s) AS INTEGER) AS "startDate_month", CAST(day(s) AS INTEGER) AS "startDate_dayOfMonth", CAST(year(e) AS INTEGER) AS "endDate_year", CAST(month(e) AS INTEGER) AS "endDate_month", CAST(day(e) AS INTEGER) AS "endDate_dayOfMonth"
 FROM p""")
 def usage_periods(t: Tables):
     return contracts.usage_period_table(usage_documents(t), contract_documents(t))
@@ -143,7 +143,7 @@ def product_packages(t: Tables):
 
 
 @query("flatten_objects", """
-SELECT o_orderkey AS id, 'p' || o_custkey AS "customer.portalId", year(o_orderdate) AS "provisionDate.year" FROM orders WHERE o_orderstatus <> 'P'""")
+SELECT o_orderkey AS id, 'p' || o_custkey AS "customer.portalId", CAST(year(o_orderdate) AS INTEGER) AS "provisionDate.year" FROM orders WHERE o_orderstatus <> 'P'""")
 def flatten_objects(t: Tables):
     flat = flatten(contract_documents(t).where("provisionDate IS NOT NULL"))
     return flat.select("id", "`customer.portalId`", "`provisionDate.year`")

@@ -142,7 +142,7 @@ def id_map_full_outer(t: Tables):
 
 
 @query("tier_lookup", """
-WITH tiers AS (SELECT DISTINCT 100.0 + 40.0 * n_nationkey AS up_to FROM nation),
+WITH tiers AS (SELECT DISTINCT CAST(100 + 40 * n_nationkey AS DOUBLE) AS up_to FROM nation),
 spend AS (SELECT o_custkey, CAST(count(*) * 37 + max(CASE WHEN o_custkey = 4 THEN NULL ELSE 0 END) AS DOUBLE) AS v FROM orders GROUP BY 1)
 SELECT o_custkey, v, coalesce((SELECT max(up_to) FROM tiers WHERE up_to <= v), (SELECT min(up_to) FROM tiers)) AS up_to FROM spend""")
 def tier_lookup(t: Tables):

@@ -107,7 +107,7 @@ port AS (SELECT user_id AS account_id, round(avg(s) * 365) AS jobs FROM pd WHERE
 seed AS (SELECT arr.*, c_name AS name, i.schedulers, i.jobs * 2 AS instance_jobs, p.jobs AS portal_jobs, coalesce(i.jobs * 2, 0) + coalesce(p.jobs, 0) AS total_yearly_jobs,
   arr.account_id IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F') AS flipped
   FROM arr LEFT JOIN inst i ON i.account_id = arr.account_id AND arr.product = 'INST' LEFT JOIN port p ON p.account_id = arr.account_id AND arr.product = 'PORT' LEFT JOIN customer ON c_custkey = arr.account_id),
-tiers AS (SELECT n_nationkey + 1 AS tier, n_nationkey * n_nationkey * 400.0 AS up_to, 10000.0 + n_nationkey * 1000 AS b1, 20000.0 + n_nationkey * 2000 AS b2, 30000.0 + n_nationkey * 3000 AS b3 FROM nation),
+tiers AS (SELECT n_nationkey + 1 AS tier, CAST(n_nationkey * n_nationkey * 400 AS DOUBLE) AS up_to, 10000.0 + n_nationkey * 1000 AS b1, 20000.0 + n_nationkey * 2000 AS b2, 30000.0 + n_nationkey * 3000 AS b3 FROM nation),
 t1 AS (SELECT seed.*, (SELECT max(tier) FROM tiers WHERE up_to <= total_yearly_jobs) AS t0 FROM seed),
 t2 AS (SELECT * EXCLUDE (t0), CASE WHEN t0 < 2 AND product = 'PORT' THEN 3 ELSE t0 END AS tier FROM t1),
 t3 AS (SELECT t2.*, up_to, greatest(total_yearly_jobs - up_to, 0) AS job_overage, b1, b2, b3 FROM t2 LEFT JOIN tiers USING (tier)),

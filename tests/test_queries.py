@@ -25,3 +25,15 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_column_types(spark, duck, name):
+    spark_types = dict(QUERIES[name](spark, FOLDER).dtypes)
+    duck_types = {r[0]: KINDS.get(r[1], r[1]) for r in duck.execute("DESCRIBE " + SQL[name].strip()).fetchall()}
+    assert spark_types == duck_types
