@@ -194,7 +194,8 @@ def containing(
     before, after = (f"\\Q{c}\\E" for c in frame)
     cuts = []
     for n in lengths:
-        look = f"(?s)(?={before}(.{{{n}}}){after})" if n == framed_length else f"(?s)(?=(.{{{n}}}))"
+        # the last dot steps over one whole character, so that no piece starts inside a surrogate pair
+        look = f"(?s)(?={before}(.{{{n}}}){after})." if n == framed_length else f"(?s)(?=(.{{{n}}}))."
         cuts.append(F.regexp_extract_all(F.col(text), F.lit(look), F.lit(1)))
     if not cuts:
         return texts.select(F.lit(None).cast("string").alias("token"), F.col(key)).limit(0)

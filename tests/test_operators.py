@@ -70,10 +70,10 @@ def test_next_within(spark, rows):
 
 
 def test_containing(spark, rows):
-    texts = spark.createDataFrame([(1, "setup-ab12cd.exe"), (2, "x-ab12cd-.exe ab12cd"), (3, "--a.b(c)-zz"), (4, None), (5, "ab")], "k int, t string")
-    tokens = spark.createDataFrame([("ab12cd",), ("b(c)",), ("a.b",), ("zzz",), (None,), ("",), ("setup-ab12cd.exe ",)], "token string")
+    texts = spark.createDataFrame([(1, "setup-ab12cd.exe"), (2, "x-ab12cd-.exe ab12cd"), (3, "--a.b(c)-zz"), (4, None), (5, "ab"), (6, "x😀abc-😀bcdef.")], "k int, t string")
+    tokens = spark.createDataFrame([("ab12cd",), ("b(c)",), ("a.b",), ("zzz",), (None,), ("",), ("setup-ab12cd.exe ",), ("?abc",), ("😀abc",), ("😀bcdef",)], "token string")
     found = rows(joins.containing(texts, "k", "t", tokens, "token"))
-    assert found == [("a.b", 3), ("ab12cd", 1), ("b(c)", 3)]
+    assert found == [("a.b", 3), ("ab12cd", 1), ("b(c)", 3), ("😀abc", 6), ("😀bcdef", 6)]
 
 
 def test_id_map_is_the_chained_full_join(spark, rows):
