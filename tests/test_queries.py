@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from revloom.queries import load_all
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = load_all().QUERIES, load_all().SQL
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def test_query(spark, duck, name):
 
 
 def test_entry(spark):
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert entry.entry(spark).limit(1).count() == 1
 
 
