@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revloom.llm import ngram_join
+from revloom.llm import line_dedup, mixing, ngram_join, packing, quality
 
 QUERIES, SQL = {}, {}
 
+#: Distinct sources from which on a line is boilerplate.
+MIN_SITES = 10
+#: Of the entropy of equal weights.
+TARGET_ENTROPY = 0.9995
+MIXING_SEED = 17
+
 
 def query(name: str, sql: str | None = None):
     def register(fn):
@@ -27,3 +35,65 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = ngram_join.linked_documents(table(spark, folder, "documents"), width=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query("op3_cost_balanced_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op4_line_dedup", f"""
+    WITH lines AS (
+        SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number
+        FROM documents WHERE text IS NOT NULL
+    ), spread AS (
+        SELECT line, min((doc_id, number)) AS first FROM lines WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}
+    ), marked AS (
+        SELECT l.*, s.line IS NOT NULL AND (l.doc_id, l.number) <> s.first AS gone FROM lines l LEFT JOIN spread s USING (line)
+    ), texts AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
+    )
+    SELECT d.doc_id, t.text, d.source, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed FROM documents d LEFT JOIN texts t USING (doc_id)
+""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.without_spread_lines(table(spark, folder, "documents"), MIN_SITES)
+    return out.select("doc_id", "text", "source", "n_lines", "n_removed")
+
+
+@query("op5_pairwise_quality")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op10_temperature_mixing", f"""
+    WITH sized AS (
+        SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^ \\t\\n\\x0b\\f\\r]+')) END AS tokens FROM documents
+    ), shares AS (
+        SELECT source, sum(tokens)::BIGINT AS tokens, sum(tokens) / (SELECT sum(tokens) FROM sized)::DOUBLE AS p FROM sized GROUP BY source HAVING sum(tokens) > 0
+    ), tried AS (
+        SELECT k / 1048576.0::DOUBLE AS a FROM range(0, 1048577) t(k)
+    ), chosen AS (
+        SELECT max(a) AS a FROM (
+            SELECT a, ln(sum(pow(p, a))) - sum(pow(p, a) * ln(pow(p, a))) / sum(pow(p, a)) AS entropy, count(*) AS n FROM shares, tried GROUP BY a
+        ) WHERE entropy >= {TARGET_ENTROPY} * ln(n)
+    ), plan AS (
+        SELECT source, tokens, floor(round(pow(p, a) / sum(pow(p, a)) OVER (), 12) * (SELECT sum(tokens) FROM sized)::DOUBLE + 0.5)::BIGINT AS quota
+        FROM shares, chosen
+    ), ordered AS (
+        SELECT s.doc_id, s.source, s.tokens, quota // p.tokens AS copies, quota % p.tokens AS rest,
+               sum(s.tokens) OVER (PARTITION BY s.source ORDER BY md5(concat_ws('|', '{MIXING_SEED}', (quota // p.tokens)::VARCHAR, s.doc_id::VARCHAR)), s.doc_id::VARCHAR) AS upto
+        FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+    ), times AS (
+        SELECT doc_id, source, copies + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM ordered
+        UNION ALL SELECT doc_id, source, 1 FROM sized s WHERE NOT EXISTS (SELECT 1 FROM plan p WHERE s.source IS NOT DISTINCT FROM p.source)
+    )
+    SELECT doc_id, source, copy, md5(concat_ws('|', '{MIXING_SEED}', copy::VARCHAR, coalesce(source, ''), doc_id::VARCHAR)) AS place
+    FROM (SELECT doc_id, source, unnest(range(0, times::BIGINT)) AS copy FROM times)
+""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    total = docs.agg(F.sum(mixing.tokens(F.col("text")))).first()[0] or 0
+    return mixing.mixed(docs, target_entropy=TARGET_ENTROPY, budget=total, seed=MIXING_SEED).select("doc_id", "source", "copy", "place")
