@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import line_dedup, mixing, ngram_join, packing, quality
+from revloom.llm import language_model, line_dedup, mixing, ngram_join, packing, quality
+from revloom.llm.shared import known_to_workers
 
 QUERIES, SQL = {}, {}
 
@@ -19,7 +20,11 @@ MIXING_SEED = 17
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            known_to_workers(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn
@@ -68,6 +73,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op7_kneser_ney_scoring")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.scored(table(spark, folder, "documents"))
+
+
 @query("op10_temperature_mixing", f"""
     WITH sized AS (
         SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^ \\t\\n\\x0b\\f\\r]+')) END AS tokens FROM documents

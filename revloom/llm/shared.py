@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
 
+def known_to_workers(spark: SparkSession) -> None:
+    """Lets Python workers of the driver's machine import this package from where the driver has it. Elsewhere it is installed."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    settings = spark.sparkContext.environment
+    paths = settings.get("PYTHONPATH", "")
+    if here not in paths.split(os.pathsep):
+        settings["PYTHONPATH"] = os.pathsep.join(x for x in (here, paths) if x)
+
+
 def folder(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names in spark.checkpoint.dir.
 
@@ -34,6 +45,34 @@ def stored(df: DataFrame, place: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+#: Bits of a table that tells which values may be there: 2 MiB, whatever the data.
+BITS = 1 << 24
+_WORD = 1 << 15
+
+
+def may_hold(values: DataFrame):
+    """A function of a long column: false only where the value is not among `values` (one column).
+
+    It spares rows a shuffle before an exact join. The table has a fixed size, so with many more values than bits it lets
+    more rows pass, never fewer.
+    """
+    spot = F.pmod(F.xxhash64(values.columns[0]), F.lit(BITS))
+    marked = values.groupBy(F.floor(spot / _WORD).alias("word")).agg(F.bitmap_construct_agg(spot % _WORD).alias("bits"))
+    table = np.zeros((BITS // _WORD, _WORD // 8), np.uint8)
+    for row in marked.collect():
+        table[row["word"]] = np.frombuffer(row["bits"], np.uint8)
+    sent = values.sparkSession.sparkContext.broadcast(np.unpackbits(table.ravel(), bitorder="little").view(bool))
+
+    @F.arrow_udf("boolean")
+    def held(spots: pa.Array) -> pa.Array:
+        return pa.array(sent.value[spots.to_numpy(zero_copy_only=False)])
+
+    def test(column: Column) -> Column:
+        return held(F.pmod(F.xxhash64(column), F.lit(BITS)))
+
+    return test
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The rows of each key, one table after another, from batches sorted by integer `keys` without nulls.
 
