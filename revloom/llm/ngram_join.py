@@ -9,9 +9,12 @@ so long that e missing shingles cannot touch all its signatures, two linked docu
   lost only with k - 1 missing ones. The prefix is extended until rare ones and classes outweigh e.
 
 Frequent is judged by a table of word counts of fixed size (COUNT_BUCKETS); it bends only the order, hence the cost, never
-the result. Documents that share signatures are joined to candidate clusters, whose members meet in blocks of BLOCK, each
-pair of blocks in a task of its own, where all pairs are verified on the whole sets. Tasks give link counts and a spanning
-forest, never pairs. Equal sets are one class from the start, so copies cost one row.
+the result. Documents that share a signature are compared by parity sketches: the number of bits in which two sketches
+differ is never above the number of shingles that only one of the sets has, so pairs beyond the threshold's difference are
+surely no links. Pairs that pass join their documents to clusters, whose members meet in blocks of BLOCK, each pair of
+blocks in a task of its own, where all pairs are verified on the whole sets. Lists of a frequent signature are split into
+blocks likewise. Tasks give link counts and spanning forests, never pairs. Equal sets are one class from the start, so
+copies cost one row.
 """
 
 from __future__ import annotations
@@ -27,16 +30,20 @@ from pyspark.sql import functions as F
 
 from revloom.llm.components import components
 from revloom.llm.hashing import mix, ngram_hashes, pieces, word_hashes
-from revloom.llm.shared import folder, runs, stored
+from revloom.llm.shared import block_pairs, folder, may_hold, runs, smallest_reached, stored
 
-#: Buckets of the table of word counts: 1 MiB, sent to every task.
-COUNT_BITS = 18
+#: Buckets of the table of word counts: 4 MiB, sent to every task.
+COUNT_BITS = 20
 COUNT_BUCKETS = 1 << COUNT_BITS
 SLICES = 16
 #: Missing shingles that a class of frequent ones is meant to bear.
 CLASS_SIZE = 8
 #: Documents in a block; a task verifies the pairs of two blocks.
 BLOCK = 512
+#: Documents in a block of a signature's list, compared by sketches.
+LIST_BLOCK = 4096
+#: Bits of a sketch, a power of two at least the size of the set within these.
+SKETCH_BITS = (64, 4096)
 #: Columns of the 0/1 matrices that a task multiplies at a time.
 COLUMNS = 4096
 
@@ -51,7 +58,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, starts in pieces(batch.column(0)):
             counts += np.bincount(_bucket(word_hashes(data, starts)[0]), minlength=COUNT_BUCKETS)
     if counts.any():
-        parts = [p.tobytes() for p in np.split(counts, SLICES)]
+        parts = [p.tobytes() for p in np.split(np.minimum(counts, 2**31 - 1).astype(np.int32), SLICES)]
         yield pa.record_batch({"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array(parts, pa.binary())})
 
 
@@ -59,8 +66,8 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            got = np.frombuffer(part.as_buffer(), np.int64)
-            sums[k] = sums[k] + got if k in sums else got
+            got = np.frombuffer(part.as_buffer(), np.int32)
+            sums[k] = np.minimum(sums[k].astype(np.int64) + got, 2**31 - 1).astype(np.int32) if k in sums else got
     yield pa.record_batch({"slice": pa.array(list(sums), pa.int32()), "counts": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
 
 
@@ -68,10 +75,10 @@ def word_counts(texts: DataFrame) -> np.ndarray:
     """Counts of all words of the one text column, by hash bucket; at most 2^31 - 1 each."""
     kind = "slice int, counts binary"
     added = texts.mapInArrow(_count_words, kind).repartition(SLICES, "slice").mapInArrow(_add_slices, kind)
-    counts = np.zeros((SLICES, COUNT_BUCKETS // SLICES), np.int64)
+    counts = np.zeros((SLICES, COUNT_BUCKETS // SLICES), np.int32)
     for row in added.collect():
-        counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(counts.ravel(), 2**31 - 1).astype(np.int32)
+        counts[row["slice"]] = np.frombuffer(row["counts"], np.int32)
+    return counts.ravel()
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int, worth: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
@@ -134,21 +141,30 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, percent: int, frequent
     return np.unique(np.concatenate(out))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """For each bit, whether an odd number of shingles falls on it."""
+    low, high = SKETCH_BITS
+    bits = min(high, max(low, 1 << (max(len(shingles), 1) - 1).bit_length()))
+    odd = np.bincount((mix(shingles) >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _signed(width: int, percent: int, counts, frequent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worth, row = counts.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, data, starts in pieces(batch.column("text")):
-                sizes, digests, found = [], [], []
+                sizes, digests, found, sketches = [], [], [], []
                 for shingles, weights in shingle_sets(data, starts, width, worth):
                     sizes.append(len(shingles))
                     digests.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
+                    sketches.append(sketch(shingles))
                     found.append(signatures(shingles, weights, percent, frequent).view(np.int64))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)]).astype(np.int32), pa.array(np.concatenate(found), pa.int64()))
                 yield pa.record_batch({
                     "row_id": pa.array(np.arange(row, row + len(sizes)), pa.int64()), "doc_id": batch.column("doc_id").slice(first, len(sizes)),
                     "text_hash": batch.column("text_hash").slice(first, len(sizes)), "n_shingles": pa.array(sizes, pa.int64()),
-                    "digest": pa.array(digests, pa.binary()), "signatures": lists,
+                    "digest": pa.array(digests, pa.binary()), "sketch": pa.array(sketches, pa.binary()), "signatures": lists,
                 })
                 row += len(sizes)
 
@@ -158,7 +174,7 @@ def _signed(width: int, percent: int, counts, frequent: int):
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each left with each right set, by products of 0/1 matrices over shared shingles."""
     a, b = np.concatenate(left), np.concatenate(right)
-    shared = np.intersect1d(a, b)
+    shared = _both(_sorted_distinct(a), _sorted_distinct(b))
     out = np.zeros((len(left), len(right)), np.float32)
     places = []
     for flat, sets in ((a, left), (b, right)):
@@ -180,21 +196,59 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _forest(n: int, pairs: np.ndarray) -> np.ndarray:
-    """For each of n positions the smallest position reached through pairs."""
-    up = np.arange(n)
+def _sorted_distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.flatnonzero(np.r_[True, x[1:] != x[:-1]])] if len(x) else x
+
 
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What is in both of two sorted arrays without repeats."""
+    x = np.concatenate([a, b])
+    x.sort(kind="stable")
+    return x[:-1][x[1:] == x[:-1]]
 
-    for a, b in pairs.tolist():
-        a, b = top(a), top(b)
-        if a != b:
-            up[max(a, b)] = min(a, b)
-    return np.array([top(i) for i in range(n)], dtype=np.int64)
+
+def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many bits each left differs from each right row."""
+    return np.concatenate([np.bitwise_count(part[:, None, :] ^ right[None, :, :]).sum(2, dtype=np.int64) for part in np.array_split(left, -(-len(left) // 64))])
+
+
+def _plausible(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads, members = [], []
+        for cell in runs(batches, ["signature", "i", "j"]):
+            cell = cell.combine_chunks().sort_by("vertex")
+            ids, n, block = (cell.column(c).to_numpy() for c in ("vertex", "n_shingles", "block"))
+            i, j = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
+            sketches = cell.column("sketch").to_pylist()
+            width = np.array([len(x) for x in sketches])
+            rows = {w: np.flatnonzero(width == w) for w in set(width.tolist())}
+            words = {w: np.frombuffer(b"".join([sketches[k] for k in at]), np.uint64).reshape(len(at), -1) for w, at in rows.items()}
+            first, second = [], []
+            for w, at in rows.items():
+                sides = [(at, words[w])]
+                if 2 * w in rows:  # folded, a sketch is that of half the bits
+                    wide = words[2 * w]
+                    sides.append((rows[2 * w], wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]))
+                for other, bits in sides:
+                    least = np.maximum(_differing(words[w], bits), np.abs(n[at][:, None] - n[other][None, :]))
+                    near = (100 + percent) * least <= (100 - percent) * (n[at][:, None] + n[other][None, :])
+                    if i != j:
+                        near &= block[at][:, None] != block[other][None, :]
+                    x, y = np.nonzero(near)
+                    first.append(at[x])
+                    second.append(other[y])
+            root = smallest_reached(len(ids), np.concatenate(first), np.concatenate(second))
+            moved = np.flatnonzero(root != np.arange(len(ids)))
+            heads.append(ids[root[moved]])
+            members.append(ids[moved])
+            if len(heads) >= 10_000:
+                yield pa.record_batch({"a": pa.array(np.concatenate(heads)), "b": pa.array(np.concatenate(members))})
+                heads, members = [], []
+        if heads:
+            yield pa.record_batch({"a": pa.array(np.concatenate(heads)), "b": pa.array(np.concatenate(members))})
+
+    return run
 
 
 def _verify(width: int, percent: int):
@@ -227,8 +281,8 @@ def _verify(width: int, percent: int):
             links[left] += linked @ weight[right]
             if i != j:
                 links[right] += linked.T @ weight[left]
-            pairs = np.argwhere(linked)
-            root = _forest(len(ids), np.stack([left[pairs[:, 0]], right[pairs[:, 1]]], 1))
+            x, y = np.nonzero(linked)
+            root = smallest_reached(len(ids), left[x], right[y])
             got = np.unique(np.concatenate([left, right]))
             got = got[links[got] > 0]
             if len(got):
@@ -254,28 +308,28 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     sent = spark.sparkContext.broadcast(counts)
     signed = stored(
         docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-            _signed(width, percent, sent, frequent), "row_id long, doc_id long, text_hash long, n_shingles long, digest binary, signatures array<long>"),
+            _signed(width, percent, sent, frequent), "row_id long, doc_id long, text_hash long, n_shingles long, digest binary, sketch binary, signatures array<long>"),
         f"{place}/signed")
     classes = stored(
         signed.where("n_shingles > 0").groupBy("digest").agg(
-            F.min("row_id").alias("vertex"), F.count("*").alias("weight"), F.min("doc_id").alias("low"), F.first("signatures").alias("signatures")),
+            F.min("row_id").alias("vertex"), F.count("*").alias("weight"), F.min("doc_id").alias("low"),
+            F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("signatures").alias("signatures")),
         f"{place}/classes")
-    postings = classes.select("vertex", F.explode("signatures").alias("signature"))
-    heads = postings.groupBy("signature").agg(F.min("vertex").alias("head"), F.max("vertex").alias("last")).where("head < last")
-    clusters = components(postings.join(heads.select("signature", "head"), "signature").select(F.col("head").alias("a"), F.col("vertex").alias("b")))
+    postings = classes.select("vertex", "n_shingles", "sketch", F.explode("signatures").alias("signature"))
+    lists = postings.groupBy("signature").agg(F.count("*").alias("size")).where("size > 1")
+    lists = stored(lists.select("signature", F.ceil(F.col("size") / F.lit(LIST_BLOCK)).cast("int").alias("blocks")), f"{place}/lists")
+    shared = postings.where(may_hold(lists.select("signature"))(F.col("signature"))).join(lists, "signature")
+    near = block_pairs(shared, "signature").mapInArrow(_plausible(percent), "a long, b long")
+    clusters = components(near)
     sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     members = (
         clusters.join(sizes, "root").join(classes.select("vertex", "digest", "weight", "low"), F.col("id") == F.col("vertex"))
-        .select("vertex", "digest", "weight", F.col("low").alias("doc_id"), F.col("root").alias("cluster"), "blocks",
-                F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("block"))
-    )
-    texts = members.join(docs, members["doc_id"].eqNullSafe(docs["doc_id"])).drop("doc_id")
-    cells = (
-        texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "vertex", "weight", "digest", "text")
-        .repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+        .select("vertex", "digest", "weight", F.col("low").alias("doc_id"), F.col("root").alias("cluster"), "blocks")
     )
-    verified = stored(cells.mapInArrow(_verify(width, percent), "vertex long, links long, root long"), f"{place}/verified")
+    members = stored(members, f"{place}/members")
+    wanted = docs.where(may_hold(members.select("doc_id"))(F.col("doc_id")))
+    texts = members.join(wanted, members["doc_id"].eqNullSafe(wanted["doc_id"])).drop("doc_id")
+    verified = stored(block_pairs(texts, "cluster").mapInArrow(_verify(width, percent), "vertex long, links long, root long"), f"{place}/verified")
     # a cluster of one block is settled by its task; the forests of others are joined
     forest = components(verified.select(F.col("root").alias("a"), F.col("vertex").alias("b")))
     links = verified.groupBy("vertex").agg(F.sum("links").alias("links"))

@@ -97,3 +97,30 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         held.append(table.slice(cuts[-2]))
     if held:
         yield pa.concat_tables(held)
+
+
+def block_pairs(rows: DataFrame, *group: str) -> DataFrame:
+    """Rows of each group dealt by `vertex` to `blocks` blocks and sent to every pair (i, j) of blocks, i <= j, that theirs is in.
+
+    Sorted by group, i and j within partitions, so that `runs` gives the rows of a pair: a group of any size is compared
+    with itself without ever being in one task.
+    """
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    return rows.repartition(*group, "i", "j").sortWithinPartitions(*group, "i", "j")
+
+
+def smallest_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n positions the smallest position that it reaches through the pairs (a, b)."""
+    up = np.arange(n)
+    while True:
+        low = np.minimum(up[a], up[b])
+        new = up.copy()
+        for end in (a, b):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, up[end], low)
+        new = new[new]
+        if (new == up).all():
+            return up
+        up = new
