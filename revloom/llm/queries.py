@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import language_model, line_dedup, mixing, near_vectors, ngram_join, packing, quality
+from revloom.llm import language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality
 from revloom.llm.shared import known_to_workers
 
 QUERIES, SQL = {}, {}
@@ -83,6 +83,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.linked_vectors(table(spark, folder, "embeddings"), cosine=0.98)
 
 
+@query("op9_projection_forest_neighbours")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op10_temperature_mixing", f"""
     WITH sized AS (
         SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^ \\t\\n\\x0b\\f\\r]+')) END AS tokens FROM documents
