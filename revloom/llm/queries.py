@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality
+from revloom.llm import chat, language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality, warc
 from revloom.llm.shared import known_to_workers
 
 QUERIES, SQL = {}, {}
@@ -42,6 +42,15 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+@query("op2_chat_formatting")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = chat.formatted(chat.message_events(rows.union(extra)), by=chat.MESSAGE_ORDER)
+    return chat.read_back(turns)
+
+
 @query("op3_cost_balanced_packing")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
@@ -73,6 +82,20 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op6_warc_normaliser", """
+    WITH sized AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), targets AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS target FROM sized
+    )
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN target = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN target <> page_id THEN target END AS refers_to
+    FROM targets
+""")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read_back(*warc.archived(table(spark, folder, "pages")))
+
+
 @query("op7_kneser_ney_scoring")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.scored(table(spark, folder, "documents"))
