@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+#: Temporary folders of local sessions, by application.
+_OWN: dict[str, str] = {}
 
 
 def known_to_workers(spark: SparkSession) -> None:
@@ -30,12 +32,15 @@ def folder(spark: SparkSession) -> str:
     Where none is named, as in tests, local sessions get a temporary one; a cluster must name it, since its machines
     share no temporary folder. What is written there stays until the caller empties the folder.
     """
-    top = spark.conf.get(SETTING, None)
+    top = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not top:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(f"set {SETTING} to a folder that all machines share")
-        top = "file://" + tempfile.mkdtemp(prefix="revloom-")
-        spark.conf.set(SETTING, top)
+        name = spark.sparkContext.applicationId
+        if name not in _OWN:
+            _OWN[name] = "file://" + tempfile.mkdtemp(prefix="revloom-")
+        top = _OWN[name]
     return f"{top.rstrip('/')}/revloom-{uuid.uuid4().hex}"
 
 
@@ -73,32 +78,53 @@ def may_hold(values: DataFrame):
     return test
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each key, one table after another, from batches sorted by integer `keys` without nulls.
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of batches sorted by integer `keys` without nulls, in tables that part no run of equal keys.
 
-    No more is held than the run at hand and one batch.
+    No more is held than one batch and the run that it ends in.
     """
     held: list[pa.Table] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
-        columns = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(len(table) - 1, dtype=bool)
-        for c in columns:
-            change |= c[1:] != c[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(table)]
-        if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns, strict=True)):
+        last = np.ones(len(table), dtype=bool)
+        for k in keys:
+            column = table.column(k).combine_chunks().to_numpy(zero_copy_only=False)
+            last &= column == column[-1]
+        cut = len(table) - int(np.argmin(last[::-1])) if not last.all() else 0
+        if held and any(held[-1].column(k)[-1].as_py() != table.column(k)[0].as_py() for k in keys):
             yield pa.concat_tables(held)
             held = []
-        for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
-            yield pa.concat_tables([*held, table.slice(a, b - a)])
+        if cut:
+            yield pa.concat_tables([*held, table.slice(0, cut)])
             held = []
-        held.append(table.slice(cuts[-2]))
+        held.append(table.slice(cut))
     if held:
         yield pa.concat_tables(held)
 
 
+def starts_of(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new value of the keys begins."""
+    new = np.zeros(len(sorted_keys[0]), dtype=bool)
+    if len(new):
+        new[0] = True
+        for k in sorted_keys:
+            new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, one table after another, from batches sorted by integer `keys` without nulls.
+
+    No more is held than the run at hand and one batch.
+    """
+    for table in whole_runs(batches, keys):
+        at = starts_of(*[table.column(k).to_numpy() for k in keys])
+        for a, b in zip(at, [*at[1:], len(table)], strict=True):
+            yield table.slice(int(a), int(b - a))
+
+
 def block_pairs(rows: DataFrame, *group: str) -> DataFrame:
     """Rows of each group dealt by `vertex` to `blocks` blocks and sent to every pair (i, j) of blocks, i <= j, that theirs is in.
 
