@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revloom.llm.hashing import mix, pieces, word_hashes
-from revloom.llm.shared import folder, runs, stored
+from revloom.llm.shared import folder, runs, starts_of, stored
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Pairs that a task sorts at a time.
@@ -56,16 +56,6 @@ def _slices(sorted_hashes: np.ndarray, ranges: int) -> Iterator[tuple[int, int,
         yield r, int(cuts[r]), int(cuts[r + 1])
 
 
-def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
-    """Where a new value of the keys begins."""
-    new = np.zeros(len(sorted_keys[0]), dtype=bool)
-    if len(new):
-        new[0] = True
-        for k in sorted_keys:
-            new[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(new)
-
-
 def _pairs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every token of the texts, ends included: the hash before it, its own, and each text's first position."""
     words, first = word_hashes(data, starts)
@@ -85,12 +75,12 @@ def _pairs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _packed_pairs(before: np.ndarray, tokens: np.ndarray, ranges: int) -> pa.RecordBatch:
     order = np.lexsort((tokens, before))
     before, tokens = before[order], tokens[order]
-    at = _starts(before, tokens)
+    at = starts_of(before, tokens)
     counts = np.diff(np.append(at, len(before))).astype("<u4")
     before, tokens = before[at], tokens[at]
     rows = []
     for r, a, b in _slices(before, ranges):
-        own = _starts(before[a:b])
+        own = starts_of(before[a:b])
         sizes = np.diff(np.append(own, b - a)).astype("<u4")
         rows.append((r, before[a:b][own].tobytes(), sizes.tobytes(), tokens[a:b].tobytes(), counts[a:b].tobytes()))
     columns = list(zip(*rows, strict=True))
@@ -157,18 +147,18 @@ def _merge_pairs(place: str, ranges: int):
             words, counts = _joined(table.column("words"), "<u8"), _joined(table.column("counts"), "<u4")
             order = np.lexsort((words, before))
             before, words, counts = before[order], words[order], counts[order].astype(np.int64)
-            at = _starts(before, words)
+            at = starts_of(before, words)
             before, words, counts = before[at], words[at], np.add.reduceat(counts, at)
             keys = mix(mix(before) + words)
             order = np.argsort(keys)
             file = _write(place, f"pairs-{r}", [keys[order], np.minimum(counts[order], 2**32 - 1).astype("<u4")])
             rows = [_row(PAIRS, r, file=file, size=len(keys), stats=_of_counts(counts))]
-            at = _starts(before)
+            at = starts_of(before)
             classes = [np.add.reduceat(flag.astype(np.int64), at).astype("<u4") for flag in (counts == 1, counts == 2, counts > 2)]
             rows.append(_row(CONTEXTS, r, [before[at], np.add.reduceat(counts, at), *classes]))
             order = np.argsort(words, kind="stable")
             words, counts = words[order], counts[order]
-            at = _starts(words)
+            at = starts_of(words)
             totals, different = np.add.reduceat(counts, at), np.diff(np.append(at, len(words))).astype("<u4")
             words = words[at]
             rows += [_row(FOLLOWERS, to, [words[a:b], totals[a:b], different[a:b]]) for to, a, b in _slices(words, ranges)]
@@ -197,7 +187,7 @@ def _merge_words(place: str):
                 word, *sums = [np.concatenate(x) for x in zip(*found, strict=True)]
                 order = np.argsort(word, kind="stable")
                 word = word[order]
-                at = _starts(word)
+                at = starts_of(word)
                 sums = [np.add.reduceat(s[order].astype(np.int64), at) for s in sums]
                 file = _write(place, f"words-{r}", [x.astype(kind) for x, kind in zip([word[at], *sums], _WORD_ARRAYS, strict=True)])
                 c, _, a = sums[:3]
@@ -284,7 +274,7 @@ class _Arrays:
 def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct values in order, for each x the position of its value)."""
     order = np.argsort(x)
-    at = _starts(x[order])
+    at = starts_of(x[order])
     back = np.empty(len(x), np.int64)
     back[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(x))))
     return x[order][at], back

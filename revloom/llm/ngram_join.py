@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.components import components
 from revloom.llm.hashing import mix, ngram_hashes, pieces, word_hashes
-from revloom.llm.shared import block_pairs, folder, may_hold, runs, smallest_reached, stored
+from revloom.llm.shared import block_pairs, folder, may_hold, runs, smallest_reached, starts_of, stored, whole_runs
 
 #: Buckets of the table of word counts: 4 MiB, sent to every task.
 COUNT_BITS = 20
@@ -41,7 +41,7 @@ CLASS_SIZE = 8
 #: Documents in a block; a task verifies the pairs of two blocks.
 BLOCK = 512
 #: Documents in a block of a signature's list, compared by sketches.
-LIST_BLOCK = 4096
+LIST_BLOCK = 2048
 #: Bits of a sketch, a power of two at least the size of the set within these.
 SKETCH_BITS = (64, 4096)
 #: Columns of the 0/1 matrices that a task multiplies at a time.
@@ -208,45 +208,79 @@ def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x[:-1][x[1:] == x[:-1]]
 
 
-def _differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """In how many bits each left differs from each right row."""
-    return np.concatenate([np.bitwise_count(part[:, None, :] ^ right[None, :, :]).sum(2, dtype=np.int64) for part in np.array_split(left, -(-len(left) // 64))])
+class _Sketches:
+    """Sketches of some rows, as words, by their width."""
+
+    def __init__(self, column):
+        raw = column.to_pylist()
+        self.width = np.array([len(x) for x in raw])
+        self.place = np.empty(len(raw), np.int64)
+        self.words = {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            self.words[w] = np.frombuffer(b"".join([raw[k] for k in rows]), np.uint64).reshape(len(rows), -1)
+
+    def differing(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the rows a differ from the rows b, pair by pair; the wider one is folded to half its bits.
+
+        Beyond that factor of two no two sets can link: the answer is then larger than any number.
+        """
+        out = np.full(len(a), np.iinfo(np.int64).max // 1000)
+        a, b = np.where(self.width[a] <= self.width[b], a, b), np.where(self.width[a] <= self.width[b], b, a)
+        for w, words in self.words.items():
+            for other in (w, 2 * w):
+                if other not in self.words:
+                    continue
+                pairs = np.flatnonzero((self.width[a] == w) & (self.width[b] == other))
+                wide = self.words[other]
+                if other != w:
+                    wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]
+                for low in range(0, len(pairs), 1 << 16):
+                    p = pairs[low : low + (1 << 16)]
+                    out[p] = np.bitwise_count(words[self.place[a[p]]] ^ wide[self.place[b[p]]]).sum(1, dtype=np.int64)
+        return out
+
+
+def _may_link(sketches: _Sketches, n: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    least = np.abs(n[a] - n[b])
+    out = (100 + percent) * least <= (100 - percent) * (n[a] + n[b])
+    sure = np.flatnonzero(out)
+    out[sure] = (100 + percent) * sketches.differing(a[sure], b[sure]) <= (100 - percent) * (n[a[sure]] + n[b[sure]])
+    return out
 
 
 def _plausible(percent: int):
+    """From the lists of signatures to edges (a, b) that join what may be linked; no more than a list has documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, members = [], []
-        for cell in runs(batches, ["signature", "i", "j"]):
-            cell = cell.combine_chunks().sort_by("vertex")
-            ids, n, block = (cell.column(c).to_numpy() for c in ("vertex", "n_shingles", "block"))
-            i, j = cell.column("i")[0].as_py(), cell.column("j")[0].as_py()
-            sketches = cell.column("sketch").to_pylist()
-            width = np.array([len(x) for x in sketches])
-            rows = {w: np.flatnonzero(width == w) for w in set(width.tolist())}
-            words = {w: np.frombuffer(b"".join([sketches[k] for k in at]), np.uint64).reshape(len(at), -1) for w, at in rows.items()}
+        for table in whole_runs(batches, ["signature", "i", "j"]):
+            signature, i, j, ids, n, block = (table.column(c).to_numpy() for c in ("signature", "i", "j", "vertex", "n_shingles", "block"))
+            sketches = _Sketches(table.column("sketch"))
+            at = starts_of(signature, i, j)
+            size = np.diff(np.append(at, len(ids)))
+            end = np.repeat(at + size, size)
             first, second = [], []
-            for w, at in rows.items():
-                sides = [(at, words[w])]
-                if 2 * w in rows:  # folded, a sketch is that of half the bits
-                    wide = words[2 * w]
-                    sides.append((rows[2 * w], wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]))
-                for other, bits in sides:
-                    least = np.maximum(_differing(words[w], bits), np.abs(n[at][:, None] - n[other][None, :]))
-                    near = (100 + percent) * least <= (100 - percent) * (n[at][:, None] + n[other][None, :])
-                    if i != j:
-                        near &= block[at][:, None] != block[other][None, :]
-                    x, y = np.nonzero(near)
-                    first.append(at[x])
-                    second.append(other[y])
+            # all pairs of one distance in their list at a time
+            rows, distance = np.arange(len(ids)), 0
+            while len(rows):
+                distance += 1
+                rows = rows[rows + distance < end[rows]]
+                for low in range(0, len(rows), 1 << 18):
+                    a = rows[low : low + (1 << 18)]
+                    b = a + distance
+                    kept = _may_link(sketches, n, a, b, percent) & ((i[a] == j[a]) | (block[a] != block[b]))
+                    first.append(a[kept])
+                    second.append(b[kept])
+            if not first:
+                continue
             root = smallest_reached(len(ids), np.concatenate(first), np.concatenate(second))
             moved = np.flatnonzero(root != np.arange(len(ids)))
-            heads.append(ids[root[moved]])
-            members.append(ids[moved])
-            if len(heads) >= 10_000:
-                yield pa.record_batch({"a": pa.array(np.concatenate(heads)), "b": pa.array(np.concatenate(members))})
-                heads, members = [], []
-        if heads:
-            yield pa.record_batch({"a": pa.array(np.concatenate(heads)), "b": pa.array(np.concatenate(members))})
+            a, b = ids[root[moved]], ids[moved]
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            once = starts_of(a, b)
+            yield pa.record_batch({"a": pa.array(a[once]), "b": pa.array(b[once])})
 
     return run
 
