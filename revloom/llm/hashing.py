@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at a time; a longer single text is a piece of its own. Bounds the memory of a task.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)

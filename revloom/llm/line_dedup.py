@@ -60,7 +60,8 @@ def without_spread_lines(docs: DataFrame, min_sites: int = 10) -> DataFrame:
     spread = stored(spread_lines(lines, min_sites), f"{place}/spread")
     cut = lines.join(spread, ["h1", "h2"]).where(F.col("place") != F.col("first"))
     cut = stored(cut.groupBy("row_key").agg(F.collect_set("place.number").alias("_cut")), f"{place}/cut")
-    found = docs.withColumn("_key", _row_key()).join(cut, F.col("_key") == cut["row_key"], "left").drop("row_key", "_key")
+    # documents are dealt by key however little is cut: a plan that follows the size of `cut` would jump with the input
+    found = docs.withColumn("_key", _row_key()).hint("merge").join(cut, F.col("_key") == cut["row_key"], "left").drop("row_key", "_key")
     split, gone = _lines(F.col("text")), F.col("_cut")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(gone, i)), "\n")
     return found.select(
