@@ -63,10 +63,6 @@ def local_date(ts, zone) -> Column:
     return F.to_date(F.from_utc_timestamp(as_col(ts), as_col(zone)))
 
 
-def local_time(ts, zone) -> Column:
-    return F.from_utc_timestamp(as_col(ts), as_col(zone))
-
-
 def quarter_with_year(d) -> Column:
     """2024-02-10 -> 2024.1"""
     d = as_col(d)

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from revloom.functions.keys import same
 from revloom.functions.text import as_col
 
-PIECE = 100_000
-
 
 def sum_per(df: DataFrame, keys: list[str], value: str, alias: str | None = None) -> DataFrame:
     """Sum by key with NULLs skipped, 0 for a group of NULLs only. A NULL key is a group."""
@@ -28,35 +26,27 @@ def first_distinct(array, item_field: str, default: str) -> Column:
 
 
 def joined_text(
-    df: DataFrame, keys: list[str], value: str, alias: str, *, unique: bool = False, sep: str = ",", piece: int = PIECE
+    df: DataFrame, keys: list[str], value: str, alias: str, *, unique: bool = False, sep: str = ",", parts: int = 1
 ) -> DataFrame:
-    """Values of each group as one sorted text, NULLs skipped, plus `count` of all rows of the group.
+    """Values of each group as `parts` sorted texts, NULLs skipped, plus `count` of all rows of the group.
 
-    A group of up to `piece` values is one row (`part` 0), as string_agg gives it; a group with none is one row
-    with NULL text. A larger group is spread over several parts, so no task ever holds it whole; every part is
-    sorted and together they hold every value. Equal values are counted before the shuffle and split like others.
+    By default a group is one text (`part` 0), as string_agg gives it, whatever its size: one task then holds it. With more
+    parts a value's hash says which one it is in; parts without values have no row, but a group without any has one
+    with NULL text. Equal values are counted before the shuffle. Jobs keep the (key, value) rows instead.
     """
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    used = F.when(F.col(value).isNull(), 0).otherwise(F.lit(1) if unique else F.col("_n"))
-    totals = counted.groupBy(*keys).agg(F.sum(used).alias("_used"), F.sum("_n").alias("count"))
-
-    copies = counted.withColumn("_use", used)
-    runs = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_use") / piece), F.lit(1)).cast("int") - 1)
-    copies = copies.select("*", F.explode(runs).alias("_run"))
-    copies = copies.withColumn("_use", F.least(F.col("_use") - F.col("_run") * piece, F.lit(piece)).cast("int"))
-
-    l, t = copies.alias("l"), totals.alias("t")
-    on = same([F.col(f"l.`{k}`") for k in keys], [F.col(f"t.`{k}`") for k in keys])
-    joined = l.join(t, on, "inner").select("l.*", "t._used", "t.count")
-    parts = F.greatest(F.ceil(F.col("_used") / piece), F.lit(1))
-    joined = joined.withColumn("part", F.pmod(F.xxhash64(value, "_run"), parts).cast("int"))
-
-    repeated = F.when(F.col(value).isNotNull(), F.array_repeat(F.col(value).cast("string"), F.col("_use")))
-    text = F.array_join(F.array_sort(F.flatten(F.collect_list(repeated))), sep)
+    part = F.when(F.col(value).isNull(), 0).otherwise(F.pmod(F.xxhash64(value), F.lit(parts))).cast("int")
+    repeated = F.array_repeat(F.col(value).cast("string"), F.lit(1) if unique else F.col("_n").cast("int"))
+    text = F.array_join(F.array_sort(F.flatten(F.collect_list(F.when(F.col(value).isNotNull(), repeated)))), sep)
     text = F.when(F.count(value) > 0, text)
-    grouped = joined.groupBy(*keys, "part").agg(text.alias(alias), F.max("_used").alias("_used"), F.max("count").alias("count"))
-    # the NULLs of a group that has text add no row of their own
-    return grouped.where(F.col(alias).isNotNull() | (F.col("_used") == 0)).select(*keys, "part", alias, "count")
+    grouped = counted.withColumn("part", part).groupBy(*keys, "part").agg(text.alias(alias), F.sum("_n").alias("count"))
+    if parts == 1:
+        return grouped.select(*keys, "part", alias, "count")
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("count"), F.count(value).alias("_values"))
+    l, t = grouped.drop("count").alias("l"), totals.alias("t")
+    on = same([F.col(f"l.`{k}`") for k in keys], [F.col(f"t.`{k}`") for k in keys])
+    joined = l.join(t, on, "inner").select("l.*", "t.count", "t._values")
+    return joined.where(F.col(alias).isNotNull() | (F.col("_values") == 0)).select(*keys, "part", alias, "count")
 
 
 def pivot_sum(df: DataFrame, keys: list[str], by: str, values: list, value: str) -> DataFrame:

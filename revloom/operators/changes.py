@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revloom.functions.text import NOTES_LIMIT, trim_notes
-from revloom.operators.joins import absent_from, left_lookup, pairs, present_in
+from revloom.operators.joins import absent_from, left_lookup, present_in
 from revloom.operators.schema import union_fill
 from revloom.operators.windows import first_per_key
 
@@ -19,13 +16,8 @@ def new_only(source: DataFrame, target: DataFrame, on: list, *, unique: bool = F
 
 
 def after_watermark(df: DataFrame, time: str, mark) -> DataFrame:
-    """Rows dated strictly after the watermark's date; everything when there is no watermark.
-
-    Dates are compared, not instants: a second capture on the watermark's day is not picked up.
-    """
-    if mark is None:
-        return df
-    return df.where(F.to_date(time) > F.to_date(F.lit(mark)))
+    """Rows with a time after the watermark, to the instant; everything when there is no watermark."""
+    return df if mark is None else df.where(F.col(time) > F.lit(mark))
 
 
 def watermark(target: DataFrame, time: str):
@@ -36,22 +28,25 @@ def watermark(target: DataFrame, time: str):
 def change_set(before: DataFrame, after: DataFrame, key: str, compare: list[str] | None = None) -> DataFrame:
     """One row per key with `action`: insert, update, noop or delete, and the new values (old ones for a delete).
 
-    Both sides are cut to one row per key (`keep_one`) before the full join.
+    One aggregation over both sides together, combined before the shuffle, so a hot key is no hot task. Of several rows of a
+    side with the same key the one with the largest compared values counts; NULL is a key like others.
     """
     compare = [c for c in after.columns if c != key] if compare is None else compare
-    b = before.select(key, F.struct(*[F.col(c) for c in compare]).alias("_v")).alias("b")
-    a = after.select(key, F.struct(*[F.col(c) for c in compare]).alias("_v")).alias("a")
-    old, new = F.col("b._v"), F.col("a._v")
+    kinds = {f.name: f.dataType for f in after.schema}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        values = F.struct(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in compare])
+        return df.select(F.col(f"`{key}`").cast(kinds[key]).alias(key), values.alias(name))
+
+    stacked = side(before, "_old").unionByName(side(after, "_new"), allowMissingColumns=True)
+    both = stacked.groupBy(key).agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
+    old, new = F.col("_old"), F.col("_new")
     action = (
         F.when(new.isNull(), "delete").when(old.isNull(), "insert")
         .when(new.eqNullSafe(old), "noop").otherwise("update")
     )
     row = F.coalesce(new, old)
-    # a row without a key is not "no row": its struct is there, its key is NULL
-    return b.join(a, pairs("b", "a", [key]), "full").select(
-        F.coalesce(F.col(f"a.`{key}`"), F.col(f"b.`{key}`")).alias(key), action.alias("action"),
-        *[row[c].alias(c) for c in compare],
-    )
+    return both.select(key, action.alias("action"), *[row[c].alias(c) for c in compare])
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
@@ -72,11 +67,21 @@ def changed_only(before: DataFrame, after: DataFrame, key: str, values: list[str
 
 
 def null_out_stale(target: DataFrame, upload: DataFrame, key: str, marker: str, clear: list[str]) -> DataFrame:
-    """The upload plus the target rows with a `marker` value that it leaves out, their `clear` columns NULL."""
-    stale = absent_from(target.where(F.col(marker).isNotNull()), upload.select(key), [key])
-    types = dict(stale.dtypes)
-    stale = stale.withColumns({c: F.lit(None).cast(types[c]) for c in clear})
-    return union_fill(upload, stale.select(*[c for c in upload.columns if c in stale.columns]))
+    """The upload plus the target rows with a `marker` value that it leaves out, their `clear` columns NULL.
+
+    One row per key, by one aggregation over both. Of several upload rows with the same key the one with the largest values
+    is sent. Columns that only the upload has are NULL on stale rows.
+    """
+    others = [c for c in upload.columns if c != key]
+    kinds = dict(upload.dtypes)
+    sent = upload.select(key, F.struct(*others).alias("_sent"))
+    known = F.struct(*[
+        F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in target.columns and c not in clear else F.lit(None).cast(kinds[c]).alias(c) for c in others
+    ])
+    stale = target.where(F.col(marker).isNotNull()).select(key, known.alias("_stale"))
+    both = sent.unionByName(stale, allowMissingColumns=True).groupBy(key).agg(F.max("_sent").alias("_sent"), F.max("_stale").alias("_stale"))
+    row = F.coalesce("_sent", "_stale")
+    return both.select(*[F.col(key) if c == key else row[c].alias(c) for c in upload.columns])
 
 
 def zero_out_stale(target: DataFrame, upload: DataFrame, key: str, value: str) -> DataFrame:
@@ -112,11 +117,6 @@ def audit_trail(
     if dict(results.dtypes).get("errors", "string") != "string":
         errors = results.withColumn("errors", F.to_json("errors"))
     note_rows = [] if notes is None else [(notes,)]
-    text = spark.createDataFrame(note_rows, "notes string").select(stamp, trim_notes("notes", NOTES_LIMIT).alias("notes"))
+    text = spark.createDataFrame(note_rows, "notes string").select(stamp, "notes")
     out = {"before": before, "upload": sent, "results": errors, "rejected": refused}
     return {**{name: df.select(stamp, "*") for name, df in out.items()}, "notes": text}
-
-
-def any_changed(old: list[Column], new: list[Column]) -> Column:
-    """True when one of the paired columns differs, NULL being a value."""
-    return reduce(lambda a, b: a | b, [~o.eqNullSafe(n) for o, n in zip(old, new, strict=True)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -10,11 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revloom.functions.keys import same
-from revloom.functions.text import as_col
-from revloom.operators.sizing import SMALL_LIST, TooLarge, literal_array, small_rows
 from revloom.operators.windows import first_per_key
 
-SPLITS = 1_000
+#: Ranges of a floor lookup per shuffle partition; the partitions are set to the data.
+RANGES_PER_PARTITION = 4
 
 
 def pairs(left: str, right: str, on: list[tuple[str, str]] | list[str]) -> Column:
@@ -98,60 +98,42 @@ def update_from(
     return l.join(r, cond, "left").select(*out)
 
 
-def floor_tier(df: DataFrame, tiers: DataFrame, value: str, threshold: str, limit: int = SMALL_LIST) -> DataFrame:
+def floor_tier(df: DataFrame, tiers: DataFrame, value: str, threshold: str, ranges: int | None = None) -> DataFrame:
     """Row's greatest threshold <= its value, or the lowest threshold when there is none, as `threshold`.
 
-    A short tier table becomes a literal in the plan: no join at all. A longer one goes through `floor_split`.
-    A NULL value gets the lowest threshold too.
+    Values and thresholds are compared as SQL compares their types, NaN above all numbers. A NULL value gets the lowest
+    threshold. Distinct values and thresholds meet in ranges of about equal size, each range looks up its own, and what lies
+    below a range comes from a table with one row per range; so neither side has to be small. Copies of a value are looked
+    up once. One job finds where the ranges begin, which decides about the work alone.
     """
-    known = tiers.select(threshold).where(F.col(threshold).isNotNull()).distinct()
-    rows = small_rows(known, limit)
-    if rows is None:
-        return floor_split(df, known, value, threshold)
-    steps = sorted(r[0] for r in rows)
     kind = tiers.schema[threshold].dataType
-    if not steps:
-        return df.withColumn(threshold, F.lit(None).cast(kind))
-    listed = literal_array(steps, kind)
-    # range 0 is below the first step, the range past the last one holds NULL and NaN
-    ranged = _in_ranges(df, value, [float(s) for s in steps])
-    floor = F.when(F.col("_range") > 0, F.try_element_at(listed, F.col("_range")))
-    return ranged.withColumn(threshold, F.coalesce(floor, F.try_element_at(listed, F.lit(1)))).drop("_range")
-
-
-def _in_ranges(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
-    """`_range`: how many of the sorted cut points are <= the value, one more than there are for NULL and NaN."""
-    if not cuts:
-        return df.withColumn("_range", F.lit(0))
-    edges = [float("-inf"), *cuts, float("inf")]
-    cutter = Bucketizer(splits=edges, inputCol="_v", outputCol="_range", handleInvalid="keep")
-    out = cutter.transform(df.withColumn("_v", F.col(value).cast("double"))).drop("_v")
-    return out.withColumn("_range", F.col("_range").cast("int"))
-
-
-def floor_split(df: DataFrame, known: DataFrame, value: str, threshold: str, splits: int = SPLITS) -> DataFrame:
-    """`floor_tier` for a threshold table of any size, without a range join.
-
-    Distinct values and thresholds are cut into even ranges, each range looks up its own, and what lies below
-    a range comes from a table with one row per range. Copies of a value are looked up once.
-    """
-    wanted = df.select(F.col(value).cast("double").alias("v"), F.lit(None).cast("double").alias("t")).distinct()
-    steps = known.select(F.col(threshold).cast("double").alias("v"), F.col(threshold).cast("double").alias("t"))
-    both = wanted.where("v IS NOT NULL").unionByName(steps)
-    cuts = sorted(set(both.approxQuantile("v", [i / splits for i in range(1, splits)], 0.2 / splits)))
-    both = _in_ranges(both, "v", cuts).withColumnRenamed("_range", "b")
+    wanted = df.select(F.col(value).alias("v"), F.lit(None).cast(kind).alias("t"))
+    steps = tiers.select(F.col(threshold).alias("v"), F.col(threshold).alias("t"))
+    both = wanted.unionByName(steps).where("v IS NOT NULL").distinct()
+    both = _ranged(both, "v", ranges or RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     up_to = Window.partitionBy("b").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = both.withColumn("f", F.max("t").over(up_to))
+    local = both.withColumn("f", F.max("t").over(up_to)).where("t IS NULL")
     tops = both.groupBy("b").agg(F.max("t").alias("top"))
     below = Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select("b", F.max("top").over(below).alias("carry"))  # one row per range, at most `splits`
-    found = local.where("t IS NULL").join(F.broadcast(carried), "b").select("v", F.coalesce("f", "carry").alias("f"))
+    carried = tops.select("b", F.max("top").over(below).alias("carry"))  # one row per range
+    found = local.join(F.broadcast(carried), "b").select("v", F.coalesce("f", "carry").alias("f"))
+
+    lowest = tiers.agg(F.min(threshold)).scalar()
+    out = left_lookup(df.withColumn("_v", F.col(value).cast(both.schema["v"].dataType)), found, [("_v", "v")], {threshold: "f"}).drop("_v")
+    return out.withColumn(threshold, F.coalesce(threshold, lowest))
 
-    lowest = F.lit(known.agg(F.min(threshold)).first()[0])
-    kind = known.schema[threshold].dataType
-    out = left_lookup(df.withColumn("_v", F.col(value).cast("double")), found, [("_v", "v")], {threshold: "f"}).drop("_v")
-    return out.withColumn(threshold, F.coalesce(threshold, lowest).cast(kind))
+
+def _ranged(df: DataFrame, value: str, ranges: int) -> DataFrame:
+    """`b`: which of about even ranges a value is in. Its order follows the values', through their nearest double."""
+    near = df.withColumn("_v", F.col(value).cast("double"))
+    cuts = near.approxQuantile("_v", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
+    edges = [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)}), float("inf")]
+    if len(edges) < 3:
+        return near.withColumn("b", F.lit(0)).drop("_v")
+    # NaN goes to a range of its own behind the others
+    cutter = Bucketizer(splits=edges, inputCol="_v", outputCol="b", handleInvalid="keep")
+    return cutter.transform(near).drop("_v")
 
 
 def next_within(
@@ -179,43 +161,73 @@ def next_within(
     return out.withColumn(alias, F.col(alias).cast(kind))
 
 
+#: Lengths of the pieces that texts are cut into. A token is looked for by a piece of the longest that it holds.
+PIECES = (1, 2, 5)
+
+
 def containing(
     texts: DataFrame, key: str, text: str, tokens: DataFrame, token: str, *, framed_length: int = 6,
     frame: tuple[str, str] = ("-", "."),
 ) -> DataFrame:
     """Distinct (token, key) pairs where the text holds the token.
 
-    A token of `framed_length` characters must stand between the two frame characters; others match anywhere.
-    Every text is cut into the pieces that could be a token, which makes it one equi join instead of a
-    text-by-token comparison; only the text's key travels with a piece. Tokens are literal text.
+    A token of `framed_length` characters must stand between the two frame characters; others match anywhere. Every
+    text is cut into its distinct pieces of three fixed lengths, a token is looked for by the one of its pieces that is in
+    the fewest texts, and what that finds is verified in the text. So a text gives at most one piece per character and
+    length, whatever the tokens, and only keys travel with pieces. Tokens are literal text; `key` has a text each.
     """
     wanted = tokens.select(F.col(token).alias("token")).where("token <> ''").distinct()
-    lengths = sorted(r[0] for r in wanted.select(F.length("token")).distinct().collect())  # bounded by the field width
-    before, after = (f"\\Q{c}\\E" for c in frame)
-    cuts = []
-    for n in lengths:
+    framed = F.concat(F.lit(frame[0]), F.col("token"), F.lit(frame[1]))
+    wanted = wanted.withColumn("_sought", F.when(F.length("token") == framed_length, framed).otherwise(F.col("token")))
+
+    def cut(column: str, n: int) -> Column:
         # the last dot steps over one whole character, so that no piece starts inside a surrogate pair
-        look = f"(?s)(?={before}(.{{{n}}}){after})." if n == framed_length else f"(?s)(?=(.{{{n}}}))."
-        cuts.append(F.regexp_extract_all(F.col(text), F.lit(look), F.lit(1)))
-    if not cuts:
-        return texts.select(F.lit(None).cast("string").alias("token"), F.col(key)).limit(0)
-    pieces = texts.select(key, F.explode(F.concat(*cuts)).alias("token"))
-    return pieces.join(wanted, "token", "inner").select("token", key).distinct()
+        return F.array_distinct(F.regexp_extract_all(F.col(column), F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)))
+
+    own = F.coalesce(*[F.when(F.length("_sought") >= n, cut("_sought", n)) for n in sorted(PIECES, reverse=True)])
+    of_token = wanted.select("token", "_sought", F.explode(own).alias("piece"))
+    of_text = texts.where(F.col(text).isNotNull()).select(key, F.explode(F.concat(*[cut(text, n) for n in PIECES])).alias("piece"))
+    of_text = of_text.join(of_token.select("piece").distinct(), "piece", "left_semi")
+    common = of_text.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    # a token with a piece that no text has is in none
+    ranked = of_token.join(common, "piece", "left").groupBy("token", "_sought").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rare"))
+    rare = ranked.where("rare.n > 0").select("token", "_sought", F.col("rare.piece").alias("piece"))
+    maybe = of_text.join(rare, "piece").select(F.col(key).alias("_key"), "token", "_sought")
+    found = maybe.join(texts.select(key, text), F.col("_key") == F.col(key))
+    return found.where(F.contains(F.col(text), F.col("_sought"))).select("token", key).distinct()
 
 
-def dimension_product(df: DataFrame, dims: dict[str, DataFrame], limit: int = SMALL_LIST) -> DataFrame:
-    """Every combination of a row with the values of short dimension lists, each a one-column frame.
+def listed(dim: DataFrame) -> Column:
+    """The distinct values of a one-column list as one sorted array, NULL among them, for use in any plan."""
+    name = dim.columns[0]
+    values = F.sort_array(F.collect_set(F.struct(name)))  # a struct keeps the NULL
+    return dim.agg(F.transform(values, lambda s: s[name])).scalar()
 
-    The lists become literal arrays, so the large side is only expanded in place.
+
+def combinations(*names: str) -> Column:
+    """Every combination of the values of some array columns, as an array of structs with the columns' names."""
+    def nested(k: int, *taken: Column) -> Column:
+        if k == len(names):
+            return F.array(F.struct(*[v.alias(n) for n, v in zip(names, taken, strict=True)]))
+        return F.flatten(F.transform(names[k], lambda v: nested(k + 1, *taken, v)))
+
+    return nested(0)
+
+
+def missing_combinations(df: DataFrame, keys: list[str], got: DataFrame, on: list[tuple[str, str]], lists: dict[str, Column], wanted: Column | None = None) -> DataFrame:
+    """One row per row of df and combination of the `lists` (arrays by name) that `got` does not have for its key.
+
+    `on`: (key column, column of got); the other columns of got are named as the combinations' fields. `wanted` makes the
+    combinations, an array of structs, from the lists in another way. What a key has is collected first and subtracted,
+    so only missing combinations are ever rows. NULL is a value like others.
     """
-    out = df
-    for name, dim in dims.items():
-        rows = small_rows(dim.distinct(), limit)
-        if rows is None:
-            raise TooLarge(f"dimension {name} has more than {limit} values")
-        values = sorted((r[0] for r in rows), key=lambda v: (v is None, v))
-        out = out.withColumn(name, F.explode(literal_array(values, dim.schema[0].dataType)))
-    return out
+    fields = [n for n in got.columns if n not in [b for _, b in on]]
+    have = got.groupBy(*[b for _, b in on]).agg(F.collect_set(F.struct(*fields)).alias("_have"))
+    every = df.select(*keys).withColumns(lists).withColumn("_all", combinations(*lists) if wanted is None else wanted)
+    l, r = every.alias("l"), have.alias("r")
+    both = l.join(r, pairs("l", "r", on), "left").select(*[F.col(f"l.`{k}`") for k in keys], "l._all", "r._have")
+    left = F.when(F.col("_have").isNull(), F.col("_all")).otherwise(F.array_except("_all", "_have"))
+    return both.select(*[F.col(f"`{k}`") for k in keys], F.explode(left).alias("_one")).select(*keys, "_one.*")
 
 
 def id_account_map(
@@ -258,8 +270,3 @@ def id_account_map(
     )
     out_id = F.when((src == "a") & ~F.col("in_c"), listed(F.col("id"), bad_ids)).otherwise(F.col("id"))
     return f.where(used).select(out_id.alias("id"), "account").distinct()
-
-
-def first_of(*columns) -> Column:
-    """First non-NULL of the columns."""
-    return F.coalesce(*[as_col(c) for c in columns])

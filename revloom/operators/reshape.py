@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +13,25 @@ from revloom.operators.schema import clean_names, flatten
 BAD = "_corrupt_record"
 
 
+#: In a variant's schema: a quoted name, or a type that has another name in a table's schema.
+_TYPES = re.compile(r"`(?:[^`]|``)*`|OBJECT(?=<)|(?:(?<=: )|(?<=ARRAY<))VOID(?=[,>]|$)")
+
+
 def json_schema(df: DataFrame, column: str) -> T.StructType:
-    """Union schema of the JSON documents in a column, found in one pass over all of them."""
-    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0]
-    return T.StructType.fromDDL(found.replace("OBJECT<", "STRUCT<")[len("STRUCT<"):-1].replace("VOID", "STRING"))
+    """Union schema of the JSON objects in a column, found in one pass over all of them; none give a struct without fields.
+
+    Other documents, lists and bare values among them, have no say: `unreadable` finds them.
+    """
+    doc = F.try_parse_json(F.when(_is_object(F.col(column)), F.col(column)))
+    found = df.agg(F.schema_of_variant_agg(doc)).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return T.StructType([])
+    table = _TYPES.sub(lambda m: {"OBJECT": "STRUCT", "VOID": "STRING"}.get(m[0], m[0]), found)
+    return T.StructType.fromDDL(table[len("STRUCT<"):-1])
+
+
+def _is_object(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"^\s*\{"), F.lit(False))
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType, alias: str = "doc") -> DataFrame:
@@ -37,7 +54,7 @@ def unreadable(parsed: DataFrame, column: str, alias: str = "doc") -> DataFrame:
 
 
 def _broken(column: str, alias: str) -> Column:
-    return F.col(column).isNull() | F.col(alias)[BAD].isNotNull()
+    return F.col(column).isNull() | F.col(alias)[BAD].isNotNull() | ~_is_object(F.col(column))
 
 
 def json_fields(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:

@@ -20,9 +20,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def latest_per_key(df: DataFrame, keys: list[str], time: str, tiebreak: str) -> DataFrame:
-    """Newest row per key, NULL times last, ties to the largest `tiebreak`."""
-    return first_per_key(df, keys, [F.col(time).desc_nulls_last(), F.col(tiebreak).desc_nulls_last()])
+def latest_per_key(df: DataFrame, keys: list[str], time: str, *tiebreak: str) -> DataFrame:
+    """Newest row per key, NULL times last, ties to the largest `tiebreak` columns, one after the other."""
+    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in (time, *tiebreak)])
 
 
 def with_key_max(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
@@ -41,36 +41,27 @@ def lag_difference(
 ) -> DataFrame:
     """Each value minus the one before it in its series, as {new column: value column}.
 
-    A series is cut into buckets that follow its order: hours when the first order column is a time, days when a day
-    has several rows (more than one order column), else months; or `bucket`. Rows are compared inside their bucket; the first row of a bucket takes the last
-    values of the nearest earlier one from a table with one row per series and bucket.
+    A series is cut into buckets that follow its order: minutes when the first order column is a time, days when a day
+    has several rows (more than one order column), else months; or `bucket`. The last values of a bucket, found before the
+    shuffle, become a row before the first one of the series' next bucket; one window over a bucket then does it all.
+    `order` must be total within a series, or the result depends on which of equal rows comes first.
     """
     columns = list(dict.fromkeys(values.values()))
-    cut = _bucket(df, order) if bucket is None else bucket
-    rows = df.withColumn("_bucket", cut)
-    inside = Window.partitionBy(*series, "_bucket").orderBy(*order)
-    rows = rows.withColumns({f"_lag_{c}": F.lag(c).over(inside) for c in columns})
-    rows = rows.withColumn("_first", F.row_number().over(inside) == 1)
-
-    position = F.struct(*order)
-    ends = rows.groupBy(*series, "_bucket").agg(F.max_by(F.struct(*columns), position).alias("_end"))
+    rows = df.withColumns({"_bucket": _bucket(df, order) if bucket is None else bucket, "_own": F.lit(1)})
+    ends = rows.groupBy(*series, "_bucket").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_end"))
     across = Window.partitionBy(*series).orderBy("_bucket")
-    carried = ends.select(*series, "_bucket", F.lag("_end").over(across).alias("_carry"))
-
-    l, r = rows.alias("l"), carried.alias("r")
-    keys = [*series, "_bucket"]
-    joined = l.join(r, same([F.col(f"l.`{k}`") for k in keys], [F.col(f"r.`{k}`") for k in keys]), "left")
-    out = {
-        name: F.col(f"l.`{c}`") - F.when(F.col("l._first"), F.col("r._carry")[c]).otherwise(F.col(f"l.`_lag_{c}`"))
-        for name, c in values.items()
-    }
-    kept = [F.col(f"l.`{c}`") for c in df.columns if c not in out]
-    return joined.select(*kept, *[e.alias(n) for n, e in out.items()])
+    carried = ends.withColumns({"_last": F.row_number().over(across) == F.count(F.lit(1)).over(Window.partitionBy(*series)), "_next": F.lead("_bucket").over(across)})
+    carried = carried.where(~F.col("_last")).select(*series, F.col("_next").alias("_bucket"), "_end.*", F.lit(0).alias("_own"))
+    inside = Window.partitionBy(*series, "_bucket").orderBy("_own", *order)
+    stacked = rows.unionByName(carried, allowMissingColumns=True)
+    lagged = stacked.withColumns({f"_lag_{c}": F.lag(c).over(inside) for c in columns}).where("_own = 1")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
+    return lagged.select(*kept, *[(F.col(f"`{c}`") - F.col(f"`_lag_{c}`")).alias(n) for n, c in values.items()])
 
 
 def _bucket(df: DataFrame, order: list[str]) -> Column:
     if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", F.col(order[0]))
+        return F.date_trunc("minute", F.col(order[0]))
     return F.col(order[0]) if len(order) > 1 else F.trunc(order[0], "month")
 
 

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions.dates import month_start
-from revloom.operators.joins import absent_from, dimension_product
+from revloom.operators.joins import listed, missing_combinations
 from revloom.operators.reshape import unpivot_map, unpivot_prefix
 from revloom.operators.schema import union_fill
-from revloom.operators.sizing import small_rows
 
 
 def by_month(activity: DataFrame) -> DataFrame:
@@ -22,34 +21,32 @@ def by_month(activity: DataFrame) -> DataFrame:
 
 
 def sorted_fact(long: DataFrame) -> DataFrame:
-    """By portal, environment, activity and month, missing values last. The month ends the key of a row."""
+    """By portal, environment, activity and month within partitions, missing values last; a stored table keeps no more order."""
     keys = ["portal_id", "envid", "activity", "month", "type"]
-    return long.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return long.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
 
 
-def requests(customers: DataFrame, activity_types: DataFrame, years: DataFrame) -> DataFrame:
-    """Every (customer, activity, year) of a portal type that was asked for."""
+def empty_requests(customers: DataFrame, activity_types: DataFrame, years: DataFrame, activity: DataFrame) -> DataFrame:
+    """Every (customer, type, activity, year) of a portal type that was asked for and brought nothing.
+
+    The lists of names per type and of years go into the plan as arrays; only what is missing becomes rows. A NULL name is a
+    name; customers of no type, or of one without a list, were asked nothing.
+    """
+    names = activity_types.where("type IS NOT NULL").groupBy("type").agg(F.collect_set(F.struct(F.col("name").alias("activity"))).alias("names"))
+    per_type = names.agg(F.map_from_entries(F.collect_list(F.struct("type", "names")))).scalar()
     asked = customers.select("customerid", "type").distinct()
-    asked = dimension_product(asked, {"year": years})
-    names = activity_types.select("type", "name").distinct()
-    listed = small_rows(names)
-    if listed is None:
-        return asked.join(names.withColumnRenamed("name", "activity"), "type")
-    # few types with short lists: expanded in place, as a join would put a type's customers into one task
-    per_type = [F.when(F.col("type") == r["type"], F.lit(r["name"])) for r in listed]
-    return asked.withColumn("activity", F.explode(F.array_compact(F.array(*per_type))))
+    lists = {"_names": F.try_element_at(per_type, F.col("type")), "_years": listed(years)}
+    wanted = F.flatten(F.transform("_names", lambda n: F.transform("_years", lambda y: F.struct(n["activity"].alias("activity"), y.alias("year")))))
+    got = activity.select("portal_id", "type", "activity", F.col("year").cast(years.schema[0].dataType).alias("year"))
+    return missing_combinations(asked, ["customerid", "type"], got, [("customerid", "portal_id"), ("type", "type")], lists, wanted)
 
 
 def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Sources: activity (portal_id, envid, activity, year, type, data), customers_<i>, activity_types_<i>, years."""
     customers = union_fill(*[df for n, df in sorted(sources.items()) if n.startswith("customers_")])
     types = union_fill(*[df for n, df in sorted(sources.items()) if n.startswith("activity_types_")])
-    long = by_month(sources["activity"])
-    asked = requests(customers, types, sources["years"])
-    got = sources["activity"].select("portal_id", "activity", F.col("year").cast("int").alias("year"), "type")
-    on = [("customerid", "portal_id"), "activity", "year", "type"]
     return {
-        "activity": sorted_fact(long),
+        "activity": sorted_fact(by_month(sources["activity"])),
         "activity_customers": customers,
-        "empty_requests": absent_from(asked, got, on),
+        "empty_requests": empty_requests(customers, types, sources["years"], sources["activity"]),
     }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from revloom.functions.dates import months_before
 from revloom.functions.text import is_record_id, uuid_in
-from revloom.operators.joins import absent_from, left_lookup
+from revloom.operators.joins import absent_from, left_lookup, present_in
 from revloom.operators.windows import latest_per_key
 
 
@@ -27,15 +27,18 @@ def last_calls(seen: DataFrame, assets: DataFrame) -> DataFrame:
     out = left_lookup(seen, assets, [("serial", "serial")], {"_asset": "account_id"})
     account = F.coalesce("_asset", F.when(is_record_id("customerId"), F.col("customerId")))
     known = out.withColumn("account_id", account).drop("_asset").where("account_id IS NOT NULL")
-    return latest_per_key(known, ["account_id"], "last_call_home", "customerId")
+    return latest_per_key(known, ["account_id"], "last_call_home", "customerId", "latest_version")
 
 
 def run(sources: dict[str, DataFrame], as_of, product_type: str) -> dict[str, DataFrame]:
     """Sources: statistics(id, creationDate), details(product_statistics_id, customerId, productType, version),
-    assets(account_id, serial), accounts(id)."""
+    assets(account_id, serial), accounts(id, last_call_home, latest_version). `before` has the accounts as they were."""
     last = last_calls(calls(sources["statistics"], sources["details"], as_of, product_type), sources["assets"])
+    update = last.select(F.col("account_id").alias("id"), "last_call_home", "latest_version")
+    kept = [c for c in update.columns if c in sources["accounts"].columns]
     return {
         "last_calls": last,
         "unknown_accounts": absent_from(last, sources["accounts"], [("account_id", "id")]),
-        "account_update": last.select(F.col("account_id").alias("id"), "last_call_home", "latest_version"),
+        "account_update": update,
+        "before": present_in(sources["accounts"].select(*kept), update, ["id"], unique=True),
     }

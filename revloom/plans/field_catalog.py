@@ -6,13 +6,7 @@ from pyspark.sql import DataFrame
 
 from revloom.sources.catalog import field_catalog
 
-# The object with overlong picklists, and the column to cut.
-LONG_OBJECT, LONG_COLUMN = "RecordType", "_picklistValues"
-
 
 def run(described: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """described: object name -> field metadata (name, label, type, nested columns)."""
-    return {
-        name: field_catalog(df, [LONG_COLUMN] if name == LONG_OBJECT and "picklistValues" in df.columns else [])
-        for name, df in described.items()
-    }
+    return {name: field_catalog(df) for name, df in described.items()}

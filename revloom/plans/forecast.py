@@ -19,11 +19,13 @@ def daily_rates(sheet: DataFrame, as_of, *, version: int = 1, series: list[str]
     """One row per day, booking type and non-zero rate.
 
     sheet: order_date, new_forecast, new_actual, expansion_forecast, expansion_actual, flips_forecast, flips_actual,
-    and the `series` columns when it holds several forecasts. A forecast in the past or below its actual is 0.
+    and the `series` columns when it holds several forecasts; rows of one day are summed. A forecast in the past or below its actual is 0.
     Flips lose their actuals: version 1 on every day and never below 0, version 2 on past days only.
     """
     series = list(series)
-    rows = sheet.where(F.col("order_date").isNotNull()).withColumn("order_date", F.to_date("order_date"))
+    amounts = [c for c in sheet.columns if c not in (*series, "order_date")]
+    rows = sheet.where(F.col("order_date").isNotNull()).groupBy(*series, F.to_date("order_date").alias("order_date"))
+    rows = rows.agg(*[F.sum(c).alias(c) for c in amounts])
     rows = lag_difference(
         rows, series, ["order_date"], {"f_new": "new_forecast", "f_expansion": "expansion_forecast", "f_flip": "flips_forecast"}
     )

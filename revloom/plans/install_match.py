@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.operators.aggregates import joined_text
-from revloom.operators.joins import containing, left_lookup, present_in
+from revloom.operators.joins import containing, present_in
 
 
 def installs(payload: DataFrame) -> DataFrame:
@@ -16,16 +15,17 @@ def installs(payload: DataFrame) -> DataFrame:
 
 
 def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Sources: payload(type, properties), leads(id, token, verified, token_present)."""
+    """Sources: payload(type, properties), leads(id, token, verified, token_present).
+
+    `matches` has a row per lead and installer text that holds its token. A text is known by its hash until it is found.
+    """
     leads = sources["leads"].where(~F.col("verified") & F.col("token_present"))
-    found = installs(sources["payload"])
-    pairs = containing(found, "install", "install", leads, "token")
-    texts = joined_text(pairs, ["token"], "install", "installs", unique=True)
-    matched = present_in(leads, pairs, ["token"])
-    named = left_lookup(matched, texts, [("token", "token")], {"part": "part", "installs": "installs"})
-    update = matched.select("id").distinct()
+    found = installs(sources["payload"]).withColumn("install_key", F.sha2("install", 256))
+    pairs = containing(found, "install_key", "install", leads, "token")
+    named = pairs.join(found, "install_key").select("token", "install")
+    update = present_in(leads, pairs, ["token"]).select("id").distinct()
     return {
-        "matches": named,
+        "matches": leads.join(named, "token").select("id", "token", "verified", "token_present", "install"),
         "lead_update": update.withColumn("verified", F.lit(True)),
         "before": update.withColumn("verified", F.lit(False)),
     }

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions.text import add_tag, remove_tag, remove_tag_exact
-from revloom.operators.aggregates import joined_text
 from revloom.operators.changes import changed_only
-from revloom.operators.joins import left_lookup
+from revloom.operators.joins import left_lookup, present_in
 
 
 def matches(accounts: DataFrame, others: DataFrame, tag: str, active: str = "Active Account") -> tuple[DataFrame, DataFrame]:
-    """(candidates with their number of matches, ids of the matches as text per candidate).
+    """(candidates with their number of matches, scope and domain; ids of the customers per scope and domain).
 
     An account that has the tag or a linked id counts every customer of its domain, another only active ones and
     only if there are any. The customers are counted per domain before they meet the accounts: a domain shared
@@ -28,9 +27,7 @@ def matches(accounts: DataFrame, others: DataFrame, tag: str, active: str = "Act
     candidates = counted.where((F.col("scope") == "all") | F.col("n_rows").isNotNull()).withColumns({
         "match_count": F.coalesce("n_rows", F.lit(1)), "matched": F.coalesce("n_ids", F.lit(0)) > 0,
     }).drop("n_rows", "n_ids")
-    texts = joined_text(pool, ["scope", "domain"], "id", "matched_ids")
-    named = left_lookup(candidates.where("matched").select("id", "scope", "domain"), texts, on, {"part": "part", "matched_ids": "matched_ids"})
-    return candidates.drop("scope"), named.drop("scope", "domain")
+    return candidates, pool.withColumnRenamed("id", "matched_id").where("matched_id IS NOT NULL")
 
 
 def retag(candidates: DataFrame, tag: str, exact: bool = False) -> DataFrame:
@@ -51,6 +48,13 @@ def retag(candidates: DataFrame, tag: str, exact: bool = False) -> DataFrame:
 
 
 def run(sources: dict[str, DataFrame], tag: str, exact: bool = False) -> dict[str, DataFrame]:
-    """Sources: accounts(id, areas, domain, linked_id), customers(id, domain, status)."""
-    candidates, named = matches(sources["accounts"], sources["customers"], tag)
-    return {"candidates": candidates, "matched_ids": named, "account_update": retag(candidates, tag, exact)}
+    """Sources: accounts(id, areas, domain, linked_id), customers(id, domain, status).
+
+    The matches of a candidate are the `domain_ids` of its scope and domain. `before` has the tags as they were.
+    """
+    candidates, ids = matches(sources["accounts"], sources["customers"], tag)
+    update = retag(candidates, tag, exact)
+    return {
+        "candidates": candidates, "domain_ids": ids, "account_update": update,
+        "before": present_in(sources["accounts"].select("id", "areas"), update, ["id"]),
+    }

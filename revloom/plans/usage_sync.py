@@ -131,7 +131,7 @@ def daily_usage(sources: dict[str, DataFrame], mapped: DataFrame, as_of, portal_
 def period_changes(sources: dict[str, DataFrame]) -> DataFrame:
     """Change set of the CRM's usage periods."""
     periods = usage_periods(sources["usage_periods"], sources["contracts"], sources["products"])
-    return change_set(sources["crm_usage"], keep_one(periods, ["record_key"]), "record_key")
+    return change_set(sources["crm_usage"], periods, "record_key")
 
 
 def run(

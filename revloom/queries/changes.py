@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from revloom.functions.dates import month_start, to_millis
 from revloom.operators import changes, reshape, schema
-from revloom.operators.sizing import small_values
+from revloom.operators.joins import listed
+from revloom.plans.field_catalog import run as field_catalog_run
 from revloom.queries.registry import Tables, query
 from revloom.sources import catalog
 
@@ -106,7 +107,7 @@ def audit_changeset(t: Tables):
 
 
 @query("audit_upsert", f"""
-WITH a AS ({AFTER}) SELECT 'run-1' AS run_id, 'sent' AS part, count(*) AS n FROM a UNION ALL SELECT 'run-1', 'notes', 49999""")
+WITH a AS ({AFTER}) SELECT 'run-1' AS run_id, 'sent' AS part, count(*) AS n FROM a UNION ALL SELECT 'run-1', 'notes', 80000""")
 def audit_upsert(t: Tables):
     trail = _audit(t, insert=True)
     notes = trail["notes"].select("run_id", F.lit("notes").alias("part"), F.length("notes").cast("bigint").alias("n"))
@@ -114,11 +115,13 @@ def audit_upsert(t: Tables):
 
 
 @query("snapshot_watermark", """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) > (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE year(o_orderdate) <= 1997)""")
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 24) > (SELECT max(o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 24)) FROM orders WHERE year(o_orderdate) <= 1997 AND o_orderkey % 24 < 12)""")
 def snapshot_watermark(t: Tables):
-    loaded = t.orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp"))
-    mark = changes.watermark(loaded, "o_orderdate")
-    return changes.after_watermark(t.orders, "o_orderdate", mark).select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    """Captures by the hour: later ones on the watermark's day are picked up."""
+    captures = t.orders.withColumn("taken", F.timestamp_seconds(F.unix_timestamp("o_orderdate") + F.col("o_orderkey") % 24 * 3600))
+    loaded = captures.where((F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")) & (F.col("o_orderkey") % 24 < 12))
+    mark = changes.watermark(loaded, "taken")
+    return changes.after_watermark(captures, "taken", mark).select("o_orderkey", F.to_date("o_orderdate").alias("d"))
 
 
 @query("json_flatten", """
@@ -138,6 +141,37 @@ def json_quarantine(t: Tables):
     return schema.union_fill(good.select("event_id", "props", F.lit(False).alias("bad")), bad.select("event_id", "props", F.lit(True).alias("bad")))
 
 
+ODD_DOCUMENTS = """
+WITH d AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{"VOIDED":' || user_id || ',"a.AVOID":"OBJECT<x>"}' WHEN 1 THEN '[{"VOIDED":1}]' WHEN 2 THEN '7'
+           WHEN 3 THEN ' {"OBJECT<":{"VOID":null,"n":[' || event_id || ']}}' WHEN 4 THEN '{"VOID' ELSE '"VOIDED"' END AS doc FROM events)"""
+
+
+def odd_documents(t: Tables):
+    """Objects whose names look like types, beside lists, bare values and broken texts."""
+    user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    kinds = [
+        F.concat(F.lit('{"VOIDED":'), user, F.lit(',"a.AVOID":"OBJECT<x>"}')), F.lit('[{"VOIDED":1}]'), F.lit("7"),
+        F.concat(F.lit(' {"OBJECT<":{"VOID":null,"n":['), event, F.lit("]}}")), F.lit('{"VOID'), F.lit('"VOIDED"'),
+    ]
+    return t.events.select("event_id", F.element_at(F.array(*kinds), (F.col("event_id") % 6 + 1).cast("int")).alias("doc_text"))
+
+
+@query("json_schema_names", ODD_DOCUMENTS + """
+SELECT event_id, CASE event_id % 6 WHEN 0 THEN CAST(json_extract_string(doc, '$.VOIDED') AS BIGINT) END AS voided, CASE event_id % 6 WHEN 0 THEN 'OBJECT<x>' END AS dotted,
+       CASE event_id % 6 WHEN 3 THEN event_id END AS nested FROM d WHERE event_id % 6 IN (0, 3)""")
+def json_schema_names(t: Tables):
+    docs = odd_documents(t)
+    parsed = reshape.readable(reshape.parse_json(docs, "doc_text", reshape.json_schema(docs, "doc_text")), "doc_text")
+    doc = F.col("doc")
+    return parsed.select("event_id", doc["VOIDED"].alias("voided"), doc["a.AVOID"].alias("dotted"), F.try_element_at(doc["OBJECT<"]["n"], F.lit(1)).alias("nested"))
+
+
+@query("json_unreadable", ODD_DOCUMENTS + " SELECT event_id FROM d WHERE event_id % 6 NOT IN (0, 3)")
+def json_unreadable(t: Tables):
+    docs = odd_documents(t)
+    return reshape.unreadable(reshape.parse_json(docs, "doc_text", reshape.json_schema(docs, "doc_text")), "doc_text").select("event_id")
+
+
 @query("json_fields", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, NULL::VARCHAR AS missing FROM events""")
 def json_fields(t: Tables):
@@ -193,9 +227,8 @@ SELECT n_nationkey FROM nation WHERE (SELECT max(ts) FROM events WHERE event_typ
 def freshness(t: Tables):
     meta = t.events.select(F.col("event_type").alias("table_id"), to_millis("ts").alias("last_modified_time"))
     modified = catalog.last_modified(meta, "click")
-    every = [r[0] for r in t.nation.select("n_name").collect()]  # 25 names
-    due = catalog.tables_to_copy(every, modified, dt.date(2024, 1, 27), short=("NATION_1",), mark="_1")
-    return t.nation.where(F.col("n_name").isin(due)).select("n_nationkey")
+    due = catalog.due(F.col("n_name"), modified, dt.date(2024, 1, 27), short=("NATION_1",), mark="_1")
+    return t.nation.where(due).select("n_nationkey")
 
 
 @query("field_catalog", """
@@ -203,6 +236,6 @@ WITH cols(name, type) AS (VALUES ('c_custkey','bigint'),('c_name','string'),('c_
 SELECT name, replace(name, '_', ' ') AS label, type, true AS nullable, '{"segments":["AUTOMOBILE","BUILDING","FURNITURE","HOUSEHOLD","MACHINERY"]}' AS "_picklistValues"
 FROM cols WHERE (SELECT count(*) FROM customer) > 0""")
 def field_catalog(t: Tables):
-    values = F.array(*[F.lit(v) for v in small_values(t.customer, "c_mktsegment")])
+    values = listed(t.customer.select("c_mktsegment"))
     described = catalog.describe(t.customer).withColumn("picklistValues", F.struct(values.alias("segments")))
-    return catalog.field_catalog(described, ["_picklistValues"])
+    return field_catalog_run({"customer": described})["customer"]

@@ -143,9 +143,9 @@ def product_packages(t: Tables):
 
 
 @query("flatten_objects", """
-SELECT o_orderkey AS id, 'p' || o_custkey AS "customer.portalId", CAST(year(o_orderdate) AS INTEGER) AS "provisionDate.year" FROM orders WHERE o_orderstatus <> 'P'""")
+SELECT o_orderkey AS id, 'p' || o_custkey AS "customer.portalId", CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS "provisionDate.year" FROM orders""")
 def flatten_objects(t: Tables):
-    flat = flatten(contract_documents(t).where("provisionDate IS NOT NULL"))
+    flat = flatten(contract_documents(t))
     return flat.select("id", "`customer.portalId`", "`provisionDate.year`")
 
 
@@ -355,7 +355,7 @@ def install_sources(t: Tables) -> dict[str, DataFrame]:
 
 
 @query("install_match", INSTALLS + """
-SELECT id, token, false AS verified, true AS token_present, 0 AS part, string_agg(DISTINCT install, ',' ORDER BY install) AS installs FROM m GROUP BY id, token""")
+SELECT DISTINCT id, token, false AS verified, true AS token_present, install FROM m""")
 def install_match_(t: Tables):
     return install_match.run(install_sources(t))["matches"]
 
@@ -366,8 +366,9 @@ def install_update(t: Tables):
 
 
 @query("words_in_documents", r"""
-WITH w AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{11,}')) AS word FROM benchmark))
-SELECT word AS token, doc_id FROM documents JOIN w ON contains(text, word)""")
+WITH w AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(text, '[^ \n]+')) AS word FROM benchmark))
+SELECT word AS token, doc_id FROM documents JOIN w ON CASE WHEN length(word) = 6 THEN contains(text, ' ' || word || ' ') ELSE contains(text, word) END""")
 def words_in_documents(t: Tables):
-    words = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]{11,})"), F.lit(1))).alias("word"))
-    return joins.containing(t.documents, "doc_id", "text", words, "word")
+    """All words of the benchmark in all documents; those of six characters between spaces."""
+    words = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("([^ \\n]+)"), F.lit(1))).alias("word"))
+    return joins.containing(t.documents, "doc_id", "text", words, "word", frame=(" ", " "))

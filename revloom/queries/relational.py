@@ -160,7 +160,18 @@ FROM x ASOF LEFT JOIN tiers ON l_extendedprice >= up_to""")
 def tier_lookup_split(t: Tables):
     tiers = t.part.select((F.col("p_retailprice") * F.col("p_size")).alias("up_to")).distinct()
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
-    return joins.floor_split(lines, tiers, "l_extendedprice", "up_to")
+    return joins.floor_tier(lines, tiers, "l_extendedprice", "up_to")
+
+
+@query("tier_lookup_wide", """
+WITH tiers AS (SELECT DISTINCT 9007199254740992 + p_partkey * 3 AS up_to FROM part),
+x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 9007199254740991 + o_orderkey END AS v FROM orders)
+SELECT o_orderkey, v, coalesce(up_to, (SELECT min(up_to) FROM tiers)) AS up_to FROM x ASOF LEFT JOIN tiers ON v >= up_to""")
+def tier_lookup_wide(t: Tables):
+    """Whole numbers that doubles cannot tell apart."""
+    tiers = t.part.select((F.lit(9007199254740992) + F.col("p_partkey") * 3).alias("up_to")).distinct()
+    values = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.lit(9007199254740991) + F.col("o_orderkey")).alias("v"))
+    return joins.floor_tier(values, tiers, "v", "up_to")
 
 
 @query("coverage_spine", """
@@ -170,8 +181,8 @@ SELECT c_custkey, o_orderpriority, y AS "year" FROM spine s WHERE NOT EXISTS (SE
 AND o.o_orderpriority = s.o_orderpriority AND year(o.o_orderdate) = s.y)""")
 def coverage_spine(t: Tables):
     o = t.orders.select("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("year"))
-    spine = joins.dimension_product(t.customer.select("c_custkey"), {"o_orderpriority": o.select("o_orderpriority"), "year": o.select("year")})
-    return joins.absent_from(spine, o, [("c_custkey", "o_custkey"), "o_orderpriority", "year"])
+    lists = {c: joins.listed(o.select(c)) for c in ("o_orderpriority", "year")}
+    return joins.missing_combinations(t.customer.select("c_custkey"), ["c_custkey"], o, [("c_custkey", "o_custkey")], lists)
 
 
 @query("zone_lookup", """

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from revloom.operators.changes import watermark
 from revloom.operators.schema import union_fill
+from revloom.operators.aggregates import joined_text
+from revloom.operators.joins import left_lookup
 from revloom.plans import forecast, onboarding, pricing, reconcile, snapshots, tag_sync
 from revloom.queries.registry import Tables, query
 from revloom.sources.readers import query as sql_query
@@ -308,7 +310,10 @@ def tag_matches(t: Tables):
 
 @query("tag_matched_ids", TAGS + " SELECT id, 0 AS part, matched_ids FROM seed WHERE matched_ids IS NOT NULL")
 def tag_matched_ids(t: Tables):
-    return tag_sync.run(tag_sources(t), "Tag")["matched_ids"]
+    out = tag_sync.run(tag_sources(t), "Tag")
+    texts = joined_text(out["domain_ids"], ["scope", "domain"], "matched_id", "matched_ids")
+    named = left_lookup(out["candidates"].where("matched"), texts, [("scope", "scope"), ("domain", "domain")], {"part": "part", "matched_ids": "matched_ids"})
+    return named.select("id", "part", "matched_ids")
 
 
 @query("tag_sync", TAGS + """,

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from revloom.functions import dates, keys, numbers, text
-from revloom.operators import dims
+from revloom.operators import dims, joins
 from revloom.operators.schema import clean_names, prettify
-from revloom.operators.sizing import small_values
 from revloom.queries.registry import Tables, query
 
 
@@ -249,10 +248,9 @@ def row_best(t: Tables):
 
 @query("in_list_filter", """
 SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority LIKE '%H%')
-AND o_orderstatus NOT IN ('P') AND lower(o_orderpriority) NOT LIKE '%urgent%'""")
+AND o_orderstatus NOT IN ('P', 'it''s') AND lower(o_orderpriority) NOT LIKE '%urgent%'""")
 def in_list_filter(t: Tables):
     o = t.orders
-    wanted = small_values(o.where(F.col("o_orderpriority").like("%H%")), "o_orderpriority")
-    rows = t.spark.sql(f"SELECT o_orderkey, o_orderpriority, o_orderstatus FROM {{o}} WHERE o_orderpriority IN ({text.sql_in_list(wanted)})", o=o)
-    kept = rows.where(~F.col("o_orderstatus").isin("P") & ~F.lower("o_orderpriority").like("%urgent%"))
-    return kept.select("o_orderkey", "o_orderpriority")
+    rows = t.spark.sql(f"SELECT o_orderkey, o_orderpriority FROM {{o}} WHERE o_orderstatus NOT IN ({text.sql_in_list(['P', chr(39).join(['it', 's'])])})", o=o)
+    kept = joins.present_in(rows, o.where(F.col("o_orderpriority").like("%H%")), ["o_orderpriority"])
+    return kept.where(~F.lower("o_orderpriority").like("%urgent%"))

@@ -5,11 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.functions.dates import from_millis
-from revloom.functions.text import FIELD_TEXT_LIMIT, truncate
 from revloom.operators.schema import nested_to_json
 
 # The tables a daily refresh always takes, and the mark of those taken besides.
@@ -35,19 +34,29 @@ def last_modified(metadata: DataFrame, table: str, name: str = "table_id", milli
     return metadata.where(F.col(name) == table).agg(F.max(from_millis(millis))).first()[0]
 
 
+def is_behind(modified: dt.datetime | None, as_of: dt.date) -> bool:
+    """Is the target empty, or a week or more behind?"""
+    return modified is None or modified <= dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=FULL_REFRESH_AFTER_DAYS)
+
+
 def tables_to_copy(
     every: list[str], modified: dt.datetime | None, as_of: dt.date, short: tuple[str, ...] = DAILY_TABLES, mark: str = DAILY_MARK
 ) -> list[str]:
-    """All tables when the target is a week or more behind (or empty), else the short list and marked ones."""
-    if modified is None or modified <= dt.datetime.combine(as_of, dt.time()) - dt.timedelta(days=FULL_REFRESH_AFTER_DAYS):
-        return list(every)
-    return [t for t in every if t in short or mark in t]
+    """All tables when the target is behind, else the short list and marked ones."""
+    return [t for t in every if is_behind(modified, as_of) or t in short or mark in t]
+
+
+def due(name: Column, modified: dt.datetime | None, as_of: dt.date, short: tuple[str, ...] = DAILY_TABLES, mark: str = DAILY_MARK) -> Column:
+    """`tables_to_copy` as a condition on a column of table names."""
+    return F.lit(is_behind(modified, as_of)) | name.isin(*short) | F.contains(name, F.lit(mark))
+
 
+def field_catalog(described: DataFrame) -> DataFrame:
+    """Field metadata, one row per field: name and label first, nested columns as text, all of it.
 
-def field_catalog(described: DataFrame, long_text: list[str] = (), limit: int = FIELD_TEXT_LIMIT) -> DataFrame:
-    """Field metadata, one row per field: name and label first, nested columns as text, long texts cut."""
-    out = nested_to_json(described, first=("name", "label"))
-    return out.withColumns({c: truncate(c, limit) for c in long_text})
+    A sheet whose cells hold less takes `text.truncate`.
+    """
+    return nested_to_json(described, first=("name", "label"))
 
 
 def describe(df: DataFrame) -> DataFrame:

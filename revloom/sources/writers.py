@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -17,21 +16,18 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list
     writer.save(path)
 
 
-def overwrite_table(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
-
-
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append; an empty frame adds no rows."""
     df.write.mode("append").format(fmt).save(path)
 
 
 def append_if_any(df: DataFrame | None, path: str, fmt: str = "parquet") -> bool:
-    """Append a frame that exists and has rows; tells whether it did."""
-    if df is None or df.isEmpty():
+    """Append a frame that exists and has rows; tells whether it did. The plan runs once, its rows are counted on the way."""
+    if df is None:
         return False
-    append(df, path, fmt)
-    return True
+    seen = Observation()
+    append(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt)
+    return seen.get["rows"] > 0
 
 
 def append_day(df: DataFrame, path: str, load_date: str, column: str = "load_date") -> None:
@@ -43,14 +39,12 @@ def append_stamped(df: DataFrame, path: str, loaded_at) -> None:
     append(df.withColumn("now", F.lit(str(loaded_at)).cast("timestamp")), path)
 
 
-def mirror(df: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:
-    """One frame into several sinks, computed once."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for sink in sinks:
-            sink(df)
-    finally:
-        df.unpersist()
+def mirror(df: DataFrame, path: str, *sinks: Callable[[DataFrame], None], fmt: str = "parquet") -> None:
+    """One frame into a table at `path` and, read back from there, into further sinks: computed once, held nowhere else."""
+    overwrite(df, path, fmt)
+    stored = df.sparkSession.read.format(fmt).schema(df.schema).load(path)
+    for sink in sinks:
+        sink(stored)
 
 
 def write_all(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite", last: str | None = None) -> None:

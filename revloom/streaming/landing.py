@@ -20,7 +20,10 @@ SOURCE = "id BIGINT, creationDate STRING, data STRING"
 def _loaded_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
     try:
         return spark.read.parquet(path).select(key)
-    except AnalysisException:  # nothing loaded yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # nothing loaded yet
         return spark.createDataFrame([], f"`{key}` BIGINT")
 
 

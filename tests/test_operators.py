@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.operators import aggregates, changes, dims, joins, reshape, schema, sizing, windows
+from revloom.operators import aggregates, changes, dims, joins, reshape, schema, windows
 
 
 def test_clean_names_collision(spark):
@@ -35,21 +35,31 @@ def test_update_from(spark, rows):
     assert rows(joins.update_from(t, s, [("id", "k")], {"v": "v"}, [F.col("o")])) == [(1, "a"), (2, None), (None, "old")]
 
 
-VALUES = [(-1.0,), (0.0,), (5.0,), (10.0,), (99.0,), (None,)]
-FLOORS = [(-1.0, 0.0), (0.0, 0.0), (10.0, 10.0), (5.0, 0.0), (99.0, 50.0), (None, 0.0)]
+NAN, INF = float("nan"), float("inf")
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
-def test_floor_tier_both_ways(spark, rows, limit):
-    df = spark.createDataFrame(VALUES, "v double")
-    tiers = spark.createDataFrame([(50.0,), (0.0,), (10.0,), (None,)], "t double")
-    assert rows(joins.floor_tier(df, tiers, "v", "t", limit=limit)) == sorted(FLOORS, key=repr)
+@pytest.mark.parametrize("ranges", [None, 1, 3])
+def test_floor_tier(spark, rows, ranges):
+    df = spark.createDataFrame([(-1.0,), (0.0,), (5.0,), (10.0,), (99.0,), (None,), (NAN,), (INF,), (-INF,)], "v double")
+    tiers = spark.createDataFrame([(50.0,), (0.0,), (10.0,), (None,), (50.0,)], "t double")
+    expected = [(-1.0, 0.0), (0.0, 0.0), (10.0, 10.0), (5.0, 0.0), (99.0, 50.0), (None, 0.0), (NAN, 50.0), (INF, 50.0), (-INF, 0.0)]
+    assert list(map(repr, rows(joins.floor_tier(df, tiers, "v", "t", ranges)))) == sorted(map(repr, expected))
+    odd = tiers.unionByName(spark.createDataFrame([(NAN,), (INF,), (-INF,)], "t double"))
+    found = {repr(r.v): repr(r.t) for r in joins.floor_tier(df, odd, "v", "t", ranges).collect()}
+    assert found == {"-1.0": "-inf", "0.0": "0.0", "5.0": "0.0", "10.0": "10.0", "99.0": "50.0", "None": "-inf", "nan": "nan", "inf": "inf", "-inf": "-inf"}
 
 
-def test_floor_split_with_hot_value(spark):
+@pytest.mark.parametrize("kind", ["bigint", "decimal(25,0)"])
+def test_floor_tier_beyond_doubles(spark, rows, kind):
+    df = spark.createDataFrame([(2**53 + i,) for i in range(4)], "v bigint").selectExpr(f"CAST(v AS {kind}) AS v")
+    tiers = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 3,)], "t bigint").selectExpr(f"CAST(t AS {kind}) AS t")
+    assert [(int(v), int(t)) for v, t in rows(joins.floor_tier(df, tiers, "v", "t"))] == [(2**53, 2**53), (2**53 + 1, 2**53 + 1), (2**53 + 2, 2**53 + 1), (2**53 + 3, 2**53 + 3)]
+
+
+def test_floor_tier_with_hot_value(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.col("id") / 10).alias("v"))
     tiers = spark.range(500).select((F.col("id") * 0.7).alias("t"))
-    got = {(r.v, r.t) for r in joins.floor_split(df, tiers, "v", "t", splits=16).collect()}
+    got = {(r.v, r.t) for r in joins.floor_tier(df, tiers, "v", "t", 16).collect()}
     steps = sorted(r[0] for r in tiers.collect())
     assert got == {(r.v, max(s for s in steps if s <= r.v)) for r in df.collect()}
 
@@ -94,22 +104,25 @@ def test_id_map_is_the_chained_full_join(spark, rows):
     assert got == rows(sql)
 
 
-def test_dimension_product_is_bounded(spark):
-    df = spark.range(2).toDF("id")
-    out = joins.dimension_product(df, {"a": spark.createDataFrame([("x",), ("y",)], "v string"), "n": spark.range(3)})
-    assert out.count() == 12
-    with pytest.raises(sizing.TooLarge):
-        joins.dimension_product(df, {"a": spark.range(50)}, limit=10)
+def test_missing_combinations(spark, rows):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    got = spark.createDataFrame([(1, "x", 0), (1, None, 1), (None, "y", 2), (9, "x", 0), (1, "x", 77)], "g int, a string, n int")
+    lists = {"a": joins.listed(spark.createDataFrame([("x",), ("y",), (None,), ("x",)], "v string")), "n": joins.listed(spark.range(3).selectExpr("CAST(id AS int) AS n"))}
+    out = rows(joins.missing_combinations(df, ["k"], got, [("k", "g")], lists))
+    every = {(k, a, n) for k in (1, 2, None) for a in ("x", "y", None) for n in range(3)}
+    assert out == sorted(every - {(1, "x", 0), (1, None, 1), (None, "y", 2)}, key=repr)
 
 
-def test_joined_text_splits_hot_groups(spark):
-    data = [("hot", f"{i:03d}") for i in range(100)] + [("hot", "dup")] * 57 + [("cold", "b"), ("cold", "a"), ("cold", None), ("none", None), (None, "n")]
-    out = aggregates.joined_text(spark.createDataFrame(data, "k string, v string"), ["k"], "v", "t", piece=20).collect()
-    small = {r.k: (r.part, r.t, r["count"]) for r in out if r.k != "hot"}
-    assert small == {"cold": (0, "a,b", 3), "none": (0, None, 1), None: (0, "n", 1)}
+def test_joined_text(spark):
+    data = [("hot", f"{i:06d}") for i in range(150_000)] + [("hot", "dup")] * 57 + [("cold", "b"), ("cold", "a"), ("cold", None), ("none", None), (None, "n")]
+    df = spark.createDataFrame(data, "k string, v string")
+    whole = {r.k: tuple(r)[1:] for r in aggregates.joined_text(df, ["k"], "v", "t").collect()}
+    assert whole == {"cold": (0, "a,b", 3), "none": (0, None, 1), None: (0, "n", 1), "hot": (0, ",".join(sorted(v for k, v in data if k == "hot")), 150_057)}
+    out = aggregates.joined_text(df, ["k"], "v", "t", parts=5).collect()
     hot = [r for r in out if r.k == "hot"]
-    assert len(hot) > 4 and all(r["count"] == 157 and r.t == ",".join(sorted(r.t.split(","))) for r in hot)
+    assert len(hot) == 5 and all(r["count"] == 150_057 and r.t == ",".join(sorted(r.t.split(","))) for r in hot)
     assert sorted(x for r in hot for x in r.t.split(",")) == sorted(v for k, v in data if k == "hot")
+    assert sorted((r.k, r.t, r["count"]) for r in out if r.k == "none") == [("none", None, 1)]
 
 
 def test_lag_difference_across_buckets(spark):
@@ -126,6 +139,14 @@ def test_lag_difference_one_global_series(spark, rows):
     assert sorted((r.d.month, r.x) for r in out.collect() if r.x is not None) == [(2, 10.0), (5, 30.0)]
 
 
+def test_lag_difference_moves_rows_once(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "timestamp_seconds(id * 7) AS t", "id AS v").repartition(4)
+    out = windows.lag_difference(df, ["k"], ["t"], {"x": "v"})
+    assert {r.x for r in out.collect()} == {None, 3}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_usage_change_bounds(spark):
     last = dt.date(2024, 6, 30)
     day = lambda n: last - dt.timedelta(days=n)
@@ -150,10 +171,21 @@ def test_change_set_is_idempotent(spark, rows):
     assert {r.action for r in changes.change_set(applied, after, "k").collect()} == {"noop"}
 
 
+def test_change_set_with_copies_and_a_hot_key(spark, rows):
+    before = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x")] + [(3, "h")] * 500, "k int, v string")
+    after = spark.createDataFrame([(1, "b"), (1, "a"), (2, "y"), (2, "z")] + [(3, "h")] * 500, "k int, v string")
+    out = changes.change_set(before, after, "k")
+    assert rows(out) == [(1, "noop", "b"), (2, "update", "z"), (3, "noop", "h")]
+    plan = changes.change_set(before, after, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Join " not in plan and plan.count("Exchange hashpartitioning") == 1 and "partial_max" in plan
+
+
 def test_stale_rows(spark, rows):
     target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", None, "z")], "id string, n int, t string")
     upload = spark.createDataFrame([("a", 9, "X")], "id string, n int, t string")
     assert rows(changes.null_out_stale(target, upload, "id", "n", ["n"])) == [("a", 9, "X"), ("b", None, "y")]
+    copies = upload.union(upload).union(spark.createDataFrame([("a", 3, "Z"), ("d", None, None)], "id string, n int, t string"))
+    assert rows(changes.null_out_stale(target, copies, "id", "n", ["n"])) == [("a", 9, "X"), ("b", None, "y"), ("d", None, None)]
 
 
 def test_json_schema_and_quarantine(spark, rows):
@@ -165,6 +197,17 @@ def test_json_schema_and_quarantine(spark, rows):
     assert rows(reshape.readable(parsed, "j").select("id", F.col("doc.a").cast("int"))) == [(1, 1), (2, 2)]
 
 
+def test_json_schema_of_odd_names_and_top_levels(spark, rows):
+    texts = ['{"VOIDED":1,"a.AVOID":"x","OBJECT<":{"VOID":null},"q`VOID":2}', "[1,2]", '[{"VOIDED":3}]', "5", '"VOID"', "null", "", None, ' \n{"VOIDED":4}', '{"l":[null]}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, j string")
+    found = reshape.json_schema(docs, "j")
+    assert set(found.names) == {"VOIDED", "a.AVOID", "OBJECT<", "q`VOID", "l"} and found["OBJECT<"].dataType["VOID"].dataType == T.StringType()
+    parsed = reshape.parse_json(docs, "j", found)
+    assert [r.id for r in reshape.unreadable(parsed, "j").select("id").orderBy("id").collect()] == [1, 2, 3, 4, 5, 6, 7]
+    assert rows(reshape.readable(parsed, "j").select("id", F.col("doc.VOIDED"))) == [(0, 1), (8, 4), (9, None)]
+    assert reshape.json_schema(docs.where("id = 1"), "j") == T.StructType([])
+
+
 def test_child_rows_and_unpivot(spark, rows):
     df = spark.createDataFrame([(1, [("x", [1])]), (2, []), (3, None)], "id int, items array<struct<n:string, l array<int>>>")
     assert rows(reshape.child_table(df, ["id"], "items")) == [(1, "x", "[1]")]
@@ -182,12 +225,6 @@ def test_groups(spark, rows):
     assert "Closed Won" in dims.all_values(dims.STAGES) and len(dims.all_values(dims.REGIONS)) == 10
 
 
-def test_checkpoint_dir_comes_from_the_session(spark, tmp_path, rows):
-    before = spark.sparkContext.getCheckpointDir()
-    assert rows(sizing.cut_lineage(spark.range(2))) == [(0,), (1,)]
-    assert spark.sparkContext.getCheckpointDir() is not None or before is not None
-
-
 def test_json_fields(spark, rows):
     df = spark.createDataFrame([(1, '{"k": 3}'), (2, "no")], "id int, j string")
     assert rows(reshape.json_fields(df, "j", {"k": "INT"}).select("id", "k")) == [(1, 3), (2, None)]

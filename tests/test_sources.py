@@ -67,7 +67,7 @@ def test_mirror_scope(spark, tmp_path):
     written = []
     done = mirror.copy_tables(
         every, lambda n: spark.range(2).withColumn("t", F.lit(n)),
-        [lambda n, df: writers.overwrite(df, str(tmp_path / "a" / n)), lambda n, df: written.append((n, df.count()))], dt.datetime(2024, 1, 9), as_of,
+        str(tmp_path / "a"), [lambda n, df: written.append((n, df.count()))], dt.datetime(2024, 1, 9), as_of,
     )
     assert done == ["orders", "x_sanitized"] and written == [("orders", 2), ("x_sanitized", 2)]
     assert spark.read.parquet(str(tmp_path / "a" / "orders")).count() == 2
@@ -96,7 +96,7 @@ def test_field_catalog(spark):
     out = field_catalog.run({"RecordType": described, "Lead": described})
     assert out["Lead"].columns == ["name", "label", "type", "_picklistValues"]
     lengths = {n: df.select(F.length("_picklistValues")).first()[0] for n, df in out.items()}
-    assert lengths["RecordType"] == 4990 and lengths["Lead"] > 6000
+    assert lengths["RecordType"] > 6000 and lengths["Lead"] > 6000
     assert catalog.describe(described).columns == ["name", "label", "type", "nullable"]
 
 
