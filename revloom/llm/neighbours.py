@@ -84,11 +84,10 @@ class Tree:
         low, high = along.min(), along.max()
         if not high - low > 1e-9 * max(abs(low), abs(high)):
             return None
-        offset = float(np.median(along))
+        # between two values, so that routing the same points later cannot round them to the other side
+        middle = min(np.median(along), along[along < high].max())
+        offset = float((along[along <= middle].max() + along[along > middle].min()) / 2)
         right = along > offset
-        if not right.any():  # more than half at the largest value
-            offset = float(along[along < high].max())
-            right = along > offset
         return normal, offset, right
 
     def leaf_of(self, points: np.ndarray) -> np.ndarray:
