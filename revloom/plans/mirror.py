@@ -13,10 +13,10 @@ from revloom.sources.writers import mirror
 
 
 def copy_tables(
-    every: list[str], read: Callable[[str], DataFrame], folder: str, write: list[Callable[[str, DataFrame], None]], modified, as_of
+    every: list[str], read: Callable[[str], DataFrame], folder: str, write: list[Callable[[str, DataFrame], None]], modified, as_of, **scope
 ) -> list[str]:
     """Copy the tables due (`tables_to_copy`) to a folder and from there to further stores. Returns their names."""
-    due = tables_to_copy(every, modified, as_of)
+    due = tables_to_copy(every, modified, as_of, **scope)
     for name in due:
         mirror(read(name), f"{folder}/{name}", *[lambda df, w=w, n=name: w(n, df) for w in write])
     return due

@@ -10,6 +10,7 @@ from revloom.operators.schema import assign_where, override_by_id, typed_nulls
 
 # Fixed values.
 SERVICES, NEW, EXISTING, FLIP, WON = "Professional Services", "New Business", "Existing Business", "SAP Flip", "Closed Won"
+TASK_TYPE, TASK_ROLE, BUNDLE = "Onboarding", "%success%", "New Business w/PS Bundle"
 LINK_MONTHS = 12
 RELATED = {"related_name": "name", "related_stage": "stage", "related_type": "type", "related_amount": "services_bookings"}
 
@@ -29,7 +30,8 @@ def won_deals(sources: dict[str, DataFrame], since, excluded: list[str]) -> Data
     opp = absent_from(opp, idle.where(F.col("id").isNotNull()), [("account_id", "id")])
     out = opp.select(
         "account_id", "owner", "team_lead", "id", "name", "related_id", F.to_date("close_date").alias("close_date"),
-        "software_bookings", "services_bookings", F.col("type").alias("opp_type"), "product", "owner_manager",
+        F.to_date("sao_date").alias("sao_date"), "software_bookings", "services_bookings", F.col("type").alias("opp_type"),
+        "expansion_category", "product", "owner_manager", "services_requirements", "migration",
     )
     return typed_nulls(out, {
         "related_name": "string", "related_stage": "string", "related_type": "string", "related_amount": "double",
@@ -73,23 +75,33 @@ def override_columns(df: DataFrame, key: str, choice: dict[str, dict[str, Column
 
 
 def onboarding_tasks(tasks: DataFrame) -> DataFrame:
-    return tasks.where((F.col("type") == "Onboarding") & F.lower("role").like("%success%"))
+    """Tasks of the customer success people, with the day of their activity."""
+    tasks = tasks.withColumn("activity_date", F.to_date("activity_date"))
+    return tasks.where((F.col("type") == TASK_TYPE) & F.lower("role").like(TASK_ROLE))
+
+
+#: Columns taken from a deal's project and its onboarding task: {column: column of the object}.
+PROJECT = {
+    "project_name": "name", "project_status": "status", "project_created": "created", "project_type": "type", "project_stage": "stage",
+    "project_start": "start", "project_owner_id": "owner_id", "engagement_manager": "manager_id",
+}
+TASK = {
+    "task_id": "id", "task_status": "status", "task_subject": "subject", "task_activity_date": "activity_date", "task_owner_id": "owner_id",
+    "task_product": "product",
+}
+
+
+def projects(sources: dict[str, DataFrame]) -> DataFrame:
+    return sources["projects"].withColumns({"created": F.to_date("created"), "start": F.to_date("start")})
 
 
 def with_project_and_task(deals: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     """Deals with one project, one onboarding task and their owners' names; the smallest id where there are several."""
-    blank = {c: "string" for c in (
-        "project_name", "project_status", "project_stage", "project_owner_id", "project_owner", "engagement_manager",
-        "task_id", "task_status", "task_subject", "task_owner_id", "task_owner", "task_product",
-    )}
+    dates = ("project_created", "project_start", "task_activity_date")
+    blank = {c: "date" if c in dates else "string" for c in (*PROJECT, "project_owner", *TASK, "task_owner")}
     out = typed_nulls(deals, blank)
-    out = update_from(out, sources["projects"], [("related_id", "deal_id")], {
-        "project_name": "name", "project_status": "status", "project_stage": "stage", "project_owner_id": "owner_id",
-        "engagement_manager": "manager_id",
-    }, [F.col("id")])
-    out = update_from(out, onboarding_tasks(sources["tasks"]), [("id", "deal_id")], {
-        "task_id": "id", "task_status": "status", "task_subject": "subject", "task_owner_id": "owner_id", "task_product": "product",
-    }, [F.col("id")])
+    out = update_from(out, projects(sources), [("related_id", "deal_id")], PROJECT, [F.col("id")])
+    out = update_from(out, onboarding_tasks(sources["tasks"]), [("id", "deal_id")], TASK, [F.col("id")])
     users = sources["users"]
     out = update_from(out, users, [("project_owner_id", "id")], {"project_owner": "name"})
     return update_from(out, users, [("task_owner_id", "id")], {"task_owner": "name"})
@@ -99,17 +111,12 @@ def report(deals: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     """One row per deal, onboarding task and project."""
     kind = (
         F.when(F.col("opp_type") == EXISTING, FLIP)
-        .when((F.col("opp_type") == NEW) & (F.col("services_bookings") > 0), "New Business w/PS Bundle")
+        .when((F.col("opp_type") == NEW) & (F.col("services_bookings") > 0), BUNDLE)
         .otherwise(NEW)
     )
     out = deals.withColumn("opp_type", kind)
-    out = left_lookup(out, onboarding_tasks(sources["tasks"]), [("id", "deal_id")], {
-        "task_id": "id", "task_owner_id": "owner_id", "task_subject": "subject", "task_product": "product", "task_status": "status",
-    })
-    out = left_lookup(out, sources["projects"], [("related_id", "deal_id")], {
-        "project_name": "name", "project_status": "status", "project_stage": "stage", "project_owner_id": "owner_id",
-        "engagement_manager": "manager_id",
-    })
+    out = left_lookup(out, onboarding_tasks(sources["tasks"]), [("id", "deal_id")], TASK)
+    out = left_lookup(out, projects(sources), [("related_id", "deal_id")], PROJECT)
     out = left_lookup(out, sources["users"], [("task_owner_id", "id")], {"task_owner": "name"})
     out = left_lookup(out, sources["users"], [("project_owner_id", "id")], {"project_owner": "name"})
     out = typed_nulls(out, {"engagement_manager_name": "string", "in_production": "string"})
@@ -121,7 +128,8 @@ def run(
     sources: dict[str, DataFrame], since, *, excluded: list[str] = (), manual: dict[str, str] | None = None,
     overrides: dict[str, dict[str, object]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Sources: deals, users, accounts, projects, tasks, contacts; see the columns used above."""
+    """Sources: deals, users, accounts, projects, tasks, contacts; see the columns used above. Services requirements are the
+    migration question of a deal, `migration` its flag."""
     deals = link_services(won_deals(sources, since, list(excluded)), sources["deals"], manual or {})
     deals = override_by_id(deals, "id", overrides or {})
     return {"deals": with_project_and_task(deals, sources), "onboarding": report(deals, sources)}

@@ -9,7 +9,7 @@ from revloom.functions.dates import day
 from revloom.functions.numbers import row_argmax, row_max, row_sum
 from revloom.functions.text import hyperlink, record_link
 from revloom.operators.changes import zero_out_stale
-from revloom.operators.joins import floor_tier, left_lookup, with_presence
+from revloom.operators.joins import floor_tier, left_lookup, present_in, with_presence
 from revloom.operators.schema import assign_where, prettify, union_fill
 
 # Fixed values.
@@ -114,10 +114,13 @@ def run(
 ) -> dict[str, DataFrame]:
     """Sources: revenue(deal_id, product, arr), deals(id, account_id, category, stage), accounts(id, name, gap_to_list),
     captures(scheduler_id, per_day), schedulers(scheduler_id, customer_id), instance_customers(customer_id, account_id),
-    usage(portal_id, human_start, job_executions), portal_customers(portal_id, account_id), tiers."""
+    usage(portal_id, human_start, job_executions), portal_customers(portal_id, account_id), tiers. `before` has the
+    accounts' gaps as they were."""
     gaps = tier_gaps(seed(sources, as_of, instance_product, portal_product), sources["tiers"], portal_product)
+    update = account_gaps(gaps, sources["accounts"])
     return {
         "gaps": gaps,
         "report": report(gaps, base_url, list(excluded)),
-        "account_update": account_gaps(gaps, sources["accounts"]),
+        "account_update": update,
+        "before": present_in(sources["accounts"].select("id", "gap_to_list"), update, ["id"], unique=True),
     }

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.functions.numbers import per_rate
 from revloom.operators.changes import after_watermark
-from revloom.operators.joins import left_lookup
+from revloom.operators.joins import absent_from, left_lookup
 from revloom.operators.schema import override_by_id, typed_nulls
 
 # Converted amounts and what they are made of, and the columns taken as they are.
@@ -20,12 +20,32 @@ PLAIN = [
 ]
 
 
+def load(spark: SparkSession, captures: DataFrame, loaded: DataFrame | None, pattern: str = ".*", time: str = "snapshot_time") -> DataFrame | None:
+    """Rows of the captures that are not loaded yet, each stamped with its creation time; None when there are none.
+
+    captures: the catalog's list (table_name, creation_time, path) of stored Parquet tables. Those whose name has the pattern
+    and whose creation time `loaded` (the history, by its `time` column) does not hold are read, also several of one day. Columns
+    that a capture lacks are NULL; a column has the type of the first capture that has it. The list comes to the driver: it
+    names files, not rows.
+    """
+    due = captures.where(F.col("table_name").rlike(pattern))
+    if loaded is not None:
+        due = absent_from(due, loaded.select(time).distinct(), [("creation_time", time)], unique=True)
+    out, kinds = None, {}
+    for c in due.orderBy("creation_time", "table_name").collect():
+        rows = spark.read.parquet(c["path"])
+        rows = rows.select(*[F.col(f"`{n}`").cast(kinds.setdefault(n, k)).alias(n) for n, k in rows.dtypes if n != time])
+        rows = rows.withColumn(time, F.lit(c["creation_time"]).cast("timestamp"))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
 def run(
     snapshots: DataFrame, rates: DataFrame, mark=None, overrides: dict[str, dict[str, object]] | None = None, time: str = "snapshot_time"
 ) -> DataFrame:
     """Rows of all snapshots dated after the watermark, amounts in USD, manual corrections applied; to be appended.
 
-    snapshots: all captures as one frame (mergeSchema, one partition per capture). A column no capture of the
+    snapshots: captures as one frame, as `load` reads them. A column no capture of the
     run has is NULL, as is one that only some have.
     """
     new = after_watermark(snapshots, time, mark)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational", "changes", "documents", "usage", "revenue")
+MODULES = ("scalars", "relational", "changes", "documents", "usage", "revenue", "stored")
 
 
 def load_all():

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from revloom.session import settle
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +36,7 @@ def query(name: str, sql: str | None = None):
     """Register fn(tables) under `name`, with the SQL giving the same columns and rows."""
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            settle(spark)
             return fn(Tables(spark, folder))
 
         QUERIES[name] = run

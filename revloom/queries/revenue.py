@@ -219,18 +219,20 @@ def onboarding_sources(t: Tables) -> dict[str, DataFrame]:
             F.col("o_totalprice").alias("software_bookings"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 3).cast("double").alias("services_bookings"),
             kind.alias("type"), F.when(p == "2-HIGH", F.when(F.col("o_custkey") % 2 == 0, "SAP Flip").otherwise("Other")).alias("expansion_category"),
             F.when(F.col("o_custkey") % 7 == 0, "Excluded").otherwise("P").alias("product"), F.lit("boss").alias("owner_manager"),
-            F.when(F.col("o_orderstatus") == "P", "Open").otherwise("Closed Won").alias("stage"),
+            F.when(F.col("o_orderstatus") == "P", "Open").otherwise("Closed Won").alias("stage"), F.date_add("o_orderdate", -30).alias("sao_date"),
+            F.when(F.col("o_custkey") % 3 == 0, "migrates").alias("services_requirements"), (F.col("o_orderkey") % 2 == 0).alias("migration"),
         ),
         "users": people,
         "accounts": c.select(F.col("c_custkey").alias("id"), F.when(F.col("c_acctbal") >= 0, "P").alias("active_products"), F.col("c_mktsegment").alias("in_production")),
         "projects": l.where("l_returnflag = 'R'").select(
             line.alias("id"), F.col("l_orderkey").alias("deal_id"), F.concat(F.lit("proj "), line).alias("name"), F.col("l_linestatus").alias("status"), F.lit("st").alias("stage"),
+            F.col("l_shipdate").alias("created"), F.concat(F.lit("kind "), F.col("l_linestatus")).alias("type"), F.date_add("l_shipdate", 7).alias("start"),
             (F.col("l_suppkey") * 2).alias("owner_id"), F.col("l_partkey").alias("manager_id"),
         ).distinct(),
         "tasks": l.where("l_returnflag = 'A'").select(
             line.alias("id"), F.col("l_orderkey").alias("deal_id"), F.when(F.col("l_linestatus") == "O", "Onboarding").otherwise("Call").alias("type"),
             F.when(F.col("l_linenumber") <= 4, "Customer Success").otherwise("Sales").alias("role"), F.lit("open").alias("status"), F.concat(F.lit("task "), line).alias("subject"),
-            F.col("l_suppkey").alias("owner_id"), F.lit("T").alias("product"),
+            F.col("l_suppkey").alias("owner_id"), F.lit("T").alias("product"), F.date_add("l_shipdate", 3).alias("activity_date"),
         ).distinct(),
         "contacts": t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")),
     }
@@ -241,7 +243,8 @@ WITH opp AS (SELECT o_orderkey AS id, o_custkey AS account_id, 'deal ' || o_orde
   CASE WHEN o_orderstatus = 'O' THEN o_orderkey - 1 WHEN o_custkey % 4 = 0 THEN o_orderkey + 1 END AS related_id, CAST(o_orderdate AS DATE) AS close_date, o_totalprice AS software_bookings,
   CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 3 AS DOUBLE) END AS services_bookings, CASE o_orderpriority WHEN '1-URGENT' THEN 'New Business' WHEN '2-HIGH' THEN 'Existing Business'
   WHEN '3-MEDIUM' THEN 'Professional Services' ELSE 'Renewal' END AS type, CASE WHEN o_orderpriority = '2-HIGH' THEN CASE WHEN o_custkey % 2 = 0 THEN 'SAP Flip' ELSE 'Other' END END AS cat,
-  CASE WHEN o_custkey % 7 = 0 THEN 'Excluded' ELSE 'P' END AS product, CASE WHEN o_orderstatus = 'P' THEN 'Open' ELSE 'Closed Won' END AS stage FROM orders),
+  CASE WHEN o_custkey % 7 = 0 THEN 'Excluded' ELSE 'P' END AS product, CASE WHEN o_orderstatus = 'P' THEN 'Open' ELSE 'Closed Won' END AS stage, CAST(o_orderdate AS DATE) - 30 AS sao_date,
+  CASE WHEN o_custkey % 3 = 0 THEN 'migrates' END AS services_requirements, o_orderkey % 2 = 0 AS migration FROM orders),
 ps AS (SELECT * FROM opp WHERE type = 'Professional Services'),
 d0 AS (SELECT o.*, u.s_name AS owner, u2.s_name AS team_lead FROM opp o JOIN supplier u ON u.s_suppkey = owner_id LEFT JOIN supplier u2 ON u2.s_suppkey = lead_id
   WHERE (type = 'New Business' OR (type = 'Existing Business' AND cat = 'SAP Flip')) AND stage = 'Closed Won' AND close_date > DATE '1996-12-31' AND product <> 'Excluded'
@@ -253,8 +256,9 @@ d3 AS (SELECT d2.* EXCLUDE (related_id), CASE WHEN rtype <> 'Professional Servic
 nx AS (SELECT d.id, arg_min(b.id, (b.close_date, b.id)) AS v FROM d3 d JOIN ps b ON b.account_id = d.account_id AND b.close_date > d.close_date AND b.close_date < d.close_date + INTERVAL 12 MONTH GROUP BY 1),
 d4 AS (SELECT d3.* EXCLUDE (related_id, rname, rstage, rtype, ramount), coalesce(related_id, nx.v) AS related_id FROM d3 LEFT JOIN nx ON nx.id = d3.id),
 deals AS (SELECT d4.*, r.name AS related_name, r.stage AS related_stage, r.type AS related_type, r.services_bookings AS related_amount FROM d4 LEFT JOIN opp r ON r.id = d4.related_id),
-proj AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_orderkey AS deal_id, l_linestatus AS status, l_suppkey * 2 AS owner_id, l_partkey AS manager_id FROM lineitem WHERE l_returnflag = 'R'),
-task AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_orderkey AS deal_id, l_suppkey AS owner_id FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber <= 4)"""
+proj AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_orderkey AS deal_id, l_linestatus AS status, l_suppkey * 2 AS owner_id, l_partkey AS manager_id,
+  CAST(l_shipdate AS DATE) AS created, 'kind ' || l_linestatus AS type, CAST(l_shipdate AS DATE) + 7 AS start FROM lineitem WHERE l_returnflag = 'R'),
+task AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, l_orderkey AS deal_id, l_suppkey AS owner_id, CAST(l_shipdate AS DATE) + 3 AS activity_date FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O' AND l_linenumber <= 4)"""
 
 
 def _onboarding(t: Tables) -> dict[str, DataFrame]:
@@ -264,23 +268,29 @@ def _onboarding(t: Tables) -> dict[str, DataFrame]:
 @query("onboarding_report", DEALS + """
 SELECT d.account_id, d.id, d.owner, d.team_lead, CASE WHEN d.type = 'Existing Business' THEN 'SAP Flip' WHEN d.services_bookings > 0 THEN 'New Business w/PS Bundle' ELSE 'New Business' END AS opp_type,
        d.related_id, d.related_name, d.related_stage, d.related_type, d.related_amount, d.related_close_date, t.id AS task_id, 'task ' || t.id AS task_subject, tu.s_name AS task_owner,
-       'proj ' || p.id AS project_name, p.status AS project_status, pu.s_name AS project_owner, c.p_name AS engagement_manager_name, a.c_mktsegment AS in_production
+       'proj ' || p.id AS project_name, p.status AS project_status, pu.s_name AS project_owner, c.p_name AS engagement_manager_name, a.c_mktsegment AS in_production,
+       d.sao_date, d.services_requirements, d.migration, p.created AS project_created, p.type AS project_type, p.start AS project_start, t.activity_date AS task_activity_date
 FROM deals d LEFT JOIN task t ON t.deal_id = d.id LEFT JOIN proj p ON p.deal_id = d.related_id LEFT JOIN supplier tu ON tu.s_suppkey = t.owner_id LEFT JOIN supplier pu ON pu.s_suppkey = p.owner_id
 LEFT JOIN part c ON c.p_partkey = p.manager_id LEFT JOIN customer a ON a.c_custkey = d.account_id""")
 def onboarding_report(t: Tables):
     return _onboarding(t)["onboarding"].select(
         "account_id", "id", "owner", "team_lead", "opp_type", "related_id", "related_name", "related_stage", "related_type", "related_amount", "related_close_date", "task_id",
         "task_subject", "task_owner", "project_name", "project_status", "project_owner", "engagement_manager_name", "in_production",
+        "sao_date", "services_requirements", "migration", "project_created", "project_type", "project_start", "task_activity_date",
     )
 
 
 @query("onboarding_deals", DEALS + """
-SELECT d.id, d.related_id, 'proj ' || p.id AS project_name, pu.s_name AS project_owner, t.id AS task_id, tu.s_name AS task_owner FROM deals d
-LEFT JOIN (SELECT deal_id, min(id) AS id, arg_min(owner_id, id) AS owner_id FROM proj GROUP BY 1) p ON p.deal_id = d.related_id
-LEFT JOIN (SELECT deal_id, min(id) AS id, arg_min(owner_id, id) AS owner_id FROM task GROUP BY 1) t ON t.deal_id = d.id
+SELECT d.id, d.related_id, 'proj ' || p.id AS project_name, pu.s_name AS project_owner, t.id AS task_id, tu.s_name AS task_owner,
+       d.sao_date, d.services_requirements, d.migration, p.created AS project_created, p.type AS project_type, p.start AS project_start, t.activity_date AS task_activity_date FROM deals d
+LEFT JOIN (SELECT deal_id, min(id) AS id, arg_min(owner_id, id) AS owner_id, arg_min(created, id) AS created, arg_min(type, id) AS type, arg_min(start, id) AS start FROM proj GROUP BY 1) p ON p.deal_id = d.related_id
+LEFT JOIN (SELECT deal_id, min(id) AS id, arg_min(owner_id, id) AS owner_id, arg_min(activity_date, id) AS activity_date FROM task GROUP BY 1) t ON t.deal_id = d.id
 LEFT JOIN supplier pu ON pu.s_suppkey = p.owner_id LEFT JOIN supplier tu ON tu.s_suppkey = t.owner_id""")
 def onboarding_deals(t: Tables):
-    return _onboarding(t)["deals"].select("id", "related_id", "project_name", "project_owner", "task_id", "task_owner")
+    return _onboarding(t)["deals"].select(
+        "id", "related_id", "project_name", "project_owner", "task_id", "task_owner", "sao_date", "services_requirements", "migration", "project_created", "project_type",
+        "project_start", "task_activity_date",
+    )
 
 
 def tag_sources(t: Tables) -> dict[str, DataFrame]:

@@ -10,15 +10,31 @@ from revloom.functions.text import extract_or_null
 from revloom.operators.schema import clean_names, converted_currency
 
 
+def jdbc_split(spark: SparkSession, url: str, table: str, column: str, partitions: int, **options: str) -> dict[str, str]:
+    """Options that read a table in `partitions` ranges of a whole-number column, whose bounds one aggregate finds."""
+    bounds = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}", **options).load().first()
+    return split_options(column, bounds[0], bounds[1], partitions)
+
+
+def split_options(column: str, lower, upper, partitions: int) -> dict[str, str]:
+    """Reader options for a range read; none for an empty table. The upper bound is past the last value."""
+    if lower is None:
+        return {}
+    n = max(1, min(partitions, int(upper) - int(lower) + 1))
+    return {"partitionColumn": column, "lowerBound": str(int(lower)), "upperBound": str(int(upper) + 1), "numPartitions": str(n)}
+
+
 def read_sql_table(
-    spark: SparkSession, url: str, table: str, *, split: tuple[str, int, int, int] | None = None, **options: str
+    spark: SparkSession, url: str, table: str, *, key: str | None = None, partitions: int | None = None, fetch: int = 10_000, **options: str
 ) -> DataFrame:
-    """External SQL table over JDBC. `split` = (column, lower, upper, partitions) reads it in parallel."""
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-    if split:
-        column, lower, upper, n = split
-        reader = reader.options(partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=n)
-    return reader.load()
+    """External SQL table over JDBC, in parallel by its whole-number `key`, as many ranges as the session shuffles into.
+
+    A table without such a key is read by one task.
+    """
+    options = {"fetchsize": str(fetch), **options}
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    split = jdbc_split(spark, url, table, key, n, **options) if key else {}
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **split, **options).load()
 
 
 def read_files(spark: SparkSession, path: str | list[str], fmt: str = "parquet", schema=None, **options: str) -> DataFrame:

@@ -39,3 +39,17 @@ def test_column_types(spark, duck, name):
     spark_types = dict(QUERIES[name](spark, FOLDER).dtypes)
     duck_types = {r[0]: KINDS.get(r[1], r[1]) for r in duck.execute("DESCRIBE " + SQL[name].strip()).fetchall()}
     assert spark_types == duck_types
+
+
+ORDERED = {
+    "ordered_orders": ["o_orderstatus", "o_totalprice"], "gap_report": None, "table_scope": None, "usage_rejected_accounts": None,
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, duck, name):
+    """Rows as the plan sorts them: sorting the result again by the plan's own keys changes nothing."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().analyzed().toString()
+    assert "Sort [" in plan
+    first, again = (QUERIES[name](spark, FOLDER).collect() for _ in range(2))
+    assert first == again

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from revloom.operators import joins, windows
+from revloom.session import SETTINGS, TRAVELLING
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -63,3 +65,11 @@ def test_hot_lookup_is_whole(spark, no_broadcast, hot):
     table = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
     out = joins.left_lookup(hot, table, [("k", "k")], {"x": "x"})
     assert out.count() == 60000 and out.where("x <> k * 2 OR x IS NULL").count() == 0
+
+
+def test_queries_bring_their_settings_to_a_plain_session(spark):
+    plain = spark.newSession()
+    plain.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+    plain.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    entry.queries()["changeset"](plain, "/root/testdata/sf0.001")
+    assert all(plain.conf.get(n) == SETTINGS[n] for n in TRAVELLING)

@@ -102,11 +102,17 @@ def test_field_catalog(spark):
 
 def test_jdbc_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
-        readers.read_sql_table(spark, "jdbc:nosuch://h/db", "t", split=("id", 0, 10, 4))
+        readers.read_sql_table(spark, "jdbc:nosuch://h/db", "t", key="id", partitions=4)
     with pytest.raises(Exception, match="(?i)driver"):
         writers.write_sql_table(spark.range(1), "jdbc:nosuch://h/db", "t")
 
 
+def test_jdbc_ranges():
+    assert readers.split_options("id", 5, 104, 8) == {"partitionColumn": "id", "lowerBound": "5", "upperBound": "105", "numPartitions": "8"}
+    assert readers.split_options("id", 7, 8, 8)["numPartitions"] == "2"
+    assert readers.split_options("id", None, None, 8) == {}
+
+
 def test_write_all_and_tables(spark, tmp_path, rows):
     writers.write_all({"b": spark.range(1), "a": spark.range(2)}, str(tmp_path / "o"), last="b")
     assert spark.read.parquet(str(tmp_path / "o" / "a")).count() == 2 and spark.read.parquet(str(tmp_path / "o" / "b")).count() == 1
