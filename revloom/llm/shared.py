@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,9 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SETTING = "spark.checkpoint.dir"
-#: Temporary folders of local sessions, by application.
-_OWN: dict[str, str] = {}
+from revloom.session import shared_folder
 
 
 def known_to_workers(spark: SparkSession) -> None:
@@ -27,21 +23,8 @@ def known_to_workers(spark: SparkSession) -> None:
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir.
-
-    Where none is named, as in tests, local sessions get a temporary one; a cluster must name it, since its machines
-    share no temporary folder. What is written there stays until the caller empties the folder.
-    """
-    top = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError(f"set {SETTING} to a folder that all machines share")
-        name = spark.sparkContext.applicationId
-        if name not in _OWN:
-            _OWN[name] = "file://" + tempfile.mkdtemp(prefix="revloom-")
-        top = _OWN[name]
-    return f"{top.rstrip('/')}/revloom-{uuid.uuid4().hex}"
+    """A new folder that all machines share, below spark.checkpoint.dir."""
+    return shared_folder(spark)
 
 
 def stored(df: DataFrame, place: str) -> DataFrame:

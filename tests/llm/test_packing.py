@@ -14,13 +14,13 @@ from revloom.llm import packing
 from revloom.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+LIBRARY.encode_special_tokens = True
 
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+    return lambda text: LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def check(rows, pieces, library, capacity=1024):
@@ -78,14 +78,12 @@ def test_blocks_follow_one_another(spark, library, monkeypatch):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'  a1.é"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_word_by_word_is_the_whole_text(text):
-    encoder, t = packing.Encoder(PATH), Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    assert encoder.ids(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    assert packing._encoder(PATH).ids(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 def test_long_texts_are_cut_between_words(library, monkeypatch):
     monkeypatch.setattr(packing, "CHUNK_CHARS", 7)
-    encoder = packing.Encoder(PATH)
+    encoder = packing._encoder(PATH)
     for text in ("one two  three\n four five", "abcdefghijklmnop qrs", "a b c d e f g h i j k", "  x   y   z        w"):
         assert encoder.ids(text).tolist() == library(text)
 
