@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.llm import line_dedup, mixing, ngram_join, packing, quality
-from revloom.llm.shared import folder, stored
+from revloom.llm.shared import folder, known_to_workers, stored
 
 #: Distinct sources from which on a line is boilerplate.
 MIN_SITES = 10
@@ -43,13 +45,24 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [
+def _stage(function):
+    """A stage whose Python workers find the library where the driver has it."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        known_to_workers(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [(name, _stage(function)) for name, function in [
     ("quality_classifier", good_documents),
     ("line_dedup", without_boilerplate),
     ("ngram_jaccard_join", without_near_copies),
     ("source_mixing", mixed_sources),
     ("packing", packed_sequences),
-]
+]]
 
 #: A learned classifier and tokenization have no SQL form; tests/llm checks the rows against a plain version.
 ORACLE_SQL = None
