@@ -77,6 +77,6 @@ def run(sources: dict[str, DataFrame], as_of, last_only: bool = False) -> dict[s
         **products(sources["products"]),
         "contracts": contract_table(docs),
         "contract_periods": period_table(docs, as_of),
-        "contract_job_tiers": job_tier_table(docs, last_only).orderBy("opportunityId", "start", "ContractPeriodId"),
+        "contract_job_tiers": job_tier_table(docs, last_only).sortWithinPartitions("opportunityId", "start", "ContractPeriodId"),
         "usage_periods": usage_period_table(sources["contract_usage"], docs),
     }

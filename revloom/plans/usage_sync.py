@@ -12,6 +12,7 @@ from revloom.operators.changes import change_set, failed_rows, keep_one, new_onl
 from revloom.operators.joins import absent_from, id_account_map, left_lookup
 from revloom.operators.schema import rename, union_fill
 from revloom.operators.windows import latest_per_key, usage_change
+from revloom.sources.writers import overwrite
 
 # Fixed values.
 YEARS_KEPT = 3
@@ -139,8 +140,7 @@ def run(
 ) -> dict[str, DataFrame]:
     """Sources: activity_customers / customers / reported (id, account), usage_periods, contracts, products, usage,
     snapshots, captures, schedulers, instance_customers, crm_usage(record_key, ...), crm_daily(id, record_key),
-    accounts(id, usage_change, usage_last_30, last_usage_date). Three outputs are made from `daily_usage`: write it
-    and read it back for them, or persist it."""
+    accounts(id, usage_change, usage_last_30, last_usage_date). Three outputs are made from `daily_usage`: `store` writes it once."""
     mapped = id_map(sources, bad_ids, bad_accounts)
     usage = daily_usage(sources, mapped, as_of, portal_product, instance_product)
     return {
@@ -150,3 +150,23 @@ def run(
         "account_update": account_update(usage, sources["accounts"]),
         **daily_changes(usage, sources["crm_daily"]),
     }
+
+
+def store(
+    sources: dict[str, DataFrame], as_of, folder: str, *, portal_product: str, instance_product: str, bad_ids=(), bad_accounts=()
+) -> dict[str, DataFrame]:
+    """`run` with its outputs written below `folder` and read back: the id map, then daily usage once, then what is made
+    from them."""
+    spark = sources["usage"].sparkSession
+
+    def written(name: str, df: DataFrame) -> DataFrame:
+        overwrite(df, f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    mapped = written("id_map", id_map(sources, bad_ids, bad_accounts))
+    usage = written("daily_usage", daily_usage(sources, mapped, as_of, portal_product, instance_product))
+    later = {
+        "period_changes": period_changes(sources), "account_update": account_update(usage, sources["accounts"]),
+        **daily_changes(usage, sources["crm_daily"]),
+    }
+    return {"id_map": mapped, "daily_usage": usage, **{name: written(name, df) for name, df in later.items()}}

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.operators.schema import union_fill
-from revloom.plans import mirror, snapshots
-from revloom.queries.registry import Tables, query
+from revloom.plans import mirror, snapshots, usage_sync
+from revloom.queries.registry import SQL, Tables, query
+from revloom.queries.usage import AS_OF, sync_sources
 from revloom.session import shared_folder
 from revloom.sources import readers, writers
 
@@ -150,3 +151,10 @@ def snapshot_captures(t: Tables):
     captures = t.spark.createDataFrame(listed, "table_name string, creation_time string, path string").withColumn("creation_time", F.col("creation_time").cast("timestamp"))
     loaded = captures.where("table_name = 'Opportunity_0'").select(F.col("creation_time").alias("snapshot_time"))
     return snapshots.load(t.spark, captures, loaded, "^Opportunity_").select("id", "stage", "amount", "snapshot_time")
+
+
+@query("usage_stored", SQL["usage_account_update"])
+def usage_stored(t: Tables):
+    """The whole usage sync, step by step from stored tables; its account update."""
+    out = usage_sync.store(sync_sources(t), AS_OF, shared_folder(t.spark), portal_product="P", instance_product="I")
+    return out["account_update"]
