@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revloom.operators.schema import union_fill
 from revloom.plans import mirror, snapshots, usage_sync
 from revloom.queries.registry import SQL, Tables, query
-from revloom.queries.usage import AS_OF, sync_sources
+from revloom.queries.usage import AS_OF, sync_sources, with_crm_usage
 from revloom.session import shared_folder
 from revloom.sources import readers, writers
 
@@ -156,5 +156,5 @@ def snapshot_captures(t: Tables):
 @query("usage_stored", SQL["usage_account_update"])
 def usage_stored(t: Tables):
     """The whole usage sync, step by step from stored tables; its account update."""
-    out = usage_sync.store(sync_sources(t), AS_OF, shared_folder(t.spark), portal_product="P", instance_product="I")
+    out = usage_sync.store(with_crm_usage(sync_sources(t)), AS_OF, shared_folder(t.spark), portal_product="P", instance_product="I")
     return out["account_update"]

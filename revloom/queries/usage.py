@@ -229,16 +229,18 @@ def usage_id_map(t: Tables):
     return usage_sync.id_map(sync_sources(t))
 
 
+def with_crm_usage(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    crm = usage_sync.usage_periods(s["usage_periods"], s["contracts"], s["products"])
+    return s | {"crm_usage": crm.where("product IS NOT NULL").withColumn("usage", F.when(F.col("allotted_usage") == 11, 0).otherwise(F.col("usage")))}
+
+
 @query("usage_period_changes", """
 WITH p AS (SELECT l_orderkey || '-' || l_linenumber AS record_key, l_orderkey, l_linenumber + 10 AS allotted, CAST(sum(l_quantity) AS BIGINT) AS usage, o_orderpriority AS pr, o_custkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber, o_orderpriority, o_custkey)
 SELECT record_key, CASE WHEN pr = '5-LOW' THEN 'insert' WHEN allotted = 11 AND usage <> 0 THEN 'update' ELSE 'noop' END AS action, usage, allotted AS allotted_usage,
        'opp' || l_orderkey AS deal_id, o_custkey AS customer_id, CASE WHEN pr <> '5-LOW' THEN lower(pr) END AS product FROM p""")
 def usage_period_changes(t: Tables):
-    s = sync_sources(t)
-    crm = usage_sync.usage_periods(s["usage_periods"], s["contracts"], s["products"])
-    s["crm_usage"] = crm.where("product IS NOT NULL").withColumn("usage", F.when(F.col("allotted_usage") == 11, 0).otherwise(F.col("usage")))
-    return usage_sync.period_changes(s).select("record_key", "action", "usage", "allotted_usage", "deal_id", "customer_id", "product")
+    return usage_sync.period_changes(with_crm_usage(sync_sources(t))).select("record_key", "action", "usage", "allotted_usage", "deal_id", "customer_id", "product")
 
 
 @query("usage_rejected_accounts", USAGE + """,
