@@ -84,12 +84,12 @@ def half(t: Tables, remainder: int) -> DataFrame:
     return t.orders.where(F.col("o_orderkey") % 2 == remainder).select("o_orderkey", "o_totalprice")
 
 
-@query("overwrite_load", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 1")
+@query("overwrite_load", "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders")
 def overwrite_load(t: Tables):
-    """A table replaced by the second load."""
+    """A table replaced by the second load, which has other prices."""
     place = shared_folder(t.spark)
-    writers.overwrite(half(t, 0), place)
-    writers.overwrite(half(t, 1), place)
+    writers.overwrite(t.orders.select("o_orderkey", "o_totalprice"), place)
+    writers.overwrite(t.orders.select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice")), place)
     return t.spark.read.parquet(place)
 
 
