@@ -44,6 +44,8 @@ BLOCK = 512
 LIST_BLOCK = 2048
 #: Bits of a sketch, a power of two at least the size of the set within these.
 SKETCH_BITS = (64, 4096)
+#: Pairs whose sketches are compared at a time.
+PAIRS = 1 << 14
 #: Columns of the 0/1 matrices that a task multiplies at a time.
 COLUMNS = 4096
 
@@ -236,8 +238,8 @@ class _Sketches:
                 wide = self.words[other]
                 if other != w:
                     wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]
-                for low in range(0, len(pairs), 1 << 16):
-                    p = pairs[low : low + (1 << 16)]
+                for low in range(0, len(pairs), PAIRS):
+                    p = pairs[low : low + PAIRS]
                     out[p] = np.bitwise_count(words[self.place[a[p]]] ^ wide[self.place[b[p]]]).sum(1, dtype=np.int64)
         return out
 
@@ -266,8 +268,8 @@ def _plausible(percent: int):
             while len(rows):
                 distance += 1
                 rows = rows[rows + distance < end[rows]]
-                for low in range(0, len(rows), 1 << 18):
-                    a = rows[low : low + (1 << 18)]
+                for low in range(0, len(rows), 8 * PAIRS):
+                    a = rows[low : low + 8 * PAIRS]
                     b = a + distance
                     kept = _may_link(sketches, n, a, b, percent) & ((i[a] == j[a]) | (block[a] != block[b]))
                     first.append(a[kept])

@@ -49,11 +49,12 @@ def may_hold(values: DataFrame):
     table = np.zeros((BITS // _WORD, _WORD // 8), np.uint8)
     for row in marked.collect():
         table[row["word"]] = np.frombuffer(row["bits"], np.uint8)
-    sent = values.sparkSession.sparkContext.broadcast(np.unpackbits(table.ravel(), bitorder="little").view(bool))
+    sent = values.sparkSession.sparkContext.broadcast(table.ravel())
 
     @F.arrow_udf("boolean")
     def held(spots: pa.Array) -> pa.Array:
-        return pa.array(sent.value[spots.to_numpy(zero_copy_only=False)])
+        spot = spots.to_numpy(zero_copy_only=False)
+        return pa.array((sent.value[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool))
 
     def test(column: Column) -> Column:
         return held(F.pmod(F.xxhash64(column), F.lit(BITS)))
