@@ -16,8 +16,6 @@ D has a value for counts of 1, 2 and 3 or more, from the counts of counts of all
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
@@ -221,28 +219,16 @@ class Model:
 
 
 class _Arrays:
-    """The arrays of a model, mapped to memory. Where the shared folder is no mounted one, copies that last as long as this."""
+    """The arrays of a model, mapped to memory from the shared folder, which must be a mounted one for that."""
 
     def __init__(self, model: Model):
-        self.own = None
-        if urlparse(model.place).scheme in ("", "file"):
-            place = urlparse(model.place).path
-        else:
-            place = self.own = tempfile.mkdtemp()
-            system, path = fs.FileSystem.from_uri(model.place)
-            for files in model.files.values():
-                for name, _ in files.values():
-                    with system.open_input_stream(f"{path}/{name}") as source, open(f"{place}/{name}", "wb") as to:
-                        shutil.copyfileobj(source, to)
+        where = urlparse(model.place)
+        if where.scheme not in ("", "file"):
+            raise ValueError(f"{model.place} cannot be mapped to memory: name a mounted folder in spark.checkpoint.dir")
         self.ranges = model.ranges
-        self.files = {kind: {r: (os.path.join(place, name), size) for r, (name, size) in files.items()} for kind, files in model.files.items()}
+        self.files = {kind: {r: (os.path.join(where.path, name), size) for r, (name, size) in files.items()} for kind, files in model.files.items()}
         self.open: dict[tuple[int, int], list[np.ndarray]] = {}
 
-    def close(self) -> None:
-        self.open.clear()
-        if self.own:
-            shutil.rmtree(self.own)
-
     def _arrays(self, kind: int, r: int) -> list[np.ndarray] | None:
         if (kind, r) not in self.open:
             if r not in self.files[kind]:
@@ -303,17 +289,14 @@ def _score_piece(model: Model, arrays: _Arrays, data: np.ndarray, starts: np.nda
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = _Arrays(model)
-        try:
-            for batch in batches:
-                for first, data, starts in pieces(batch.column("text")):
-                    size, known, base, score = _score_piece(model, arrays, data, starts)
-                    ids, held = (batch.column(c).slice(first, len(size)) for c in ("doc_id", "held_out"))
-                    yield pa.record_batch([
-                        ids, held, pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(size), model.tokens), pa.int64()),
-                        pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                    ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        finally:
-            arrays.close()
+        for batch in batches:
+            for first, data, starts in pieces(batch.column("text")):
+                size, known, base, score = _score_piece(model, arrays, data, starts)
+                ids, held = (batch.column(c).slice(first, len(size)) for c in ("doc_id", "held_out"))
+                yield pa.record_batch([
+                    ids, held, pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(size), model.tokens), pa.int64()),
+                    pa.array(base, pa.float64()), pa.array(score, pa.float64()),
+                ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return run
 

@@ -89,3 +89,9 @@ def test_discounts():
     assert lm.discounts([0, 0, 0, 0]).tolist() == [0, 0.5, 1.0, 1.5]
     y = 10 / (10 + 2 * 4)
     assert lm.discounts([10, 4, 2, 1]).tolist() == pytest.approx([0, 1 - 2 * y * 0.4, 2 - 3 * y * 0.5, 3 - 4 * y * 0.5])
+
+
+def test_only_a_mounted_folder_can_be_mapped():
+    model = lm.Model("hdfs://store/x", 4, {lm.PAIRS: {}, lm.WORDS: {}}, [0] * 4, [0] * 8)
+    with pytest.raises(ValueError, match="mounted"):
+        lm._Arrays(model)
