@@ -118,7 +118,9 @@ def test_snapshots_with_missing_columns(spark, rows):
     t = dt.datetime
     df = spark.createDataFrame([("1", "E", False, 10.0, "x", t(2024, 1, 1, 9)), ("1", "E", False, 10.0, "x", t(2024, 1, 2)), ("1", "E", False, 10.0, "x", t(2024, 1, 2)), ("2", "E", True, 1.0, "x", t(2024, 1, 3)), ("3", "?", False, 1.0, "x", t(2024, 1, 3))], base)
     out = snapshots.run(df, spark.createDataFrame([("E", 2.0)], "iso_code string, rate double"), t(2024, 1, 1, 1), {"3": {"type": "New"}})
-    assert rows(out.select("id", "first_year_value_usd", "software_usd", "type")) == [("1", 5.0, None, "x"), ("3", None, None, "New")]
+    assert rows(out.select("id", "first_year_value_usd", "software_usd", "type")) == [("1", 5.0, None, "x"), ("1", 5.0, None, "x"), ("3", None, None, "New")]
+    later = snapshots.run(df, spark.createDataFrame([("E", 2.0)], "iso_code string, rate double"), t(2024, 1, 1, 9))
+    assert rows(later.select("id")) == [("1",), ("3",)]
     assert snapshots.run(df, spark.createDataFrame([("E", 2.0)], "iso_code string, rate double")).count() == 3
 
 
@@ -126,7 +128,7 @@ def test_install_match(spark, rows):
     payload = spark.createDataFrame([("install", ["1", "setup-ab12cd.exe"]), ("install", ["2", "x-ab12cd.msi"]), ("visit", ["3", "y-ab12cd.msi"]), ("install", ["4"]), ("install", None)], "type string, properties array<string>")
     leads = spark.createDataFrame([(1, "ab12cd", False, True), (2, "setup-", False, True), (3, "ab12cd", True, True), (4, None, False, True), (5, "setup", False, True)], "id int, token string, verified boolean, token_present boolean")
     out = install_match.run({"payload": payload, "leads": leads})
-    assert rows(out["matches"].select("id", "installs")) == [(1, "setup-ab12cd.exe,x-ab12cd.msi"), (5, "setup-ab12cd.exe")]
+    assert rows(out["matches"].select("id", "install")) == [(1, "setup-ab12cd.exe"), (1, "x-ab12cd.msi"), (5, "setup-ab12cd.exe")]
     assert rows(out["lead_update"]) == [(1, True), (5, True)]
 
 
@@ -135,7 +137,9 @@ def test_tag_sync(spark, rows):
     others = spark.createDataFrame([("c1", "d", "Active Account"), ("c2", "d", "Former"), ("c3", None, "Active Account")], "id string, domain string, status string")
     out = tag_sync.run({"accounts": accounts, "customers": others}, "T")
     assert rows(out["candidates"].select("id", "match_count", "matched")) == [(1, 1, True), (2, 1, True), (3, 1, False), (4, 1, False), (5, 1, False), (6, 2, True)]
-    assert rows(out["matched_ids"].select("id", "matched_ids")) == [(1, "c1"), (2, "c1"), (6, "c1,c2")]
+    found = out["candidates"].where("matched").join(out["domain_ids"], ["scope", "domain"])
+    assert rows(found.select("id", "matched_id")) == [(1, "c1"), (2, "c1"), (6, "c1"), (6, "c2")]
+    assert rows(out["before"]) == [(1, None), (2, "A"), (3, "A;T"), (4, "T"), (5, None)]
     assert rows(out["account_update"]) == [(1, "T"), (2, "A;T"), (3, "A"), (4, None), (5, None)]
 
 
