@@ -332,9 +332,10 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
 
     docs: doc_id long, text string; other columns are ignored. One row per row of docs: doc_id, text_hash (xxhash64 of the
     text), n_shingles, component_id (smallest doc_id reachable by links, nulls aside; null if there are only nulls),
-    n_links (other rows linked directly, copies one by one), digest (of the set), row_id. Fewer words than `width` are one
-    shingle. A null or blank text has no shingles, links with nothing and is its own component. Rows that share a doc_id are
-    documents of their own. An empty table gives no rows. Shingles count as equal when their 64 bit hashes are.
+    n_links (other rows linked directly, copies one by one), digest (of the set), row_id, root (a row_id of the component,
+    which tells components apart where they share their smallest doc_id). Fewer words than `width` are one shingle. A null
+    or blank text has no shingles, links with nothing and is its own component. Rows that share a doc_id are documents of
+    their own. An empty table gives no rows. Shingles count as equal when their 64 bit hashes are.
     """
     spark = docs.sparkSession
     place = folder(spark)
@@ -374,10 +375,10 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
         .select("digest", "low", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "vertex").alias("root"))
     )
     least = found.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = found.join(least, "root").select("digest", "n_links", "component_id")
+    found = found.join(least, "root").select("digest", "n_links", "component_id", "root")
     return signed.join(found, "digest", "left").select(
         "doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), "digest", "row_id")
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "digest", "row_id", F.coalesce("root", "row_id").alias("root"))
 
 
 def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -388,7 +389,7 @@ def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     """
     found = linked_documents(docs, width, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    grouped = found.where("n_shingles > 0").groupBy(F.coalesce("component_id", F.lit(-1)).alias("c"), F.when(F.col("component_id").isNull(), F.col("digest")).alias("d")).agg(first)
+    grouped = found.where("n_shingles > 0").groupBy("root").agg(first)
     keep = grouped.select(F.col("first.doc_id").alias("_doc_id"), F.col("first.text_hash").alias("_hash")).distinct()
     worded = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
     # repeated rows differ by number only, so any of them may stay

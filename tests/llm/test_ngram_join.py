@@ -107,6 +107,16 @@ def test_one_per_group(spark):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == sorted(expected)
 
 
+def test_groups_that_share_their_smallest_number(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (10, a + " end"), (3, b), (11, b + " end"), (-1, "minus one is a number of its own"), (None, c), (None, c + " end"), (None, "alone with no number at all")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = nj.one_per_group(df).collect()
+    once = [(3, a), (3, b), rows[4], rows[7]]
+    assert sorted((tuple(r) for r in kept if r["text"] not in (c, c + " end")), key=str) == sorted(once, key=str)
+    assert len(kept) == len(once) + 1, "one of the linked rows without a number"
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert found(empty, 3, 90) == []
