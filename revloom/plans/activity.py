@@ -21,9 +21,9 @@ def by_month(activity: DataFrame) -> DataFrame:
 
 
 def sorted_fact(long: DataFrame) -> DataFrame:
-    """By portal, environment, activity and month within partitions, missing values last; a stored table keeps no more order."""
+    """By portal, environment, activity and month, missing values last."""
     keys = ["portal_id", "envid", "activity", "month", "type"]
-    return long.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
+    return long.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
 
 
 def empty_requests(customers: DataFrame, activity_types: DataFrame, years: DataFrame, activity: DataFrame) -> DataFrame:

@@ -53,6 +53,11 @@ def job_tier_table(documents: DataFrame, last_only: bool = False) -> DataFrame:
     return clean_names(rows.select("t.*", "ContractPeriodId", "opportunityId"))
 
 
+def sorted_tiers(tiers: DataFrame) -> DataFrame:
+    """By opportunity, start and period, missing values last."""
+    return tiers.orderBy(*[F.col(k).asc_nulls_last() for k in ("opportunityId", "start", "ContractPeriodId")])
+
+
 def usage_period_table(usage: DataFrame, documents: DataFrame) -> DataFrame:
     """One row per usage period of a contract, with the contract's ids and a record key.
 
@@ -77,6 +82,6 @@ def run(sources: dict[str, DataFrame], as_of, last_only: bool = False) -> dict[s
         **products(sources["products"]),
         "contracts": contract_table(docs),
         "contract_periods": period_table(docs, as_of),
-        "contract_job_tiers": job_tier_table(docs, last_only).sortWithinPartitions("opportunityId", "start", "ContractPeriodId"),
+        "contract_job_tiers": sorted_tiers(job_tier_table(docs, last_only)),
         "usage_periods": usage_period_table(sources["contract_usage"], docs),
     }

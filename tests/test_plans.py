@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from revloom.plans import contracts, daily_usage, forecast, install_match, onboarding, reconcile, snapshots, tag_sync, telemetry, usage_sync
+from revloom.plans import activity, contracts, daily_usage, forecast, install_match, onboarding, reconcile, snapshots, tag_sync, telemetry, usage_sync
 
 D = dt.date
 
@@ -31,6 +31,17 @@ def test_daily_usage(spark, rows):
     assert out["customers"].columns == ["portal_id"]
 
 
+def test_sorted_jobs_are_in_order_across_partitions(spark):
+    last = lambda r: [(v is None, v) for v in r]
+    fact = spark.range(600).selectExpr(
+        "CASE WHEN id % 7 > 0 THEN concat('p', id % 7) ELSE NULL END AS portal_id", "concat('e', id % 5) AS envid", "concat('a', id % 3) AS activity", "CASE WHEN id % 11 > 0 THEN id % 11 END AS month",
+        "concat('t', id % 2) AS type")
+    tiers = spark.range(600).selectExpr("CASE WHEN id % 13 > 0 THEN concat('o', id % 13) END AS opportunityId", "CASE WHEN id % 9 > 0 THEN id % 9 END AS start", "concat('c', id % 4) AS ContractPeriodId")
+    for rows in (activity.sorted_fact(fact.repartition(5)), contracts.sorted_tiers(tiers.repartition(5))):
+        got = [last(r) for r in rows.collect()]
+        assert len(got) == 600 and all(a <= b for a, b in zip(got, got[1:], strict=False))
+
+
 def test_contracts_from_json_files(spark, tmp_path, rows):
     date = lambda y, m, d: {"year": y, "month": m, "dayOfMonth": d}
     docs = [
