@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revloom.functions.keys import same
+from revloom.operators import scan
 from revloom.operators.windows import first_per_key
 
-#: Ranges of a floor lookup per shuffle partition; the partitions are set to the data.
-RANGES_PER_PARTITION = 4
-
 
 def pairs(left: str, right: str, on: list[tuple[str, str]] | list[str]) -> Column:
     """Null-safe join condition between two aliased frames.
@@ -101,39 +97,49 @@ def update_from(
 def floor_tier(df: DataFrame, tiers: DataFrame, value: str, threshold: str, ranges: int | None = None) -> DataFrame:
     """Row's greatest threshold <= its value, or the lowest threshold when there is none, as `threshold`.
 
-    Values and thresholds are compared as SQL compares their types, NaN above all numbers. A NULL value gets the lowest
-    threshold. Distinct values and thresholds meet in ranges of about equal size, each range looks up its own, and what lies
-    below a range comes from a table with one row per range; so neither side has to be small. Copies of a value are looked
-    up once. One job finds where the ranges begin, which decides about the work alone.
+    Values and thresholds are compared as SQL compares their types, NaN above all numbers. A NULL value gets the lowest threshold. An
+    as-of merge: a sample of the thresholds cuts them into ranges that each begin with a threshold, so the answer to a value is
+    in its own range. Rows go there once, each gets its answer in one pass over the sorted range, and nothing is joined
+    back. A range with many rows, as a sample shows, is dealt to several tasks by a hash of the row, its thresholds to each of them.
+    Neither side has to be small.
     """
+    ranges = ranges or scan.default_ranges(df)
     kind = tiers.schema[threshold].dataType
-    wanted = df.select(F.col(value).alias("v"), F.lit(None).cast(kind).alias("t"))
-    steps = tiers.select(F.col(threshold).alias("v"), F.col(threshold).alias("t"))
-    both = wanted.unionByName(steps).where("v IS NOT NULL").distinct()
-    both = _ranged(both, "v", ranges or RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    up_to = Window.partitionBy("b").orderBy("v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = both.withColumn("f", F.max("t").over(up_to)).where("t IS NULL")
-    tops = both.groupBy("b").agg(F.max("t").alias("top"))
-    below = Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select("b", F.max("top").over(below).alias("carry"))  # one row per range
-    found = local.join(F.broadcast(carried), "b").select("v", F.coalesce("f", "carry").alias("f"))
-
-    lowest = tiers.agg(F.min(threshold)).scalar()
-    out = left_lookup(df.withColumn("_v", F.col(value).cast(both.schema["v"].dataType)), found, [("_v", "v")], {threshold: "f"}).drop("_v")
-    return out.withColumn(threshold, F.coalesce(threshold, lowest))
-
-
-def _ranged(df: DataFrame, value: str, ranges: int) -> DataFrame:
-    """`b`: which of about even ranges a value is in. Its order follows the values', through their nearest double."""
-    near = df.withColumn("_v", F.col(value).cast("double"))
-    cuts = near.approxQuantile("_v", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
-    edges = [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)}), float("inf")]
-    if len(edges) < 3:
-        return near.withColumn("b", F.lit(0)).drop("_v")
-    # NaN goes to a range of its own behind the others
-    cutter = Bucketizer(splits=edges, inputCol="_v", outputCol="b", handleInvalid="keep")
-    return cutter.transform(near).drop("_v")
+    wide = df.select(F.col(value).alias("v")).union(tiers.select(F.col(threshold).alias("v"))).schema["v"].dataType
+    steps = tiers.select(F.col(threshold).alias("_t")).where("_t IS NOT NULL").distinct().withColumn("_v", F.col("_t").cast(wide))
+    cuts = scan.cuts(steps, F.struct("_v"), ranges)
+    other = [c for c in df.columns if c != threshold]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in other]).alias("_row"), F.col(value).cast(wide).alias("_v"))
+    some = scan.placed(scan.sampled(rows, F.col("_row"), ranges * scan.SAMPLED_PER_RANGE), cuts, F.struct("_v"), ranges)
+    held = some.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    tasks = F.ceil(F.col("n") * F.lit(ranges) / F.sum("n").over(Window.partitionBy(F.lit(0)))).cast("int")  # a row per range
+    dealt = held.select("_range", tasks.alias("tasks")).agg(F.map_from_entries(F.collect_list(F.struct("_range", "tasks")))).scalar()
+    rows = scan.placed(rows, cuts, F.struct("_v"), ranges)
+    shares = F.coalesce(F.try_element_at(dealt, F.col("_range")), F.lit(1))
+    rows = rows.withColumn("_share", F.pmod(F.xxhash64("_row"), shares)).withColumn("_t", F.lit(None).cast(kind))
+    steps = scan.placed(steps, cuts, F.struct("_v"), ranges).withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), (shares - 1).cast("long"))))
+    both = rows.unionByName(steps, allowMissingColumns=True)
+    # of equal values the thresholds come first
+    seen = Window.partitionBy("_range", "_share").orderBy("_v", F.col("_t").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_t", F.last("_t", ignorenulls=True).over(seen)).where("_row IS NOT NULL")
+    return found.select("_row.*", F.coalesce("_t", tiers.agg(F.min(threshold)).scalar()).alias(threshold))
+
+
+#: Rows that a declared tier list may have.
+LISTED_TIERS = 1 << 16
+
+
+def floor_listed(df: DataFrame, tiers: DataFrame, value: str, threshold: str, prefer: str, alias: str) -> DataFrame:
+    """The whole row of the floor tier as a struct `alias`, for a tier list that the caller knows to be short (LISTED_TIERS rows at most).
+
+    The list goes into the plan as one sorted array and is searched in each row where it is: no join, no shuffle, no job beforehand. Values
+    meet thresholds as in `floor_tier`; of several tiers with one threshold the one with the smallest `prefer` counts.
+    """
+    rest = [c for c in tiers.columns if c not in (threshold, prefer)]
+    one = tiers.where(F.col(threshold).isNotNull()).groupBy(threshold).agg(F.min(F.struct(prefer, *rest)).alias("_rest"))
+    listed = one.agg(F.array_sort(F.collect_list(F.struct(threshold, "_rest.*")))).scalar()
+    found = df.withColumn("_listed", listed).withColumn("_at", scan.position("_listed", F.col(value), LISTED_TIERS, threshold))
+    return found.withColumn(alias, F.get("_listed", F.greatest(F.col("_at") - 1, F.lit(0)))).drop("_listed", "_at")
 
 
 def next_within(

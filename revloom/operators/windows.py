@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revloom.functions.keys import same
 from revloom.functions.numbers import percent, ratio_change, sum_where
+from revloom.operators import scan
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -36,33 +36,22 @@ def with_key_max(df: DataFrame, keys: list[str], value: str, alias: str) -> Data
     return l.join(r, on, "left").select("l.*", f"r.`{alias}`")
 
 
-def lag_difference(
-    df: DataFrame, series: list[str], order: list[str], values: dict[str, str], bucket: Column | None = None
-) -> DataFrame:
+def lag_difference(df: DataFrame, series: list[str], order: list[str], values: dict[str, str], ranges: int | None = None) -> DataFrame:
     """Each value minus the one before it in its series, as {new column: value column}.
 
-    A series is cut into buckets that follow its order: minutes when the first order column is a time, days when a day
-    has several rows (more than one order column), else months; or `bucket`. The last values of a bucket, found before the
-    shuffle, become a row before the first one of the series' next bucket; one window over a bucket then does it all.
+    The global order of series and `order` is cut into ranges by the number of rows; the last row of a range is carried into the next.
     `order` must be total within a series, or the result depends on which of equal rows comes first.
     """
-    columns = list(dict.fromkeys(values.values()))
-    rows = df.withColumns({"_bucket": _bucket(df, order) if bucket is None else bucket, "_own": F.lit(1)})
-    ends = rows.groupBy(*series, "_bucket").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_end"))
-    across = Window.partitionBy(*series).orderBy("_bucket")
-    carried = ends.withColumns({"_last": F.row_number().over(across) == F.count(F.lit(1)).over(Window.partitionBy(*series)), "_next": F.lead("_bucket").over(across)})
-    carried = carried.where(~F.col("_last")).select(*series, F.col("_next").alias("_bucket"), "_end.*", F.lit(0).alias("_own"))
-    inside = Window.partitionBy(*series, "_bucket").orderBy("_own", *order)
-    stacked = rows.unionByName(carried, allowMissingColumns=True)
-    lagged = stacked.withColumns({f"_lag_{c}": F.lag(c).over(inside) for c in columns}).where("_own = 1")
+    lagged = scan.with_previous(df, series, order, list(dict.fromkeys(values.values())), ranges)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
     return lagged.select(*kept, *[(F.col(f"`{c}`") - F.col(f"`_lag_{c}`")).alias(n) for n, c in values.items()])
 
 
-def _bucket(df: DataFrame, order: list[str]) -> Column:
-    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("minute", F.col(order[0]))
-    return F.col(order[0]) if len(order) > 1 else F.trunc(order[0], "month")
+def daily_difference(df: DataFrame, series: list[str], day: str, values: dict[str, str]) -> DataFrame:
+    """As lag_difference, for a table with one row per series and day: a window over a series is bounded by the calendar."""
+    before = Window.partitionBy(*(series or [F.lit(0)])).orderBy(day)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
+    return df.select(*kept, *[(F.col(f"`{c}`") - F.lag(c).over(before)).alias(n) for n, c in values.items()])
 
 
 def usage_change(
@@ -89,11 +78,10 @@ def usage_change(
     return summed.withColumns({"pct_change": ratio, "upload_change": percent(ratio)})
 
 
-def running_total(df: DataFrame, keys: list[str], date: str, value: str, alias: str) -> DataFrame:
-    """Cumulative sum per key over days, on a table summed to one row per key and day."""
+def running_total(df: DataFrame, keys: list[str], date: str, value: str, alias: str, ranges: int | None = None) -> DataFrame:
+    """Cumulative sum per key over days, on a table summed to one row per key and day; a scan over ranges, as the differences are."""
     daily = df.groupBy(*keys, date).agg(F.sum(value).alias(value))
-    w = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.withColumn(alias, F.sum(value).over(w))
+    return scan.running_sum(daily, keys, [date], value, alias, ranges)
 
 
 def linear_fit(df: DataFrame, keys: list[str], date: str, value: str) -> DataFrame:

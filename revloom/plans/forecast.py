@@ -9,7 +9,7 @@ from revloom.functions.dates import day
 from revloom.functions.numbers import null_subtract
 from revloom.operators.reshape import unpivot_prefix
 from revloom.operators.schema import assign_where
-from revloom.operators.windows import fitted_days, lag_difference, running_total
+from revloom.operators.windows import daily_difference, fitted_days, running_total
 
 # How the rates are reported.
 BOOKING_TYPES = {"new": "New", "expansion": "Expansion", "flip": "Flips - Maintenance"}
@@ -26,9 +26,8 @@ def daily_rates(sheet: DataFrame, as_of, *, version: int = 1, series: list[str]
     amounts = [c for c in sheet.columns if c not in (*series, "order_date")]
     rows = sheet.where(F.col("order_date").isNotNull()).groupBy(*series, F.to_date("order_date").alias("order_date"))
     rows = rows.agg(*[F.sum(c).alias(c) for c in amounts])
-    rows = lag_difference(
-        rows, series, ["order_date"], {"f_new": "new_forecast", "f_expansion": "expansion_forecast", "f_flip": "flips_forecast"}
-    )
+    lagged = {"f_new": "new_forecast", "f_expansion": "expansion_forecast", "f_flip": "flips_forecast"}
+    rows = daily_difference(rows, series, "order_date", lagged)
     past = F.col("order_date") < day(as_of)
     rows = assign_where(rows, "f_new", (F.col("new_forecast") < F.col("new_actual")) | past, 0.0)
     rows = assign_where(rows, "f_expansion", (F.col("expansion_forecast") < F.col("expansion_actual")) | past, 0.0)

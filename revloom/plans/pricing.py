@@ -9,7 +9,7 @@ from revloom.functions.dates import day
 from revloom.functions.numbers import row_argmax, row_max, row_sum
 from revloom.functions.text import hyperlink, record_link
 from revloom.operators.changes import zero_out_stale
-from revloom.operators.joins import floor_tier, left_lookup, present_in, with_presence
+from revloom.operators.joins import floor_listed, left_lookup, present_in, with_presence
 from revloom.operators.schema import assign_where, prettify, union_fill
 
 # Fixed values.
@@ -71,15 +71,15 @@ def seed(sources: dict[str, DataFrame], as_of, instance_product: str, portal_pro
 def tier_gaps(rows: DataFrame, tiers: DataFrame, portal_product: str) -> DataFrame:
     """Tier of the yearly jobs, list price per edition and the gap to it; the edition with the smallest shortfall.
 
-    tiers: tier, up_to, base_<edition>, overage_<edition>. The lookup is a floor: the greatest `up_to` not above
-    the jobs, and what exceeds it is overage. Portal customers are never priced below their minimum tier.
+    tiers: tier, up_to, base_<edition>, overage_<edition>, a declared list with a row per tier. The lookup is a floor: the
+    greatest `up_to` not above the jobs, and what exceeds it is overage. Portal customers are never priced below their minimum tier.
     """
-    floored = floor_tier(rows, tiers, "total_yearly_jobs", "up_to")
-    tier_at = tiers.groupBy("up_to").agg(F.min("tier").alias("tier"))
-    named = left_lookup(floored, tier_at, [("up_to", "up_to")], {"tier": "tier"}).drop("up_to")
-    low = (F.col("tier") < LOW_TIER) & (F.col("product") == portal_product)
-    named = assign_where(named, "tier", low, LOW_TIER_PRICED_AS)
-    out = left_lookup(named, tiers, [("tier", "tier")], {c: c for c in tiers.columns if c != "tier"})
+    found = floor_listed(rows, tiers, "total_yearly_jobs", "up_to", "tier", "_tier")
+    low = (F.col("_tier.tier") < LOW_TIER) & (F.col("product") == portal_product)
+    whole = F.struct(*[F.col(f) for f in ("up_to", "tier", *[c for c in tiers.columns if c not in ("up_to", "tier")])])
+    priced_as = tiers.where(F.col("tier") == LOW_TIER_PRICED_AS).agg(F.min(whole)).scalar()
+    found = found.withColumn("_tier", F.when(low, F.coalesce(priced_as, "_tier")).otherwise(F.col("_tier")))
+    out = found.select("*", "_tier.*").drop("_tier")
     over = F.col("total_yearly_jobs") - F.col("up_to")
     out = out.withColumn("job_overage", F.when(over < 0, F.lit(0)).otherwise(over))
     for edition in (e.lower() for e in EDITIONS):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from revloom.functions.numbers import null_subtract, per_rate, sum_where
-from revloom.operators import aggregates, joins, schema, windows
+from revloom.operators import aggregates, joins, scan, schema, windows
 from revloom.plans.forecast import cumulative_fit
 from revloom.queries.registry import Tables, query
 
@@ -174,6 +174,28 @@ def tier_lookup_wide(t: Tables):
     return joins.floor_tier(values, tiers, "v", "up_to")
 
 
+@query("tier_lookup_listed", """
+WITH tiers AS (SELECT CAST(100 + 40 * n_nationkey AS DOUBLE) AS up_to, n_regionkey AS region, n_name AS name FROM nation),
+spend AS (SELECT o_custkey, CAST(count(*) * 37 + max(CASE WHEN o_custkey = 4 THEN NULL ELSE 0 END) AS DOUBLE) AS v FROM orders GROUP BY 1),
+x AS (SELECT o_custkey, v, coalesce((SELECT max(up_to) FROM tiers WHERE up_to <= v), (SELECT min(up_to) FROM tiers)) AS up_to FROM spend)
+SELECT o_custkey, v, up_to, region, name FROM x JOIN tiers USING (up_to)""")
+def tier_lookup_listed(t: Tables):
+    tiers = t.nation.select((100.0 + 40.0 * F.col("n_nationkey")).alias("up_to"), F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"))
+    gap = F.max(F.when(F.col("o_custkey") != 4, 0))
+    spend = t.orders.groupBy("o_custkey").agg((F.count(F.lit(1)) * 37 + gap).cast("double").alias("v"))
+    return joins.floor_listed(spend, tiers, "v", "up_to", "region", "tier").select("o_custkey", "v", "tier.*")
+
+
+@query("running_orders", """
+SELECT o_orderkey, o_custkey, sum(o_orderkey % 50) OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING)::BIGINT AS running,
+       row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders""")
+def running_orders(t: Tables):
+    """Running sums of five long series, and a number for every row of the table."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", (F.col("o_orderkey") % 50).alias("v"))
+    out = scan.running_sum(o, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "v", "running").withColumn("back", -F.unix_date(F.to_date("o_orderdate")))
+    return scan.numbered(out, ["back", "o_orderkey"], "place").select("o_orderkey", "o_custkey", "running", "place")
+
+
 @query("coverage_spine", """
 WITH spine AS (SELECT c_custkey, p.o_orderpriority, y.y FROM customer, (SELECT DISTINCT o_orderpriority FROM orders) p,
                (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders) y)
@@ -222,18 +244,39 @@ def sum_by_key(t: Tables):
     return aggregates.sum_per(lines, ["l_suppkey"], "quantity")
 
 
-@query("joined_ids", """
-SELECT o_custkey, 0 AS part, string_agg(CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END, ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS ids,
-       count(*) AS count FROM orders GROUP BY 1""")
+#: Bytes of a part of the joined texts: small, so that groups have several.
+CHUNK_BYTES = 32
+#: Parts of a text by the byte at which a value begins.
+PARTS = f"""starts AS (SELECT *, sum(octet_length(encode(v)) + 1) OVER (PARTITION BY k ORDER BY v ROWS UNBOUNDED PRECEDING) - octet_length(encode(v)) - 1 AS start FROM held),
+parts AS (SELECT k, CAST(start // {CHUNK_BYTES} AS BIGINT) AS part, string_agg(v, ',' ORDER BY v) AS t FROM starts GROUP BY ALL),
+every AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1)"""
+
+
+@query("joined_ids", f"""
+WITH held AS (SELECT o_custkey AS k, CAST(o_orderkey AS VARCHAR) AS v FROM orders WHERE o_orderstatus <> 'P'), {PARTS}
+SELECT k AS o_custkey, coalesce(part, 0) AS part, t AS ids, n AS count FROM every LEFT JOIN parts USING (k)""")
 def joined_ids(t: Tables):
     o = t.orders.select("o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string")).alias("id"))
-    return aggregates.joined_text(o, ["o_custkey"], "id", "ids")
+    return aggregates.joined_text(o, ["o_custkey"], "id", "ids", chunk_bytes=CHUNK_BYTES)
+
+
+@query("joined_repeated", f"""
+WITH held AS (SELECT o_custkey % 7 AS k, o_orderpriority AS v FROM orders),
+starts AS (SELECT *, sum(octet_length(encode(v)) + 1) OVER (PARTITION BY k ORDER BY v ROWS UNBOUNDED PRECEDING) - octet_length(encode(v)) - 1 AS start FROM held)
+SELECT k AS "key", CAST(start // 4096 AS BIGINT) AS part, string_agg(v, ',' ORDER BY v) AS priorities, any_value(n) AS count
+FROM starts JOIN (SELECT o_custkey % 7 AS k, count(*) AS n FROM orders GROUP BY 1) USING (k) GROUP BY 1, 2""")
+def joined_repeated(t: Tables):
+    """Few values with many copies each, split over parts."""
+    o = t.orders.select((F.col("o_custkey") % 7).alias("key"), "o_orderpriority")
+    return aggregates.joined_text(o.withColumnRenamed("o_orderpriority", "p"), ["key"], "p", "priorities", chunk_bytes=4096)
 
 
-@query("joined_unique", """
-SELECT o_custkey, 0 AS part, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities, count(*) AS count FROM orders GROUP BY 1""")
+@query("joined_unique", f"""
+WITH held AS (SELECT DISTINCT o_custkey AS k, o_orderpriority AS v FROM orders), {PARTS}
+SELECT k AS o_custkey, part, t AS priorities, n AS count FROM every JOIN parts USING (k)""")
 def joined_unique(t: Tables):
-    return aggregates.joined_text(t.orders.select("o_custkey", "o_orderpriority"), ["o_custkey"], "o_orderpriority", "priorities", unique=True)
+    o = t.orders.select("o_custkey", "o_orderpriority")
+    return aggregates.joined_text(o, ["o_custkey"], "o_orderpriority", "priorities", unique=True, chunk_bytes=CHUNK_BYTES)
 
 
 @query("pivot_months", """
@@ -284,7 +327,7 @@ def usage_change_trailing(t: Tables):
 SELECT event_id, round(value - lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id), 4) AS diff FROM events""")
 def series_differences(t: Tables):
     e = t.events.select("event_id", "event_type", "ts", "value")
-    out = windows.lag_difference(e, ["event_type"], ["ts", "event_id"], {"diff": "value"}, bucket=F.date_trunc("hour", F.col("ts")))
+    out = windows.lag_difference(e, ["event_type"], ["ts", "event_id"], {"diff": "value"})
     return out.select("event_id", F.round("diff", 4).alias("diff"))
 
 

@@ -1,12 +1,13 @@
 """Operators on small frames, including hot keys, NULL keys and the other way beyond a size check."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.operators import aggregates, changes, dims, joins, reshape, schema, windows
+from revloom.operators import aggregates, changes, dims, joins, reshape, scan, schema, windows
 
 
 def test_clean_names_collision(spark):
@@ -116,15 +117,58 @@ def test_missing_combinations(spark, rows):
 def test_joined_text(spark):
     data = [("hot", f"{i:06d}") for i in range(150_000)] + [("hot", "dup")] * 57 + [("cold", "b"), ("cold", "a"), ("cold", None), ("none", None), (None, "n")]
     df = spark.createDataFrame(data, "k string, v string")
-    whole = {r.k: tuple(r)[1:] for r in aggregates.joined_text(df, ["k"], "v", "t").collect()}
-    assert whole == {"cold": (0, "a,b", 3), "none": (0, None, 1), None: (0, "n", 1), "hot": (0, ",".join(sorted(v for k, v in data if k == "hot")), 150_057)}
-    out = aggregates.joined_text(df, ["k"], "v", "t", parts=5).collect()
-    hot = [r for r in out if r.k == "hot"]
-    assert len(hot) == 5 and all(r["count"] == 150_057 and r.t == ",".join(sorted(r.t.split(","))) for r in hot)
-    assert sorted(x for r in hot for x in r.t.split(",")) == sorted(v for k, v in data if k == "hot")
+    whole = {r.k: tuple(r)[1:] for r in aggregates.joined_text(df, ["k"], "v", "t", chunk_bytes=1 << 30).collect()}
+    text = ",".join(sorted(v for k, v in data if k == "hot"))
+    assert whole == {"cold": (0, "a,b", 3), "none": (0, None, 1), None: (0, "n", 1), "hot": (0, text, 150_057)}
+    out = aggregates.joined_text(df, ["k"], "v", "t", chunk_bytes=100).collect()
+    hot = sorted((r.part, r.t, r["count"]) for r in out if r.k == "hot")
+    assert ",".join(t for _, t, _ in hot) == text and all(len(t) <= 107 and n == 150_057 for _, t, n in hot)
+    assert [p for p, _, _ in hot] == list(range(len(hot)))
     assert sorted((r.k, r.t, r["count"]) for r in out if r.k == "none") == [("none", None, 1)]
 
 
+def test_joined_text_of_long_and_repeated_values(spark):
+    data = [("a", "é" * 30), ("a", "b"), ("a", "b"), ("a", "c" * 500), ("a", "")] + [("a", "ab")] * 1000
+    df = spark.createDataFrame(data, "k string, v string")
+    out = sorted((r.part, r.t) for r in aggregates.joined_text(df, ["k"], "v", "t", sep=", ", chunk_bytes=64).collect())
+    assert ", ".join(t for _, t in out) == ", ".join(sorted(v for _, v in data))
+    once = sorted((r.part, r.t) for r in aggregates.joined_text(df, ["k"], "v", "t", unique=True, chunk_bytes=64).collect())
+    assert ",".join(t for _, t in once) == ",".join(sorted({v for _, v in data}))
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 7, 64])
+def test_scans(spark, ranges):
+    draw = random.Random(5)
+    data = [(draw.choice(["a", "b", None]) if i % 3 else "hot", i // 500, i, draw.choice([None, 1, 5, -3])) for i in range(4000)]
+    draw.shuffle(data)
+    df = spark.createDataFrame(data, "s string, d long, i long, v long").repartition(5)
+    ordered = sorted(data, key=lambda r: ((r[0] is not None, r[0] or ""), r[1], r[2]))
+    sums, lags, total, last = {}, {}, {}, {}
+    for s, _, i, v in ordered:
+        lags[i] = last.get(s)
+        last[s] = v
+        if v is not None:
+            total[s] = total.get(s, 0) + v
+        sums[i] = total.get(s)
+    assert {r.i: r.sum for r in scan.running_sum(df, ["s"], ["d", "i"], "v", "sum", ranges).collect()} == sums
+    assert {r.i: r._lag_v for r in scan.with_previous(df, ["s"], ["d", "i"], ["v"], ranges).collect()} == lags
+    assert {r.i: r.n for r in scan.numbered(df, ["s", "d", "i"], "n", ranges).collect()} == {r[2]: n for n, r in enumerate(ordered, 1)}
+
+
+def test_scans_of_no_rows(spark):
+    none = spark.createDataFrame([], "s string, d long, v long")
+    assert scan.running_sum(none, ["s"], ["d"], "v", "sum").collect() == scan.with_previous(none, ["s"], ["d"], ["v"]).collect() == scan.numbered(none, ["d"], "n").collect() == []
+
+
+def test_floor_listed(spark):
+    df = spark.createDataFrame([(-1.0,), (0.0,), (5.0,), (10.0,), (99.0,), (None,), (NAN,)], "v double")
+    tiers = spark.createDataFrame([(50, 3, "c"), (0, 1, "a"), (10, 2, "b"), (None, 0, "n"), (50, 4, "d")], "t int, tier int, name string")
+    out = {repr(r.v): (r.x.t, r.x.tier, r.x.name) for r in joins.floor_listed(df, tiers, "v", "t", "tier", "x").collect()}
+    assert out == {"-1.0": (0, 1, "a"), "0.0": (0, 1, "a"), "5.0": (0, 1, "a"), "10.0": (10, 2, "b"), "99.0": (50, 3, "c"), "None": (0, 1, "a"), "nan": (50, 3, "c")}
+    none = joins.floor_listed(df, tiers.where("t > 1000"), "v", "t", "tier", "x")
+    assert {r.x for r in none.collect()} == {None}
+
+
 def test_lag_difference_across_buckets(spark):
     data = [("s", dt.date(2024, 1, 30) + dt.timedelta(days=i * 9), float(i * i)) for i in range(12)] + [("t", dt.date(2024, 5, 1), 4.0)]
     out = windows.lag_difference(spark.createDataFrame(data, "k string, d date, v double"), ["k"], ["d"], {"x": "v"})

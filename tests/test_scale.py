@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from revloom.operators import joins, windows
+from revloom.operators import aggregates, joins, scan, windows
 from revloom.session import SETTINGS, TRAVELLING
 
 SMALL = {
@@ -67,6 +67,36 @@ def test_hot_lookup_is_whole(spark, no_broadcast, hot):
     assert out.count() == 60000 and out.where("x <> k * 2 OR x IS NULL").count() == 0
 
 
+def rows_per_task(df, *names):
+    """The most rows that one window of the executed plan's last exchange holds, by the columns it is dealt by."""
+    return df.groupBy(*names).count().agg(F.max("count")).first()[0]
+
+
+def test_a_hot_minute_is_split(spark):
+    """One series, a third of its rows in one second and all in one minute: ranges follow the rows."""
+    at = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 60)
+    df = spark.range(0, 60000, 1, 8).select(F.lit("one").alias("s"), F.timestamp_seconds(at).alias("t"), "id", F.lit(1).alias("v"))
+    assert rows_per_task(scan.ranged(df, ["s", "t", "id"], 16), "_range") < 3 * 60000 / 16
+    out = windows.lag_difference(df, ["s"], ["t", "id"], {"x": "v"}, 16)
+    assert "Join" not in final_plan(out) and out.where("x = 0").count() == 59999
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_range" in plan and "SinglePartition" not in plan.split("Window")[1]
+
+
+def test_a_hot_value_of_a_floor_lookup_is_split(spark):
+    df = spark.range(0, 60000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("v"))
+    tiers = spark.range(0, 1000, 7).select(F.col("id").alias("t"))
+    out = joins.floor_tier(df, tiers, "v", "t", 16)
+    assert out.where("t <> v - v % 7").count() == 0 and out.count() == 60000
+    plan = final_plan(out)
+    assert "Join" not in plan and "hashpartitioning(_range" in plan and "_share" in plan
+
+
+def test_a_hot_group_of_a_joined_text_is_split(spark, hot):
+    texts = aggregates.joined_text(hot, ["k"], "v", "t", chunk_bytes=4096)
+    assert texts.agg(F.max(F.length("t"))).first()[0] <= 4096 + 33 and texts.where("k = 0").count() >= 20000 * 33 // 4096
+
+
 def test_queries_bring_their_settings_to_a_plain_session(spark):
     plain = spark.newSession()
     plain.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
