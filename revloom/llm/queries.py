@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import chat, language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality, warc
+from revloom.llm import chat, language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality, resampling, warc
 from revloom.llm.shared import known_to_workers
 
 QUERIES, SQL = {}, {}
@@ -140,3 +140,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     total = docs.agg(F.sum(mixing.tokens(F.col("text")))).first()[0] or 0
     return mixing.mixed(docs, target_entropy=TARGET_ENTROPY, budget=total, seed=MIXING_SEED).select("doc_id", "source", "copy", "place")
+
+
+@query("op11_target_resampling")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
