@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revloom.llm import chat, language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality, resampling, warc
+from revloom.llm import chat, exact_packing, hard_negatives, language_model, line_dedup, mixing, near_vectors, neighbours, ngram_join, packing, quality, resampling, warc
 from revloom.llm.shared import known_to_workers
 
 QUERIES, SQL = {}, {}
@@ -146,3 +146,32 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     drawn = resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_vertical_scan_negatives", """
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=10, least=30, most=90)
+
+
+@query("op13_exact_complement_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = exact_packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+    return pieces.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
