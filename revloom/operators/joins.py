@@ -167,8 +167,31 @@ def next_within(
     return out.withColumn(alias, F.col(alias).cast(kind))
 
 
-#: Lengths of the pieces that texts are cut into. A token is looked for by a piece of the longest that it holds.
-PIECES = (1, 2, 5)
+#: By the shortest token they serve: (characters of a piece, neighbouring pieces of which the one with the least hash is taken).
+PIECES = {8: (5, 4), 4: (3, 2), 2: (2, 1), 1: (1, 1)}
+
+
+def _bound(value: Column, body) -> Column:
+    """body(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def winnowed(text: str, size: int, window: int) -> Column:
+    """Distinct hashes of the pieces of `size` characters that are the least of some `window` neighbouring ones.
+
+    Every stretch of size + window - 1 characters holds one, and the same stretch the same one, wherever it stands.
+    """
+    # the last dot steps over one whole character, so that no piece starts inside a surrogate pair
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+    out, covered = F.transform(pieces, lambda p: F.xxhash64(p)), 1
+
+    def least(step: int):
+        return lambda h: F.slice(F.zip_with(h, F.slice(h, step + 1, F.size(h)), lambda x, y: F.least(x, y)), 1, F.greatest(F.size(h) - step, F.lit(0)))
+
+    while covered < window:
+        step = min(covered, window - covered)
+        out, covered = _bound(out, least(step)), covered + step
+    return F.array_distinct(out)
 
 
 def containing(
@@ -177,30 +200,32 @@ def containing(
 ) -> DataFrame:
     """Distinct (token, key) pairs where the text holds the token.
 
-    A token of `framed_length` characters must stand between the two frame characters; others match anywhere. Every
-    text is cut into its distinct pieces of three fixed lengths, a token is looked for by the one of its pieces that is in
-    the fewest texts, and what that finds is verified in the text. So a text gives at most one piece per character and
-    length, whatever the tokens, and only keys travel with pieces. Tokens are literal text; `key` has a text each.
+    A token of `framed_length` characters must stand between the two frame characters; others match anywhere. Of a text's
+    pieces only those with the least hash among their neighbours are kept, some two in five characters; the same choice made in a
+    token is a part of it, so a token is looked for by the one of its pieces that is in the fewest texts, and what that
+    finds is verified in the text. Tokens too short for such a choice have shorter pieces, which texts give only if there are such
+    tokens. Only keys and hashes travel. Tokens are literal text; `key` has a text each.
     """
     wanted = tokens.select(F.col(token).alias("token")).where("token <> ''").distinct()
     framed = F.concat(F.lit(frame[0]), F.col("token"), F.lit(frame[1]))
     wanted = wanted.withColumn("_sought", F.when(F.length("token") == framed_length, framed).otherwise(F.col("token")))
+    kind = F.coalesce(*[F.when(F.length("_sought") >= n, F.lit(n)) for n in sorted(PIECES, reverse=True)])
+    wanted = wanted.withColumn("_kind", kind)
 
-    def cut(column: str, n: int) -> Column:
-        # the last dot steps over one whole character, so that no piece starts inside a surrogate pair
-        return F.array_distinct(F.regexp_extract_all(F.col(column), F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)))
-
-    own = F.coalesce(*[F.when(F.length("_sought") >= n, cut("_sought", n)) for n in sorted(PIECES, reverse=True)])
+    own = F.coalesce(*[F.when(F.col("_kind") == n, winnowed("_sought", *how)) for n, how in PIECES.items()])
     of_token = wanted.select("token", "_sought", F.explode(own).alias("piece"))
-    of_text = texts.where(F.col(text).isNotNull()).select(key, F.explode(F.concat(*[cut(text, n) for n in PIECES])).alias("piece"))
+    asked = wanted.agg(F.collect_set("_kind")).scalar()
+    none = F.slice(F.array(F.lit(0).cast("long")), 1, 0)
+    cut = F.concat(*[F.when(F.array_contains("_kinds", n), winnowed(text, *how)).otherwise(none) for n, how in PIECES.items()])
+    of_text = texts.where(F.col(text).isNotNull()).select(key, text).withColumn("_kinds", asked).select(key, F.explode(cut).alias("piece"))
     of_text = of_text.join(of_token.select("piece").distinct(), "piece", "left_semi")
     common = of_text.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     # a token with a piece that no text has is in none
     ranked = of_token.join(common, "piece", "left").groupBy("token", "_sought").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rare"))
     rare = ranked.where("rare.n > 0").select("token", "_sought", F.col("rare.piece").alias("piece"))
-    maybe = of_text.join(rare, "piece").select(F.col(key).alias("_key"), "token", "_sought")
+    maybe = of_text.join(rare, "piece").select(F.col(key).alias("_key"), "token", "_sought").distinct()
     found = maybe.join(texts.select(key, text), F.col("_key") == F.col(key))
-    return found.where(F.contains(F.col(text), F.col("_sought"))).select("token", key).distinct()
+    return found.where(F.contains(F.col(text), F.col("_sought"))).select("token", key)
 
 
 def listed(dim: DataFrame) -> Column:
@@ -210,30 +235,48 @@ def listed(dim: DataFrame) -> Column:
     return dim.agg(F.transform(values, lambda s: s[name])).scalar()
 
 
-def combinations(*names: str) -> Column:
-    """Every combination of the values of some array columns, as an array of structs with the columns' names."""
-    def nested(k: int, *taken: Column) -> Column:
-        if k == len(names):
-            return F.array(F.struct(*[v.alias(n) for n, v in zip(names, taken, strict=True)]))
-        return F.flatten(F.transform(names[k], lambda v: nested(k + 1, *taken, v)))
-
-    return nested(0)
+#: Combinations that a word of a bitmap stands for.
+WORD_BITS = 64
 
 
-def missing_combinations(df: DataFrame, keys: list[str], got: DataFrame, on: list[tuple[str, str]], lists: dict[str, Column], wanted: Column | None = None) -> DataFrame:
-    """One row per row of df and combination of the `lists` (arrays by name) that `got` does not have for its key.
+def missing_combinations(df: DataFrame, keys: list[str], got: DataFrame, on: list[tuple[str, str]], lists: dict[str, DataFrame]) -> DataFrame:
+    """One row per row of df and combination of the `lists` that `got` does not have for its key.
 
-    `on`: (key column, column of got); the other columns of got are named as the combinations' fields. `wanted` makes the
-    combinations, an array of structs, from the lists in another way. What a key has is collected first and subtracted,
-    so only missing combinations are ever rows. NULL is a value like others.
+    `on`: (key column, column of got); the other columns of got are named as the lists. A list has a column of its name and, where it
+    depends on the key, key columns (each key then has its own values; one without a list was asked nothing). Values are
+    numbered, so a combination is a number and what a key has is a bitmap, in words of WORD_BITS combinations with a row each. Only
+    missing combinations become rows, and no row holds more than a word. NULL is a value like others, but not in a list's keys.
     """
-    fields = [n for n in got.columns if n not in [b for _, b in on]]
-    have = got.groupBy(*[b for _, b in on]).agg(F.collect_set(F.struct(*fields)).alias("_have"))
-    every = df.select(*keys).withColumns(lists).withColumn("_all", combinations(*lists) if wanted is None else wanted)
-    l, r = every.alias("l"), have.alias("r")
-    both = l.join(r, pairs("l", "r", on), "left").select(*[F.col(f"l.`{k}`") for k in keys], "l._all", "r._have")
-    left = F.when(F.col("_have").isNull(), F.col("_all")).otherwise(F.array_except("_all", "_have"))
-    return both.select(*[F.col(f"`{k}`") for k in keys], F.explode(left).alias("_one")).select(*keys, "_one.*")
+    have = got.select(*[F.col(f"`{b}`").alias(a) for a, b in on], *[c for c in got.columns if c not in [b for _, b in on]])
+    spine, numbers, stride = df.select(*keys), {}, F.lit(1).cast("long")
+    have = have.withColumn("_spot", F.lit(0).cast("long"))
+    for i, (name, values) in enumerate(lists.items()):
+        scope = [c for c in values.columns if c != name]
+        once = _keyed(values, scope).distinct() if scope else values.distinct()
+        # the lists are parameters: one numbering per list, not per row
+        numbered = once.withColumn("_at", (F.row_number().over(Window.partitionBy(*(scope or [F.lit(0)])).orderBy(name)) - 1).cast("long"))
+        numbers[name] = (scope, numbered)
+        size = numbered.groupBy(*scope).agg(F.count(F.lit(1)).alias(f"_n{i}"))
+        if scope:
+            spine, have = spine.join(size, scope), have.join(size, scope)
+        else:
+            total = size.scalar()
+            spine, have = spine.withColumn(f"_n{i}", total), have.withColumn(f"_n{i}", total)
+        h, v = have.alias("h"), numbered.alias("v")
+        have = h.join(v, pairs("h", "v", [*scope, name])).select("h.*", "v._at").withColumn("_spot", F.col("_spot") + F.col("_at") * stride).drop("_at")
+        stride = stride * F.col(f"_n{i}")
+    bit = F.expr(f"shiftleft(1L, cast(_spot % {WORD_BITS} AS INT))")
+    words = have.withColumn("_word", F.expr(f"_spot div {WORD_BITS}")).groupBy(*[a for a, _ in on], "_word").agg(F.bit_or(bit).alias("_bits"))
+    spine = spine.withColumn("_total", stride).where("_total > 0").withColumn("_word", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_total - 1) div {WORD_BITS}"))))
+    l, r = spine.alias("l"), words.alias("r")
+    both = l.join(r, pairs("l", "r", [*[a for a, _ in on], "_word"]), "left").select("l.*", F.coalesce("r._bits", F.lit(0).cast("long")).alias("_bits"))
+    last = F.least(F.lit(WORD_BITS - 1).cast("long"), F.col("_total") - 1 - F.col("_word") * WORD_BITS)
+    unset = F.filter(F.sequence(F.lit(0).cast("long"), last), lambda b: F.getbit("_bits", b.cast("int")) == 0)
+    out = both.select("*", F.explode(unset).alias("_bit")).withColumn("_spot", F.col("_word") * WORD_BITS + F.col("_bit"))
+    for i, (name, (scope, numbered)) in enumerate(numbers.items()):
+        out = out.withColumn("_at", F.col("_spot") % F.col(f"_n{i}")).withColumn("_spot", F.expr(f"_spot div _n{i}"))
+        out = out.join(numbered, [*scope, "_at"]).drop("_at")
+    return out.select(*keys, *lists)
 
 
 def id_account_map(

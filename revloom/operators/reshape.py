@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revloom.functions.keys import same
 from revloom.operators.schema import clean_names, flatten
 
 BAD = "_corrupt_record"
@@ -104,10 +105,21 @@ def unpivot_except(df: DataFrame, ids: list[str], name: str, value: str) -> Data
     return _unpivot(df, ids, {c: c for c in df.columns if c not in ids}, name, value)
 
 
-def unpivot_map(df: DataFrame, column: str, name: str, value: str) -> DataFrame:
-    """Entries of a map column to rows; the form to use when the set of names is open."""
-    rest = [c for c in df.columns if c != column]
-    return df.select(*rest, F.explode(column).alias(name, value))
+def unpivot_map(df: DataFrame, column: str, name: str, value: str, per: list[str] = ()) -> DataFrame:
+    """A map column to rows, as if each of its names had been a column: names a map lacks come with a NULL value.
+
+    The names are those that the maps of all rows have, or with `per`, of the rows with the same values there (NULLs are equal). So an
+    empty or a NULL map keeps its rows; only where no row has a name there are none.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    keys = df.select(*per, F.explode(F.map_keys(column)).alias("_name")).distinct().groupBy(*per).agg(F.array_sort(F.collect_list("_name")).alias("_names"))
+    if per:
+        l, r = df.alias("l"), keys.alias("r")
+        named = l.join(r, same([F.col(f"l.`{k}`") for k in per], [F.col(f"r.`{k}`") for k in per])).select("l.*", "r._names")
+    else:
+        named = df.withColumn("_names", keys.scalar())
+    long = named.select(*rest, F.col(column).alias("_map"), F.explode("_names").alias(name))
+    return long.withColumn(value, F.try_element_at("_map", F.col(name))).drop("_map")
 
 
 def _unpivot(df: DataFrame, ids: list[str], wide: dict[str, str], name: str, value: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revloom.functions.dates import month_start
-from revloom.operators.joins import listed, missing_combinations
+from revloom.operators.joins import missing_combinations
 from revloom.operators.reshape import unpivot_map, unpivot_prefix
 from revloom.operators.schema import union_fill
 
@@ -29,16 +29,12 @@ def sorted_fact(long: DataFrame) -> DataFrame:
 def empty_requests(customers: DataFrame, activity_types: DataFrame, years: DataFrame, activity: DataFrame) -> DataFrame:
     """Every (customer, type, activity, year) of a portal type that was asked for and brought nothing.
 
-    The lists of names per type and of years go into the plan as arrays; only what is missing becomes rows. A NULL name is a
-    name; customers of no type, or of one without a list, were asked nothing.
+    Only what is missing becomes rows. A NULL name is a name; customers of no type, or of one without a list, were asked nothing.
     """
-    names = activity_types.where("type IS NOT NULL").groupBy("type").agg(F.collect_set(F.struct(F.col("name").alias("activity"))).alias("names"))
-    per_type = names.agg(F.map_from_entries(F.collect_list(F.struct("type", "names")))).scalar()
     asked = customers.select("customerid", "type").distinct()
-    lists = {"_names": F.try_element_at(per_type, F.col("type")), "_years": listed(years)}
-    wanted = F.flatten(F.transform("_names", lambda n: F.transform("_years", lambda y: F.struct(n["activity"].alias("activity"), y.alias("year")))))
-    got = activity.select("portal_id", "type", "activity", F.col("year").cast(years.schema[0].dataType).alias("year"))
-    return missing_combinations(asked, ["customerid", "type"], got, [("customerid", "portal_id"), ("type", "type")], lists, wanted)
+    lists = {"activity": activity_types.select("type", F.col("name").alias("activity")), "year": years.toDF("year")}
+    got = activity.select("portal_id", "type", "activity", F.col("year").cast(years.schema[0].dataType).alias("year")).distinct()
+    return missing_combinations(asked, ["customerid", "type"], got, [("customerid", "portal_id"), ("type", "type")], lists)
 
 
 def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:

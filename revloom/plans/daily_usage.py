@@ -33,12 +33,13 @@ def zones(account_map: DataFrame, accounts: DataFrame, default: str = "UTC") ->
 def local_days(consumption: DataFrame, zone_of: DataFrame, default: str = "UTC") -> DataFrame:
     """Hourly wide usage to one row per portal, environment and local date.
 
-    The zone is looked up while a row still holds all its environments, so the join moves the fewest rows.
+    The zone is looked up while a row still holds all its environments, so the join moves the fewest rows. Of a map, a portal has the
+    environments that any of its rows names.
     """
     timed = consumption.where("startMillis IS NOT NULL AND endMillis IS NOT NULL")
     timed = lookup_or_default(timed, zone_of, "portal_id", "zone", default)
     if "environments" in timed.columns:
-        long = unpivot_map(timed.drop("jobExecutions"), "environments", "environment", "job_executions")
+        long = unpivot_map(timed.drop("jobExecutions"), "environments", "environment", "job_executions", per=["portal_id"])
     else:
         long = unpivot_except(timed.drop("jobExecutions"), [*TIMES, "zone"], "environment", "job_executions")
     long = long.select(

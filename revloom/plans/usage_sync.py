@@ -12,6 +12,7 @@ from revloom.operators.changes import change_set, failed_rows, keep_one, new_onl
 from revloom.operators.joins import absent_from, id_account_map, left_lookup
 from revloom.operators.schema import rename, union_fill
 from revloom.operators.windows import latest_per_key, usage_change
+from revloom.sources import keyed
 from revloom.sources.writers import overwrite
 
 # Fixed values.
@@ -170,3 +171,13 @@ def store(
         **daily_changes(usage, sources["crm_daily"]),
     }
     return {"id_map": mapped, "daily_usage": usage, **{name: written(name, df) for name, df in later.items()}}
+
+
+def apply_periods(sources: dict[str, DataFrame], crm_usage: str) -> list[int]:
+    """Brings the stored copy of the CRM's usage periods (`keyed.write` by record_key) to the state of the sources.
+
+    Only the partitions of it that change are read for the update and written; returns their numbers.
+    """
+    spark = sources["usage_periods"].sparkSession
+    before = keyed.read(spark, crm_usage).drop(keyed.PART)
+    return keyed.apply(period_changes({**sources, "crm_usage": before}), crm_usage, "record_key")

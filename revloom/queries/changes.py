@@ -179,13 +179,13 @@ def json_fields(t: Tables):
 
 
 @query("nested_to_text", """
-SELECT n_name AS name, n_nationkey AS label, '[' || n_regionkey || ',' || n_nationkey || ']' AS _keys, '{"a":' || n_regionkey || '}' AS _pair FROM nation""")
+SELECT c_name AS name, c_custkey AS label, '[' || c_nationkey || ',' || c_custkey || ']' AS _keys, '{"a":' || c_nationkey || '}' AS _pair FROM customer""")
 def nested_to_text(t: Tables):
-    n = t.nation.select(
-        F.array("n_regionkey", "n_nationkey").alias("keys"), F.col("n_nationkey").alias("label"), F.struct(F.col("n_regionkey").alias("a")).alias("pair"),
-        F.col("n_name").alias("name"),
+    c = t.customer.select(
+        F.array("c_nationkey", "c_custkey").alias("keys"), F.col("c_custkey").alias("label"), F.struct(F.col("c_nationkey").alias("a")).alias("pair"),
+        F.col("c_name").alias("name"),
     )
-    return schema.nested_to_json(n, first=("name", "label"))
+    return schema.nested_to_json(c, first=("name", "label"))
 
 
 @query("unpivot_months", """
@@ -215,11 +215,11 @@ def select_and_drop(t: Tables):
 
 
 @query("table_scope", """
-SELECT r_regionkey AS table_id, r_name || '_sanitized' AS table_name, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * r_regionkey AS creation_time FROM region WHERE r_name LIKE 'A%'""")
+SELECT p_partkey AS table_id, p_name || '_sanitized' AS table_name, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (p_partkey % 100) AS creation_time FROM part WHERE regexp_matches(p_name, '^[a-h].*')""")
 def table_scope(t: Tables):
-    day = F.timestamp_millis(to_millis(F.lit("2024-01-01").cast("timestamp")) + F.col("r_regionkey") * 86400000)
-    listed = t.region.select(F.col("r_regionkey").alias("table_id"), F.concat("r_name", F.lit("_sanitized")).alias("table_name"), day.alias("creation_time"))
-    return catalog.tables_matching(listed, "^A.*sanitized")
+    day = F.timestamp_millis(to_millis(F.lit("2024-01-01").cast("timestamp")) + F.col("p_partkey") % 100 * 86400000)
+    listed = t.part.select(F.col("p_partkey").alias("table_id"), F.concat("p_name", F.lit("_sanitized")).alias("table_name"), day.alias("creation_time"))
+    return catalog.tables_matching(listed, "^[a-h].*sanitized")
 
 
 @query("freshness", """

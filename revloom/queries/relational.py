@@ -203,7 +203,7 @@ SELECT c_custkey, o_orderpriority, y AS "year" FROM spine s WHERE NOT EXISTS (SE
 AND o.o_orderpriority = s.o_orderpriority AND year(o.o_orderdate) = s.y)""")
 def coverage_spine(t: Tables):
     o = t.orders.select("o_custkey", "o_orderpriority", F.year("o_orderdate").alias("year"))
-    lists = {c: joins.listed(o.select(c)) for c in ("o_orderpriority", "year")}
+    lists = {c: o.select(c) for c in ("o_orderpriority", "year")}
     return joins.missing_combinations(t.customer.select("c_custkey"), ["c_custkey"], o, [("c_custkey", "o_custkey")], lists)
 
 

@@ -40,20 +40,19 @@ def format_money(t: Tables):
 
 
 @query("clean_names", """
-SELECT n_nationkey AS nation_key, n_name AS nations_name, n_regionkey AS region_é_2, n_nationkey * 2 AS x_pct FROM nation""")
+SELECT o_orderkey AS order_key, o_orderstatus AS orders_status, o_custkey AS customer_é_2, o_totalprice * 2 AS x_pct FROM orders""")
 def clean_names_(t: Tables):
-    n = t.nation
-    odd = n.select(
-        F.col("n_nationkey").alias("nation.key"), F.col("n_name").alias("nation's name"), F.col("n_regionkey").alias("region é.2"),
-        (F.col("n_nationkey") * 2).alias("x.pct%"),
+    odd = t.orders.select(
+        F.col("o_orderkey").alias("order.key"), F.col("o_orderstatus").alias("order's status"), F.col("o_custkey").alias("customer é.2"),
+        (F.col("o_totalprice") * 2).alias("x.pct%"),
     )
     return clean_names(odd)
 
 
 @query("pretty_names", """
-SELECT n_nationkey AS "n nationkey", n_name AS "Nation", n_regionkey AS "n regionkey" FROM nation""")
+SELECT c_custkey AS "c custkey", c_name AS "Customer", c_mktsegment AS "c mktsegment" FROM customer""")
 def pretty_names(t: Tables):
-    return prettify(t.nation, {"n name": "Nation"})
+    return prettify(t.customer.select("c_custkey", "c_name", "c_mktsegment"), {"c name": "Customer"})
 
 
 @query("clean_name_text", r"""

@@ -12,7 +12,7 @@ from revloom.plans import mirror, snapshots, usage_sync
 from revloom.queries.registry import SQL, Tables, query
 from revloom.queries.usage import AS_OF, sync_sources, with_crm_usage
 from revloom.session import shared_folder
-from revloom.sources import readers, writers
+from revloom.sources import keyed, readers, writers
 
 
 @query("json_payloads", """
@@ -123,18 +123,37 @@ def append_stamped(t: Tables):
 
 
 @query("mirrored_tables", """
-SELECT store, name, id FROM (VALUES ('first'), ('second')) s(store), (SELECT 'nation' AS name, n_nationkey AS id FROM nation UNION ALL SELECT 'region_sanitized', r_regionkey FROM region)""")
+SELECT store, name, id FROM (VALUES ('first'), ('second')) s(store), (SELECT 'orders' AS name, o_orderkey AS id FROM orders UNION ALL SELECT 'part_sanitized', p_partkey FROM part)""")
 def mirrored_tables(t: Tables):
     """Due tables into one store, and from there into another; the third table is not due."""
     first, second = shared_folder(t.spark), shared_folder(t.spark)
-    frames = {"nation": t.nation.select(F.col("n_nationkey").alias("id")), "region_sanitized": t.region.select(F.col("r_regionkey").alias("id")), "part": t.part.select(F.col("p_partkey").alias("id"))}
+    frames = {"orders": t.orders.select(F.col("o_orderkey").alias("id")), "part_sanitized": t.part.select(F.col("p_partkey").alias("id")), "nation": t.nation.select(F.col("n_nationkey").alias("id"))}
     modified, as_of = dt.datetime(2024, 1, 9), dt.date(2024, 1, 10)
-    due = mirror.copy_tables(list(frames), frames.get, first, [lambda n, df: writers.overwrite(df, f"{second}/{n}")], modified, as_of, short=("nation",))
+    due = mirror.copy_tables(list(frames), frames.get, first, [lambda n, df: writers.overwrite(df, f"{second}/{n}")], modified, as_of)
     return union_fill(*[
         t.spark.read.parquet(f"{place}/{n}").select(F.lit(store).alias("store"), F.lit(n).alias("name"), "id") for store, place in (("first", first), ("second", second)) for n in due
     ])
 
 
+@query("json_array_file", """
+SELECT o_orderkey AS id, o_custkey AS customer, 'a "}" {' || o_orderstatus || chr(92) || '" ]' AS note, o_orderpriority || '},{' AS tags, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS total FROM orders""")
+def json_array_file(t: Tables):
+    """All orders in one file that is a single array, as an API returns it."""
+    place = shared_folder(t.spark)
+    o = t.orders.withColumn("note", F.concat(F.lit('a "}" {'), "o_orderstatus", F.lit('\\" ]')))
+    doc = F.struct(
+        F.col("o_orderkey").alias("id"), F.struct(F.col("o_custkey").alias("customer"), F.array(F.col("o_orderpriority"), F.lit("},{")).alias("tags")).alias("data"), "note",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("total"),
+    )
+    comma = F.when(F.col("o_orderkey") == t.orders.agg(F.min("o_orderkey")).scalar(), F.lit("[")).otherwise(F.lit(","))
+    last = t.spark.range(1).select(F.lit(1).alias("last"), F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("]").alias("value"))
+    lines = o.select(F.lit(0).alias("last"), "o_orderkey", F.concat(comma, F.to_json(doc)).alias("value")).union(last)
+    # one file is what this is about
+    lines.repartition(1).sortWithinPartitions("last", "o_orderkey").select("value").write.text(place)
+    back = readers.read_json_array(t.spark, place, "id BIGINT, data STRUCT<customer: BIGINT, tags: ARRAY<STRING>>, note STRING, total DOUBLE")
+    return back.select("record.id", "record.data.customer", "record.note", F.array_join("record.data.tags", "").alias("tags"), "record.total")
+
+
 @query("snapshot_captures", """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 <> 1 THEN o_orderstatus END AS stage, CASE WHEN o_orderkey % 4 IN (2, 3) THEN o_totalprice END AS amount,
        CASE o_orderkey % 4 WHEN 1 THEN TIMESTAMP '2024-02-01 08:00:00' WHEN 2 THEN TIMESTAMP '2024-02-01 17:00:00' ELSE TIMESTAMP '2024-02-02 08:00:00' END AS snapshot_time
@@ -158,3 +177,12 @@ def usage_stored(t: Tables):
     """The whole usage sync, step by step from stored tables; its account update."""
     out = usage_sync.store(with_crm_usage(sync_sources(t)), AS_OF, shared_folder(t.spark), portal_product="P", instance_product="I")
     return out["account_update"]
+
+
+@query("usage_periods_applied", f"SELECT * EXCLUDE (action) FROM ({SQL['usage_period_changes']}) WHERE action <> 'delete'")
+def usage_periods_applied(t: Tables):
+    """The CRM's usage periods in hash partitions, after the change set was applied to those that it meets."""
+    sources, place = with_crm_usage(sync_sources(t)), shared_folder(t.spark)
+    keyed.write(sources["crm_usage"], place, ["record_key"])
+    usage_sync.apply_periods(sources, place)
+    return keyed.read(t.spark, place).select("record_key", "deal_id", "customer_id", "product", "usage", "allotted_usage")

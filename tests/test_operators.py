@@ -108,12 +108,48 @@ def test_id_map_is_the_chained_full_join(spark, rows):
 def test_missing_combinations(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     got = spark.createDataFrame([(1, "x", 0), (1, None, 1), (None, "y", 2), (9, "x", 0), (1, "x", 77)], "g int, a string, n int")
-    lists = {"a": joins.listed(spark.createDataFrame([("x",), ("y",), (None,), ("x",)], "v string")), "n": joins.listed(spark.range(3).selectExpr("CAST(id AS int) AS n"))}
+    lists = {"a": spark.createDataFrame([("x",), ("y",), (None,), ("x",)], "a string"), "n": spark.range(3).selectExpr("CAST(id AS int) AS n")}
     out = rows(joins.missing_combinations(df, ["k"], got, [("k", "g")], lists))
     every = {(k, a, n) for k in (1, 2, None) for a in ("x", "y", None) for n in range(3)}
     assert out == sorted(every - {(1, "x", 0), (1, None, 1), (None, "y", 2)}, key=repr)
 
 
+def test_missing_combinations_of_long_lists(spark):
+    """A million combinations per key, a key at a time in words of 64."""
+    names = spark.range(10_000).select(F.concat(F.lit("n"), F.col("id")).alias("a"))
+    years = spark.range(100).select(F.col("id").cast("int").alias("n"))
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    # key 1 lacks a few, key 2 has what no list has, key 3 has all but one name
+    full = names.crossJoin(years)
+    got = full.where("NOT (a IN ('n7', 'n9999') AND n % 50 = 3)").withColumn("g", F.lit(1)).unionByName(full.where("a <> 'n42'").withColumn("g", F.lit(3)))
+    got = got.unionByName(spark.createDataFrame([("none", 5, 2), ("n1", 500, 2)], "a string, n int, g int"))
+    out = joins.missing_combinations(df, ["k"], got, [("k", "g")], {"a": names, "n": years})
+    assert {r.k: r["count"] for r in out.groupBy("k").count().collect()} == {1: 4, 2: 1_000_000, 3: 100}
+    assert sorted((r.a, r.n) for r in out.where("k = 1").collect()) == [("n7", 3), ("n7", 53), ("n9999", 3), ("n9999", 53)]
+    assert out.where("k = 2").select("a", "n").exceptAll(full).isEmpty()
+
+
+def test_missing_combinations_with_a_list_per_key(spark, rows):
+    df = spark.createDataFrame([(1, "p"), (2, "q"), (3, "none"), (4, None)], "k int, t string")
+    names = spark.createDataFrame([("p", "x"), ("p", "y"), ("q", None), ("q", "y"), (None, "z")], "t string, a string")
+    got = spark.createDataFrame([(1, "p", "x", 0), (2, "q", None, 1), (2, "p", "x", 1), (1, "p", "z", 0)], "g int, t string, a string, n int")
+    out = rows(joins.missing_combinations(df, ["k", "t"], got, [("k", "g"), ("t", "t")], {"a": names, "n": spark.range(2).selectExpr("CAST(id AS int) AS n")}))
+    assert out == sorted([(1, "p", "x", 1), (1, "p", "y", 0), (1, "p", "y", 1), (2, "q", None, 0), (2, "q", "y", 0), (2, "q", "y", 1)], key=repr)
+
+
+def test_winnowing(spark):
+    """Few pieces per character, and every token of eight characters or more shares one with a text that holds it."""
+    draw = random.Random(9)
+    texts = ["".join(draw.choice("abcdefgh ijkléß你\U0001f389") for _ in range(3000)) for _ in range(4)] + ["", "ab", "aaaaaaaaaaaaaaaaaaaaaa"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").withColumn("p", joins.winnowed("t", *joins.PIECES[8]))
+    cut = {r.k: set(r.p) for r in df.collect()}
+    assert sum(len(cut[k]) for k in range(4)) < 0.5 * sum(map(len, texts[:4])) and cut[4] == cut[5] == set()
+    spots = [(k, at, draw.randint(8, 20)) for k in (0, 1, 2, 3, 6) for at in range(0, len(texts[k]) - 20, 61)]
+    tokens = spark.createDataFrame([(k, texts[k][at : at + n]) for k, at, n in spots], "k int, t string").withColumn("p", joins.winnowed("t", *joins.PIECES[8]))
+    for r in tokens.collect():
+        assert r.p and set(r.p) <= cut[r.k]
+
+
 def test_joined_text(spark):
     data = [("hot", f"{i:06d}") for i in range(150_000)] + [("hot", "dup")] * 57 + [("cold", "b"), ("cold", "a"), ("cold", None), ("none", None), (None, "n")]
     df = spark.createDataFrame(data, "k string, v string")
@@ -257,7 +293,15 @@ def test_child_rows_and_unpivot(spark, rows):
     assert rows(reshape.child_table(df, ["id"], "items")) == [(1, "x", "[1]")]
     wide = spark.createDataFrame([(1, 5, None)], "id int, `data.Jan` int, `data.Feb` int")
     assert rows(reshape.unpivot_prefix(wide, "data.", "m", "v")) == [(1, "Feb", None), (1, "Jan", 5)]
-    assert rows(reshape.unpivot_map(spark.createDataFrame([(1, {"a": 2})], "id int, m map<string,int>"), "m", "k", "v")) == [(1, "a", 2)]
+    maps = spark.createDataFrame([(1, "p", {"a": 2}), (2, "p", {}), (3, "q", None), (4, "q", {"b": None, "c": 5}), (5, None, {"d": 1}), (6, None, None), (7, "none", None)], "id int, g string, m map<string,int>")
+    held = {1: {"a": 2}, 4: {"c": 5}, 5: {"d": 1}}
+    groups = {1: "p", 2: "p", 3: "q", 4: "q", 5: None, 6: None, 7: "none"}
+    names = {"p": ["a"], "q": ["b", "c"], None: ["d"], "none": []}
+    assert rows(reshape.unpivot_map(maps, "m", "k", "v")) == sorted([(i, g, n, held.get(i, {}).get(n)) for i, g in groups.items() for n in "abcd"], key=repr)
+    assert rows(reshape.unpivot_map(maps, "m", "k", "v", per=["g"])) == sorted([(i, g, n, held.get(i, {}).get(n)) for i, g in groups.items() for n in names[g]], key=repr)
+    wide = spark.createDataFrame([(1, 2, None), (2, None, None)], "id int, `m.a` int, `m.b` int")
+    as_map = spark.createDataFrame([(1, {"a": 2, "b": None}), (2, None)], "id int, m map<string,int>")
+    assert rows(reshape.unpivot_prefix(wide, "m.", "k", "v")) == rows(reshape.unpivot_map(as_map, "m", "k", "v"))
 
 
 def test_groups(spark, rows):

@@ -1,13 +1,20 @@
 """Readers, writers and catalog lookups on files in a temporary folder."""
 
 import datetime as dt
+import decimal
+import glob
 import json
+import os
+import random
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from revloom.plans import field_catalog, mirror
-from revloom.sources import catalog, readers, writers
+from revloom.operators.changes import change_set
+from revloom.plans import field_catalog, mirror, snapshots
+from revloom.sources import catalog, keyed, readers, writers
 
 
 def test_json_with_request_parameters_in_the_path(spark, tmp_path, rows):
@@ -116,3 +123,128 @@ def test_jdbc_ranges():
 def test_write_all_and_tables(spark, tmp_path, rows):
     writers.write_all({"b": spark.range(1), "a": spark.range(2)}, str(tmp_path / "o"), last="b")
     assert spark.read.parquet(str(tmp_path / "o" / "a")).count() == 2 and spark.read.parquet(str(tmp_path / "o" / "b")).count() == 1
+
+
+def array_file(path, records, between=",", ends=("[", "]")):
+    path.write_text(ends[0] + between.join(records) + ends[1], encoding="utf-8")
+    return str(path)
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "997")
+    yield
+    for n, v in old.items():
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("between", [",", " ,\n  ", ",\r\n"])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, small_splits, between):
+    draw = random.Random(4)
+    odd = ["}", "{", '"', "\\", "},{", "[", "]", ",", "é", "你", " ", "x", "\n", '\\"}']
+    docs = [{"id": i, "note": "".join(draw.choice(odd) for _ in range(draw.randrange(40))), "data": {"tags": ["}{", draw.choice(odd)] * draw.randrange(4), "deep": {"n": i * 2}}} for i in range(400)]
+    path = array_file(tmp_path / "a.json", [json.dumps(d, ensure_ascii=bool(i % 2), indent=2 if i % 3 == 0 else None) for i, d in enumerate(docs)], between, ("﻿ [\n", "\n]\n"))
+    schema = "id INT, note STRING, data STRUCT<tags: ARRAY<STRING>, deep: STRUCT<n: INT>>"
+    assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() > 20
+    got = readers.read_json_array(spark, path, schema).collect()
+    assert sorted(r.number for r in got) == list(range(400))
+    assert [r.record.asDict(True) for r in sorted(got, key=lambda r: r.number)] == docs
+
+
+def test_arrays_of_several_files_and_broken_ones(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, records in {"a": ['{"id": 1}', '{"id": 2}'], "b": [], "c": ['{"id": 3, "x": {"y": "}"}}', '{"id": 4']}.items():
+        array_file(tmp_path / "in" / f"{name}.json", records)
+    got = readers.read_json_array(spark, str(tmp_path / "in"), "id INT")
+    assert sorted((r.file[-6:], r.number, r.record.id) for r in got.collect() if r.file[-6:] != "c.json" or r.number == 0) == [("a.json", 0, 1), ("a.json", 1, 2), ("c.json", 0, 3)]
+    assert got.count() == 4, "the record that does not end is there too"
+
+
+def test_range_predicates():
+    day = dt.date(2024, 1, 5)
+    assert readers.range_predicates("k", []) == readers.range_predicates("k", ["a"]) == ["1 = 1"]
+    assert readers.range_predicates("k", ["a", "o'b", "o'b", "z"]) == ["k < 'o''b' OR k IS NULL", "k >= 'o''b' AND k < 'z'", "k >= 'z'"]
+    assert readers.range_predicates("d", [day, dt.date(2024, 2, 1)]) == ["d < '2024-02-01' OR d IS NULL", "d >= '2024-02-01'"]
+    assert readers.range_predicates("t", [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 3, 4, 5, 6)])[1] == "t >= '2024-01-02 03:04:05.000006'"
+    assert readers.range_predicates("n", [1, decimal.Decimal("2.50")]) == ["n < 2.50 OR n IS NULL", "n >= 2.50"]
+
+
+def test_predicates_part_a_table():
+    """Every row is in one range and ranges are even, as a database counts them."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT i, CASE WHEN i % 10 = 0 THEN NULL ELSE 'k''' || (i * 7919 % 1000) END AS k, DATE '2024-01-01' + CAST(i % 90 AS INTEGER) AS d FROM range(3000) r(i)")
+    for column in ("k", "d"):
+        borders = [r[0] for r in con.execute(readers.quantile_query("t", column, 6) + " ORDER BY border").fetchall()]
+        parts = [con.execute(f"SELECT i FROM t WHERE {p}").fetchall() for p in readers.range_predicates(column, borders)]
+        assert len(parts) == 6 and sorted(i for p in parts for (i,) in p) == list(range(3000))
+        assert max(map(len, parts)) < 1000
+
+
+def test_quantiles_reach_the_reader(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, **kw: asked.append((url, table, kw)))
+    monkeypatch.setattr(type(spark.read), "load", lambda self, *a: spark.createDataFrame([("a",), ("m",)], "border string"))
+    readers.read_sql_table(spark, "jdbc:x:y", "t", quantiles="name", partitions=2, user="u")
+    assert asked == [("jdbc:x:y", "t", {"predicates": ["name < 'm' OR name IS NULL", "name >= 'm'"], "properties": {"fetchsize": "10000", "user": "u"}})]
+
+
+def files_read(df):
+    """Files that the scans of the executed plan have read."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    leaves = execution.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.length()))
+
+
+def test_keyed_table_touches_what_a_batch_meets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    before = spark.range(2000).select("id", (F.col("id") * 2).alias("v"))
+    keyed.write(before, path, ["id"], 64)
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    assert len(glob.glob(f"{path}/key_part=*")) == 64
+    after = before.where("id NOT IN (5, 7)").withColumn("v", F.when(F.col("id") == 11, -1).otherwise(F.col("v"))).union(spark.createDataFrame([(9001, 1)], "id bigint, v bigint"))
+    changes = change_set(keyed.read(spark, path).drop(keyed.PART), after, "id")
+    numbers = keyed.apply(changes, path, "id", 64)
+    assert 1 <= len(numbers) <= 4
+    kept = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/*/*.parquet")}
+    assert all(kept.get(f) == t for f, t in files.items() if int(re.search(r"key_part=(\d+)", f)[1]) not in numbers)
+    assert keyed.read(spark, path).drop(keyed.PART).exceptAll(after).isEmpty() and keyed.read(spark, path).count() == 1999
+    assert files_read(keyed.read(spark, path, numbers[:1])) == 1 and files_read(keyed.read(spark, path)) == len(kept)
+
+
+def test_keyed_partition_without_rows_goes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(3).withColumn("v", F.lit(1))
+    keyed.write(rows, path, ["id"], 8)
+    assert keyed.apply(change_set(rows, rows, "id"), path, "id", 8) == []
+    keyed.apply(change_set(rows, rows.limit(0), "id"), path, "id", 8)
+    assert glob.glob(f"{path}/key_part=*") == [] and keyed.read(spark, str(tmp_path / "none")) is None
+
+
+def test_captures_of_a_schema_are_one_scan(spark, tmp_path):
+    """Two thousand captures of three schemas, the types of the first of them."""
+    kinds = {0: "id BIGINT, stage STRING", 1: "id BIGINT, amount INT", 2: "id BIGINT, amount DOUBLE, stage STRING"}
+    listed, expected = [], set()
+    for k, ddl in kinds.items():
+        names = [f.split()[0] for f in ddl.split(", ")]
+        rows = spark.range(0, 4002).where(F.col("id") % 3 == k).select(
+            (F.col("id") * 10).alias("id"), (F.col("id") % 7).cast("int" if k == 1 else "double").alias("amount"), F.concat(F.lit("s"), F.col("id") % 5).alias("stage"), F.floor(F.col("id") / 6).alias("c"))
+        rows.select(*names, "c").repartition(8, "c").write.partitionBy("c").parquet(f"{tmp_path}/k{k}")
+        for c in range(667):
+            at = dt.datetime(2020, 1, 1) + dt.timedelta(hours=3 * c + k)
+            listed.append((f"Opportunity_{k}_{c}", at, f"{tmp_path}/k{k}/c={c}" + "/" * (c % 2), ddl))
+        expected |= {(i * 10, i % 7 if k else None, f"s{i % 5}" if k != 1 else None, dt.datetime(2020, 1, 1) + dt.timedelta(hours=3 * (i // 6) + k)) for i in range(4002) if i % 3 == k}
+    captures = spark.createDataFrame(listed, "table_name string, creation_time timestamp, path string, schema string")
+    assert len(listed) == 2001
+    out = snapshots.load(spark, captures, None, "^Opportunity_")
+    assert dict(out.dtypes) == {"id": "bigint", "stage": "string", "amount": "int", "snapshot_time": "timestamp"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+    got = {(r.id, r.amount, r.stage, r.snapshot_time) for r in out.collect()}
+    assert got == expected
+    few = captures.where("table_name IN ('Opportunity_0_1', 'Opportunity_2_5')").drop("schema")
+    assert snapshots.load(spark, few, captures.where("table_name = 'Opportunity_0_1'").withColumnRenamed("creation_time", "snapshot_time")).count() == 2
+    assert snapshots.load(spark, few.limit(0), None) is None
