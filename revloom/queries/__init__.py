@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalars", "relational", "changes", "documents", "usage", "revenue", "stored")
+MODULES = ("scalars", "relational", "changes", "documents", "usage", "revenue", "stored", "chain")
 
 
 def load_all():
