@@ -88,6 +88,39 @@ def child_table(df: DataFrame, keys: list[Column | str], path: str) -> DataFrame
     return lists_to_text(clean_names(flatten(rows.select(*names, "item.*"))))
 
 
+def parse_variant(df: DataFrame, column: str, alias: str = "doc") -> DataFrame:
+    """The document as a VARIANT next to its text, NULL where the text is no JSON object. Nothing is inferred and no job runs.
+
+    Store or persist it when several tables are made from it: it is the one place where the text is parsed.
+    """
+    return df.withColumn(alias, F.try_parse_json(F.when(_is_object(F.col(column)), F.col(column))))
+
+
+def variant_rows(df: DataFrame, keys: list[str], path: list[str], fields: dict[str, str], alias: str = "doc") -> DataFrame:
+    """One row per element of the list at `path` of a VARIANT, with its parent's keys and the `fields` {path in it: type}.
+
+    Each name of `path` leads from an element to a list in it; a single object counts as a list of one; missing and empty lists give no rows. A
+    field's column is named after its path with "_" for dots; type `json` is the value as JSON text. What cannot be read as its type
+    is NULL, and fields that no one declares cost nothing.
+    """
+    item = alias
+    rows = df.select(*keys, F.col(alias))
+    for name in path:
+        whole = F.try_variant_get(item, f"$.{name}", "variant")
+        single = F.try_variant_get(item, f"$.{name}", "map<string,variant>").isNotNull()
+        each = F.coalesce(F.try_variant_get(item, f"$.{name}", "array<variant>"), F.when(single, F.array(whole)))
+        # the outer form keeps Spark from testing the list's size in a filter of its own
+        rows = rows.select(*keys, F.posexplode_outer(each).alias("_pos", "_item")).where("_pos IS NOT NULL").drop("_pos")
+        item = "_item"
+    return rows.select(*keys, *[variant_field(item, p, kind).alias(p.replace(".", "_")) for p, kind in fields.items()])
+
+
+def variant_field(variant: str, path: str, kind: str) -> Column:
+    if kind == "json":
+        return F.to_json(F.try_variant_get(variant, f"$.{path}", "variant"))
+    return F.try_variant_get(variant, f"$.{path}", kind)
+
+
 def lists_to_text(df: DataFrame) -> DataFrame:
     """Remaining array and map columns as JSON text under their own name."""
     nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType))]

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from revloom.functions.dates import from_millis, from_seconds, millis_or_epoch, parse_or_epoch
 from revloom.operators.changes import new_only
-from revloom.operators.reshape import child_table, json_schema, lists_to_text, parse_json, readable, unreadable
+from revloom.operators.reshape import child_table, json_schema, lists_to_text, parse_json, parse_variant, readable, unreadable, variant_field, variant_rows
 from revloom.operators.schema import clean_names, flatten
 
 KEY = "product_statistics_id"
@@ -128,3 +128,23 @@ def _nested(docs: DataFrame, path: str, name: str) -> DataFrame | None:
     if holder is None or name not in holder.names:
         return None
     return _child(docs, f"{path}.{name}")
+
+
+# Documents kept as VARIANT: the caller declares the names, so no pass over the documents looks for them.
+
+def new_variants(source: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Documents not loaded yet, as VARIANT; `doc` is NULL for those that are no readable JSON object. Store it before use."""
+    fresh = new_only(source, loaded, [("id", KEY if KEY in loaded.columns else "id")], unique=True)
+    return parse_variant(fresh, "data").withColumnRenamed("id", KEY)
+
+
+def declared(parsed: DataFrame, tables: dict[str, tuple[list[str], dict[str, str]]]) -> dict[str, DataFrame]:
+    """Child tables {name: (path of lists, fields)} of `new_variants`; an empty path is the document itself."""
+    docs = parsed.where(F.col("doc").isNotNull())
+    out = {}
+    for name, (path, fields) in tables.items():
+        if path:
+            out[name] = variant_rows(docs, [KEY], path, fields)
+        else:
+            out[name] = docs.select(KEY, *[variant_field("doc", p, kind).alias(p.replace(".", "_")) for p, kind in fields.items()])
+    return out

@@ -15,7 +15,8 @@ from revloom.functions.dates import to_millis
 from revloom.operators import joins
 from revloom.operators.schema import flatten, union_fill
 from revloom.plans import contracts, forecast_export, install_match, telemetry
-from revloom.queries.registry import Tables, query
+from revloom.queries.registry import SQL, Tables, query
+from revloom.session import shared_folder
 
 
 @cache
@@ -217,7 +218,7 @@ def telemetry_unreadable(t: Tables):
 NODE_LIVE = "o_orderpriority <> '5-LOW'"
 
 
-def node_tables(t: Tables) -> dict[str, DataFrame]:
+def node_source(t: Tables) -> tuple[DataFrame, DataFrame]:
     sec = F.unix_seconds("o_orderdate")
     status = F.col("o_orderstatus")
     doc = F.to_json(F.struct(
@@ -233,8 +234,11 @@ def node_tables(t: Tables) -> dict[str, DataFrame]:
         F.when(status == "F", F.struct(F.lit("up").alias("state"), F.array(F.lit("a"), F.lit("b")).alias("peers"))).alias("sync"),
     ))
     source = t.orders.select(F.col("o_orderkey").alias("id"), sec.alias("creationDate"), doc.alias("data"))
-    loaded = t.orders.where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias(telemetry.KEY))
-    return telemetry.nodes(telemetry.new_documents(source, loaded))
+    return source, t.orders.where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias(telemetry.KEY))
+
+
+def node_tables(t: Tables) -> dict[str, DataFrame]:
+    return telemetry.nodes(telemetry.new_documents(*node_source(t)))
 
 
 @query("node_product_statistics", f"""
@@ -372,3 +376,83 @@ def words_in_documents(t: Tables):
     """All words of the benchmark in all documents; those of six characters between spaces."""
     words = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("([^ \\n]+)"), F.lit(1))).alias("word"))
     return joins.containing(t.documents, "doc_id", "text", words, "word", frame=(" ", " "))
+
+
+# The same documents stored as VARIANT, their tables by declared names.
+SERVER_TABLES = {
+    "data": ([], {"customerId": "string", "productType": "string", "version": "string", "creationDate": "bigint"}),
+    "server": (["serverData"], {"port": "bigint", "role": "string", "ids": "json"}),
+    "server_domain": (["serverData", "domainData"], {"domain": "string", "users": "bigint"}),
+    "gateway": (["gatewayData"], {"load": "double", "host.name": "string"}),
+}
+NODE_TABLES = {
+    "events": (["events"], {"sinkCount": "int"}),
+    "event_rules": (["events", "rules"], {"rule": "string"}),
+    "auth_list": (["auth", "authList"], {"user": "bigint"}),
+    "interfaces": (["interfaces"], {"type": "string", "active": "boolean"}),
+    "sync": (["sync"], {"state": "string", "peers": "json"}),
+    "status": (["status"], {"intervalStartTime": "bigint", "intervalEndTime": "bigint", "serverStartedTime": "bigint"}),
+}
+
+
+def stored_variants(t: Tables, source: DataFrame, loaded: DataFrame) -> DataFrame:
+    place = shared_folder(t.spark)
+    parsed = telemetry.new_variants(source, loaded).select(telemetry.KEY, "data", "doc")
+    parsed.write.parquet(place)
+    return t.spark.read.schema(parsed.schema).parquet(place)
+
+
+@query("variant_data", SQL["telemetry_data"])
+def variant_data(t: Tables):
+    return telemetry.declared(stored_variants(t, *server_source(t)), SERVER_TABLES)["data"].withColumnRenamed("creationDate", "created_ms")
+
+
+@query("variant_server", SQL["telemetry_server"])
+def variant_server(t: Tables):
+    return telemetry.declared(stored_variants(t, *server_source(t)), SERVER_TABLES)["server"]
+
+
+@query("variant_server_domain", SQL["telemetry_server_domain"])
+def variant_server_domain(t: Tables):
+    return telemetry.declared(stored_variants(t, *server_source(t)), SERVER_TABLES)["server_domain"]
+
+
+@query("variant_gateway", SQL["telemetry_gateway"])
+def variant_gateway(t: Tables):
+    return telemetry.declared(stored_variants(t, *server_source(t)), SERVER_TABLES)["gateway"]
+
+
+@query("variant_unreadable", SQL["telemetry_unreadable"])
+def variant_unreadable(t: Tables):
+    return stored_variants(t, *server_source(t)).where("doc IS NULL").select(F.col(telemetry.KEY).alias("id"))
+
+
+@query("variant_events", SQL["node_events"])
+def variant_events(t: Tables):
+    return telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["events"]
+
+
+@query("variant_event_rules", SQL["node_event_rules"])
+def variant_event_rules(t: Tables):
+    return telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["event_rules"]
+
+
+@query("variant_auth_list", SQL["node_auth_list"])
+def variant_auth_list(t: Tables):
+    return telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["auth_list"]
+
+
+@query("variant_interfaces", SQL["node_interfaces"])
+def variant_interfaces(t: Tables):
+    return telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["interfaces"]
+
+
+@query("variant_sync", SQL["node_sync"])
+def variant_sync(t: Tables):
+    return telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["sync"]
+
+
+@query("variant_status", SQL["node_status"])
+def variant_status(t: Tables):
+    out = telemetry.declared(stored_variants(t, *node_source(t)), NODE_TABLES)["status"]
+    return out.withColumnsRenamed({"intervalStartTime": "started", "intervalEndTime": "ended", "serverStartedTime": "booted"})

@@ -173,3 +173,21 @@ def test_services_deal_links(spark, rows):
     assert rows(out.select("id", "related_id", "related_amount", "related_close_date")) == [
         ("d1", "s1", 1.0, D(2023, 6, 1)), ("d2", "s2", 2.0, D(2023, 6, 1)), ("d3", "s3", 3.0, D(2023, 6, 1)), ("d4", "s4", 5.0, D(2020, 6, 1)), ("d5", None, None, None)
     ]
+
+
+def test_variants_need_no_schema_and_no_second_parse(spark, tmp_path):
+    """Children of stored variants: no job while planning, no text parsed, odd documents held to the declared names."""
+    docs = [
+        (1, '{"a": {"x": 1, "l": [1, 2]}, "n": "7"}'), (2, '{"a": [{"x": "2"}, {"x": "no"}, 5, null], "n": null}'), (3, "[1]"), (4, "{broken"), (5, None), (6, '{"a": [], "n": 1.5}'),
+        (7, '{"A": {"x": 9}}'), (8, " {} "), (9, '"text"'),
+    ]
+    source = spark.createDataFrame(docs, "id bigint, data string")
+    parsed = telemetry.new_variants(source, spark.createDataFrame([(1000,)], "id bigint"))
+    assert "parseJson" in parsed._jdf.queryExecution().optimizedPlan().toString()
+    parsed.select(telemetry.KEY, "doc").write.parquet(str(tmp_path / "v"))
+    tables = telemetry.declared(spark.read.parquet(str(tmp_path / "v")), {"doc": ([], {"n": "int"}), "a": (["a"], {"x": "bigint", "l": "json"}), "l": (["a", "l"], {"none": "string"})})
+    assert not any("parseJson" in t._jdf.queryExecution().optimizedPlan().toString() for t in tables.values())
+    assert sorted(map(tuple, tables["doc"].collect())) == [(1, 7), (2, None), (6, 1), (7, None), (8, None)]
+    key = lambda r: (r[0], str(r))
+    assert sorted(map(tuple, tables["a"].collect()), key=key) == sorted([(1, 1, "[1,2]"), (2, 2, None), (2, None, None), (2, None, None), (2, None, None)], key=key)
+    assert sorted(map(tuple, tables["l"].collect())) == [(1, None), (1, None)]
