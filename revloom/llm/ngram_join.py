@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from revloom.llm.components import components
 from revloom.llm.hashing import mix, ngram_hashes, pieces, word_hashes
-from revloom.llm.shared import block_pairs, folder, may_hold, runs, smallest_reached, starts_of, stored, whole_runs
+from revloom.llm.shared import as_row, block_pairs, folder, may_hold, runs, smallest_reached, starts_of, stored, whole_runs
 
 #: Buckets of the table of word counts: 4 MiB, sent to every task.
 COUNT_BITS = 20
@@ -327,8 +327,12 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _known(doc_id: str):
+    return F.coalesce(F.col(doc_id), F.lit(0)).alias("doc_id")
+
+
 def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Groups of documents whose sets of distinct `width`-word shingles have a Jaccard similarity of `percent` / 100 or more.
+    """Groups of documents whose sets of distinct `width`-word shingles have a Jaccard similarity of `percent` / 100 or more, for 51 to 100.
 
     docs: doc_id long, text string; other columns are ignored. One row per row of docs: doc_id, text_hash (xxhash64 of the
     text), n_shingles, component_id (smallest doc_id reachable by links, nulls aside; null if there are only nulls),
@@ -337,35 +341,46 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     or blank text has no shingles, links with nothing and is its own component. Rows that share a doc_id are documents of
     their own. An empty table gives no rows. Shingles count as equal when their 64 bit hashes are.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be above 50 and at most 100")
     spark = docs.sparkSession
     place = folder(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
     counts = word_counts(docs.select("text"))
     frequent = 64 + 2 * int(np.median(counts))
     sent = spark.sparkContext.broadcast(counts)
     signed = stored(
-        docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        docs.mapInArrow(
             _signed(width, percent, sent, frequent), "row_id long, doc_id long, text_hash long, n_shingles long, digest binary, sketch binary, signatures array<long>"),
         f"{place}/signed")
     classes = stored(
         signed.where("n_shingles > 0").groupBy("digest").agg(
-            F.min("row_id").alias("vertex"), F.count("*").alias("weight"), F.min("doc_id").alias("low"),
-            F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("signatures").alias("signatures")),
+            F.min(F.struct("row_id", "doc_id", "text_hash")).alias("own"), F.count("*").alias("weight"), F.min("doc_id").alias("low"),
+            F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("signatures").alias("signatures"))
+        .withColumn("vertex", F.col("own.row_id")),
         f"{place}/classes")
-    postings = classes.select("vertex", "n_shingles", "sketch", F.explode("signatures").alias("signature"))
-    lists = postings.groupBy("signature").agg(F.count("*").alias("size")).where("size > 1")
-    lists = stored(lists.select("signature", F.ceil(F.col("size") / F.lit(LIST_BLOCK)).cast("int").alias("blocks")), f"{place}/lists")
+    # ids alone until it is known which documents meet; then each one's sketch is fetched
+    postings = classes.select("vertex", F.explode("signatures").alias("signature"))
+    lists = stored(postings.groupBy("signature").agg(F.count("*").alias("size")).where("size > 1"), f"{place}/lists")
     shared = postings.where(may_hold(lists.select("signature"))(F.col("signature"))).join(lists, "signature")
-    near = block_pairs(shared, "signature").mapInArrow(_plausible(percent), "a long, b long")
+    # near copies share dozens of signatures: of lists with the same documents one is looked through
+    short = shared.where(F.col("size") <= LIST_BLOCK).groupBy("signature").agg(F.array_sort(F.collect_list("vertex")).alias("members"))
+    short = short.select("members").distinct().select(F.xxhash64("members").alias("signature"), F.explode("members").alias("vertex"), F.lit(1).alias("blocks"))
+    long = shared.where(F.col("size") > LIST_BLOCK).select("signature", "vertex", F.ceil(F.col("size") / F.lit(LIST_BLOCK)).cast("int").alias("blocks"))
+    meeting = stored(short.union(long), f"{place}/meeting")
+    sketched = meeting.join(classes.select("vertex", "n_shingles", "sketch"), "vertex")
+    near = block_pairs(sketched, "signature").mapInArrow(_plausible(percent), "a long, b long")
     clusters = components(near)
     sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     members = (
-        clusters.join(sizes, "root").join(classes.select("vertex", "digest", "weight", "low"), F.col("id") == F.col("vertex"))
-        .select("vertex", "digest", "weight", F.col("low").alias("doc_id"), F.col("root").alias("cluster"), "blocks")
+        clusters.join(sizes, "root").join(classes.select("vertex", "digest", "weight", "own"), F.col("id") == F.col("vertex"))
+        .select("vertex", "digest", "weight", _known("own.doc_id"), F.col("own.doc_id").isNull().alias("none"), "own.text_hash", F.col("root").alias("cluster"), "blocks")
     )
     members = stored(members, f"{place}/members")
-    wanted = docs.where(may_hold(members.select("doc_id"))(F.col("doc_id")))
-    texts = members.join(wanted, members["doc_id"].eqNullSafe(wanted["doc_id"])).drop("doc_id")
+    # one text per class, however many rows share its doc_id or are its copies
+    one = ["doc_id", "none", "text_hash"]
+    wanted = docs.select(_known("doc_id"), F.col("doc_id").isNull().alias("none"), "text_hash", "text").where(may_hold(members.select("text_hash"))(F.col("text_hash")))
+    texts = members.join(wanted.groupBy(*one).agg(F.first("text").alias("text")), one).drop(*one)
     verified = stored(block_pairs(texts, "cluster").mapInArrow(_verify(width, percent), "vertex long, links long, root long"), f"{place}/verified")
     # a cluster of one block is settled by its task; the forests of others are joined
     forest = components(verified.select(F.col("root").alias("a"), F.col("vertex").alias("b")))
@@ -385,13 +400,16 @@ def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     """The rows of docs without near copies: of each group that links join, the row with the smallest doc_id stays.
 
     A null doc_id comes last; equal doc_ids are told apart by their text, and of equal rows one stays. Rows without words
-    all stay. All columns are kept.
+    all stay. All columns are kept, whatever their names.
     """
     found = linked_documents(docs, width, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     grouped = found.where("n_shingles > 0").groupBy("root").agg(first)
-    keep = grouped.select(F.col("first.doc_id").alias("_doc_id"), F.col("first.text_hash").alias("_hash")).distinct()
+    keep = grouped.select(_known("first.doc_id"), "first.none", "first.text_hash").distinct()
     worded = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
-    # repeated rows differ by number only, so any of them may stay
-    once = docs.where(worded).withColumn("_h", F.xxhash64("text")).join(keep, (F.col("_h") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
-    return once.dropDuplicates(["_doc_id", "_hash"]).select(docs.columns).union(docs.where(~worded))
+    # the row in a struct, so that its columns meet no others; repeated rows differ by these alone, so any of them may stay
+    number = F.col("doc_id").cast("long")
+    rows = docs.select(as_row(docs).alias("row"), worded.alias("worded"), F.coalesce(number, F.lit(0)).alias("doc_id"), number.isNull().alias("none"), F.xxhash64("text").alias("text_hash"))
+    key = ["doc_id", "none", "text_hash"]
+    once = rows.where("worded").join(keep, key).dropDuplicates(key)
+    return once.select("row.*").union(rows.where("NOT worded").select("row.*"))

@@ -33,6 +33,19 @@ def stored(df: DataFrame, place: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def own_name(name: str, taken: list[str]) -> str:
+    """The name of an output column beside the columns `taken`, which keep theirs: `name`, with underscores behind it if needed."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def as_row(df: DataFrame) -> Column:
+    """A whole row in one struct, for work beside it that no column name can disturb."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 #: Bits of a table that tells which values may be there: 2 MiB, whatever the data.
 BITS = 1 << 24
 _WORD = 1 << 15

@@ -74,7 +74,7 @@ def test_query_equals_all_pairs(spark):
     same(QUERIES["op1_ngram_jaccard_join"](spark, folder).collect(), plain(rows, 3, 90))
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80), (2, 51), (1, 60), (3, 100)])
 def test_families_equal_all_pairs(spark, width, percent, monkeypatch):
     rows = list(enumerate(near_copies(width, 400)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -117,6 +117,21 @@ def test_groups_that_share_their_smallest_number(spark):
     assert len(kept) == len(once) + 1, "one of the linked rows without a number"
 
 
+def test_thresholds_of_a_half_or_less_are_refused(spark):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for percent in (0, 50, 101):
+        with pytest.raises(ValueError, match="above 50"):
+            nj.linked_documents(df, 3, percent)
+
+
+def test_many_rows_without_a_number(spark):
+    """Rows that share a null number fetch one text per class, not one per row."""
+    texts = near_copies(3, 60)
+    rows = [(None, t) for t in texts for _ in range(7)] + [(5, t) for t in texts]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(found(df, 3, 80), plain(rows, 3, 80))
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert found(empty, 3, 90) == []
@@ -124,7 +139,7 @@ def test_no_rows(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(1, 900), st.integers(0, 10_000), st.sampled_from([80, 90]))
+@given(st.integers(1, 900), st.integers(0, 10_000), st.integers(51, 100))
 def test_linked_sets_share_a_signature(n, seed, percent):
     draw = np.random.default_rng(seed)
     a = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
