@@ -196,7 +196,8 @@ def archived(pages: DataFrame, place: str | None = None) -> tuple[str, DataFrame
     others = rows.join(first, "digest").where((F.col("file") != F.col("first.file")) | (F.col("position") != F.col("first.position")))
     revisits = others.groupBy("file").agg(F.collect_list(F.struct("position", F.col("first.page_id").alias("refers_to"))).alias("revisits"))
     files = rows.groupBy("file").agg(F.count("*").alias("records")).join(revisits, "file", "left")
-    files = files.repartition("file").select("file", "revisits")
+    # a task per file: by a given count, since the rows are few and the work behind them is not
+    files = files.repartitionByRange(max(1, rows.select("file").distinct().count()), "file").select("file", "revisits")
     return place, stored(files.mapInArrow(_normalised(place), "archive string, records long, bytes long"), f"{place}/archives")
 
 
@@ -205,5 +206,5 @@ def read_back(place: str, archives: DataFrame) -> DataFrame:
 
     Lengths and digests are those of the full payload; a response whose payload does not fit its digest raises.
     """
-    return archives.select("archive").repartition("archive").mapInArrow(
+    return archives.select("archive").repartitionByRange(max(1, archives.count()), "archive").mapInArrow(
         _read(place), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

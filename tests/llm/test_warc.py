@@ -8,6 +8,7 @@ import zlib
 
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from revloom.llm import warc
 
@@ -63,3 +64,16 @@ def test_a_cut_stream_raises():
 def test_no_pages(spark):
     place, archives = warc.archived(spark.createDataFrame([], PAGES))
     assert archives.collect() == [] and warc.read_back(place, archives).collect() == []
+
+
+def test_a_task_per_archive(spark):
+    """However few bytes their names have, archives are normalised and read by many tasks."""
+    rows = [(i, f"http://{i}/", f"<p>page {i}</p>" * 20, "f", 0) for i in range(240)]
+    place, archives = warc.archived(spark.createDataFrame(rows, PAGES).repartition(24))
+    assert archives.count() == 24
+    back = warc.read_back(place, archives)
+    assert back.rdd.getNumPartitions() == 24 and back.count() == 240
+    # Spark samples the names for its ranges, so a few archives may share a task
+    assert back.select(F.spark_partition_id()).distinct().count() > 12
+    system, path = fs.FileSystem.from_uri(f"{place}/archives")
+    assert sum(f.path.endswith(".parquet") for f in system.get_file_info(fs.FileSelector(path))) > 12
