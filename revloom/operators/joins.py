@@ -113,9 +113,12 @@ def floor_tier(df: DataFrame, tiers: DataFrame, value: str, threshold: str, rang
     some = scan.placed(scan.sampled(rows, F.col("_row"), ranges * scan.SAMPLED_PER_RANGE), cuts, F.struct("_v"), ranges)
     held = some.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
     tasks = F.ceil(F.col("n") * F.lit(ranges) / F.sum("n").over(Window.partitionBy(F.lit(0)))).cast("int")  # a row per range
-    dealt = held.select("_range", tasks.alias("tasks")).agg(F.map_from_entries(F.collect_list(F.struct("_range", "tasks")))).scalar()
+    one = df.sparkSession.range(ranges + 1).select(F.col("id").cast("int").alias("_range"), F.lit(1).alias("tasks"))
+    every = held.select("_range", tasks.alias("tasks")).union(one).groupBy("_range").agg(F.max("tasks").alias("tasks"))
+    listed = F.array_sort(F.collect_list(F.struct("_range", "tasks")))
+    dealt = every.agg(F.transform(listed, lambda x: x["tasks"])).scalar()  # by number of range, from 0
     rows = scan.placed(rows, cuts, F.struct("_v"), ranges)
-    shares = F.coalesce(F.try_element_at(dealt, F.col("_range")), F.lit(1))
+    shares = F.get(dealt, F.col("_range"))
     rows = rows.withColumn("_share", F.pmod(F.xxhash64("_row"), shares)).withColumn("_t", F.lit(None).cast(kind))
     steps = scan.placed(steps, cuts, F.struct("_v"), ranges).withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), (shares - 1).cast("long"))))
     both = rows.unionByName(steps, allowMissingColumns=True)
