@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.llm import line_dedup, mixing, ngram_join, packing, quality
-from revloom.llm.shared import folder, known_to_workers, stored
+from revloom.llm.shared import folder, known_to_workers, own_name, stored
 
 #: Distinct sources from which on a line is boilerplate.
 MIN_SITES = 10
@@ -25,7 +25,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: lines on many sites go but for their first place; a document that loses all its lines goes too."""
     left = line_dedup.without_spread_lines(docs, MIN_SITES)
-    left = left.where((F.col("n_removed") == 0) | (F.trim("text") != "")).withColumn("n_chars", F.length("text").cast("long"))
+    left = left.where((F.col(own_name("n_removed", docs.columns)) == 0) | (F.trim("text") != "")).withColumn("n_chars", F.length("text").cast("long"))
     return left.select(docs.columns)
 
 

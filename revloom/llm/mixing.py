@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revloom.llm.shared import folder, stored
+from revloom.llm.shared import as_row, folder, own_name, stored
 
 #: Exponents are multiples of 2^-STEPS; a job tries 2^HALVINGS - 1 of them, that is HALVINGS halvings at once.
 STEPS, HALVINGS = 20, 5
@@ -24,9 +24,9 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def order_key(seed: int, copy: Column) -> Column:
+def order_key(seed: int, copy: Column, doc_id: str = "doc_id") -> Column:
     """Where a row stands in a copy's permutation: a text of 32 hex digits, then the doc_id."""
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.concat(F.md5(F.concat_ws("|", F.lit(str(seed)), copy.cast("string"), name)), F.lit("|"), name)
 
 
@@ -114,18 +114,18 @@ def mixed(docs: DataFrame, target_entropy: float | None = None, max_repeats: flo
     """docs, each row as often as the mixture takes it, with `copy` (long, from 0) and `place` (text that orders the whole
     mixture at random).
 
-    docs: doc_id, text, source and any other columns, kept. A source's quota is its weight times `budget` tokens; a part copy
+    docs: doc_id, text, source and any other columns, kept; where one is called copy or place, the operator's own gets an
+    underscore behind its name. A source's quota is its weight times `budget` tokens; a part copy
     ends before it would pass the quota. Rows of a source that share a doc_id go together, as do those without one. A null
     source is a source of its own. Sources without any word have no share and come once. An empty table gives no rows.
     """
-    docs = docs.withColumn("_source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
-    plan = quotas(docs.select("doc_id", "text", F.col("_source").alias("source")), target_entropy, max_repeats, budget, seed)
-    plan = plan.select(F.col("source").alias("_source"), F.col("copies").alias("_copies"), F.col("cutoff").alias("_cutoff"))
-    taken = docs.join(plan, "_source", "left")
-    more = F.when(order_key(seed, F.col("_copies")) <= F.col("_cutoff"), 1).otherwise(0)
-    times = F.when(F.col("_copies").isNull(), 1).otherwise(F.col("_copies") + more).cast("long")
-    taken = taken.withColumn("_times", times).where("_times > 0")
-    kept = [c for c in docs.columns if c != "_source"]
-    each = taken.select(*[F.col(f"`{c}`") for c in kept], F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)).alias("copy"))
-    name = F.concat_ws("|", F.lit(str(seed)), F.col("copy").cast("string"), F.coalesce("source", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return each.withColumn("place", F.md5(name))
+    named = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    plan = quotas(docs.select("doc_id", "text", named.alias("source")), target_entropy, max_repeats, budget, seed)
+    rows = docs.select(as_row(docs).alias("row"), named.alias("source"))
+    taken = rows.join(plan.select("source", "copies", "cutoff"), "source", "left")
+    more = F.when(order_key(seed, F.col("copies"), "row.doc_id") <= F.col("cutoff"), 1).otherwise(0)
+    times = F.when(F.col("copies").isNull(), 1).otherwise(F.col("copies") + more).cast("long")
+    taken = taken.withColumn("times", times).where("times > 0")
+    each = taken.select("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("copy"))
+    name = F.concat_ws("|", F.lit(str(seed)), F.col("copy").cast("string"), F.coalesce("row.source", F.lit("")), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")))
+    return each.select("row.*", F.col("copy").alias(own_name("copy", docs.columns)), F.md5(name).alias(own_name("place", docs.columns)))

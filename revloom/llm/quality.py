@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revloom.llm.hashing import PIECE_BYTES, pieces, word_hashes
+from revloom.llm.shared import own_name
 
 #: Labelled rows that a model is fitted on, at most: the ones with the smallest hash of doc_id.
 SAMPLE_ROWS = 20_000
@@ -183,14 +184,17 @@ def scorer(model: Model):
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with held_out, score (0 to 1, higher for better) and predicted (1 where score >= AT_THRESHOLD, else 0).
 
-    docs: doc_id, text and any other columns, kept. Every row is scored from its whole text; a null text as an empty one.
+    docs: doc_id, text and any other columns, kept; where one has the name of an output, the output gets an underscore behind
+    it. Every row is scored from its whole text; a null text as an empty one.
     Repeated rows score alike. Without labels of both kinds every score is 0.5. An empty table gives no rows.
     """
     score = scorer(learned(docs, labels))
-    out = docs.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("score", score(F.col("text")))
-    return out.withColumn("predicted", F.when(F.col("score") >= AT_THRESHOLD, 1).otherwise(0))
+    names = [own_name(n, docs.columns) for n in ("held_out", "score", "predicted")]
+    out = docs.withColumn(names[0], held_out(F.col("doc_id"))).withColumn(names[1], score(F.col("text")))
+    return out.withColumn(names[2], F.when(F.col(names[1]) >= AT_THRESHOLD, 1).otherwise(0))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are predicted good, with all their columns."""
-    return scored(docs, labels).where("predicted = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that are predicted good, with all their columns as they are."""
+    good = scored(docs, labels).where(F.col(own_name("predicted", docs.columns)) == 1)
+    return good.select(*[F.col(f"`{c}`") for c in docs.columns])
