@@ -2,7 +2,9 @@
 
 Counting: a task sorts the pairs of neighbouring words that it reads, counts equal ones and sends them, packed by ranges of
 the first word's hash, to the range's task, which merges them, writes the range's sorted array of pair hashes with counts
-to the shared folder, and sends sums per word on by ranges of that word. Those are merged and written likewise. Nothing is
+to the shared folder, and sends sums per word on by ranges of that word. Those are merged and written likewise. Pairs behind a
+word that a sample of the texts shows to be frequent, and those behind the begin mark, are dealt by the hash of the pair
+instead, so that no range holds all of them; the sample decides about that alone. Nothing is
 pruned, so the arrays grow with the corpus. Scoring: tasks map the arrays to memory and look up the sorted, distinct pairs
 and words of some texts at a time.
 
@@ -23,19 +25,22 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revloom.llm.hashing import mix, pieces, word_hashes
+from revloom.llm.ngram_join import COUNT_BITS, COUNT_BUCKETS, word_counts
 from revloom.llm.shared import folder, runs, starts_of, stored
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Pairs that a task sorts at a time.
 SORTED_PAIRS = 1 << 22
+#: One text in so many, by hash, is looked at for frequent words: those with more than 1 / FREQUENT of a range's share of tokens.
+SAMPLED, FREQUENT = 64, 2
 PAIRS, CONTEXTS, FOLLOWERS, WORDS = range(4)
 
-_PAIR_ARRAYS = ("<u8", "<u4")  # hash, count
-_WORD_ARRAYS = ("<u8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u4")  # hash, c, c as context, a, pairs counted 1, 2, 3 or more
+_PAIR_ARRAYS, _WIDE_PAIR_ARRAYS = ("<u8", "<u4"), ("<u8", "<i8")  # hash, count; the latter where a count needs it
+_WORD_ARRAYS = ("<u8", "<i8", "<i8", "<i8", "<i8", "<i8", "<i8")  # hash, c, c as context, a, pairs counted 1, 2, 3 or more
 
 
 def in_training(doc_id: Column) -> Column:
@@ -70,22 +75,72 @@ def _pairs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return before, tokens, np.append(begins, len(tokens))
 
 
-def _packed_pairs(before: np.ndarray, tokens: np.ndarray, ranges: int) -> pa.RecordBatch:
+def frequent_words(texts: DataFrame, ranges: int) -> np.ndarray:
+    """Buckets of hashes that frequent words are in, the begin mark's among them; at most FREQUENT * ranges + 1."""
+    counts = word_counts(texts.where(F.pmod(F.xxhash64(texts.columns[0]), F.lit(SAMPLED)) == 0)).astype(np.int64)
+    hot = np.flatnonzero(counts * FREQUENT * ranges > max(int(counts.sum()), 1))
+    return np.union1d(hot, [int(BEGIN >> np.uint64(64 - COUNT_BITS))])
+
+
+class Routes:
+    """Which hash says in what range a pair is: its first word's, or the pair's own where that word is frequent."""
+
+    def __init__(self, hot: np.ndarray):
+        self.hot, self._table = hot, None
+
+    def __getstate__(self):
+        return {"hot": self.hot, "_table": None}
+
+    def spread(self, before: np.ndarray) -> np.ndarray:
+        if self._table is None:
+            self._table = np.zeros(COUNT_BUCKETS, dtype=bool)
+            self._table[self.hot] = True
+        return self._table[(before >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+
+    def of(self, before: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        return np.where(self.spread(before), keys, before)
+
+
+def even_keys(spark: SparkSession, parts: int) -> np.ndarray:
+    """For each of `parts` partitions a number that Spark's hash sends there, so that as many ranges are one to a partition."""
+    tried = spark.range(parts * (8 + 2 * parts.bit_length())).select(F.col("id").cast("int").alias("key"))
+    found = tried.groupBy(F.pmod(F.hash("key"), F.lit(parts)).alias("part")).agg(F.min("key").alias("key")).collect()  # a row per partition
+    out = np.arange(parts, dtype=np.int32)  # a partition that none was found for: any number will do
+    for r in found:
+        out[r["part"]] = r["key"]
+    return out
+
+
+def _packed_pairs(before: np.ndarray, tokens: np.ndarray, ranges: int, routes: Routes, keys: np.ndarray) -> pa.RecordBatch:
+    rows = []
+
+    def pack(r: int, before: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> None:
+        own = starts_of(before)
+        sizes = np.diff(np.append(own, len(before))).astype("<u4")
+        rows.append((r, before[own].tobytes(), sizes.tobytes(), tokens.tobytes(), counts.tobytes()))
+
     order = np.lexsort((tokens, before))
     before, tokens = before[order], tokens[order]
     at = starts_of(before, tokens)
     counts = np.diff(np.append(at, len(before))).astype("<u4")
     before, tokens = before[at], tokens[at]
-    rows = []
-    for r, a, b in _slices(before, ranges):
-        own = starts_of(before[a:b])
-        sizes = np.diff(np.append(own, b - a)).astype("<u4")
-        rows.append((r, before[a:b][own].tobytes(), sizes.tobytes(), tokens[a:b].tobytes(), counts[a:b].tobytes()))
+    spread = routes.spread(before)
+    own = np.flatnonzero(~spread)
+    for r, a, b in _slices(before[own], ranges):
+        pack(r, before[own[a:b]], tokens[own[a:b]], counts[own[a:b]])
+    dealt = np.flatnonzero(spread)
+    to = _range_of(mix(mix(before[dealt]) + tokens[dealt]), ranges)
+    order = np.argsort(to, kind="stable")  # within a range still by first word
+    dealt, to = dealt[order], to[order]
+    at = starts_of(to)
+    for a, b in zip(at, np.append(at, len(to))[1:], strict=True):
+        pack(int(to[a]), before[dealt[a:b]], tokens[dealt[a:b]], counts[dealt[a:b]])
     columns = list(zip(*rows, strict=True))
-    return pa.record_batch([pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["range", "contexts", "sizes", "words", "counts"])
+    to = pa.array(keys[list(columns[0])], pa.int32())
+    return pa.record_batch([pa.array(columns[0], pa.int32()), to, *[pa.array(c, pa.binary()) for c in columns[1:]]], names=["range", "to", "contexts", "sizes", "words", "counts"])
 
 
-def _count_pairs(ranges: int):
+def _count_pairs(ranges: int, routes: Routes, keys: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
@@ -94,10 +149,10 @@ def _count_pairs(ranges: int):
                 held.append((before, tokens))
                 size += len(tokens)
                 if size >= SORTED_PAIRS:
-                    yield _packed_pairs(*[np.concatenate(x) for x in zip(*held, strict=True)], ranges)
+                    yield _packed_pairs(*[np.concatenate(x) for x in zip(*held, strict=True)], ranges, routes, keys)
                     held, size = [], 0
         if size:
-            yield _packed_pairs(*[np.concatenate(x) for x in zip(*held, strict=True)], ranges)
+            yield _packed_pairs(*[np.concatenate(x) for x in zip(*held, strict=True)], ranges, routes, keys)
 
     return run
 
@@ -113,16 +168,17 @@ def _write(place: str, name: str, arrays: list[np.ndarray]) -> str:
     return name
 
 
-_SENT = "kind int, range int, data array<binary>, file string, size long, stats array<long>"
+_SENT = "kind int, range int, to int, data array<binary>, file string, size long, stats array<long>"
 
 
 def _row(kind: int, r: int, data: list[np.ndarray] = (), file: str | None = None, size: int = 0, stats: list[int] = ()) -> tuple:
     return kind, r, [a.tobytes() for a in data], file, size, [int(x) for x in stats]
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.string(), pa.int64(), pa.list_(pa.int64()))
-    names = ("kind", "range", "data", "file", "size", "stats")
+def _batch(rows: list[tuple], keys: np.ndarray) -> pa.RecordBatch:
+    rows = [(kind, r, int(keys[r]), *rest) for kind, r, *rest in rows]
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.string(), pa.int64(), pa.list_(pa.int64()))
+    names = ("kind", "range", "to", "data", "file", "size", "stats")
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=list(names))
 
 
@@ -136,7 +192,7 @@ def _of_counts(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)[1:5].tolist()
 
 
-def _merge_pairs(place: str, ranges: int):
+def _merge_pairs(place: str, ranges: int, keys_of: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["range"]):
             r = table.column("range")[0].as_py()
@@ -149,23 +205,25 @@ def _merge_pairs(place: str, ranges: int):
             before, words, counts = before[at], words[at], np.add.reduceat(counts, at)
             keys = mix(mix(before) + words)
             order = np.argsort(keys)
-            file = _write(place, f"pairs-{r}", [keys[order], np.minimum(counts[order], 2**32 - 1).astype("<u4")])
+            wide = len(counts) and int(counts.max()) >= 1 << 32
+            file = _write(place, f"{'wide-' if wide else ''}pairs-{r}", [x[order].astype(kind) for x, kind in zip((keys, counts), _WIDE_PAIR_ARRAYS if wide else _PAIR_ARRAYS, strict=True)])
             rows = [_row(PAIRS, r, file=file, size=len(keys), stats=_of_counts(counts))]
             at = starts_of(before)
             classes = [np.add.reduceat(flag.astype(np.int64), at).astype("<u4") for flag in (counts == 1, counts == 2, counts > 2)]
-            rows.append(_row(CONTEXTS, r, [before[at], np.add.reduceat(counts, at), *classes]))
+            sums = [before[at], np.add.reduceat(counts, at), *classes]
+            rows += [_row(CONTEXTS, to, [x[a:b] for x in sums]) for to, a, b in _slices(sums[0], ranges)]
             order = np.argsort(words, kind="stable")
             words, counts = words[order], counts[order]
             at = starts_of(words)
             totals, different = np.add.reduceat(counts, at), np.diff(np.append(at, len(words))).astype("<u4")
             words = words[at]
             rows += [_row(FOLLOWERS, to, [words[a:b], totals[a:b], different[a:b]]) for to, a, b in _slices(words, ranges)]
-            yield _batch(rows)
+            yield _batch(rows, keys_of)
 
     return run
 
 
-def _merge_words(place: str):
+def _merge_words(place: str, keys_of: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["range"]):
             r, kinds, data = table.column("range")[0].as_py(), table.column("kind").to_numpy(), table.column("data")
@@ -190,7 +248,7 @@ def _merge_words(place: str):
                 file = _write(place, f"words-{r}", [x.astype(kind) for x, kind in zip([word[at], *sums], _WORD_ARRAYS, strict=True)])
                 c, _, a = sums[:3]
                 rows.append(_row(WORDS, r, file=file, size=len(at), stats=[c.sum(), (c > 0).sum(), a.sum(), (a > 2).sum(), *_of_counts(a)]))
-            yield _batch(rows)
+            yield _batch(rows, keys_of)
 
     return run
 
@@ -210,8 +268,8 @@ def discounts(of_counts: list[int]) -> np.ndarray:
 class Model:
     """Where the arrays of a trained model are, and its few global numbers. Travels to the tasks."""
 
-    def __init__(self, place: str, ranges: int, files: dict[int, dict[int, tuple[str, int]]], pair_counts: list[int], word_stats: list[int]):
-        self.place, self.ranges, self.files = place, ranges, files
+    def __init__(self, place: str, ranges: int, files: dict[int, dict[int, tuple[str, int]]], pair_counts: list[int], word_stats: list[int], routes: Routes):
+        self.place, self.ranges, self.files, self.routes = place, ranges, files, routes
         self.tokens, self.vocabulary, self.continuations, more, *of_counts = word_stats
         self.of_pairs, self.of_words = discounts(pair_counts), discounts(of_counts)
         taken = float(self.of_words[1] * of_counts[0] + self.of_words[2] * of_counts[1] + self.of_words[3] * more)
@@ -235,14 +293,23 @@ class _Arrays:
                 return None
             path, size = self.files[kind][r]
             out, at = [], 0
-            for dtype in _PAIR_ARRAYS if kind == PAIRS else _WORD_ARRAYS:
+            wide = os.path.basename(path).startswith("wide-")
+            for dtype in _WORD_ARRAYS if kind == WORDS else _WIDE_PAIR_ARRAYS if wide else _PAIR_ARRAYS:
                 out.append(np.memmap(path, dtype, "r", at, (size,)))
                 at += size * np.dtype(dtype).itemsize
             self.open[kind, r] = out
         return self.open[kind, r]
 
     def find(self, kind: int, keys: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
-        """The values of each key, 0 where it is not there; `of` is the hash whose range the key is in. Sorted by `of`'s range."""
+        """The values of each key, 0 where it is not there; `of` is the hash whose range the key is in."""
+        order = np.argsort(_range_of(of, self.ranges), kind="stable")
+        found = self._find(kind, keys[order], of[order])
+        out = [np.empty_like(x) for x in found]
+        for x, y in zip(out, found, strict=True):
+            x[order] = y
+        return out
+
+    def _find(self, kind: int, keys: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
         width = len(_PAIR_ARRAYS if kind == PAIRS else _WORD_ARRAYS) - 1
         out = [np.zeros(len(keys), np.int64) for _ in range(width)]
         for r, a, b in _slices(of, self.ranges):
@@ -271,10 +338,11 @@ def _score_piece(model: Model, arrays: _Arrays, data: np.ndarray, starts: np.nda
     words, place = _distinct(np.concatenate([before, tokens]))
     c, as_context, a, *classes = arrays.find(WORDS, words, words)
     left, right = place[: len(before)], place[len(before) :]
-    # pairs by the rank of the context, so that a range's pairs stand together
+    # distinct pairs, by the rank of the context
     pairs, back = _distinct(left * len(words) + right)
     contexts, followers = words[pairs // len(words)], words[pairs % len(words)]
-    count = arrays.find(PAIRS, mix(mix(contexts) + followers), contexts)[0]
+    keys = mix(mix(contexts) + followers)
+    count = arrays.find(PAIRS, keys, model.routes.of(contexts, keys))[0]
 
     d = model.of_words[np.minimum(a, 3)]
     low = np.maximum(a - d, 0) / max(model.continuations, 1) + model.unseen
@@ -309,15 +377,17 @@ def trained(texts: DataFrame) -> Model:
     """
     place = folder(texts.sparkSession)
     ranges = max(4, texts.select(F.spark_partition_id()).distinct().count())
-    counted = texts.mapInArrow(_count_pairs(ranges), "range int, contexts binary, sizes binary, words binary, counts binary")
-    merged = counted.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_merge_pairs(place, ranges), _SENT)
-    done = merged.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_merge_words(place), _SENT)
+    routes = Routes(frequent_words(texts, ranges))
+    keys = even_keys(texts.sparkSession, ranges)
+    counted = texts.mapInArrow(_count_pairs(ranges, routes, keys), "range int, to int, contexts binary, sizes binary, words binary, counts binary")
+    merged = counted.repartition(ranges, "to").sortWithinPartitions("range").mapInArrow(_merge_pairs(place, ranges, keys), _SENT)
+    done = merged.repartition(ranges, "to").sortWithinPartitions("range").mapInArrow(_merge_words(place, keys), _SENT)
     files: dict[int, dict[int, tuple[str, int]]] = {PAIRS: {}, WORDS: {}}
     sums = {PAIRS: [0] * 4, WORDS: [0] * 8}
     for row in stored(done.drop("data"), f"{place}/ranges").collect():  # two rows per range, not data
         files[row["kind"]][row["range"]] = row["file"], row["size"]
         sums[row["kind"]] = [x + y for x, y in zip(sums[row["kind"]], row["stats"], strict=True)]
-    return Model(f"{place}", ranges, files, sums[PAIRS], sums[WORDS])
+    return Model(f"{place}", ranges, files, sums[PAIRS], sums[WORDS], routes)
 
 
 def scored(docs: DataFrame) -> DataFrame:

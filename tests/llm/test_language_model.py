@@ -5,7 +5,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from revloom.llm import language_model as lm
 from revloom.llm.queries import QUERIES
@@ -92,6 +94,47 @@ def test_discounts():
 
 
 def test_only_a_mounted_folder_can_be_mapped():
-    model = lm.Model("hdfs://store/x", 4, {lm.PAIRS: {}, lm.WORDS: {}}, [0] * 4, [0] * 8)
+    model = lm.Model("hdfs://store/x", 4, {lm.PAIRS: {}, lm.WORDS: {}}, [0] * 4, [0] * 8, lm.Routes(np.empty(0, np.int64)))
     with pytest.raises(ValueError, match="mounted"):
         lm._Arrays(model)
+
+
+def test_frequent_words_are_spread(spark, monkeypatch):
+    """Every text begins with one word that all others follow: its pairs are in all ranges, and the model is the same."""
+    monkeypatch.setattr(lm, "SAMPLED", 2)
+    rows = [(i, " ".join(f"the w{(i * 31 + k) % 4000}" for k in range(40))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    texts = df.select("text")
+    routes = lm.Routes(lm.frequent_words(texts, 12))
+    assert 1 < len(routes.hot) <= 2 * 12 + 1
+    sent = texts.mapInArrow(lm._count_pairs(12, routes, np.arange(12)), "range int, to int, contexts binary, sizes binary, words binary, counts binary")
+    sizes = sorted(r[0] for r in sent.groupBy("range").agg(F.sum(F.length("words"))).select("sum(length(words))").collect())
+    assert len(sizes) == 12 and sizes[-1] < 3 * sum(sizes) / 12
+    together = texts.mapInArrow(lm._count_pairs(12, lm.Routes(np.empty(0, np.int64)), np.arange(12)), "range int, to int, contexts binary, sizes binary, words binary, counts binary")
+    assert together.groupBy("range").agg(F.sum(F.length("words")).alias("n")).agg(F.max("n")).first()[0] > 4 * sum(sizes) / 12
+    same(lm.scored(df).collect(), plain(rows)[0])
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    """A pair that is more frequent than 32 bits can say keeps its count."""
+    import pyarrow as pa
+
+    def packed(n):
+        before, words = np.array([5], "<u8"), np.array([7, 9], "<u8")
+        counts = np.array([n, 3], "<u4")
+        return {"range": 0, "contexts": before.tobytes(), "sizes": np.array([2], "<u4").tobytes(), "words": words.tobytes(), "counts": counts.tobytes()}
+
+    schema = pa.schema([("range", pa.int32()), *[(c, pa.binary()) for c in ("contexts", "sizes", "words", "counts")]])
+    batch = pa.RecordBatch.from_pylist([packed(2**32 - 1)] * 3, schema)
+    out = [r for b in lm._merge_pairs(str(tmp_path), 1, np.arange(1))(iter([batch])) for r in b.to_pylist()]
+    files = {lm.PAIRS: {0: next((r["file"], r["size"]) for r in out if r["kind"] == lm.PAIRS)}, lm.WORDS: {}}
+    model = lm.Model(str(tmp_path), 1, files, [0] * 4, [0] * 8, lm.Routes(np.empty(0, np.int64)))
+    keys = lm.mix(lm.mix(np.array([5, 5, 5], np.uint64)) + np.array([7, 9, 8], np.uint64))
+    assert lm._Arrays(model).find(lm.PAIRS, keys, keys)[0].tolist() == [3 * (2**32 - 1), 9, 0]
+
+
+@pytest.mark.parametrize("parts", [1, 4, 32, 211])
+def test_a_range_per_partition(spark, parts):
+    keys = lm.even_keys(spark, parts)
+    df = spark.createDataFrame([(int(k),) for k in keys], "to int").repartition(parts, "to")
+    assert df.select(F.spark_partition_id()).distinct().count() == parts
