@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -197,38 +198,76 @@ def winnowed(text: str, size: int, window: int) -> Column:
     return F.array_distinct(out)
 
 
+#: Longest tokens that are looked up among all pieces of their length.
+SHORT = 2
+
+
 def containing(
     texts: DataFrame, key: str, text: str, tokens: DataFrame, token: str, *, framed_length: int = 6,
     frame: tuple[str, str] = ("-", "."),
 ) -> DataFrame:
     """Distinct (token, key) pairs where the text holds the token.
 
-    A token of `framed_length` characters must stand between the two frame characters; others match anywhere. Of a text's
-    pieces only those with the least hash among their neighbours are kept, some two in five characters; the same choice made in a
-    token is a part of it, so a token is looked for by the one of its pieces that is in the fewest texts, and what that
-    finds is verified in the text. Tokens too short for such a choice have shorter pieces, which texts give only if there are such
-    tokens. Only keys and hashes travel. Tokens are literal text; `key` has a text each.
+    A token of `framed_length` characters must stand between the two frame characters; others match anywhere. What stands in
+    frames is cut out of the texts and looked up as it is, and so are pieces of up to SHORT characters. A longer token without white
+    space can only be inside a word, and a text has each of its words once, so such tokens are looked for in the different words of
+    all texts (`_by_pieces`), and a text has the tokens of its words. Only tokens with white space are looked for in the texts
+    themselves. Tokens are literal text; `key` has a text each.
     """
     wanted = tokens.select(F.col(token).alias("token")).where("token <> ''").distinct()
-    framed = F.concat(F.lit(frame[0]), F.col("token"), F.lit(frame[1]))
-    wanted = wanted.withColumn("_sought", F.when(F.length("token") == framed_length, framed).otherwise(F.col("token")))
-    kind = F.coalesce(*[F.when(F.length("_sought") >= n, F.lit(n)) for n in sorted(PIECES, reverse=True)])
+    held = texts.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_held"))
+    is_framed, is_short = F.length("token") == framed_length, F.length("token") <= SHORT
+    plain, spaced = wanted.where(~is_framed & ~is_short), F.col("token").rlike(r"\s")
+
+    # the last dot steps over one whole character, so that frames may share theirs
+    between = F.regexp_extract_all("_held", F.lit(f"(?s)(?={re.escape(frame[0])}(.{{{framed_length}}}){re.escape(frame[1])})."), F.lit(1))
+    cut = held.select("_key", F.explode(F.array_distinct(between)).alias("token"))
+    in_frames = cut.join(wanted.where(is_framed), "token").select("token", "_key")
+
+    asked = wanted.where(~is_framed & is_short).withColumn("_n", F.length("token"))
+    none = F.slice(F.array(F.lit("")), 1, 0)
+    grams = [F.when(F.array_contains("_asked", n), F.regexp_extract_all("_held", F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))).otherwise(none) for n in range(1, SHORT + 1)]
+    cut = held.withColumn("_asked", asked.agg(F.collect_set("_n")).scalar()).select("_key", F.explode(F.array_distinct(F.concat(*grams))).alias("token"))
+    in_grams = cut.join(asked.select("token"), "token").select("token", "_key")
+
+    # rows with one key are told apart by their text, and counted where they are copies
+    rows = held.withColumn("_text", F.xxhash64("_held"))
+    own = rows.select("_key", "_text", F.explode(F.array_distinct(F.split("_held", r"\s+"))).alias("_word")).where("_word <> ''")
+    words = own.select("_word").distinct()
+    of_words = _by_pieces(words, "_word", plain.where(~spaced)).where(F.contains("_word", "token"))
+    in_words = own.join(of_words, "_word").select("token", "_key", "_text").distinct()
+    copies = rows.groupBy("_key", "_text").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    in_words = in_words.join(copies, ["_key", "_text"], "left")
+    in_words = in_words.select("token", "_key", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(1).cast("long")))).alias("_copy"))
+
+    maybe = _by_pieces(held, "_held", plain.where(spaced), "_key")
+    in_texts = maybe.join(held, "_key").where(F.contains("_held", "token"))
+    found = in_frames.unionByName(in_grams).unionByName(in_words.select("token", "_key")).unionByName(in_texts.select("token", "_key"))
+    return found.withColumnRenamed("_key", key)
+
+
+def _by_pieces(texts: DataFrame, text: str, wanted: DataFrame, key: str | None = None) -> DataFrame:
+    """Distinct (`key`, token) pairs, or (`text`, token), among which are all where the text holds the token; others must be sorted out.
+
+    Of a text's pieces only those with the least hash among their neighbours are kept, some two in five characters; the same choice
+    made in a token is a part of it, so a token is looked for by the one of its pieces that is in the fewest texts. Tokens too short for
+    such a choice have shorter pieces, which texts give only if there are such tokens. Only keys and hashes travel.
+    """
+    key = key or text
+    kind = F.coalesce(*[F.when(F.length("token") >= n, F.lit(n)) for n in sorted(PIECES, reverse=True)])
     wanted = wanted.withColumn("_kind", kind)
-
-    own = F.coalesce(*[F.when(F.col("_kind") == n, winnowed("_sought", *how)) for n, how in PIECES.items()])
-    of_token = wanted.select("token", "_sought", F.explode(own).alias("piece"))
+    own = F.coalesce(*[F.when(F.col("_kind") == n, winnowed("token", *how)) for n, how in PIECES.items()])
+    of_token = wanted.select("token", F.explode(own).alias("piece"))
     asked = wanted.agg(F.collect_set("_kind")).scalar()
     none = F.slice(F.array(F.lit(0).cast("long")), 1, 0)
     cut = F.concat(*[F.when(F.array_contains("_kinds", n), winnowed(text, *how)).otherwise(none) for n, how in PIECES.items()])
-    of_text = texts.where(F.col(text).isNotNull()).select(key, text).withColumn("_kinds", asked).select(key, F.explode(cut).alias("piece"))
+    of_text = texts.withColumn("_kinds", asked).where(F.size("_kinds") > 0).select(key, F.explode(cut).alias("piece"))
     of_text = of_text.join(of_token.select("piece").distinct(), "piece", "left_semi")
     common = of_text.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     # a token with a piece that no text has is in none
-    ranked = of_token.join(common, "piece", "left").groupBy("token", "_sought").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rare"))
-    rare = ranked.where("rare.n > 0").select("token", "_sought", F.col("rare.piece").alias("piece"))
-    maybe = of_text.join(rare, "piece").select(F.col(key).alias("_key"), "token", "_sought").distinct()
-    found = maybe.join(texts.select(key, text), F.col("_key") == F.col(key))
-    return found.where(F.contains(F.col(text), F.col("_sought"))).select("token", key)
+    ranked = of_token.join(common, "piece", "left").groupBy("token").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rare"))
+    rare = ranked.where("rare.n > 0").select("token", F.col("rare.piece").alias("piece"))
+    return of_text.join(rare, "piece").select(key, "token").distinct()
 
 
 def listed(dim: DataFrame) -> Column:

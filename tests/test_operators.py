@@ -87,6 +87,19 @@ def test_containing(spark, rows):
     assert found == [("a.b", 3), ("ab12cd", 1), ("b(c)", 3), ("😀abc", 6), ("😀bcdef", 6)]
 
 
+def test_containing_looks_into_each_word_once(spark, rows, monkeypatch):
+    """The words of many texts are cut into pieces once, not the texts; copies of a row and tokens with white space count as ever."""
+    texts = spark.createDataFrame([(k, f"alpha beta-{k % 3} gamma\tdelta") for k in range(60)] + [(7, "alpha beta-1 gamma\tdelta"), (None, "alpha")], "k int, t string")
+    tokens = spark.createDataFrame([("lph",), ("a-2",), ("gamma\td",), ("a beta-0 g",), ("a  b",), ("\t",), ("delta.",)], "token string")
+    cut = []
+    real = joins._by_pieces
+    monkeypatch.setattr(joins, "_by_pieces", lambda df, *rest: cut.append(df) or real(df, *rest))
+    found = rows(joins.containing(texts, "k", "t", tokens, "token"))
+    assert cut[0].count() == 6
+    want = [(x, k) for k in [*range(60), 7] for x in ("lph", "a-2", "gamma\td", "a beta-0 g", "\t") if x in f"alpha beta-{k % 3} gamma\tdelta"]
+    assert found == sorted(want, key=repr)
+
+
 def test_id_map_is_the_chained_full_join(spark, rows):
     def side(data):
         return spark.createDataFrame(data, "id string, account string")
