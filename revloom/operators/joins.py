@@ -270,6 +270,31 @@ def _by_pieces(texts: DataFrame, text: str, wanted: DataFrame, key: str | None =
     return of_text.join(rare, "piece").select(key, "token").distinct()
 
 
+#: Rows of a side in one share of `join_all`: a share of both sides gives at most about its square of rows.
+SHARE_ROWS, SHARE_TASKS = 3000, 200
+
+
+def join_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join of two sides that both have many rows with one key. All their pairs are the result, dealt evenly.
+
+    A task's work here is the pairs that it makes, which the size of its input does not show, so they are dealt beforehand: a key's rows
+    are cut into shares by their hash, and each share of a side meets each of the other in a cell of its own.
+    """
+    sizes = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).join(right.groupBy(key).agg(F.count(F.lit(1)).alias("_others")), key)
+    shares = {n: F.ceil(F.col(n) / SHARE_ROWS) for n in ("_rows", "_others")}
+    sizes = sizes.select(key, *[c.cast("long").alias(n) for n, c in shares.items()])
+    tasks = max(SHARE_TASKS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def dealt(df: DataFrame, own: str, other: str, at: str, against: str) -> DataFrame:
+        share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        # by a given number of tasks, so that small inputs are not put together
+        return df.join(sizes, key).select(*[F.col(f"`{c}`") for c in df.columns], share.alias(at), every.alias(against)).repartition(tasks, key, "_at", "_against")
+
+    l, r = dealt(left, "_rows", "_others", "_at", "_against"), dealt(right, "_others", "_rows", "_against", "_at")
+    return l.join(r, [key, "_at", "_against"]).drop("_at", "_against")
+
+
 def listed(dim: DataFrame) -> Column:
     """The distinct values of a one-column list as one sorted array, NULL among them, for use in any plan."""
     name = dim.columns[0]

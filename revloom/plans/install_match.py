@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revloom.operators.joins import containing, present_in
+from revloom.operators.joins import containing, join_all, present_in
 
 
 def installs(payload: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def run(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     named = pairs.join(found, "install_key").select("token", "install")
     update = present_in(leads, pairs, ["token"]).select("id").distinct()
     return {
-        "matches": leads.join(named, "token").select("id", "token", "verified", "token_present", "install"),
+        "matches": join_all(leads, named, "token").select("id", "token", "verified", "token_present", "install"),
         "lead_update": update.withColumn("verified", F.lit(True)),
         "before": update.withColumn("verified", F.lit(False)),
     }

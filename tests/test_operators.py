@@ -100,6 +100,16 @@ def test_containing_looks_into_each_word_once(spark, rows, monkeypatch):
     assert found == sorted(want, key=repr)
 
 
+def test_join_all_deals_the_pairs_of_a_key(spark, rows, monkeypatch):
+    monkeypatch.setattr(joins, "SHARE_ROWS", 50)
+    one = spark.range(0, 700, 1, 4).select(F.when(F.col("id") < 690, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("a"))
+    two = spark.range(0, 650, 1, 4).select(F.lit("hot").alias("k"), F.col("id").alias("b")).unionByName(spark.createDataFrame([("695", 1), ("695", 2), ("no", 3)], "k string, b long"))
+    out = joins.join_all(one, two, "k")
+    assert out.columns == ["k", "a", "b"] and rows(out.where("k <> 'hot'")) == [("695", 695, 1), ("695", 695, 2)]
+    per_task = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(per_task) == out.distinct().count() == 690 * 650 + 2 and max(per_task) < 0.1 * sum(per_task)
+
+
 def test_id_map_is_the_chained_full_join(spark, rows):
     def side(data):
         return spark.createDataFrame(data, "id string, account string")
