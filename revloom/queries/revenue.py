@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from revloom.operators.changes import watermark
 from revloom.operators.schema import union_fill
 from revloom.operators.aggregates import joined_text
-from revloom.operators.joins import left_lookup, present_in
+from revloom.operators.joins import left_lookup
 from revloom.plans import forecast, onboarding, pricing, reconcile, snapshots, tag_sync
 from revloom.queries.registry import Tables, query
 from revloom.sources.readers import query as sql_query
@@ -318,17 +318,13 @@ def tag_matches(t: Tables):
     return tag_sync.run(tag_sources(t), "Tag")["candidates"].select("id", "match_count", "matched")
 
 
-@query("tag_matched_ids", TAGS + """,
-need AS (SELECT DISTINCT CASE WHEN r.areas LIKE '%Tag%' OR r.linked_id IS NOT NULL THEN 'all' ELSE 'active' END AS scope, r.domain
-  FROM seed JOIN r USING (id) WHERE matched_ids IS NOT NULL),
-held AS (SELECT scope, domain, c.id FROM need JOIN c USING (domain) WHERE scope = 'all' OR status = 'Active Account'),
-starts AS (SELECT *, sum(octet_length(encode(id)) + 1) OVER (PARTITION BY scope, domain ORDER BY id ROWS UNBOUNDED PRECEDING) - octet_length(encode(id)) - 1 AS start FROM held)
-SELECT scope, domain, CAST(start // 64 AS BIGINT) AS part, string_agg(id, ',' ORDER BY id) AS matched_ids FROM starts GROUP BY ALL""")
+@query("tag_matched_ids", TAGS + " SELECT id, 0 AS part, matched_ids FROM seed WHERE matched_ids IS NOT NULL")
 def tag_matched_ids(t: Tables):
-    """The ids of each scope and domain that a matched candidate has, once, in parts; candidates name their scope and domain."""
+    """The ids that each matched candidate has, as one text (parts of 1 GiB). A domain's text is put together once; then each candidate gets it."""
     out = tag_sync.run(tag_sources(t), "Tag")
-    wanted = present_in(out["domain_ids"], out["candidates"].where("matched"), ["scope", "domain"])
-    return joined_text(wanted, ["scope", "domain"], "matched_id", "matched_ids", chunk_bytes=64).drop("count")
+    texts = joined_text(out["domain_ids"], ["scope", "domain"], "matched_id", "matched_ids", chunk_bytes=1 << 30)
+    named = left_lookup(out["candidates"].where("matched"), texts, [("scope", "scope"), ("domain", "domain")], {"part": "part", "matched_ids": "matched_ids"})
+    return named.select("id", F.col("part").cast("int").alias("part"), "matched_ids")
 
 
 @query("tag_sync", TAGS + """,

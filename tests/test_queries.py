@@ -53,3 +53,9 @@ def test_rows_come_in_order(spark, duck, name):
     assert "Sort [" in plan
     first, again = (QUERIES[name](spark, FOLDER).collect() for _ in range(2))
     assert first == again
+
+
+def test_each_matched_candidate_has_its_ids(spark):
+    matched = QUERIES["tag_matches"](spark, FOLDER).where("matched").select("id", "match_count")
+    ids = QUERIES["tag_matched_ids"](spark, FOLDER).selectExpr("id", "CAST(size(split(matched_ids, ',')) AS bigint)")
+    assert sorted(map(tuple, ids.collect())) == sorted(map(tuple, matched.collect()))
