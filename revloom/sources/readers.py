@@ -87,18 +87,25 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, *, mul
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+#: Pieces of a file, each up to a closing brace, in one cut; tasks for the cuts of a split.
+CUT_PIECES, TASKS_PER_SPLIT = 1 << 15, 16
+
+
 def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str, alias: str = "record") -> DataFrame:
     """Records of files that each hold one JSON array of objects, as a struct `alias`, with `file` and their `number` (from 0) in it.
 
-    A file of any size is read by as many tasks as it has splits. It is cut at closing braces. Whether one ends a record depends on
-    what came before, so each split says how many quotes it holds and how deep it leads, for a start inside a string and for one
-    outside; summed over the splits before, that tells where each one starts, and a window over a split does the rest. A record
-    is put together from its pieces, also across splits. Text behind the last whole record that opens another one is a record too,
+    A file of any size is read by as many tasks as it has splits, and its pieces are dealt to more. It is cut at closing braces. Whether one
+    ends a record depends on what came before, so each cut of CUT_PIECES pieces says how many quotes it holds and how deep it leads, for a
+    start inside a string and for one outside; summed over the cuts before, that tells where each one starts, and a window over a cut
+    does the rest. A record is put together from its pieces, also across cuts. Text behind the last whole record that opens another one is a record too,
     unreadable and therefore NULL; an empty array gives no rows.
     """
     pieces = spark.read.option("lineSep", "}").text(path)
-    split = ["file", "_block"]
+    # a split in cuts of consecutive pieces, so that a window holds a bounded number of them whatever the size of a split
+    split, of_file = ["file", "_block", "_cut"], ["_block", "_cut"]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_SPLIT * pieces.rdd.getNumPartitions())
     pieces = pieces.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    pieces = pieces.withColumn("_cut", F.expr(f"_id div {CUT_PIECES}")).repartition(tasks, *split)
     bare = F.regexp_replace("value", r"\\.", "")  # without escaped characters, which only strings have
     in_order = Window.partitionBy(*split).orderBy("_id")
     before, upto = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -114,7 +121,7 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: T.Struct
     pieces = pieces.withColumn("_bare", bare).withColumn("_odd", odd)
     pieces = pieces.withColumns({"_out": deeper(F.col("_odd"), F.col("_bare")), "_in": deeper(~F.col("_odd"), F.col("_bare"))})
     splits = pieces.groupBy(*split).agg(F.sum(_quotes(F.col("_bare"))).alias("quotes"), F.sum("_out").alias("out"), F.sum("_in").alias("in"))
-    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    earlier = Window.partitionBy("file").orderBy(*of_file).rowsBetween(Window.unboundedPreceding, -1)  # a row per cut
     splits = splits.withColumn("_inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 1)
     splits = splits.withColumn("_deep", F.coalesce(F.sum(F.when(F.col("_inside"), F.col("in")).otherwise(F.col("out"))).over(earlier), F.lit(0)))
     known = pieces.join(splits.select(*split, "_inside", "_deep"), split)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -54,6 +56,24 @@ def write_all(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite"
         tables[name].write.mode(mode).parquet(f"{folder}/{name}")
 
 
+def _as_array(batches):
+    """The lines of one JSON array from those of its records, as they come."""
+    mark = "["
+    for batch in batches:
+        if batch.num_rows:
+            marks = pa.array([mark] + [","] * (batch.num_rows - 1))
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column(0), "")], ["value"])
+            mark = ","
+    yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
+
+
+def write_json_array(records: DataFrame, path: str) -> None:
+    """JSON texts, one column, into one file that is a single array, in no order. Its one task passes them on and holds a batch of them."""
+    name = records.columns[0]
+    lines = records.select(F.col(name).alias("value")).where("value IS NOT NULL").repartition(1).mapInArrow(_as_array, "value string")
+    lines.write.text(path)
+
+
 def write_sql_table(df: DataFrame, url: str, table: str, mode: str = "append", **options: str) -> None:
     """Load into an external SQL table over JDBC; an overwrite empties the table and keeps its definition."""
     df.write.format("jdbc").mode(mode).options(url=url, dbtable=table, truncate=True, **options).save()

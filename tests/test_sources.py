@@ -248,3 +248,18 @@ def test_captures_of_a_schema_are_one_scan(spark, tmp_path):
     few = captures.where("table_name IN ('Opportunity_0_1', 'Opportunity_2_5')").drop("schema")
     assert snapshots.load(spark, few, captures.where("table_name = 'Opportunity_0_1'").withColumnRenamed("creation_time", "snapshot_time")).count() == 2
     assert snapshots.load(spark, few.limit(0), None) is None
+
+
+def test_one_array_file_is_written_and_read_in_bounded_parts(spark, tmp_path, monkeypatch):
+    """The task of the one file passes records on without sorting them; the windows over a file are cut by rows, wherever a cut falls."""
+    monkeypatch.setattr(readers, "CUT_PIECES", 3)
+    records = [{"id": n, "s": 'a "}" {' + "x\\" * (n % 3), "o": {"p": [n, {"q": "},{"}]}} for n in range(200)]
+    texts = spark.createDataFrame([(json.dumps(r),) for r in records], "value string").repartition(5)
+    writers.write_json_array(texts, str(tmp_path / "one"))
+    files = glob.glob(f"{tmp_path}/one/part-*")
+    assert len(files) == 1 and sorted(json.loads(open(files[0]).read()), key=lambda r: r["id"]) == records
+    back = readers.read_json_array(spark, str(tmp_path / "one"), "id INT, s STRING, o STRUCT<p: ARRAY<STRING>>")
+    got = back.select("number", "record.id", "record.s").collect()
+    assert sorted(r.number for r in got) == list(range(200)) and {(r.id, r.s) for r in got} == {(r["id"], r["s"]) for r in records}
+    writers.write_json_array(texts.limit(0), str(tmp_path / "none"))
+    assert readers.read_json_array(spark, str(tmp_path / "none"), "id INT").count() == 0
