@@ -22,6 +22,14 @@ SETTINGS = {
 }
 
 
+#: Tasks after a shuffle are cut small, from many partitions, so that what one sorts or hashes does not grow with the input.
+#: A session that sets its own sizes keeps them.
+BOUNDED = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200",
+}
+
+
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
@@ -37,6 +45,9 @@ def settle(spark: SparkSession) -> None:
     for name in TRAVELLING:
         if spark.conf.get(name, None) != SETTINGS[name]:
             spark.conf.set(name, SETTINGS[name])
+    for name, value in BOUNDED.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
 
 
 def local(cores: int | str = 8, app: str = "revloom") -> SparkSession:
