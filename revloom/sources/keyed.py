@@ -52,6 +52,9 @@ def apply(changes: DataFrame, path: str, key: str, partitions: int = PARTITIONS)
     table = read(spark, path)
     kinds = dict(table.dtypes)
     due = changes.where("action <> 'noop'").withColumn(key, F.col(f"`{key}`").cast(kinds[key]))
+    written = shared_folder(spark)
+    due.write.parquet(written)  # what it is made from is worked through once
+    due = spark.read.schema(due.schema).parquet(written)
     numbers = met(due, [key], partitions)
     if not numbers:
         return []

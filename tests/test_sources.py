@@ -263,3 +263,18 @@ def test_one_array_file_is_written_and_read_in_bounded_parts(spark, tmp_path, mo
     assert sorted(r.number for r in got) == list(range(200)) and {(r.id, r.s) for r in got} == {(r["id"], r["s"]) for r in records}
     writers.write_json_array(texts.limit(0), str(tmp_path / "none"))
     assert readers.read_json_array(spark, str(tmp_path / "none"), "id INT").count() == 0
+
+
+def test_a_change_set_is_worked_out_once(spark, tmp_path):
+    place = f"{tmp_path}/table"
+    keyed.write(spark.range(100).selectExpr("id", "id AS v"), place, ["id"], 8)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    changes = spark.range(90, 110).selectExpr("id", "IF(id < 100, 'update', 'insert') AS action", "id * 2 AS v")
+    assert keyed.apply(changes.mapInArrow(counted, changes.schema), place, "id", 8) and seen.value == 20
+    assert sorted((r.id, r.v) for r in keyed.read(spark, place).collect()) == [(n, n if n < 90 else 2 * n) for n in range(110)]
