@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from revloom.operators import aggregates, joins, scan, windows
-from revloom.session import SETTINGS, TRAVELLING
+from revloom.session import BOUNDED, SETTINGS, TRAVELLING, settle
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -103,3 +103,17 @@ def test_queries_bring_their_settings_to_a_plain_session(spark):
     plain.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     entry.queries()["changeset"](plain, "/root/testdata/sf0.001")
     assert all(plain.conf.get(n) == SETTINGS[n] for n in TRAVELLING)
+
+
+def test_a_session_gets_bounded_tasks_unless_it_has_its_own(spark):
+    old = {n: spark.conf.get(n, None) for n in BOUNDED}
+    try:
+        for n in BOUNDED:
+            spark.conf.unset(n)
+        first, second = BOUNDED
+        spark.conf.set(first, "20KB")
+        settle(spark)
+        assert spark.conf.get(first) == "20KB" and spark.conf.get(second) == BOUNDED[second]
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
