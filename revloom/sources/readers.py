@@ -88,7 +88,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, *, mul
 
 
 #: Pieces of a file, each up to a closing brace, in one cut; tasks for the cuts of a split.
-CUT_PIECES, TASKS_PER_SPLIT = 1 << 15, 16
+CUT_PIECES, TASKS_PER_SPLIT = 1 << 15, 8
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: T.StructType | str, alias: str = "record") -> DataFrame:
