@@ -10,9 +10,19 @@ from revloom.operators.schema import union_fill
 from revloom.operators.windows import first_per_key
 
 
-def new_only(source: DataFrame, target: DataFrame, on: list, *, unique: bool = False) -> DataFrame:
-    """Rows whose key is not loaded yet. `unique`: the target holds every key once."""
-    return absent_from(source, target, on, unique=unique)
+def new_only(source: DataFrame, target: DataFrame, on: list, *, unique: bool = False, once: bool = False) -> DataFrame:
+    """Rows whose key is not loaded yet. `unique`: the target holds every key once.
+
+    `once`: of several rows with a key, which both sides name alike, only the one that `keep_one` takes. Loaded keys go ahead of the rows
+    then, and a key whose first row is a loaded one is left out: one shuffle, and copies of both sides are dropped before it.
+    """
+    if not once:
+        return absent_from(source, target, on, unique=unique)
+    kinds = {f.name: f.dataType for f in source.schema}
+    loaded = target.select(*[F.col(f"`{k}`") for k in on], F.lit(True).alias("_loaded"))
+    both = source.withColumn("_loaded", F.lit(False)).unionByName(loaded, allowMissingColumns=True)
+    first = keep_one(both, on, [F.col("_loaded").desc(), *_by_all(source, on)])
+    return first.where("NOT _loaded").select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in on else F.col(f"`{c}`") for c in source.columns])
 
 
 def after_watermark(df: DataFrame, time: str, mark) -> DataFrame:
@@ -51,8 +61,11 @@ def change_set(before: DataFrame, after: DataFrame, key: str, compare: list[str]
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """First row per key in `order`; without an order by all other columns, so the choice is repeatable."""
-    order = order or [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
-    return first_per_key(df, keys, order)
+    return first_per_key(df, keys, order or _by_all(df, keys))
+
+
+def _by_all(df: DataFrame, keys: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
 
 
 def apply_change_set(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:

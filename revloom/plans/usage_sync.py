@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from revloom.functions.dates import month_floor_years_before, months_before
 from revloom.functions.keys import count_text, text_key
 from revloom.functions.text import strip_prefix
-from revloom.operators.changes import change_set, failed_rows, keep_one, new_only, null_out_stale
+from revloom.operators.changes import change_set, failed_rows, new_only, null_out_stale
 from revloom.operators.joins import absent_from, id_account_map, left_lookup
 from revloom.operators.schema import rename, union_fill
 from revloom.operators.windows import latest_per_key, usage_change
 from revloom.sources import keyed
-from revloom.sources.writers import overwrite
+from revloom.sources.writers import stored
 
 # Fixed values.
 YEARS_KEPT = 3
@@ -47,8 +47,9 @@ def portal_usage(usage: DataFrame, id_map: DataFrame, contracts: DataFrame, as_o
         contracts.where(F.col("account_id").isNotNull()).select("account_id", "opportunityId", "human_end"),
         ["account_id"], "human_end", "opportunityId",
     )
-    out = left_lookup(recent, id_map, [("portal_id", "portal_id")], {"account_id": "account_id"})
-    out = left_lookup(out, newest, [("account_id", "account_id")], {"deal_id": "opportunityId"})
+    # accounts get their deal before the usage meets them, so that the usage is shuffled once
+    deals = left_lookup(id_map.select("portal_id", "account_id"), newest, [("account_id", "account_id")], {"deal_id": "opportunityId"})
+    out = left_lookup(recent, deals, [("portal_id", "portal_id")], {"account_id": "account_id", "deal_id": "deal_id"})
     return out.select(
         "portal_id", "environment", F.col("job_executions").cast("double").alias("job_executions"), "date",
         F.lit(product).alias("product"), "account_id", "deal_id",
@@ -58,23 +59,21 @@ def portal_usage(usage: DataFrame, id_map: DataFrame, contracts: DataFrame, as_o
 def instance_usage(snapshots: DataFrame, captures: DataFrame, schedulers: DataFrame, customers: DataFrame, as_of, product: str) -> DataFrame:
     """Three years of daily runs per scheduler from instance snapshots, finished in whichever way.
 
-    Snapshots are summed per capture and day before they meet the other tables. As in SQL, a group in which one
-    of the three counters has no value at all has no total.
+    Snapshots meet the other tables as they are and are summed by the scheduler's id, which they then lie by already; the texts are made
+    of the sums. As in SQL, a group in which one of the three counters has no value at all has no total.
     """
     recent = snapshots.where(F.col("start") >= months_before(as_of, 12 * YEARS_KEPT))
     counters = ["succeeded", "failed", "aborted"]
-    day = recent.groupBy("capture_id", F.to_date("start").alias("date")).agg(*[F.sum(c).alias(c) for c in counters])
+    day = recent.select("capture_id", F.to_date("start").alias("date"), *counters)
     rows = day.join(captures.select("capture_id", "scheduler_id"), "capture_id")
     rows = rows.join(schedulers.select("scheduler_id", "customer_id"), "scheduler_id")
     rows = rows.join(customers.select("customer_id", "customer_name", "account_id"), "customer_id")
-    keyed = rows.withColumns({
-        "portal_id": F.concat(F.lit(UNMAPPED_MARK), F.col("customer_name")),
-        "environment": F.concat(F.lit(SCHEDULER_MARK), F.col("scheduler_id").cast("string")),
-    })
-    summed = keyed.groupBy("portal_id", "environment", "date", "account_id").agg(*[F.sum(c).alias(c) for c in counters])
+    summed = rows.groupBy("customer_name", "scheduler_id", "date", "account_id").agg(*[F.sum(c).alias(c) for c in counters])
     total = F.col("succeeded") + F.col("failed") + F.col("aborted")
     return summed.select(
-        "portal_id", "environment", total.cast("double").alias("job_executions"), "date",
+        F.concat(F.lit(UNMAPPED_MARK), F.col("customer_name")).alias("portal_id"),
+        F.concat(F.lit(SCHEDULER_MARK), F.col("scheduler_id").cast("string")).alias("environment"),
+        total.cast("double").alias("job_executions"), "date",
         F.lit(product).alias("product"), "account_id", F.lit(None).cast("string").alias("deal_id"),
     )
 
@@ -86,12 +85,14 @@ def record_key(usage: DataFrame) -> DataFrame:
 
 
 def daily_changes(usage: DataFrame, loaded: DataFrame) -> dict[str, DataFrame]:
-    """Daily rows to add and loaded rows to delete. A changed count is a new key, so there are no updates."""
+    """Daily rows to add and loaded rows to delete. A changed count is a new key, so there are no updates.
+
+    Usage has a row per portal, environment and day, so its keys have few copies to drop before they meet the loaded ones.
+    """
     keyed = record_key(usage)
-    first = keep_one(keyed, ["record_key"])
     return {
-        "daily_insert": new_only(first, loaded, ["record_key"]),
-        "daily_delete": absent_from(loaded, keyed.select("record_key"), ["record_key"]),
+        "daily_insert": new_only(keyed, loaded, ["record_key"], once=True),
+        "daily_delete": absent_from(loaded, keyed.select("record_key"), ["record_key"], unique=True),
     }
 
 
@@ -158,19 +159,14 @@ def store(
 ) -> dict[str, DataFrame]:
     """`run` with its outputs written below `folder` and read back: the id map, then daily usage once, then what is made
     from them."""
-    spark = sources["usage"].sparkSession
-
-    def written(name: str, df: DataFrame) -> DataFrame:
-        overwrite(df, f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-    mapped = written("id_map", id_map(sources, bad_ids, bad_accounts))
-    usage = written("daily_usage", daily_usage(sources, mapped, as_of, portal_product, instance_product))
-    later = {
-        "period_changes": period_changes(sources), "account_update": account_update(usage, sources["accounts"]),
-        **daily_changes(usage, sources["crm_daily"]),
+    mapped = stored({"id_map": id_map(sources, bad_ids, bad_accounts)}, folder)
+    first = {
+        "daily_usage": daily_usage(sources, mapped["id_map"], as_of, portal_product, instance_product), "period_changes": period_changes(sources),
     }
-    return {"id_map": mapped, "daily_usage": usage, **{name: written(name, df) for name, df in later.items()}}
+    first = stored(first, folder)
+    usage = first["daily_usage"]
+    later = {"account_update": account_update(usage, sources["accounts"]), **daily_changes(usage, sources["crm_daily"])}
+    return {**mapped, **first, **stored(later, folder)}
 
 
 def apply_periods(sources: dict[str, DataFrame], crm_usage: str) -> list[int]:

@@ -3,21 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+#: How outputs that the next step reads back are written: sorted keys by what they differ in, and packed closer than by default.
+STORED = {"compression": "zstd", "parquet.writer.version": "v2"}
+#: Outputs that are written at once.
+AT_A_TIME = 3
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **options) -> None:
     """Replace the table, creating it if needed. With partitions only those in `df` are replaced."""
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.mode("overwrite").format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
+def stored(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Tables that do not build on each other, written below `folder` and read back. A few are written at a time, so that the last
+    tasks of one leave no machine idle."""
+    def one(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
+        name, df = item
+        overwrite(df, f"{folder}/{name}", **STORED)
+        return name, df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        return dict(pool.map(inheritable_thread_target(spark)(one), tables.items()))
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append; an empty frame adds no rows."""
     df.write.mode("append").format(fmt).save(path)
