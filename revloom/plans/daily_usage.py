@@ -33,24 +33,21 @@ def zones(account_map: DataFrame, accounts: DataFrame, default: str = "UTC") ->
 def local_days(consumption: DataFrame, zone_of: DataFrame, default: str = "UTC") -> DataFrame:
     """Hourly wide usage to one row per portal, environment and local date.
 
-    The zone is looked up while a row still holds all its environments, so the join moves the fewest rows. Of a map, a portal has the
-    environments that any of its rows names.
+    The zone is looked up while a row still holds all its environments, so the join moves the fewest rows; environments that are columns
+    are summed by day as they stand and become rows after that. Of a map, a portal has the environments that any of its rows names.
     """
     timed = consumption.where("startMillis IS NOT NULL AND endMillis IS NOT NULL")
     timed = lookup_or_default(timed, zone_of, "portal_id", "zone", default)
+    timed = timed.withColumn("_date", local_date(from_millis("startMillis"), "zone")).drop("jobExecutions")
+    times = [F.min("startMillis").alias("_start"), F.max("endMillis").alias("_end")]
     if "environments" in timed.columns:
-        long = unpivot_map(timed.drop("jobExecutions"), "environments", "environment", "job_executions", per=["portal_id"])
+        long = unpivot_map(timed, "environments", "environment", "job_executions", per=["portal_id"])
+        days = long.groupBy("portal_id", "environment", "_date").agg(F.sum("job_executions").alias("job_executions"), *times)
     else:
-        long = unpivot_except(timed.drop("jobExecutions"), [*TIMES, "zone"], "environment", "job_executions")
-    long = long.select(
-        "portal_id", "environment", local_date(from_millis("startMillis"), "zone").alias("date"),
-        "startMillis", "endMillis", "job_executions",
-    )
-    days = long.groupBy("portal_id", "environment", "date").agg(
-        F.coalesce(F.sum("job_executions"), F.lit(0)).alias("job_executions"),
-        F.min("startMillis").alias("_start"),
-        F.max("endMillis").alias("_end"),
-    )
+        wide = [c for c in timed.columns if c not in (*TIMES, "zone", "_date")]
+        days = timed.groupBy("portal_id", "_date").agg(*times, *[F.sum(f"`{c}`").alias(c) for c in wide])
+        days = unpivot_except(days, ["portal_id", "_date", "_start", "_end"], "environment", "job_executions")
+    days = days.select("portal_id", "environment", F.col("_date").alias("date"), F.coalesce("job_executions", F.lit(0)).alias("job_executions"), "_start", "_end")
     return days.withColumns({"human_start": from_millis("_start"), "human_end": from_millis("_end")}).drop("_start", "_end")
 
 

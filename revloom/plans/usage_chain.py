@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from revloom.operators.schema import rename, typed_nulls
 from revloom.plans import activity, contracts, daily_usage, usage_sync
-from revloom.sources.writers import overwrite
+from revloom.sources.writers import stored
 
 #: What a usage period need not have.
 PERIOD_EXTRAS = dict.fromkeys(["expectedEndCredit", "expectedEndUsage", "expectedOverage", "expectedOverageAmount", "overageAmount", "startCredit", "newCredit", "overage"], "int")
@@ -44,16 +44,11 @@ def store(
     Sources by job: `daily_usage`, `contracts` and `activity` as their `run` takes them; `sync` with what else the usage sync
     takes (reported, snapshots, captures, schedulers, instance_customers, crm_usage, crm_daily, accounts).
     """
-    def kept(job: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        out = {}
-        for name, df in tables.items():
-            overwrite(df, f"{folder}/{job}/{name}")
-            out[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{job}/{name}")
-        return out
-
-    daily = kept("daily_usage", daily_usage.run(sources["daily_usage"]))
-    documents = kept("contracts", contracts.run(sources["contracts"], as_of))
-    portals = kept("activity", activity.run(sources["activity"]))
+    jobs = {
+        "daily_usage": daily_usage.run(sources["daily_usage"]), "contracts": contracts.run(sources["contracts"], as_of), "activity": activity.run(sources["activity"]),
+    }
+    back = stored({f"{job}/{name}": df for job, tables in jobs.items() for name, df in tables.items()}, folder)
+    daily, documents, portals = ({name: back[f"{job}/{name}"] for name in tables} for job, tables in jobs.items())
     sync = usage_sync.store(
         {**sources["sync"], **sync_sources(daily, documents, portals)}, as_of, f"{folder}/sync",
         portal_product=portal_product, instance_product=instance_product, bad_ids=bad_ids, bad_accounts=bad_accounts,

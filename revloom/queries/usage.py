@@ -29,7 +29,7 @@ def daily_sources(t: Tables, as_map: bool) -> dict[str, DataFrame]:
     """Hourly consumption from events, wide: one column (or map entry) per event type."""
     hour = F.date_trunc("hour", "ts")
     e = t.events.select(F.col("user_id"), hour.alias("h"), "event_type", F.floor("value").alias("v"))
-    wide = e.groupBy("user_id", "h").pivot("event_type", KINDS).agg(F.sum("v"))
+    wide = e.groupBy("user_id", "h").agg(*[F.sum(F.when(F.col("event_type") == k, F.col("v"))).alias(k) for k in KINDS])
     portals = t.customer.select(F.col("c_custkey").alias("user_id"), portal_id().alias("portal_id"))
     wide = wide.join(portals, "user_id")
     start = F.when(F.hour("h") != 4, to_millis("h"))
