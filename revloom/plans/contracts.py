@@ -66,7 +66,9 @@ def usage_period_table(usage: DataFrame, documents: DataFrame) -> DataFrame:
     contract = documents.select(
         F.col("id").alias("contract_id"), "opportunityId", "customerId", F.col("customer.portalId").alias("portal_id")
     )
-    rows = usage.select("contract_id", F.explode("usagePeriods").alias("u")).join(contract, "contract_id")
+    # a contract's list meets it whole: one row to shuffle
+    rows = usage.where(F.size("usagePeriods") > 0).select("contract_id", "usagePeriods").join(contract, "contract_id")
+    rows = rows.select(*contract.columns, F.explode("usagePeriods").alias("u"))
     out = rows.select(
         "u.*", "opportunityId", "contract_id", "customerId", "portal_id",
         date_from_parts("u.startDate").alias("human_start"), date_from_parts("u.endDate").alias("human_end"),
