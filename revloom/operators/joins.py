@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revloom.functions.keys import same
-from revloom.operators import scan
+from revloom.operators import scan, text_index
 from revloom.operators.windows import first_per_key
 
 
@@ -175,27 +176,56 @@ def next_within(
 PIECES = {8: (5, 4), 4: (3, 2), 2: (2, 1), 1: (1, 1)}
 
 
-def _bound(value: Column, body) -> Column:
-    """body(value), with the value worked out once however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+#: Characters that are cut into pieces at a time. Bounds the memory of a task.
+CUT_CHARS = 1 << 20
 
 
-def winnowed(text: str, size: int, window: int) -> Column:
+def winnowed(text: str | Column, size: int, window: int) -> Column:
     """Distinct hashes of the pieces of `size` characters that are the least of some `window` neighbouring ones.
 
-    Every stretch of size + window - 1 characters holds one, and the same stretch the same one, wherever it stands.
+    Every stretch of size + window - 1 characters holds one, and the same stretch the same one, wherever it stands. NULL has none.
     """
-    # the last dot steps over one whole character, so that no piece starts inside a surrogate pair
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
-    out, covered = F.transform(pieces, lambda p: F.xxhash64(p)), 1
-
-    def least(step: int):
-        return lambda h: F.slice(F.zip_with(h, F.slice(h, step + 1, F.size(h)), lambda x, y: F.least(x, y)), 1, F.greatest(F.size(h) - step, F.lit(0)))
-
-    while covered < window:
-        step = min(covered, window - covered)
-        out, covered = _bound(out, least(step)), covered + step
-    return F.array_distinct(out)
+    most = CUT_CHARS
+
+    def of_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(how many each text has, hashes)."""
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        owner = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+        n = len(codes) - size - window + 2
+        if n <= 0:
+            return np.zeros(len(texts), np.int64), np.zeros(0, np.uint64)
+        pieces = np.zeros(n + window - 1, np.uint64)
+        for k in range(size):
+            pieces = pieces * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(pieces)] + np.uint64(1)
+        for by in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            pieces = (pieces ^ pieces >> np.uint64(33)) * np.uint64(by)
+        pieces ^= pieces >> np.uint64(33)
+        least = pieces[:n]
+        for k in range(1, window):
+            least = np.minimum(least, pieces[k : k + n])
+        inside = owner[:n] == owner[size + window - 2 :]
+        owner, least = owner[:n][inside], least[inside]
+        order = np.lexsort((least, owner))
+        owner, least = owner[order], least[order]
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])])[: len(owner)]
+        return np.bincount(owner[new], minlength=len(texts)), least[new]
+
+    @F.arrow_udf("array<long>")
+    def cut(texts: pa.Array) -> pa.Array:
+        counts, hashes, some, chars = [np.zeros(1, np.int64)], [np.zeros(0, np.uint64)], [], 0
+        for x in texts.to_pylist():
+            some.append(x or "")
+            chars += len(some[-1])
+            if chars >= most:
+                found = of_texts(some)
+                counts.append(found[0]), hashes.append(found[1])
+                some, chars = [], 0
+        found = of_texts(some)
+        counts.append(found[0]), hashes.append(found[1])
+        ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(hashes).view(np.int64)))
+
+    return cut(F.col(text) if isinstance(text, str) else text)
 
 
 #: Longest tokens that are looked up among all pieces of their length.
@@ -211,57 +241,53 @@ def containing(
     A token of `framed_length` characters must stand between the two frame characters; others match anywhere. What stands in
     frames is cut out of the texts and looked up as it is, and so are pieces of up to SHORT characters. A longer token without white
     space can only be inside a word, and a text has each of its words once, so such tokens are looked for in the different words of
-    all texts (`_by_pieces`), and a text has the tokens of its words. Only tokens with white space are looked for in the texts
+    all texts (`_by_pieces`), and a text has the tokens of its words. Words and pieces are those of a stored index (`text_index`), so
+    that texts do not travel, nor a row per word of a text or per pair. Only tokens with white space are looked for in the texts
     themselves. Tokens are literal text; `key` has a text each.
     """
     wanted = tokens.select(F.col(token).alias("token")).where("token <> ''").distinct()
     held = texts.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_held"))
-    is_framed, is_short = F.length("token") == framed_length, F.length("token") <= SHORT
-    plain, spaced = wanted.where(~is_framed & ~is_short), F.col("token").rlike(r"\s")
-
-    # the last dot steps over one whole character, so that frames may share theirs
-    between = F.regexp_extract_all("_held", F.lit(f"(?s)(?={re.escape(frame[0])}(.{{{framed_length}}}){re.escape(frame[1])})."), F.lit(1))
-    cut = held.select("_key", F.explode(F.array_distinct(between)).alias("token"))
-    in_frames = cut.join(wanted.where(is_framed), "token").select("token", "_key")
-
-    asked = wanted.where(~is_framed & is_short).withColumn("_n", F.length("token"))
-    none = F.slice(F.array(F.lit("")), 1, 0)
-    grams = [F.when(F.array_contains("_asked", n), F.regexp_extract_all("_held", F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))).otherwise(none) for n in range(1, SHORT + 1)]
-    cut = held.withColumn("_asked", asked.agg(F.collect_set("_n")).scalar()).select("_key", F.explode(F.array_distinct(F.concat(*grams))).alias("token"))
-    in_grams = cut.join(asked.select("token"), "token").select("token", "_key")
-
-    # rows with one key are told apart by their text, and counted where they are copies
-    rows = held.withColumn("_text", F.xxhash64("_held"))
-    own = rows.select("_key", "_text", F.explode(F.array_distinct(F.split("_held", r"\s+"))).alias("_word")).where("_word <> ''")
-    words = own.select("_word").distinct()
+    is_framed, is_short, spaced = F.length("token") == framed_length, F.length("token") <= SHORT, F.col("token").rlike(r"\s")
+    plain = wanted.where(~is_framed & ~is_short)
+
+    asked = F.when(is_framed, F.lit(text_index.FRAMES)).when(is_short, F.length("token")).when(~spaced, F.lit(text_index.WORDS))
+    index = text_index.index(held, "_key", "_held", wanted.agg(F.collect_set(asked)).scalar(), frame, framed_length)
+    as_they_are = index.where(F.col("kind") == text_index.PIECE).join(wanted.where(is_framed | is_short).select(F.col("token").alias("piece")), "piece")
+
+    own = index.where(F.col("kind") == text_index.WORD)
+    words = own.select(F.col("piece").alias("_word")).distinct()
     of_words = _by_pieces(words, "_word", plain.where(~spaced)).where(F.contains("_word", "token"))
-    in_words = own.join(of_words, "_word").select("token", "_key", "_text").distinct()
-    copies = rows.groupBy("_key", "_text").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    in_words = in_words.join(copies, ["_key", "_text"], "left")
-    in_words = in_words.select("token", "_key", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(1).cast("long")))).alias("_copy"))
+    of_words = of_words.groupBy("_word").agg(F.array_join(F.collect_list("token"), " ").alias("_tokens"))
+    in_words = own.join(of_words, F.col("piece") == F.col("_word")).select("block", F.lit(text_index.WORD).alias("kind"), F.col("_tokens").alias("piece"), "texts")
+    rows = as_they_are.select(index.columns).unionByName(in_words).unionByName(index.where(F.col("kind") == text_index.KEYS))
+    found = text_index.pairs_of(rows, "_key", held.schema["_key"].dataType)
 
+    # texts move only if there is a token with white space
     maybe = _by_pieces(held, "_held", plain.where(spaced), "_key")
-    in_texts = maybe.join(held, "_key").where(F.contains("_held", "token"))
-    found = in_frames.unionByName(in_grams).unionByName(in_words.select("token", "_key")).unionByName(in_texts.select("token", "_key"))
-    return found.withColumnRenamed("_key", key)
+    any_spaced = plain.agg(F.coalesce(F.max(spaced), F.lit(False))).scalar()
+    in_texts = maybe.join(held.where(any_spaced), "_key").where(F.contains("_held", "token"))
+    return found.select("token", "_key").unionByName(in_texts.select("token", "_key")).withColumnRenamed("_key", key)
 
 
 def _by_pieces(texts: DataFrame, text: str, wanted: DataFrame, key: str | None = None) -> DataFrame:
-    """Distinct (`key`, token) pairs, or (`text`, token), among which are all where the text holds the token; others must be sorted out.
+    """Distinct (`key`, token) pairs, or (`text`, token) of distinct texts, among which are all where the text holds the token; others must be sorted out.
 
     Of a text's pieces only those with the least hash among their neighbours are kept, some two in five characters; the same choice
-    made in a token is a part of it, so a token is looked for by the one of its pieces that is in the fewest texts. Tokens too short for
-    such a choice have shorter pieces, which texts give only if there are such tokens. Only keys and hashes travel.
+    made in a token is a part of it, so a token is looked for by one of its pieces: the one that is in the fewest texts, or, for texts
+    without a key, such as words, where a candidate is a row that is there already, the one that the fewest tokens have. Tokens too short
+    for such a choice have shorter pieces, which texts give only if there are such tokens. Only keys and hashes travel.
     """
-    key = key or text
     kind = F.coalesce(*[F.when(F.length("token") >= n, F.lit(n)) for n in sorted(PIECES, reverse=True)])
     wanted = wanted.withColumn("_kind", kind)
-    own = F.coalesce(*[F.when(F.col("_kind") == n, winnowed("token", *how)) for n, how in PIECES.items()])
+    own = F.concat(*[winnowed(F.when(F.col("_kind") == n, F.col("token")), *how) for n, how in PIECES.items()])
     of_token = wanted.select("token", F.explode(own).alias("piece"))
     asked = wanted.agg(F.collect_set("_kind")).scalar()
-    none = F.slice(F.array(F.lit(0).cast("long")), 1, 0)
-    cut = F.concat(*[F.when(F.array_contains("_kinds", n), winnowed(text, *how)).otherwise(none) for n, how in PIECES.items()])
-    of_text = texts.withColumn("_kinds", asked).where(F.size("_kinds") > 0).select(key, F.explode(cut).alias("piece"))
+    cut = F.concat(*[winnowed(F.when(F.array_contains("_kinds", n), F.col(text)), *how) for n, how in PIECES.items()])
+    of_text = texts.withColumn("_kinds", asked).where(F.size("_kinds") > 0).select(key or text, F.explode(cut).alias("piece"))
+    if key is None:
+        shared = of_token.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("piece")))
+        rare = shared.groupBy("token").agg(F.min(F.struct("n", "piece")).alias("rare"))
+        return of_text.join(rare.select("token", F.col("rare.piece").alias("piece")), "piece").select(text, "token")
     of_text = of_text.join(of_token.select("piece").distinct(), "piece", "left_semi")
     common = of_text.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     # a token with a piece that no text has is in none

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revloom.operators import aggregates, changes, dims, joins, reshape, scan, schema, windows
+from revloom.operators import aggregates, changes, dims, joins, reshape, scan, schema, text_index, windows
 
 
 def test_clean_names_collision(spark):
@@ -100,6 +100,49 @@ def test_containing_looks_into_each_word_once(spark, rows, monkeypatch):
     assert found == sorted(want, key=repr)
 
 
+def shuffled(plan):
+    """Rows that the exchanges of an executed plan wrote."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    own = plan.metrics().get("shuffleRecordsWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_containing_moves_no_row_per_word_of_a_text(spark):
+    """Words travel once per block of texts, and pairs not at all: few rows for many texts with the same words."""
+    words = [F.concat(F.lit("word"), (F.col("id") * n) % 40) for n in range(1, 30)]
+    texts = spark.range(0, 3000, 1, 4).select(F.col("id").alias("k"), F.concat_ws(" ", F.lit("same"), *words).alias("t"))
+    tokens = spark.createDataFrame([("ord0",), ("am",), ("ame",), ("word40",), ("rd39",)], "token string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        found = joins.containing(texts, "k", "t", tokens, "token", frame=(" ", " "))
+        got = found.collect()
+    finally:
+        spark.conf.unset(name)
+    held = {r.k: r.t for r in texts.collect()}
+    assert sorted(map(tuple, got)) == sorted((x.token, k) for x in tokens.collect() for k, t in held.items() if len(x.token) != 6 and x.token in t)
+    assert len(got) > 8000 and 0 < shuffled(found._jdf.queryExecution().executedPlan()) < 3000
+
+
+@pytest.mark.parametrize(("most", "frame"), [(1 << 16, ("-", ".")), (7, (" ", " ")), (1, ("-", "-"))])
+def test_containing_in_blocks_of_any_size(spark, rows, monkeypatch, most, frame):
+    """All kinds of white space and tokens, null and repeated keys, copies of rows: as a search in each text, however texts are put in blocks."""
+    monkeypatch.setattr(text_index, "BLOCK_TEXTS", most)
+    monkeypatch.setattr(joins, "CUT_CHARS", 50)
+    draw = random.Random(5)
+    parts = ["a", "b", "ab-cd", "sixsix", "-sixsix.", "word", "😀x", "ñandú", " ", " ", "\t", "\n", "\x0b", "\x1c", "\xa0", "\u3000", "-", "."]
+    given = [(draw.choice([None, "k1", "k2", f"k{n}"]), draw.choice(["", None, *["".join(draw.choices(parts, k=draw.randint(1, 30))) for _ in range(6)]])) for n in range(60)]
+    tokens = ["a", "ab", "ba", " ", " a", "\t", "sixsix", "wordsi", "ab-cda", "d😀x", "😀", "ord", "xsix", "a\xa0b", "word\xa0", "word\x1cw", "x\u3000wo", "b word", "ñandú", "ndúñan", "dúñandúñ", "", None, "a"]
+    texts = spark.createDataFrame(given + given[:9], "k string, t string").repartition(3)
+    found = rows(joins.containing(texts, "k", "t", spark.createDataFrame([(x,) for x in tokens], "token string"), "token", frame=frame))
+    held = [(x, k, frame[0] + x + frame[1] if len(x) == 6 else x, t) for x in set(tokens) - {"", None} for k, t in given + given[:9] if k is not None and t is not None]
+    assert found == sorted(((x, k) for x, k, y, t in held if y in t), key=repr) and len({x for x, _ in found}) > 8
+
+
 def test_join_all_deals_the_pairs_of_a_key(spark, rows, monkeypatch):
     monkeypatch.setattr(joins, "SHARE_ROWS", 50)
     one = spark.range(0, 700, 1, 4).select(F.when(F.col("id") < 690, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("a"))
